@@ -60,18 +60,18 @@ def mart(label: str) -> Callable[[DataFrame], DataFrame]:
 # --- landing -----------------------------------------------------------------
 
 
-def landed(spark: SparkSession, folder: str) -> tuple[DataFrame, str]:
-    """Land ``events`` as gzipped JSON lines, load them, and give the report."""
+def land(spark: SparkSession, folder: str) -> str:
+    """Land ``events`` as gzipped JSON lines; returns the landing root."""
     root = workspace.fresh_path(spark, "landing")
     shapes.write_landing(shapes.lines_from_events(table(spark, folder, "events")), root)
-    store = workspace.fresh_path(spark, "raw")
-    ledger = workspace.fresh_path(spark, "ledger")
-    return landing.load_hours(spark, root, store, ledger), store
+    return root
 
 
 def raw_json_scan(spark: SparkSession, folder: str) -> DataFrame:
-    _, store = landed(spark, folder)
-    return staging.typed(landing.raw_events(spark, store)).select(
+    root = land(spark, folder)
+    files = [row["path"] for row in landing.list_files(spark, root).select("path").collect()]
+    lines = landing.scan_lines(spark, files, root)
+    return staging.typed(lines.where(F.col("load_status") == landing.LOADED)).select(
         "event_id",
         "event_type",
         "actor_id",
@@ -85,7 +85,12 @@ def raw_json_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load_report(spark: SparkSession, folder: str) -> DataFrame:
-    report, _ = landed(spark, folder)
+    report = landing.load_hours(
+        spark,
+        land(spark, folder),
+        workspace.fresh_path(spark, "raw"),
+        workspace.fresh_path(spark, "ledger"),
+    )
     hour = F.regexp_extract("source_file", r"^(.*)/[^/]*$", 1)
     return report.groupBy(hour.alias("source_hour"), "status").agg(
         F.sum("rows_loaded").alias("rows_loaded"), F.sum("errors_seen").alias("errors_seen")

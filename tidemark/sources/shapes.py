@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.sources.landing import HOUR_COLUMNS
+
 # How the example tables' own kinds map to event types.
 EVENT_KINDS = {
     "view": "WatchEvent",
@@ -107,6 +109,7 @@ def lines_from_events(events: DataFrame) -> DataFrame:
     )
     whole = F.length(line)
     return fields.select(
+        number.alias("number"),
         F.when(number % 97 == 0, F.substr(line, F.lit(1), whole - 1)).otherwise(line).alias("value"),
         F.date_format("created_at", "yyyy").alias("year"),
         F.date_format("created_at", "MM").alias("month"),
@@ -116,10 +119,16 @@ def lines_from_events(events: DataFrame) -> DataFrame:
 
 
 def write_landing(lines: DataFrame, root: str) -> None:
-    """Land JSON lines as gzipped text in hour folders."""
+    """Land JSON lines as gzipped text in hour folders.
+
+    Ranges of (hour, number) are of even size: a task holds neighbouring hours,
+    and an hour with most of the lines is split over many tasks and files.
+    """
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        lines.hint("rebalance", "year", "month", "day", "hour")
-        .write.partitionBy("year", "month", "day", "hour")
+        lines.repartitionByRange(parts, *HOUR_COLUMNS, "number")
+        .drop("number")
+        .write.partitionBy(*HOUR_COLUMNS)
         .option("compression", "gzip")
         .text(root)
     )
