@@ -289,10 +289,11 @@ ORACLES: dict[str, str] = {
  FROM deliveries GROUP BY 1""",
     ),
     "unloaded_files": """WITH paths AS (
- SELECT event_type, strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H/%Y-%m-%d-') || hour(ts)
+ SELECT ts, strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H/%Y-%m-%d-') || hour(ts)
         || '.json.gz' AS source_file FROM events)
 SELECT DISTINCT source_file FROM paths WHERE source_file NOT IN
- (SELECT source_file FROM paths WHERE event_type = 'purchase')""",
+ (SELECT source_file FROM paths
+  WHERE CAST(ts AS DATE) < (SELECT CAST(max(ts) AS DATE) FROM events))""",
     "hour_spine": f"""WITH bounds AS (SELECT min(ts) AS first, max(ts) AS last FROM events),{SPINE}
 SELECT hour, hour_key, path FROM spine""",
     "missing_hours": f"""WITH bounds AS (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -81,39 +82,45 @@ def status_of(failures: Column, severity: Column) -> Column:
     return F.when(failures == 0, "pass").when(severity == WARN, "warn").otherwise("fail")
 
 
+def _result(check: Check, failures: Column) -> Column:
+    return F.struct(
+        F.lit(check.kind).alias("check"),
+        F.lit(check.column).alias("column"),
+        F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"),
+        F.lit(check.severity).alias("severity"),
+    )
+
+
 def run_checks(model: str, df: DataFrame, checks: Iterable[Check]) -> DataFrame:
-    """One row per declared check of a model."""
+    """One row per declared check of a model.
+
+    The NULL counts share a pass over the model, and ride along with the
+    grouping of the first unique check if there is one.
+    """
     checks = list(checks)
+    nulls = [c for c in checks if c.kind == "not_null"]
+    uniques = [c for c in checks if c.kind == "unique"]
+    counts = [F.count_if(F.col(c.column).isNull()).alias(f"_{i}") for i, c in enumerate(nulls)]
     results = []
-    plain = [c for c in checks if c.kind == "not_null"]
-    if plain:
-        severity = F.create_map(*[F.lit(x) for c in plain for x in (c.column, c.severity)])
-        results.append(
-            not_null(df, [c.column for c in plain]).select(
-                F.lit("not_null").alias("check"),
-                "column",
-                "failures",
-                severity[F.col("column")].alias("severity"),
-            )
-        )
-    for check in checks:
-        if check.kind == "unique":
-            counted = unique(df, check.column)
-        elif check.kind == "accepted_values":
-            counted = accepted_values(df, check.column, check.values)
-        else:
-            continue
+    if uniques:
+        key = F.col(uniques[0].column)
+        keyed = df.groupBy(key.alias("_key")).agg(F.count("*").alias("_rows"), *counts)
+        repeated = F.count_if(F.col("_key").isNotNull() & (F.col("_rows") > 1))
+        sums = [F.sum(f"_{i}") for i in range(len(nulls))]
+        rows = [_result(uniques[0], repeated)] + [_result(c, s) for c, s in zip(nulls, sums)]
+        results.append(keyed.agg(F.array(*rows).alias("_results")))
+    elif nulls:
+        rows = [_result(c, n) for c, n in zip(nulls, counts)]
+        results.append(df.agg(F.array(*rows).alias("_results")))
+    for check in uniques[1:]:
+        row = _result(check, F.col("failures"))
+        results.append(unique(df, check.column).select(F.array(row).alias("_results")))
+    for check in (c for c in checks if c.kind == "accepted_values"):
+        counted = accepted_values(df, check.column, check.values)
         results.append(
-            counted.select(
-                F.lit(check.kind).alias("check"),
-                "column",
-                "failures",
-                F.lit(check.severity).alias("severity"),
-            )
+            counted.select(F.array(_result(check, F.col("failures"))).alias("_results"))
         )
-    report = results[0]
-    for result in results[1:]:
-        report = report.unionByName(result)
+    report = reduce(DataFrame.unionByName, results).select(F.inline("_results"))
     return report.select(
         "check",
         F.lit(model).alias("model"),
@@ -128,11 +135,8 @@ def quality_report(
     models: Mapping[str, DataFrame], checks: Mapping[str, Sequence[Check]] = CHECKS
 ) -> DataFrame:
     """All declared checks of the given models."""
-    report = None
-    for model, df in models.items():
-        result = run_checks(model, df, checks[model])
-        report = result if report is None else report.unionByName(result)
-    return report
+    reports = [run_checks(model, df, checks[model]) for model, df in models.items()]
+    return reduce(DataFrame.unionByName, reports)
 
 
 def failed(report: DataFrame) -> DataFrame:

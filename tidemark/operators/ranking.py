@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark import workspace
 from tidemark.functions.expressions import month_of, safe_divide
 
 
@@ -35,11 +36,14 @@ def top_ranked(df: DataFrame, group: str, value: str, limit: int, rank: str) ->
     """Rows whose ``rank()`` by descending ``value`` within ``group`` is ``<= limit``.
 
     All ties are kept. The rank is read off a histogram: one plus the number of
-    rows at higher values. Only the histogram is windowed (its size per group
-    is the number of different values, not of rows), and the at most ``limit``
-    surviving values per group are joined back. A group, or a tie, holding most
-    of the table is thus never sorted by one task. ``df`` is read twice: pass a
-    stored or pinned frame.
+    rows at higher values. Only the histogram is windowed (per group it holds
+    the different values, not the rows), and at most ``limit`` values per group
+    survive. They are pinned, so that Spark knows their size when it chooses
+    how to join them back: by broadcast up to its threshold, which leaves the
+    rows where they are, else by a sort-merge join, whose hot keys adaptive
+    execution splits. A group, or a tie, that holds most of the table is thus
+    never sorted by one task. ``df`` is read twice: pass a stored or pinned
+    frame.
     """
     levels = df.groupBy(group, value).agg(F.count("*").alias("_rows"))
     higher = (
@@ -47,15 +51,12 @@ def top_ranked(df: DataFrame, group: str, value: str, limit: int, rank: str) ->
         .orderBy(F.col(value).desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    kept = (
-        levels.withColumn(
-            rank, F.coalesce(F.sum("_rows").over(higher), F.lit(0)) + F.lit(1).cast("bigint")
-        )
-        .where(F.col(rank) <= limit)
-        .select(F.col(group).alias("_group"), F.col(value).alias("_value"), rank)
-    )
+    place = F.coalesce(F.sum("_rows").over(higher), F.lit(0)) + F.lit(1).cast("bigint")
+    kept = levels.select(
+        F.col(group).alias("_group"), F.col(value).alias("_value"), place.alias(rank)
+    ).where(F.col(rank) <= limit)
     same = F.col(group).eqNullSafe(F.col("_group")) & F.col(value).eqNullSafe(F.col("_value"))
-    return df.join(kept, same).drop("_group", "_value")
+    return df.join(workspace.pin(kept, "ranks"), same).drop("_group", "_value")
 
 
 def change_over_rows(

@@ -34,10 +34,13 @@ def merge_into(batch: DataFrame, path: str, key: str = "event_id") -> set[date |
     keys = batch.select(key)
     batch = batch.withColumn(tables.DAY, day_of(F.col("created_at")))
 
-    # Both collects return one row per day.
+    # Ids mostly grow with time, so their range lets the scan skip row groups
+    # of other days. Both collects return one row per day.
+    low, high = batch.agg(F.min(key), F.max(key)).first()
     hits = {
         row[tables.DAY]: row["hits"]
-        for row in target.select(key, tables.DAY)
+        for row in target.where(F.col(key).between(F.lit(low), F.lit(high)))
+        .select(key, tables.DAY)
         .join(keys, key, "left_semi")
         .groupBy(tables.DAY)
         .agg(F.count("*").alias("hits"))
@@ -55,7 +58,7 @@ def merge_into(batch: DataFrame, path: str, key: str = "event_id") -> set[date |
         left_by_all &= {r[tables.DAY] for r in sizes if hits.get(r[tables.DAY]) == r["rows"]}
 
     survivors = current.join(keys, key, "left_anti")
-    tables.write_by_day(survivors.unionByName(batch), path, replace_days_only=True)
+    tables.write_by_day(survivors.unionByName(batch), path, key, replace_days_only=True)
     # A day that lost its last row has no new files, so the write did not touch it.
     tables.drop_days(spark, path, left_by_all)
     return touched

@@ -10,10 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import tables, workspace
-from tidemark.functions.expressions import day_of, event_category, hour_path
+from tidemark.functions.expressions import event_category, hour_path
 from tidemark.operators import daily, quality, ranking
 from tidemark.operators.dedup import first_seen
-from tidemark.operators.upsert import merge_into, merged
+from tidemark.operators.upsert import merged
 from tidemark.plans import marts, serving, staging
 from tidemark.sources import hours, landing, shapes
 
@@ -98,13 +98,13 @@ def load_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def unloaded_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Hours with events are landed; those with a purchase are in the ledger."""
-    events = table(spark, folder, "events").withColumn("hour", F.date_trunc("hour", "ts"))
-    paths = lambda rows: rows.select(
+    """Hours with events are landed; those before the last day are in the ledger."""
+    events = table(spark, folder, "events").select(F.date_trunc("hour", "ts").alias("hour"))
+    last_day = F.to_date(ranking.newest(events, "hour"))
+    paths = lambda rows: rows.distinct().select(
         hour_path(F.col("hour")).alias("source_file")
-    ).distinct()
-    ledger = paths(events.where(F.col("event_type") == "purchase"))
-    return landing.unloaded(paths(events), ledger)
+    )
+    return landing.unloaded(paths(events), paths(events.where(F.to_date("hour") < last_day)))
 
 
 def hour_spine(spark: SparkSession, folder: str) -> DataFrame:
@@ -168,7 +168,7 @@ def upsert_result(spark: SparkSession, folder: str) -> DataFrame:
     """An incremental run on a stored table: lookback, dedup, upsert by day."""
     target, everything = split_at_last_days(spark, folder)
     path = workspace.fresh_path(spark, "staged")
-    tables.write_by_day(target.withColumn(tables.DAY, day_of(F.col("created_at"))), path)
+    staging.write_staged(target, path)
     staging.incremental_run(everything, path)
     return staging.read_staged(spark, path).select(*SCALARS, tables.DAY)
 

@@ -81,10 +81,15 @@ def incremental_batch(raw: DataFrame, target: DataFrame, hours: int = LOOKBACK_H
     return stage_events(within_lookback(raw, target, hours))
 
 
+def write_staged(staged: DataFrame, path: str) -> None:
+    """Replace the staged table."""
+    by_day = staged.withColumn(tables.DAY, day_of(F.col("created_at")))
+    tables.write_by_day(by_day, path, "event_id")
+
+
 def full_refresh(raw: DataFrame, path: str) -> None:
     """Stage every raw event and replace the table."""
-    staged = stage_to_store(raw)
-    tables.write_by_day(staged.withColumn(tables.DAY, day_of(F.col("created_at"))), path)
+    write_staged(stage_to_store(raw), path)
 
 
 def incremental_run(

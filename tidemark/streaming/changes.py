@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import tables, workspace
-from tidemark.functions.expressions import day_of, instant
+from tidemark.functions.expressions import instant
 from tidemark.operators.upsert import merge_into
-from tidemark.plans.staging import STAGED_SCHEMA, stage_to_store
+from tidemark.plans.staging import STAGED_SCHEMA, stage_to_store, write_staged
 from tidemark.sources.landing import LOADED, RAW_SCHEMA, STORED_SCHEMA
 
 
@@ -44,7 +44,7 @@ def apply_changes(
     if tables.exists(spark, path):
         merge_into(batch, path)
     else:
-        tables.write_by_day(batch.withColumn(tables.DAY, day_of(F.col("created_at"))), path)
+        write_staged(batch, path)
 
 
 def follow_raw(

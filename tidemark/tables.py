@@ -44,14 +44,17 @@ def read_by_day(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(stored).parquet(path)
 
 
-def write_by_day(df: DataFrame, path: str, replace_days_only: bool = False) -> None:
+def write_by_day(df: DataFrame, path: str, key: str, replace_days_only: bool = False) -> None:
     """Overwrite the table, or only the days that ``df`` has rows for.
 
     The rebalance hint gathers each day into few files and lets adaptive
-    execution split a day that is larger than the advisory partition size.
+    execution split a day that is larger than the advisory partition size. The
+    writer sorts by day anyway; sorting by key as well makes key ranges of row
+    groups narrow.
     """
     (
         df.hint("rebalance", DAY)
+        .sortWithinPartitions(DAY, key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if replace_days_only else "static")
         .partitionBy(DAY)
