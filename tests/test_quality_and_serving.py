@@ -1,0 +1,108 @@
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import workspace
+from tidemark.operators import quality
+from tidemark.plans import serving
+
+D = dt.date
+
+
+def test_declared_kinds(spark):
+    df = spark.createDataFrame(
+        [("a", "PushEvent"), ("a", None), (None, "NewEvent"), (None, "NewEvent"), ("b", "Odd")],
+        "event_id string, event_type string",
+    )
+    report = {
+        (r.check, r.column): (r.failures, r.severity, r.status)
+        for r in quality.run_checks("staged_events", df, quality.CHECKS["staged_events"]).collect()
+    }
+    assert report == {
+        ("unique", "event_id"): (1, "error", "fail"),
+        ("not_null", "event_id"): (2, "error", "fail"),
+        ("not_null", "event_type"): (1, "error", "fail"),
+        ("accepted_values", "event_type"): (2, "warn", "warn"),
+    }
+    singles = {r.column: r.failures for r in quality.not_null(df, df.columns).collect()}
+    assert singles == {"event_id": 2, "event_type": 1}
+    assert quality.unique(df, "event_id").first().failures == 1
+
+
+def test_empty_model_passes(spark):
+    df = spark.createDataFrame([], "event_id string, event_type string")
+    report = quality.run_checks("staged_events", df, quality.CHECKS["staged_events"])
+    assert [r.status for r in report.collect()] == ["pass"] * 4
+    assert quality.failed(report).count() == 0
+
+
+def test_warning_does_not_stop_a_job(spark):
+    df = spark.createDataFrame([("k", None)], "surrogate_key string, repo_id long")
+    report = quality.quality_report({"repo_daily_stats": df})
+    assert {r.status for r in report.collect()} == {"pass", "warn"}
+    assert quality.failed(report).count() == 0
+
+
+def test_two_unique_columns(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 2), (3, 2)], "a long, b long")
+    checks = [quality.Check("unique", "a"), quality.Check("unique", "b")]
+    got = {r.column: r.failures for r in quality.run_checks("m", df, checks).collect()}
+    assert got == {"a": 1, "b": 1}
+
+
+@pytest.mark.parametrize(
+    "hours, status", [(1, "pass"), (2, "pass"), (3, "warn"), (6, "warn"), (7, "error")]
+)
+def test_freshness(spark, hours, status):
+    newest = dt.datetime(2024, 1, 1, 12)
+    df = spark.createDataFrame([("2024-01-01 12:00:00",)], "at string").select(
+        F.col("at").cast("timestamp_ntz").alias("created_at")
+    )
+    row = quality.freshness(df, newest + dt.timedelta(hours=hours)).first()
+    assert (row.status, row.age_seconds) == (status, hours * 3600)
+    assert quality.freshness(df.limit(0), newest).first().status == "error"
+
+
+@pytest.fixture
+def trending(spark):
+    rows = [(i, f"r{i}", D(2024, 1, day), 1, 9 - i, 0, 0, 1, i)
+            for day in (1, 2) for i in range(1, 31)]
+    return spark.createDataFrame(
+        rows,
+        "repo_id long, repo_name string, date_day date, star_count long, rolling_7d_stars long, "
+        "rolling_7d_forks long, rolling_7d_code_events long, unique_contributors long, "
+        "trending_rank long",
+    )
+
+
+def test_serving_limits(trending):
+    assert serving.feed_trending(trending).count() == 10
+    assert serving.trending_for_day(trending, D(2024, 1, 1)).count() == 20
+    assert serving.trending_for_day(trending, D(2024, 1, 3)).count() == 0
+    assert [r.date_day for r in serving.available_days(trending).collect()] == [D(2024, 1, 2), D(2024, 1, 1)]
+    assert serving.available_days(trending, 1).count() == 1
+
+
+def test_insight_log(spark, trending):
+    path = workspace.fresh_path(spark, "insights")
+    serving.append_insight(trending, path, "older", "m1", dt.datetime(2024, 1, 3))
+    serving.append_insight(trending, path, "newer", "m2", dt.datetime(2024, 1, 4, 5, 6))
+    row = serving.latest_insight(spark, path).first()
+    assert tuple(row) == ("newer", dt.datetime(2024, 1, 4, 5, 6), "m2")
+    log = spark.read.schema(serving.INSIGHT_SCHEMA).parquet(path)
+    items = json.loads(log.where("model_used = 'm2'").select(F.to_json("trending_repos")).first()[0])
+    assert [i["trending_rank"] for i in items] == list(range(1, 11))
+    assert set(items[0]) == {"repo_name", "rolling_7d_stars", "rolling_7d_forks",
+                             "unique_contributors", "trending_rank", "date_day"}
+    serving.append_insight(trending, path, "now", "m3")
+    now = serving.latest_insight(spark, path).first()
+    utc = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert now.insight_text == "now" and abs(utc - now.generated_at) < dt.timedelta(minutes=5)
+
+
+def test_insight_refuses_unbounded_ties(spark, trending, monkeypatch):
+    monkeypatch.setattr(serving, "MAX_INSIGHT_ITEMS", 5)
+    with pytest.raises(ValueError):
+        serving.append_insight(trending, workspace.fresh_path(spark, "insights"), "x", "m")

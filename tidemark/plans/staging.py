@@ -112,7 +112,8 @@ def incremental_run(
         return None
     bound = since if since is not None else newest_staged - timedelta(hours=hours)
     recent = raw.where(F.col("created_at") > instant(bound))
-    return merge_into(workspace.pin(stage_to_store(recent), "batch"), path)
+    with workspace.scoped(spark):
+        return merge_into(workspace.pin(stage_to_store(recent), "batch"), path)
 
 
 def read_staged(spark: SparkSession, path: str) -> DataFrame:

@@ -40,11 +40,12 @@ def apply_changes(
         if newest is not None:
             bound = newest - timedelta(hours=lookback_hours)
             changes = changes.where(F.col("created_at") > instant(bound))
-    batch = workspace.pin(stage_to_store(changes, require_repo), "changes")
-    if tables.exists(spark, path):
-        merge_into(batch, path)
-    else:
-        write_staged(batch, path)
+    staged = stage_to_store(changes, require_repo)
+    if not tables.exists(spark, path):
+        write_staged(staged, path)
+        return
+    with workspace.scoped(spark):
+        merge_into(workspace.pin(staged, "changes"), path)
 
 
 def follow_raw(

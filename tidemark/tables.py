@@ -71,9 +71,9 @@ def drop_days(spark: SparkSession, path: str, unwanted: Iterable[date | None]) -
 
 def newest_instant(spark: SparkSession, path: str, schema: T.StructType, at: str) -> datetime | None:
     """Greatest ``at`` of a table partitioned by its day; reads the last day only."""
-    stored = read_by_day(spark, path, schema)
     for day in reversed([d for d in days(spark, path) if d is not None]):
-        value = stored.where(F.col(DAY) == F.lit(day)).agg(F.max(at)).first()[0]
+        rows = read_by_day(spark, path, schema).where(F.col(DAY) == F.lit(day))
+        value = rows.agg(F.max(at)).first()[0]
         if value is not None:
             return value
     return None

@@ -9,11 +9,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+_scope: ContextVar[str] = ContextVar("scope", default="session")
+
 
 def root(spark: SparkSession) -> str:
     """This application's folder below the shared checkpoint folder."""
@@ -27,7 +32,7 @@ def root(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{root(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{root(spark)}/{_scope.get()}/{label}-{uuid.uuid4().hex}"
 
 
 def pin(df: DataFrame, label: str) -> DataFrame:
@@ -37,7 +42,23 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete this application's pinned tables; frames reading them end here."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root(spark))
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scoped(spark: SparkSession) -> Iterator[None]:
+    """Delete at exit what is pinned inside. Write results out before that."""
+    name = uuid.uuid4().hex
+    token = _scope.set(name)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        _delete(spark, f"{root(spark)}/{name}")
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all of this application's pinned tables; frames on them end here."""
+    _delete(spark, root(spark))
