@@ -307,6 +307,9 @@ SELECT hour, hour_key, path FROM spine WHERE hour NOT IN
       lambda p: '{{"color":"ededed","name":"label' || ((n * 7 + p * 3) % 40) || '"}}'), ',')
  || '],"pull_request":{{"number":' || pr_number || '}}}}' AS payload FROM staged""",
     ),
+    "full_refresh": over(
+        STAGED, f"SELECT {SCALARS}, CAST(created_at AS DATE) AS date_day FROM staged"
+    ),
     "dedup_events": over(
         STAGED, "SELECT event_id AS id, event_type AS type, created_at FROM staged"
     ),

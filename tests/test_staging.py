@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import tables, workspace
-from tidemark.operators.dedup import first_seen
+from tidemark.operators.dedup import first_seen, first_stored
 from tidemark.operators.upsert import merge_into, merged
 from tidemark.plans import staging
 
@@ -87,6 +87,25 @@ def test_a_group_of_copies_holding_most_rows(spark):
     assert hot.created_at == T("2024-01-01 00:00:01")
 
 
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_dedup_by_position_agrees_with_the_window(spark, raw, threshold):
+    rng = random.Random(7)
+    rows = []
+    for i in range(300):
+        number = rng.choice(["hot", None, str(rng.randint(1, 60)), str(i + 1000)])
+        at = rng.choice([None, "2024-01-01 01:00:00", f"2024-01-01 0{rng.randint(0, 9)}:00:00"])
+        rows.append({**event(0, at, repo=rng.randint(1, 3)), "id": number})
+    stored_raw = workspace.pin(raw(rows + rows[:40]).repartition(3), "raw")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        events = staging.typed(stored_raw).drop("payload")
+        bag = lambda df: Counter(tuple(r) for r in df.collect())
+        assert bag(first_stored(events)) == bag(first_seen(events))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_require_repo(raw):
     rows = [event(1, "2024-01-01 01:00:00"), event(2, "2024-01-01 01:00:00", repo=None)]
     assert staging.stage_events(raw(rows)).count() == 2

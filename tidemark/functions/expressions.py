@@ -85,8 +85,13 @@ def surrogate_key(*parts: Column) -> Column:
 
 def latest(value: Column, at: Column) -> Column:
     """Last non-NULL value in time. Of several at one instant, the greatest, so
-    that the result is the same however rows arrive."""
-    return F.max_by(value, F.when(value.isNotNull(), F.struct(at, value)))
+    that the result is the same however rows arrive.
+
+    One maximum over pairs carries the value once through the shuffle, where
+    ``max_by`` would carry it twice: as the value and inside the order.
+    """
+    pair = F.struct(at.alias("at"), value.alias("value"))
+    return F.max(F.when(value.isNotNull(), pair)).getField("value")
 
 
 def hour_key(at: Column) -> Column:

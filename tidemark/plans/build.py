@@ -102,6 +102,7 @@ def run(
     if start is None and end is None:
         start = end = hours.previous_hour()
     landing.load_hours(spark, landing_root, layout.raw, layout.ledger, start, end)
-    staging.incremental_run(landing.raw_events(spark, layout.raw), layout.staged, since=since)
+    raw = landing.raw_events(spark, layout.raw)
+    staging.incremental_run(raw, layout.staged, since=since, stored=True)
     build_marts(spark, layout)
     return check_all(spark, layout)

@@ -130,6 +130,13 @@ def stage_events(spark: SparkSession, folder: str) -> DataFrame:
     return staged(spark, folder).withColumn("payload", F.to_json("payload"))
 
 
+def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The staged table rebuilt from a stored raw table."""
+    path = workspace.fresh_path(spark, "staged")
+    staging.full_refresh(workspace.pin(raw(spark, folder), "raw"), path, stored=True)
+    return staging.read_staged(spark, path).select(*SCALARS, tables.DAY)
+
+
 def dedup_events(spark: SparkSession, folder: str) -> DataFrame:
     kept = first_seen(raw(spark, folder), key="id", tie_break=("type",))
     return kept.select("id", "type", "created_at")
@@ -285,6 +292,7 @@ QUERIES: dict[str, Query] = {
     "hour_spine": hour_spine,
     "missing_hours": missing_hours,
     "stage_events": stage_events,
+    "full_refresh": full_refresh,
     "dedup_events": dedup_events,
     "incremental_batch": incremental_batch,
     "upsert_result": upsert_result,

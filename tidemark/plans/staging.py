@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tidemark import tables, workspace
 from tidemark.functions.expressions import day_of, instant
-from tidemark.operators.dedup import TIE_BREAK, first_seen
+from tidemark.operators.dedup import TIE_BREAK, first_seen, first_stored
 from tidemark.operators.ranking import newest
 from tidemark.operators.upsert import merge_into
 
@@ -87,9 +87,17 @@ def write_staged(staged: DataFrame, path: str) -> None:
     tables.write_by_day(by_day, path, "event_id")
 
 
-def full_refresh(raw: DataFrame, path: str) -> None:
-    """Stage every raw event and replace the table."""
-    write_staged(stage_to_store(raw), path)
+def full_refresh(raw: DataFrame, path: str, stored: bool = False) -> None:
+    """Stage every raw event and replace the table.
+
+    ``stored`` says that ``raw`` gives the rows of Parquet files one to one, as
+    the raw table does; copies are then found without shuffling payloads.
+    """
+    if not stored:
+        write_staged(stage_to_store(raw), path)
+        return
+    with workspace.scoped(raw.sparkSession):
+        write_staged(first_stored(typed(raw)), path)
 
 
 def incremental_run(
@@ -97,18 +105,20 @@ def incremental_run(
     path: str,
     hours: int = LOOKBACK_HOURS,
     since: datetime | None = None,
+    stored: bool = False,
 ) -> set[date | None] | None:
     """Stage what is new and upsert it; without a table, a full refresh.
 
     Events at or before ``newest - hours`` are not staged, backfilled history
     included: pass ``since`` to reach back. The bound is read from the last day
     folder and becomes a literal that the raw scan can skip row groups by.
-    Returns the rewritten days, or None after a full refresh.
+    ``stored`` is as for the full refresh. Returns the rewritten days, or None
+    after a full refresh.
     """
     spark = raw.sparkSession
     newest_staged = tables.newest_instant(spark, path, STAGED_SCHEMA, "created_at")
     if newest_staged is None:
-        full_refresh(raw, path)
+        full_refresh(raw, path, stored)
         return None
     bound = since if since is not None else newest_staged - timedelta(hours=hours)
     recent = raw.where(F.col("created_at") > instant(bound))

@@ -1,4 +1,4 @@
-"""A local session for tests and the bench; on a cluster, pass your own."""
+"""A local session for tests and the bench, and settings for a cluster."""
 
 from __future__ import annotations
 
@@ -21,3 +21,18 @@ def local_session(cores: int | str = "*", name: str = "tidemark", **settings) ->
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def cluster_settings(shuffled_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a job whose largest shuffle moves about ``shuffled_bytes``.
+
+    Adaptive execution merges partitions that turn out small, and splits skewed
+    ones, but never starts with more than the initial number.
+    """
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(max(200, -(-shuffled_bytes // partition_bytes))),
+    }
