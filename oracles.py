@@ -329,6 +329,17 @@ first AS (
     FROM deliveries WHERE hour(created_at) < 12 OR repo_id IS NOT NULL)
   WHERE place = 1)""",
         f"""SELECT {SCALARS} FROM first WHERE NOT morning
+ OR event_id NOT IN (SELECT event_id FROM first WHERE NOT morning)""",
+    ),
+    "stream_upsert": over(
+        f"""{DELIVERIES},
+first AS (
+  SELECT hour(created_at) < 12 AS morning, * FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY event_id, hour(created_at) < 12 ORDER BY created_at) AS place
+    FROM deliveries WHERE repo_id IS NOT NULL)
+  WHERE place = 1)""",
+        f"""SELECT {SCALARS} FROM first WHERE NOT morning
  OR event_id NOT IN (SELECT event_id FROM first WHERE NOT morning)""",
     ),
     "late_rejects": over(
@@ -376,6 +387,29 @@ first AS (
         """SELECT label_name, label_applied_count, unique_repos, daily_rank FROM label_usage
  WHERE date_day = (SELECT max(date_day) FROM label_usage) AND daily_rank <= 10""",
     ),
+    "insight_feed": over(
+        f"""{LABELS},{TRENDING},{TRENDS[len(EVENTS) + 1:]},
+items AS (
+  SELECT 'trending_repos' AS section, CAST(to_json(struct_pack(
+           repo_name := repo_name, rolling_7d_stars := rolling_7d_stars,
+           rolling_7d_forks := rolling_7d_forks, unique_contributors := unique_contributors,
+           trending_rank := trending_rank, date_day := CAST(date_day AS VARCHAR))) AS VARCHAR)
+           AS item
+  FROM trending
+  WHERE date_day = (SELECT max(date_day) FROM trending) AND trending_rank <= 10
+  UNION ALL
+  SELECT 'language_trends', CAST(to_json(struct_pack(
+           date_day := CAST(date_day AS VARCHAR), event_category := event_category,
+           event_count := event_count, wow_growth_rate := wow_growth_rate)) AS VARCHAR)
+  FROM trends WHERE date_day >= (SELECT max(date_day) FROM trends) - 7
+  UNION ALL
+  SELECT 'label_usage', CAST(to_json(struct_pack(
+           label_name := label_name, label_applied_count := label_applied_count,
+           unique_repos := unique_repos, daily_rank := daily_rank)) AS VARCHAR)
+  FROM label_usage
+  WHERE date_day = (SELECT max(date_day) FROM label_usage) AND daily_rank <= 10)""",
+        "SELECT section, item FROM items",
+    ),
     "latest_insight": """SELECT 'second briefing' AS insight_text,
  date_trunc('hour', max(ts)) + INTERVAL 5 MINUTE AS generated_at, 'none' AS model_used FROM events""",
     "last_updated": over(STAGED, "SELECT max(created_at) AS last_updated FROM staged"),

@@ -4,7 +4,7 @@ import pytest
 from compare import spark_bag
 
 from tidemark import tables, workspace
-from tidemark.plans import build, catalog, staging
+from tidemark.plans import build, catalog, serving, staging
 from tidemark.sources import landing, shapes
 
 FOLDER = "/root/testdata/sf0.001"
@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 @pytest.fixture
 def places(spark, tmp_path):
-    events = catalog.table(spark, FOLDER, "events").where("ts < '2024-01-03'")
+    events = catalog.table(spark, FOLDER, "events").where("ts < '2024-01-02'")
     root = str(tmp_path / "landing")
     shapes.write_landing(shapes.lines_from_events(events), root)
     return root, build.Layout(str(tmp_path / "tables"))
@@ -20,8 +20,8 @@ def places(spark, tmp_path):
 
 def test_two_runs_equal_marts_over_all_raw_events(spark, places):
     root, layout = places
-    first, last = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3, 23)
-    noon = dt.datetime(2024, 1, 2, 12)
+    first, last = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 23)
+    noon = dt.datetime(2024, 1, 1, 12)
     build.run(spark, root, layout, first, noon)
     build.run(spark, root, layout, noon, last)
     staged = staging.stage_events(landing.raw_events(spark, layout.raw))
@@ -38,7 +38,7 @@ def test_report_of_a_run(spark, places):
     """Repeats in the raw table are reported but do not stop the job; an event
     without a repo that reaches the ranking does."""
     root, layout = places
-    report = build.run(spark, root, layout, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3, 23))
+    report = build.run(spark, root, layout, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 23))
     status = {(r.model, r.check, r.column): r.status for r in report.collect()}
     assert len(status) == 24
     assert {k for k, v in status.items() if v == "fail"} == {
@@ -61,3 +61,31 @@ def test_scoped_pins_are_deleted(spark):
         assert tables.exists(spark, inner)
     assert not tables.exists(spark, inner)
     assert "/session/" in workspace.fresh_path(spark, "y")
+
+
+def test_tables_answer_sql(spark, places):
+    root, layout = places
+    build.run(spark, root, layout, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 23))
+    trending = build.read_mart(spark, layout, "trending_repos")
+    serving.append_insight(trending, layout.insights, "text", "model", dt.datetime(2024, 1, 4))
+    build.register_views(spark, layout)
+    top = spark.sql(
+        """SELECT repo_name, trending_rank FROM trending_repos
+           WHERE date_day = (SELECT MAX(date_day) FROM trending_repos) AND trending_rank <= 10
+           ORDER BY trending_rank"""
+    )
+    assert spark_bag(top) == spark_bag(
+        serving.feed_trending(trending).select("repo_name", "trending_rank")
+    )
+    week = spark.sql(
+        """SELECT date_day, event_category, event_count, wow_growth_rate FROM category_trends
+           WHERE date_day >= DATEADD(DAY, -7, (SELECT MAX(date_day) FROM category_trends))"""
+    )
+    trends = build.read_mart(spark, layout, "category_trends")
+    assert spark_bag(week) == spark_bag(serving.feed_trends(trends))
+    assert spark.sql("SELECT insight_text FROM daily_insights").first()[0] == "text"
+    assert spark.sql("SELECT MAX(created_at) FROM staged_events").first()[0].day == 1
+    shown = [
+        (r.date_day, r.event_count) for r in serving.in_order(trends, "category_trends").collect()
+    ]
+    assert shown == sorted(shown, reverse=True)

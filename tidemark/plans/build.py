@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import tables, workspace
 from tidemark.operators import daily, quality
-from tidemark.plans import marts, staging
+from tidemark.plans import marts, serving, staging
 from tidemark.sources import hours, landing
 
 # Each mart, and the column whose values lie together in its files.
@@ -64,6 +64,16 @@ def read_mart(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     return spark.read.parquet(layout.mart(name))
 
 
+def register_views(spark: SparkSession, layout: Layout) -> None:
+    """Name the stored tables for ``spark.sql``."""
+    staging.read_staged(spark, layout.staged).createOrReplaceTempView("staged_events")
+    for name in MARTS:
+        read_mart(spark, layout, name).createOrReplaceTempView(name)
+    if tables.exists(spark, layout.insights):
+        log = spark.read.schema(serving.INSIGHT_SCHEMA).parquet(layout.insights)
+        log.createOrReplaceTempView("daily_insights")
+
+
 def check_all(spark: SparkSession, layout: Layout) -> DataFrame:
     """All declared checks, on the stored tables and the day-grain frames."""
     events = staging.read_staged(spark, layout.staged)

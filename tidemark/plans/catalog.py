@@ -16,6 +16,7 @@ from tidemark.operators.dedup import first_seen
 from tidemark.operators.upsert import merged
 from tidemark.plans import marts, serving, staging
 from tidemark.sources import hours, landing, shapes
+from tidemark.streaming import changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +41,10 @@ def lineitem(spark: SparkSession, folder: str) -> DataFrame:
     return shapes.activity_from_lineitem(table(spark, folder, "lineitem"))
 
 
+def shown(read: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: serving.in_order(df, read)
+
+
 def on(source: Query, *steps: Callable[[DataFrame], DataFrame]) -> Query:
     """A query that applies ``steps`` to what ``source`` reads."""
 
@@ -191,6 +196,20 @@ def cdc_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return merged(target, batch).select(*SCALARS)
 
 
+def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """The same as a stream: the raw table grows by a morning part and an
+    afternoon part, and after each one the stream is followed."""
+    everything = landing.as_stored(raw(spark, folder))
+    store, path, position = [
+        workspace.fresh_path(spark, label) for label in ("raw", "staged", "position")
+    ]
+    morning = F.hour("created_at") < 12
+    for part in (morning, ~morning):
+        everything.where(part).write.mode("append").partitionBy("load_status").parquet(store)
+        changes.follow_raw(spark, store, path, position).awaitTermination()
+    return staging.read_staged(spark, path).select(*SCALARS)
+
+
 def late_rejects(spark: SparkSession, folder: str) -> DataFrame:
     target, everything = stored_target(spark, folder)
     return staging.too_late(everything, target).select("id", "type", "created_at")
@@ -297,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "incremental_batch": incremental_batch,
     "upsert_result": upsert_result,
     "cdc_upsert": cdc_upsert,
+    "stream_upsert": stream_upsert,
     "late_rejects": late_rejects,
     "event_category_counts": event_category_counts,
     "pr_labels": on(staged, daily.pr_labels),
@@ -323,17 +343,17 @@ QUERIES: dict[str, Query] = {
     "category_trends": on(staged, marts.category_trends),
     "category_trends_lineitem": on(lineitem, marts.category_trends),
     "label_usage": on(staged, marts.label_usage),
-    "feed_trending": on(staged, *TRENDING, serving.feed_trending),
-    "feed_trends": on(staged, *TRENDS, serving.feed_trends),
-    "feed_labels": on(staged, *LABELS, serving.feed_labels),
+    "feed_trending": on(staged, *TRENDING, serving.feed_trending, shown("feed_trending")),
+    "feed_trends": on(staged, *TRENDS, serving.feed_trends, shown("feed_trends")),
+    "feed_labels": on(staged, *LABELS, serving.feed_labels, shown("feed_labels")),
     "insight_feed": insight_feed,
     "latest_insight": latest_insight,
     "last_updated": on(staged, serving.last_updated),
     "available_days": on(staged, *TRENDING, serving.available_days),
     "trending_for_day": trending_for_day,
-    "trends_30d": on(staged, *TRENDS, serving.trends_30d),
+    "trends_30d": on(staged, *TRENDS, serving.trends_30d, shown("trends_30d")),
     "growth_points": on(staged, *TRENDS, serving.growth_points),
-    "labels_latest": on(staged, *LABELS, serving.labels_latest),
+    "labels_latest": on(staged, *LABELS, serving.labels_latest, shown("labels_latest")),
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
     "dq_accepted_values": dq_accepted_values,

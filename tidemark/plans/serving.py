@@ -19,10 +19,32 @@ INSIGHT_SCHEMA = T.StructType(
     ]
 )
 
+# The order in which each mart and read is shown. Tables are
+# stored without it; ``-`` is descending.
+SHOWN: dict[str, tuple[str, ...]] = {
+    "contributor_retention": ("cohort_month", "months_since_first"),
+    "category_trends": ("-date_day", "-event_count"),
+    "label_usage": ("-date_day", "daily_rank"),
+    "feed_trending": ("trending_rank",),
+    "feed_trends": ("-date_day", "-event_count"),
+    "feed_labels": ("daily_rank",),
+    "trending_for_day": ("trending_rank",),
+    "trends_30d": ("date_day", "-event_count"),
+    "labels_latest": ("daily_rank",),
+    "labels_chart": ("label_applied_count",),
+}
+
 # Ties may make a ranked list long; one briefing row holds no longer list.
 MAX_INSIGHT_ITEMS = 10_000
 
 
+def in_order(df: DataFrame, read: str) -> DataFrame:
+    """Sort a mart or a read for showing it."""
+    return df.orderBy(
+        *[F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in SHOWN[read]]
+    )
+
+
 def feed_trending(trending: DataFrame, limit: int = 10) -> DataFrame:
     return (
         at_latest(trending)

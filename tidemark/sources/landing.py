@@ -221,6 +221,22 @@ def load_report(files: DataFrame, fresh: DataFrame) -> DataFrame:
     )
 
 
+def as_stored(raw: DataFrame) -> DataFrame:
+    """Raw events that came another way, in the stored form."""
+    at = F.col("created_at")
+    missing = ("source_file", "bad_line", "bad_reason")
+    return raw.withColumns(
+        {
+            **{c: F.lit(None).cast("string") for c in missing},
+            "load_status": F.lit(LOADED),
+            "year": F.year(at),
+            "month": F.month(at),
+            "day": F.dayofmonth(at),
+            "hour": F.hour(at),
+        }
+    ).select(*STORED_SCHEMA.names)
+
+
 def read_stored(spark: SparkSession, raw_path: str) -> DataFrame:
     return spark.read.schema(STORED_SCHEMA).parquet(raw_path)
 

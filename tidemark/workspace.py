@@ -22,13 +22,14 @@ _scope: ContextVar[str] = ContextVar("scope", default="session")
 
 def root(spark: SparkSession) -> str:
     """This application's folder below the shared checkpoint folder."""
-    base = spark.conf.get(SETTING, None)
+    context = spark.sparkContext
+    base = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(SETTING, base)
-    return f"{base.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        base = context.getCheckpointDir()
+    return f"{base.rstrip('/')}/tidemark/{context.applicationId}"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
