@@ -64,6 +64,14 @@ def test_tolerant_scan(spark, places):
     assert bad == {("not JSON", "{bad json"), ("not a time", '{"id": "n'), ("not JSON", '{"id": "t')}
 
 
+def test_a_line_that_is_no_object_loads_as_nulls(spark, places):
+    root, raw_path, ledger = places
+    land(root, "2024-01-01T05", [b"5", b"null", b"[1]"])
+    got = landing.load_hours(spark, root, raw_path, ledger)
+    assert report(got) == {"2024-01-01-5.json.gz": (3, 0, "SUCCESS")}
+    assert {tuple(r) for r in landing.raw_events(spark, raw_path).collect()} == {(None,) * 6}
+
+
 def test_time_is_read_as_written_in_any_session_zone(spark, places):
     root, raw_path, ledger = places
     land(root, "2024-01-01T05", [line()])

@@ -79,3 +79,30 @@ def test_newest_instant_reads_one_day(spark):
     from tidemark import tables
 
     assert tables.newest_instant(spark, path, staging.STAGED_SCHEMA, "created_at") == expected
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tidemark import tables
+
+    path = workspace.fresh_path(spark, "hot-day")
+    rows = spark.range(0, 60_000, 1, 6).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("event_id"),
+        F.when(F.col("id") % 3 > 0, F.lit("2024-01-01"))
+        .otherwise(F.concat(F.lit("2024-01-"), 2 + F.col("id") % 20)).cast("date").alias("date_day"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "256KB")
+    try:
+        tables.write_by_day(rows, path, "event_id")
+    finally:
+        spark.conf.set(key, old)
+    local = path.removeprefix("file:")
+    files = {d: len([f for f in os.listdir(f"{local}/{d}") if f.endswith(".parquet")])
+             for d in os.listdir(local) if d.startswith("date_day=")}
+    assert files["date_day=2024-01-01"] > 4 and min(files.values()) == 1
+    assert tables.read_by_day(spark, path, rows.schema).count() == 60_000

@@ -96,11 +96,19 @@ def test_replayed_batch_changes_nothing(spark, raw):
 
 
 def test_watermark_dedup(spark, append):
-    append(BATCHES[0])
-    stream = staging.typed(changes.raw_changes(spark, append.path))
-    query = (
-        changes.drop_repeats(stream).select("event_id").writeStream.format("memory")
-        .queryName("once").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    assert sorted(r.event_id for r in spark.table("once").collect()) == ["a", "b"]
+    def go(position):
+        stream = staging.typed(changes.raw_changes(spark, append.path))
+        query = (
+            changes.drop_repeats(stream).select("event_id").writeStream.format("parquet")
+            .option("checkpointLocation", position + "-checkpoint").option("path", position)
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        return sorted(r.event_id for r in spark.read.parquet(position).collect())
+
+    position = workspace.fresh_path(spark, "once")
+    hot = [event("hot", "2024-01-01 12:00:00") for _ in range(500)]
+    append(hot + [event("a", "2024-01-01 12:30:00")])
+    assert go(position) == ["a", "hot"]
+    append([event("hot", "2024-01-01 12:00:00"), event("b", "2024-01-01 13:00:00")])
+    assert go(position) == ["a", "b", "hot"]

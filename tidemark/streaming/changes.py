@@ -73,15 +73,26 @@ def follow_raw(
     )
 
 
-def drop_repeats(events: DataFrame, hours: int = 3, key: str = "event_id", at: str = "created_at") -> DataFrame:
+def drop_repeats(
+    events: DataFrame,
+    hours: int = 3,
+    key: str = "event_id",
+    at: str = "created_at",
+    salts: int = 16,
+) -> DataFrame:
     """Streaming form of the dedup, with state kept for ``hours`` only.
 
-    The late filter follows the watermark, which lags one batch behind the
-    stored maximum; use ``lookback_hours`` above where the bound must be exact.
+    Copies are dropped within (key, salt) first, so that an event with very many
+    copies is spread over tasks and at most ``salts`` of them reach the second
+    step. The late filter follows the watermark, which lags one batch behind
+    the stored maximum; use ``lookback_hours`` above where the bound must be
+    exact.
     """
     return (
         events.withColumn("_at", F.col(at).cast("timestamp"))
+        .withColumn("_salt", (F.rand(0) * salts).cast("int"))
         .withWatermark("_at", f"{int(hours)} hours")
+        .dropDuplicatesWithinWatermark([key, "_salt"])
         .dropDuplicatesWithinWatermark([key])
-        .drop("_at")
+        .drop("_at", "_salt")
     )
