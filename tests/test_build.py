@@ -34,6 +34,24 @@ def test_two_runs_equal_marts_over_all_raw_events(spark, places):
     assert staging.read_staged(spark, layout.staged).count() == staged.count()
 
 
+def test_backfill_reaches_behind_the_lookback(spark, places):
+    root, layout = places
+    empty = dt.datetime(2024, 1, 5)
+    build.require_passed(build.run(spark, root, layout, empty, empty))
+    assert build.read_mart(spark, layout, "trending_repos").count() == 0
+    evening = dt.datetime(2024, 1, 1, 20)
+    build.run(spark, root, layout, evening, evening)
+    newest = staging.read_staged(spark, layout.staged).count()
+    missing = build.backfill(spark, root, layout, dt.date(2024, 1, 1), dt.date(2024, 1, 2))
+    landed = landing.loaded_hours(landing.list_files(spark, root)).count()
+    assert missing.count() == 48 - landed
+    assert {f"2024-01-02-{h}" for h in range(1, 24)} <= {r.hour_key for r in missing.collect()}
+    stored = staging.read_staged(spark, layout.staged)
+    staged = staging.stage_events(landing.raw_events(spark, layout.raw))
+    assert stored.count() == staged.count() > newest
+    assert build.read_mart(spark, layout, "trending_repos").select("date_day").distinct().count() == 1
+
+
 def test_report_of_a_run(spark, places):
     """Repeats in the raw table are reported but do not stop the job; an event
     without a repo that reaches the ranking does."""

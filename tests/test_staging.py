@@ -123,6 +123,8 @@ def test_incremental_run_and_lateness(spark, raw, path):
     staging.incremental_run(raw(later), path)
     assert set(ids(spark, path)) == {"a", "on-time", "late-2h"}
     backfill = raw(later)
+    staging.incremental_run(backfill, path, since=T("2024-01-01 07:00"), until=T("2024-01-01 07:59"))
+    assert set(ids(spark, path)) == {"a", "on-time", "late-2h"}
     staging.incremental_run(backfill, path, since=T("2024-01-01 08:30"))
     assert set(ids(spark, path)) == {"a", "on-time", "late-2h", "late-3h"}
 

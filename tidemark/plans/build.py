@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +52,18 @@ class ChecksFailed(Exception):
     """A check of severity ``error`` failed; the failed rows are the argument."""
 
 
+def stage(
+    spark: SparkSession,
+    layout: Layout,
+    since: datetime | None = None,
+    until: datetime | None = None,
+) -> None:
+    """One incremental run from the raw table, if anything was ever loaded."""
+    raw = landing.raw_events(spark, layout.raw)
+    loaded = tables.exists(spark, layout.raw)
+    staging.incremental_run(raw, layout.staged, since=since, until=until, stored=loaded)
+
+
 def build_marts(spark: SparkSession, layout: Layout) -> None:
     """Rebuild every mart from the stored staged table."""
     for name, (build, cluster) in MARTS.items():
@@ -112,7 +124,19 @@ def run(
     if start is None and end is None:
         start = end = hours.previous_hour()
     landing.load_hours(spark, landing_root, layout.raw, layout.ledger, start, end)
-    raw = landing.raw_events(spark, layout.raw)
-    staging.incremental_run(raw, layout.staged, since=since, stored=True)
+    stage(spark, layout, since)
     build_marts(spark, layout)
     return check_all(spark, layout)
+
+
+def backfill(
+    spark: SparkSession, landing_root: str, layout: Layout, first: date, last: date
+) -> DataFrame:
+    """Load and stage all hours of the days from ``first`` to ``last`` in one
+    job each, rebuild the marts, and return the hours that had no file."""
+    start, end = datetime.combine(first, time()), datetime.combine(last, time(23))
+    landing.load_hours(spark, landing_root, layout.raw, layout.ledger, start, end)
+    stage(spark, layout, start - timedelta(microseconds=1), end + timedelta(hours=1))
+    build_marts(spark, layout)
+    ledger = landing.read_ledger(spark, layout.ledger)
+    return hours.missing_hours(hours.hour_spine(spark, first, last), landing.loaded_hours(ledger))

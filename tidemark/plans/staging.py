@@ -105,13 +105,15 @@ def incremental_run(
     path: str,
     hours: int = LOOKBACK_HOURS,
     since: datetime | None = None,
+    until: datetime | None = None,
     stored: bool = False,
 ) -> set[date | None] | None:
     """Stage what is new and upsert it; without a table, a full refresh.
 
     Events at or before ``newest - hours`` are not staged, backfilled history
-    included: pass ``since`` to reach back. The bound is read from the last day
-    folder and becomes a literal that the raw scan can skip row groups by.
+    included: pass ``since`` to reach back, and ``until`` to stop there. The
+    bound is read from the last day folder and becomes a literal that the raw
+    scan can skip row groups by.
     ``stored`` is as for the full refresh. Returns the rewritten days, or None
     after a full refresh.
     """
@@ -122,6 +124,8 @@ def incremental_run(
         return None
     bound = since if since is not None else newest_staged - timedelta(hours=hours)
     recent = raw.where(F.col("created_at") > instant(bound))
+    if until is not None:
+        recent = recent.where(F.col("created_at") <= instant(until))
     with workspace.scoped(spark):
         return merge_into(workspace.pin(stage_to_store(recent), "batch"), path)
 

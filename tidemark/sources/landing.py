@@ -138,6 +138,14 @@ def read_ledger(spark: SparkSession, path: str, history_days: int | None = None)
     return ledger.where(F.col("loaded_at") >= kept_from)
 
 
+def loaded_hours(ledger: DataFrame) -> DataFrame:
+    """The hours that the ledger's paths name, as a column ``hour``."""
+    folder = r"year=(\d+)/month=(\d+)/day=(\d+)/hour=(\d+)/"
+    parts = [F.regexp_extract("source_file", folder, i).cast("int") for i in range(1, 5)]
+    hour = F.make_timestamp_ntz(*parts, F.lit(0), F.lit(0).cast("decimal(16,6)"))
+    return ledger.select(hour.alias("hour")).distinct()
+
+
 def scan_lines(spark: SparkSession, paths: list[str], root: str) -> DataFrame:
     """Parsed lines of the given files, with their hour and source file."""
     lines = (
@@ -238,6 +246,8 @@ def as_stored(raw: DataFrame) -> DataFrame:
 
 
 def read_stored(spark: SparkSession, raw_path: str) -> DataFrame:
+    if not tables.exists(spark, raw_path):
+        return spark.createDataFrame([], STORED_SCHEMA)
     return spark.read.schema(STORED_SCHEMA).parquet(raw_path)
 
 
