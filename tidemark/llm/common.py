@@ -73,8 +73,14 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
-    """The words of the texts that lie in ``data`` between ``offsets``."""
+def words(
+    data: np.ndarray, offsets: np.ndarray, fold: np.ndarray | None = LOWER, between: np.ndarray = IS_SPACE
+) -> Words:
+    """The words of the texts that lie in ``data`` between ``offsets``.
+
+    ``fold`` maps bytes before they are hashed, ``between`` marks the bytes that
+    end a word.
+    """
     n = len(data)
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
@@ -82,11 +88,11 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
     low = 0
     while low < n:
         high = min(n, low + SLICE)
-        while high < n and not (edge[high] or IS_SPACE[data[high]]):
-            ahead = IS_SPACE[data[high : high + 4096]] | edge[high : min(high + 4096, n)]
+        while high < n and not (edge[high] or between[data[high]]):
+            ahead = between[data[high : high + 4096]] | edge[high : min(high + 4096, n)]
             found = np.flatnonzero(ahead)
             high = high + int(found[0]) if len(found) else min(n, high + 4096)
-        parts.append(_slice_words(data[low:high], edge[low : high + 1], low, lower))
+        parts.append(_slice_words(data[low:high], edge[low : high + 1], low, fold, between))
         low = high
     if not parts:
         none = np.zeros(0, np.int64)
@@ -95,9 +101,9 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
     return Words(start, end, offsets, hashes)
 
 
-def _slice_words(data, edge, shift, lower):
+def _slice_words(data, edge, shift, fold, between):
     n = len(data)
-    inside = ~IS_SPACE[data]
+    inside = ~between[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1] | edge[1:n]
     last[:-1] &= ~inside[1:] | edge[1:n]
@@ -105,7 +111,7 @@ def _slice_words(data, edge, shift, lower):
     up, down = powers(n + 1)
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(_VALUES[LOWER[data] if lower else data] * up[:n], out=sums[1:])
+    np.cumsum(_VALUES[data if fold is None else fold[data]] * up[:n], out=sums[1:])
     hashes = (sums[end] - sums[start]) * down[start]
     hashes ^= (end - start).astype(np.uint64) * _STEP
     return start + shift, end + shift, mixed(hashes)
@@ -161,6 +167,13 @@ def text_blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, int
         low = high
 
 
+def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sum of ``values`` in each of the stretches between ``offsets``."""
+    total = np.zeros(len(values) + 1, np.int64 if values.dtype == bool else values.dtype)
+    np.cumsum(values, out=total[1:])
+    return total[offsets[1:]] - total[offsets[:-1]]
+
+
 def per_batch(
     df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
 ) -> DataFrame:
