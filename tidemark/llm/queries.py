@@ -9,13 +9,34 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe
+from tidemark.llm import byte_bpe, chat, line_rules, secret_scan
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = line_rules.judged(table(spark, folder, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words"
+    )
+
+
+def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    marks = "</s>[INST] ok [/INST]"
+    extra = spark.sql(
+        f"SELECT -7L AS conv_id, 0L AS turn, 'user' AS role, '{marks}' AS text UNION ALL SELECT -7L, 1L, 'assistant', '{marks}'"
+    )
+    return chat.digests(chat.formatted(conversations.unionByName(extra)))
+
+
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return secret_scan.digests(secret_scan.with_spans(documents))
+
+
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.encode_digests(
         table(spark, folder, "documents"),
@@ -25,6 +46,9 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_line_rules": op2_line_rules,
+    "op3_chat_format": op3_chat_format,
+    "op5_secret_scan": op5_secret_scan,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
