@@ -7,15 +7,25 @@ the contract's columns.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, chat, line_rules, secret_scan
+from tidemark.llm import byte_bpe, centroids, chat, line_rules, neighbours, secret_scan, toxicity
+from tidemark.llm.common import remainder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 4) == 2
+    model = toxicity.fitted(documents, table(spark, folder, "labels").where(~held_out))
+    return toxicity.scored(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "hits"
+    )
+
+
 def op2_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = line_rules.judged(table(spark, folder, "documents"))
     return judged.select(
@@ -37,6 +47,24 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(secret_scan.with_spans(documents))
 
 
+def op7_quality_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 3) == 1
+    model = neighbours.fitted(documents, table(spark, folder, "labels").where(~held_out))
+    return neighbours.scored(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op8_language_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = remainder("doc_id", 4) == 2
+    model = centroids.fitted(documents.where(~held_out))
+    return centroids.predicted(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.encode_digests(
         table(spark, folder, "documents"),
@@ -46,9 +74,12 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_line_rules": op2_line_rules,
     "op3_chat_format": op3_chat_format,
     "op5_secret_scan": op5_secret_scan,
+    "op7_quality_neighbours": op7_quality_neighbours,
+    "op8_language_centroids": op8_language_centroids,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
