@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, centroids, chat, line_rules, neighbours, secret_scan, toxicity
+from tidemark.llm import byte_bpe, centroids, chat, jaccard_join, line_rules, neighbours, secret_scan, toxicity
 from tidemark.llm.common import remainder
 
 
@@ -47,6 +47,10 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(secret_scan.with_spans(documents))
 
 
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.clustered(table(spark, folder, "documents"))
+
+
 def op7_quality_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     held_out = remainder("doc_id", 3) == 1
@@ -78,6 +82,7 @@ QUERIES = {
     "op2_line_rules": op2_line_rules,
     "op3_chat_format": op3_chat_format,
     "op5_secret_scan": op5_secret_scan,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_quality_neighbours": op7_quality_neighbours,
     "op8_language_centroids": op8_language_centroids,
     "op9_byte_bpe": op9_byte_bpe,
