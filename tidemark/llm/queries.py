@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, centroids, chat, jaccard_join, line_rules, neighbours, secret_scan, toxicity
+from tidemark.llm import byte_bpe, centroids, chat, jaccard_join, line_rules, neighbours, secret_scan, tiling, toxicity
 from tidemark.llm.common import remainder
 
 
@@ -77,6 +77,10 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    return tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_rules": op2_line_rules,
@@ -86,6 +90,7 @@ QUERIES = {
     "op7_quality_neighbours": op7_quality_neighbours,
     "op8_language_centroids": op8_language_centroids,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_string_tiling": op10_string_tiling,
 }
 
 ORACLES: dict[str, str] = {}
