@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, centroids, chat, jaccard_join, line_rules, neighbours, secret_scan, tiling, toxicity
+from tidemark.llm import byte_bpe, centroids, chat, jaccard_join, line_rules, neighbours, recurrent_lm, secret_scan, tiling, toxicity
 from tidemark.llm.common import remainder
 
 
@@ -42,6 +42,15 @@ def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.formatted(conversations.unionByName(extra)))
 
 
+def op4_recurrent_lm(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 7) == 2
+    model, counts = recurrent_lm.fitted(documents.where(~held_out))
+    return recurrent_lm.scored(documents, model, counts).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return secret_scan.digests(secret_scan.with_spans(documents))
@@ -85,6 +94,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_rules": op2_line_rules,
     "op3_chat_format": op3_chat_format,
+    "op4_recurrent_lm": op4_recurrent_lm,
     "op5_secret_scan": op5_secret_scan,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_quality_neighbours": op7_quality_neighbours,
