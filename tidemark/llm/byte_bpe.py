@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import contextlib
 import struct
+from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
 from itertools import chain
@@ -118,29 +119,44 @@ def shared_vocabulary(spark: SparkSession, path: str, pattern: str) -> Broadcast
 
 
 def with_tokens(
-    df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids", decoded_col: str = "decoded"
+    df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids"
 ) -> DataFrame:
-    """``df`` with its texts' ids (array of int) and the bytes decoded from them.
+    """``df`` with the ids of its texts, an array of int. NULL is the empty text.
 
-    NULL is encoded as the empty text. Columns of these names are replaced.
+    A column of this name is replaced.
     """
     vocabulary = shared_vocabulary(df.sparkSession, path, pattern)
-    kept = df.drop(ids_col, decoded_col)
+    kept = df.drop(ids_col)
     names = kept.columns
+    place = names.index(text_col)
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(*vocabulary.value)
-        texts = batch.column(names.index(text_col))
-        ids = [codec.encode(t or "") for t in texts.to_pylist()]
-        columns = [
-            *batch.columns,
-            pa.array(ids, pa.list_(pa.int32())),
-            pa.array([codec.decode(i) for i in ids], pa.binary()),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=[*names, ids_col, decoded_col])
-
-    schema = kept.select("*", F.lit(None).cast("array<int>").alias(ids_col), F.lit(None).cast("binary").alias(decoded_col)).schema
-    return per_batch(kept, work, schema)
+        for batch in batches:
+            for low, high, _, _ in text_blocks(batch.column(place)):
+                part = batch.slice(low, high - low)
+                ids = [codec.encode(t or "") for t in part.column(place).to_pylist()]
+                columns = [*part.columns, pa.array(ids, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, ids_col])
+
+    return kept.mapInArrow(run, kept.withColumn(ids_col, F.lit(None).cast("array<int>")).schema)
+
+
+def with_decoded(
+    df: DataFrame, path: str, pattern: str, ids_col: str = "token_ids", bytes_col: str = "decoded"
+) -> DataFrame:
+    """``df`` with the bytes that its ids stand for. NULL ids are none. A column of this name is replaced."""
+    vocabulary = shared_vocabulary(df.sparkSession, path, pattern)
+    kept = df.drop(bytes_col)
+    names = kept.columns
+    place = names.index(ids_col)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        tokens = vocabulary.value[0]
+        found = [b"".join([tokens[i] for i in ids or ()]) for ids in batch.column(place).to_pylist()]
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*names, bytes_col])
+
+    return per_batch(kept, work, kept.withColumn(bytes_col, F.lit(None).cast("binary")).schema)
 
 
 def encode_digests(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -187,6 +187,16 @@ def per_batch(
     return df.mapInArrow(run, schema)
 
 
+#: Ids that may be broadcast; more are joined by a shuffle.
+MOST_IDS = 1_000_000
+
+
+def without(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is not in ``ids``, a small or stored frame of that one column."""
+    few = ids.limit(MOST_IDS + 1).count() <= MOST_IDS
+    return df.join(F.broadcast(ids) if few else ids, column, "left_anti")
+
+
 def as_longs(values: np.ndarray) -> np.ndarray:
     """The same 64 bits as signed numbers, as Spark holds them."""
     return values.view(np.int64)

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import as_longs, mixed, shingles, text_blocks, words
+from tidemark.llm.common import as_longs, mixed, shingles, text_blocks, without, words
 from tidemark.llm.components import components
 from tidemark.workspace import pin
 
@@ -336,3 +336,21 @@ def clustered(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
     )
+
+
+def representatives(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``documents`` with one of each component: that with the smallest id.
+
+    Texts without words, and rows without an id, stay. Of rows that repeat id and
+    text one stays if they have words.
+    """
+    found = pin(clustered(documents, id_col, text_col), "components")
+    some = found.where("n_shingles > 0")
+    first = F.col("component_id") == F.col(id_col)
+    out = without(documents, pin(some.where(~first).select(id_col).distinct(), "copies"), id_col)
+    repeated = some.where(first).groupBy(id_col).count().where("count > 1").select(id_col)
+    repeated = pin(repeated, "repeated")
+    if repeated.isEmpty():
+        return out
+    one = documents.join(repeated, id_col, "left_semi").dropDuplicates([id_col, text_col])
+    return without(out, repeated, id_col).unionByName(one)
