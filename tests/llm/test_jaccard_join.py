@@ -87,7 +87,21 @@ def test_divide_skip_counts_members():
         least = skipped + rng.randint(1, 3)
         short, long = lists[: len(lists) - skipped], lists[len(lists) - skipped :]
         expected = [m for m in range(40) if sum(m in set(a.tolist()) for a in lists) >= least]
-        assert J.divide_skip(short, long, least) == expected
+        assert J.divide_skip(short, long, lambda _: least) == expected
+
+
+def test_prefixes_share_what_they_must():
+    rng = random.Random(6)
+    for _ in range(3000):
+        n = rng.choice([1, 2, 4, 5, 9, 40, 100, 300])
+        both = rng.sample(range(5000), n)
+        other = both[rng.randint(0, n // 4) :] + rng.sample(range(5000, 9000), rng.randint(0, n // 4))
+        x, y = sorted(both), sorted(other)
+        shared = len(set(x) & set(y))
+        if not y or 100 * shared < 80 * (len(x) + len(y) - shared):
+            continue
+        seen = len(set(x[: J.prefix_size(len(x))]) & set(y[: J.prefix_size(len(y))]))
+        assert seen >= J.must_share(len(x), len(y)) >= 1 + (-(-4 * len(x) // 5)) // 40
 
 
 def test_long_chains_are_one_component(spark):

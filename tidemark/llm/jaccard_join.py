@@ -4,18 +4,20 @@ Two texts link when the Jaccard similarity of their sets is at least 4/5. Links
 are found by a search for shared tokens (T-occurrence):
 
 1. A set's prefix are its first ``n // 5 + T`` shingles in one global order, with
-   ``T = 1 + n // 20``. Two linked sets share at least the smaller ``T`` in their
-   prefixes. The order puts shingles that are frequent in a bounded sample last,
+   ``T = 1 + n // 40``. Two linked sets share at least the smaller ``T`` in their
+   prefixes, and more the nearer their sizes are: all that they must share but what
+   the longer of the rests can hold. The order puts shingles that are frequent in a bounded sample last,
    so that prefixes hold the rare ones; any order gives the same links.
 2. Equal sets are one class from here on, known by a 64-bit digest. Shingles of
    prefixes become inverted lists of classes; those of one class are dropped.
 3. Near copies are joined to leaders first: each class is compared exactly with
-   the leaders that it shares most lists with. Linked classes form components,
+   the leaders of many of its lists. Linked classes form components,
    and lists within one component need no further search.
 4. Every class then searches the lists that hold other components, by DivideSkip:
    its longest lists, fewer than the ``T`` that any partner must reach, are left
    out of the heap-merge; candidates from the merged short lists are looked up in
-   the long ones by binary search, and given up when they can't reach ``T``. Of
+   the long ones by binary search, and given up when they can't reach what the
+   pair must share. Of
    two components the smaller one searches. A long list is cut into parts by a
    hash of the class, so that no task holds a whole one.
 5. Candidates are compared exactly, and links of all steps give the components.
@@ -26,7 +28,7 @@ Nothing is capped: leaders and sample only decide what is compared when.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -43,7 +45,9 @@ SAMPLE_TEXTS, FREQUENT_IN, MOST_FREQUENT = 10_000, 5, 200_000
 #: Classes whose digests may be broadcast; beyond it they are joined.
 MOST_BROADCAST = 1_000_000
 #: Leaders that a class is compared with in a round, and rounds.
-LEADERS, ROUNDS = 3, 2
+LEADERS, ROUNDS = 2, 1
+#: A leader is compared with where it leads one in so many of a class's shingles.
+LEADS_ONE_IN = 12
 #: Entries of an inverted list that a part should hold.
 PART = 4096
 #: Digests that a task remembers so as not to send a set twice.
@@ -60,9 +64,21 @@ def digest(members: np.ndarray) -> int:
     return int(as_longs(mixed(total))[0])
 
 
+def prefix_size(n: int) -> int:
+    return min(n, n // 5 + 1 + n // 40)
+
+
 def least_shared(n: Column) -> Column:
-    """What a set of ``n`` shares at least with the prefix of any set linked to it."""
-    return F.lit(1) + F.floor(F.floor((4 * n + 4) / 5) / 20).cast("int")
+    """What the prefix of a set of ``n`` shares at least with that of any set linked to it."""
+    return F.lit(1) + F.floor(F.floor((4 * n + 4) / 5) / 40).cast("int")
+
+
+def must_share(n: int, m: int) -> int:
+    """What the prefixes of two linked sets of these sizes share at least; more than they have if sizes forbid a link."""
+    if 5 * min(n, m) < 4 * max(n, m):
+        return n + m
+    rest = max(n - prefix_size(n), m - prefix_size(m))
+    return max(1, -(-4 * (n + m) // 9) - rest)
 
 
 def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -118,7 +134,7 @@ def prefixes(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
                     at = np.minimum(np.searchsorted(common, members), len(common) - 1)
                     late = common[at] == members
                     members = np.concatenate([members[~late], members[late]])
-                parts.append(members[: n // 5 + 1 + n // 20])
+                parts.append(members[: prefix_size(n)])
                 ends[i + 1] = len(parts[-1])
             tokens = as_longs(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(ends, dtype=np.int32)), pa.array(tokens))
@@ -213,12 +229,11 @@ def mixed_lists(entries: DataFrame) -> DataFrame:
     return entries.join(lists, "token")
 
 
-def divide_skip(short: list[np.ndarray], long: list[np.ndarray], least: int) -> list[int]:
-    """Members of at least ``least`` of the sorted lists, of which fewer than that are long."""
+def divide_skip(short: list[np.ndarray], long: list[np.ndarray], needed: Callable[[int], int]) -> list[int]:
+    """Members that are in as many of the sorted lists as ``needed`` says; it is more than there are long lists."""
     out = []
     for member, times in groupby(heapq.merge(*[a.tolist() for a in short])):
-        count = sum(1 for _ in times)
-        left = len(long)
+        count, left, least = sum(1 for _ in times), len(long), needed(member)
         for a in long:
             if count >= least or count + left < least:
                 break
@@ -248,38 +263,41 @@ def searched(entries: DataFrame) -> DataFrame:
         F.col("key").alias("x"),
         F.col("size").alias("x_size"),
         F.col("component").alias("x_component"),
-        least_shared(F.col("n")).alias("least"),
+        F.col("n").alias("x_n"),
         "key",
-        "df",
     )
     # A class's long lists are chosen among all its mixed lists, asking there or not.
     order = entries.withColumn("place", F.row_number().over(ranked)).select("token", "key", "place")
     asking = asking.join(order, ["token", "key"]).select(
-        "token", "x", "x_size", "x_component", "least", (F.col("place") < F.col("least")).alias("long")
+        "token", "x", "x_size", "x_component", "x_n", (F.col("place") < least_shared(F.col("x_n"))).alias("long")
     )
-    member = F.struct("key", "size", "component")
+    member = F.struct("key", "size", "component", "n")
     lists = sized.groupBy("token", "part").agg(F.sort_array(F.collect_list(member)).alias("members"))
-    rows = asking.join(lists, "token").select("x", "part", "x_size", "x_component", "least", "long", "members")
+    rows = asking.join(lists, "token").select("x", "part", "x_size", "x_component", "x_n", "long", "members")
     rows = rows.repartition("x", "part").sortWithinPartitions("x", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def entries_() -> Iterator[tuple]:
             for batch in batches:
-                keys, sizes_, comps = batch.column(6).flatten().flatten()
-                keys, sizes_, comps = (np.asarray(c) for c in (keys, sizes_, comps))
+                keys, sizes_, comps, ns = (np.asarray(c) for c in batch.column(6).flatten().flatten())
                 bounds = np.concatenate([[0], np.cumsum(batch.column(6).value_lengths().to_numpy())])
                 head = list(zip(*[batch.column(i).to_pylist() for i in range(6)], strict=True))
-                for i, (x, part, size, component, least, is_long) in enumerate(head):
+                for i, (x, part, size, component, n, is_long) in enumerate(head):
                     cut = slice(bounds[i], bounds[i + 1])
                     s, c = sizes_[cut], comps[cut]
                     later = (s > size) | ((s == size) & (c > component))
-                    yield (x, part), least, is_long, keys[cut][later]
+                    yield (x, part), n, is_long, keys[cut][later], ns[cut][later]
 
         for (x, _), group in groupby(entries_(), key=lambda e: e[0]):
-            short, long, least = [], [], 1
-            for _, least, is_long, members in group:  # noqa: B007
-                (long if is_long else short).append(members)
-            found = divide_skip(short, long, least)
+            short, long, sizes_of, n = [], [], {}, 0
+            for _, n, is_long, members, ns in group:  # noqa: B007
+                if is_long:
+                    long.append(members)
+                else:
+                    short.append(members)
+                    sizes_of.update(zip(members.tolist(), ns.tolist(), strict=True))
+            needed = lambda z, n=n, sizes_of=sizes_of: must_share(n, sizes_of[z])
+            found = divide_skip(short, long, needed)
             if found:
                 a = pa.array([min(x, z) for z in found], pa.int64())
                 b = pa.array([max(x, z) for z in found], pa.int64())
@@ -300,7 +318,7 @@ def classes_with_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
         to = lists.where("component != leads").groupBy("key", "leader").agg(F.count("*").alias("times"), F.first("n").alias("n"))
         best = Window.partitionBy("key").orderBy(F.desc("times"), "leader")
         near = (
-            to.where(2 * F.col("times") >= least_shared(F.col("n")))
+            to.where(LEADS_ONE_IN * F.col("times") >= F.col("n"))
             .withColumn("place", F.row_number().over(best))
             .where(F.col("place") <= LEADERS)
         )
