@@ -1,0 +1,120 @@
+"""Each stage against a brute-force version on its own input, and the whole run."""
+
+import public_tokenizers as P
+import pytest
+import test_jaccard_join
+import test_secret_scan
+import test_tiling
+import tiktoken
+
+import corpus_pipeline as pipeline
+from tidemark.llm import byte_bpe, jaccard_join, neighbours
+from tidemark.llm.common import remainder
+from tidemark.workspace import pin
+
+FOLDER = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """The input of each stage and the result of the last."""
+    docs = [spark.read.parquet(f"{FOLDER}/documents.parquet")]
+    for name, stage in pipeline.STAGES:
+        docs.append(pin(stage(spark, docs[-1], FOLDER), name.replace(" ", "_")))
+    return docs
+
+
+def rows(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+def test_columns_stay(stages):
+    assert all(df.columns == COLUMNS for df in stages[:-1])
+
+
+def test_quality(spark, stages):
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    model = neighbours.fitted(stages[0], labels.where(remainder("doc_id", 3) != 1))
+    score = {r["doc_id"]: r["score"] for r in neighbours.scored(stages[0], model).collect()}
+    kept = rows(stages[1])
+    assert set(kept) == {i for i, s in score.items() if s >= 0.5}
+    quality = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    good = [i for i in score if quality.get(i) == 1]
+    assert sum(i in kept for i in good) > 0.95 * len(good)
+    assert sum(i in kept for i in score if quality.get(i) == 0) < 6
+
+
+def test_one_of_each_group(stages):
+    given = rows(stages[1])
+    expected = test_jaccard_join.brute([(i, r["text"]) for i, r in given.items()])
+    assert set(rows(stages[2])) == {i for i, n, c in expected if i == c or not n}
+
+
+def test_leaks(spark, stages):
+    given = [(i, r["text"]) for i, r in rows(stages[2]).items()]
+    items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
+    near = {}
+    for _, item in items:
+        own = test_tiling.wordlist(item)
+        for k in range(len(own) - 4):
+            near.setdefault(tuple(own[k : k + 5]), True)
+    some = []
+    for i, text in given:  # others share no run of five words with any item
+        words = test_tiling.wordlist(text)
+        if any(tuple(words[k : k + 5]) in near for k in range(len(words) - 4)):
+            some.append((i, text))
+    leaks = {m[0] for m in test_tiling.brute(some, items, 5, 0.6)}
+    assert set(rows(stages[3])) == {i for i, _ in given} - leaks
+
+
+def test_secrets(stages):
+    given, cleaned = rows(stages[3]), rows(stages[4])
+    assert set(given) == set(cleaned)
+    changed = 0
+    for i, row in given.items():
+        out, at = [], 0
+        for start, _, end, _ in test_secret_scan.brute_all(row["text"])[1]:
+            if start >= at:
+                out += [row["text"][at:start], "[SECRET]"]
+            at = max(at, end)
+        text = "".join([*out, row["text"][at:]])
+        assert cleaned[i]["text"] == text and cleaned[i]["n_chars"] == len(text)
+        changed += text != row["text"]
+    assert changed
+
+
+def test_tokens(stages):
+    ranks = {t: r for r, t in enumerate(byte_bpe.read_ranks(P.path("byte_bpe_50k.tiktoken")))}
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    given, encoded = rows(stages[4]), rows(stages[5])
+    assert set(given) == set(encoded)
+    for i, row in encoded.items():
+        assert row["token_ids"] == library.encode_ordinary(given[i]["text"])
+        assert row["n_tokens"] == len(row["token_ids"])
+
+
+def test_run_is_all_stages(spark, stages):
+    assert sorted(map(str, pipeline.run(spark, FOLDER).collect())) == sorted(map(str, stages[-1].collect()))
+
+
+def test_odd_documents(spark, documents, tmp_path):
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{FOLDER}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    text = "a text of several words that is here twice in the same way"
+    odd = documents([(1, None), (2, ""), (3, text), (3, text), (4, text), (None, "no id at all"), (None, text)])
+    docs = odd.selectExpr("*", "1 as score", "2 as spans", "3 as base_spans", "'x' as _text", "4 as key", "5 as token_ids")
+    for name, stage in pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+    assert {r["doc_id"] for r in docs.collect()} <= {1, 2, 3, None}
+    empty = documents([])
+    for name, stage in pipeline.STAGES:
+        empty = stage(spark, empty, str(tmp_path))
+    assert empty.count() == 0
+
+
+def test_representatives_of_repeated_rows(documents):
+    text = "a text of several words that is here twice in the same way"
+    given = documents([(3, text), (3, text), (4, text), (5, None), (5, None), (None, text), (6, "another")])
+    kept = [r["doc_id"] for r in jaccard_join.representatives(given).collect()]
+    assert sorted(map(str, kept)) == ["3", "5", "5", "6", "None"]
