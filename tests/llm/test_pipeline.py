@@ -6,22 +6,36 @@ import test_jaccard_join
 import test_secret_scan
 import test_tiling
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from tidemark.llm import byte_bpe, jaccard_join, neighbours
 from tidemark.llm.common import remainder
 from tidemark.workspace import pin
 
-FOLDER = "/root/testdata/sf0.001"
+SOURCE = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 @pytest.fixture(scope="module")
-def stages(spark):
+def folder(spark, tmp_path_factory):
+    """The example tables with a secret in every tenth document."""
+    path = tmp_path_factory.mktemp("tables")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SOURCE}/{name}.parquet").write.parquet(f"{path}/{name}.parquet")
+    secret = F.concat("text", F.lit("\nthe token = "), F.substring(F.sha2("text", 256), 1, 40), F.lit(" is the word"))
+    documents = spark.read.parquet(f"{SOURCE}/documents.parquet")
+    text = F.when(F.col("doc_id") % 10 == 3, secret).otherwise(F.col("text"))
+    documents.withColumn("text", text).write.parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
+@pytest.fixture(scope="module")
+def stages(spark, folder):
     """The input of each stage and the result of the last."""
-    docs = [spark.read.parquet(f"{FOLDER}/documents.parquet")]
+    docs = [spark.read.parquet(f"{folder}/documents.parquet")]
     for name, stage in pipeline.STAGES:
-        docs.append(pin(stage(spark, docs[-1], FOLDER), name.replace(" ", "_")))
+        docs.append(pin(stage(spark, docs[-1], folder), name.replace(" ", "_")))
     return docs
 
 
@@ -33,8 +47,8 @@ def test_columns_stay(stages):
     assert all(df.columns == COLUMNS for df in stages[:-1])
 
 
-def test_quality(spark, stages):
-    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+def test_quality(spark, folder, stages):
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
     model = neighbours.fitted(stages[0], labels.where(remainder("doc_id", 3) != 1))
     score = {r["doc_id"]: r["score"] for r in neighbours.scored(stages[0], model).collect()}
     kept = rows(stages[1])
@@ -51,9 +65,9 @@ def test_one_of_each_group(stages):
     assert set(rows(stages[2])) == {i for i, n, c in expected if i == c or not n}
 
 
-def test_leaks(spark, stages):
+def test_leaks(spark, folder, stages):
     given = [(i, r["text"]) for i, r in rows(stages[2]).items()]
-    items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
     near = {}
     for _, item in items:
         own = test_tiling.wordlist(item)
@@ -94,22 +108,20 @@ def test_tokens(stages):
         assert row["n_tokens"] == len(row["token_ids"])
 
 
-def test_run_is_all_stages(spark, stages):
-    assert sorted(map(str, pipeline.run(spark, FOLDER).collect())) == sorted(map(str, stages[-1].collect()))
+def test_run_is_all_stages(spark, folder, stages):
+    assert sorted(map(str, pipeline.run(spark, folder).collect())) == sorted(map(str, stages[-1].collect()))
 
 
-def test_odd_documents(spark, documents, tmp_path):
-    for name in ("labels", "benchmark"):
-        spark.read.parquet(f"{FOLDER}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+def test_odd_documents(spark, documents, folder):
     text = "a text of several words that is here twice in the same way"
     odd = documents([(1, None), (2, ""), (3, text), (3, text), (4, text), (None, "no id at all"), (None, text)])
     docs = odd.selectExpr("*", "1 as score", "2 as spans", "3 as base_spans", "'x' as _text", "4 as key", "5 as token_ids")
     for name, stage in pipeline.STAGES:
-        docs = stage(spark, docs, str(tmp_path))
+        docs = stage(spark, docs, folder)
     assert {r["doc_id"] for r in docs.collect()} <= {1, 2, 3, None}
     empty = documents([])
     for name, stage in pipeline.STAGES:
-        empty = stage(spark, empty, str(tmp_path))
+        empty = stage(spark, empty, folder)
     assert empty.count() == 0
 
 
