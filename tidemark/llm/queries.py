@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import byte_bpe, centroids, chat, jaccard_join, line_rules, neighbours, recurrent_lm, secret_scan, tiling, toxicity
 from tidemark.llm.common import remainder
+from tidemark.llm.oracles import ORACLES  # noqa: F401  registered with the queries
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -102,5 +103,3 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_string_tiling": op10_string_tiling,
 }
-
-ORACLES: dict[str, str] = {}
