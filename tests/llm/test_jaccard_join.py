@@ -69,6 +69,7 @@ def test_components_equal_brute_force(documents, monkeypatch, seed, few):
         monkeypatch.setattr(J, "MOST_BROADCAST", 3)
         monkeypatch.setattr(J, "SAMPLE_TEXTS", 20)
         monkeypatch.setattr(J, "PART", 4)
+        monkeypatch.setattr(J, "ASKING", 2)
         monkeypatch.setattr(J, "ROUNDS", 1)
         monkeypatch.setattr(J, "LEADERS", 1)
     rows = corpus(seed)

@@ -20,7 +20,9 @@ are found by a search for shared tokens (T-occurrence):
    pair must share. Of
    two components the smaller one searches. A long list is cut into parts by a
    hash of the class, so that no task holds a whole one.
-5. Candidates are compared exactly, and links of all steps give the components.
+5. Candidates are compared exactly, the classes of one component with a part of
+   another until one of them links: one link joins two components. The links of
+   all steps give the components.
 
 Nothing is capped: leaders and sample only decide what is compared when.
 """
@@ -28,6 +30,7 @@ Nothing is capped: leaders and sample only decide what is compared when.
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from itertools import groupby
 
@@ -48,8 +51,9 @@ MOST_BROADCAST = 1_000_000
 LEADERS, ROUNDS = 2, 1
 #: A leader is compared with where it leads one in so many of a class's shingles.
 LEADS_ONE_IN = 12
-#: Entries of an inverted list that a part should hold.
-PART = 4096
+#: Entries of an inverted list, and classes of a component, that a part should hold;
+#: and searching classes that are compared with a part at a time.
+PART, ASKING = 512, 256
 #: Digests that a task remembers so as not to send a set twice.
 REMEMBERED = 200_000
 
@@ -182,6 +186,17 @@ def sets_of(texts: DataFrame, keys: DataFrame) -> DataFrame:
     return found.dropDuplicates(["key"])
 
 
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets of sorted hashes are similar enough."""
+    if len(x) > len(y):
+        x, y = y, x
+    if 5 * len(x) < 4 * len(y):
+        return False
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[at] == x).sum())
+    return 100 * both >= 80 * (len(x) + len(y) - both)
+
+
 def linked(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the distinct ``pairs`` (``a``, ``b``) of classes whose sets are similar enough."""
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
@@ -189,18 +204,10 @@ def linked(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for one, other in zip(batch.column(2), batch.column(3), strict=True):
-                x = np.frombuffer(one.as_buffer(), np.uint64)
-                y = np.frombuffer(other.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                if 5 * len(x) < 4 * len(y):
-                    good.append(False)
-                    continue
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                good.append(100 * both >= 80 * (len(x) + len(y) - both))
+            good = [
+                similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
+                for x, y in zip(batch.column(2), batch.column(3), strict=True)
+            ]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     one = sets.select(F.col("key").alias("a"), F.col("members").alias("x"))
@@ -209,12 +216,66 @@ def linked(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return whole.mapInArrow(run, "a long, b long")
 
 
+def linked_to_components(texts: DataFrame, asked: DataFrame, named: DataFrame) -> DataFrame:
+    """Links (``a``, ``b``) of classes ``x`` to those among ``found``, of one part of a component.
+
+    ``asked`` has a row for each class, component and part; ``named`` the component
+    and part of every class. Of each row the first link found is given. A part's
+    sets are sent once for every so many classes that ask, not once for each pair.
+    """
+    turns = asked.groupBy("component", "part").agg(F.ceil(F.count("*") / ASKING).cast("int").alias("turns"))
+    turns = pin(turns, "turns")
+    block = F.pmod(F.xxhash64("x"), F.col("turns")).cast("int").alias("turn")
+    queries = asked.join(turns, ["component", "part"]).select("component", "part", block, "x", "found")
+    given = named.join(turns, ["component", "part"]).select(
+        "component", "part", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "key"
+    )
+    keys = asked.select(F.col("x").alias("key")).union(given.where("turn = 0").select("key")).distinct()
+    sets = pin(sets_of(texts, pin(keys, "keys")), "sets")
+    none = F.lit(None).cast("array<long>")
+    own = sets.select(F.col("key").alias("x"), "members")
+    rows = (
+        given.join(sets, "key")
+        .select("component", "part", "turn", F.lit(0).alias("asks"), "key", "members", none.alias("found"))
+        .union(queries.join(own, "x").select("component", "part", "turn", F.lit(1), "x", "members", "found"))
+    )
+    block = ["component", "part", "turn"]
+    rows = rows.repartition(*block).sortWithinPartitions(*block, "asks")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, {}
+        for batch in batches:
+            out = []
+            blocks = zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True)
+            found = batch.column(6)
+            for i, (where, asks, key) in enumerate(
+                zip(blocks, batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
+            ):
+                members = batch.column(5)[i].as_buffer()
+                if where != at:
+                    at, held = where, {}
+                if not asks:
+                    held[key] = np.frombuffer(members.to_pybytes(), np.uint64)
+                    continue
+                x = np.frombuffer(members, np.uint64)
+                link = next((z for z in found[i].as_py() if similar(x, held[z])), None)
+                if link is not None:
+                    out.append((min(key, link), max(key, link)))
+            a, b = ([pair[k] for pair in out] for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def with_component(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Entries of inverted lists with the component of their class."""
+    """Entries of inverted lists with the component of their class, and its number of classes."""
     if labels is None:
-        return entries.withColumn("component", F.col("key"))
-    named = labels.select(F.col("node").alias("key"), "component")
-    return entries.join(named, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        return entries.withColumns({"component": F.col("key"), "size": F.lit(1).cast("long")})
+    sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
+    named = labels.join(sizes, "component").select(F.col("node").alias("key"), "component", "size")
+    return entries.join(named, "key", "left").withColumns(
+        {"component": F.coalesce("component", "key"), "size": F.coalesce("size", F.lit(1).cast("long"))}
+    )
 
 
 def mixed_lists(entries: DataFrame) -> DataFrame:
@@ -245,14 +306,22 @@ def divide_skip(short: list[np.ndarray], long: list[np.ndarray], needed: Callabl
     return out
 
 
-def searched(entries: DataFrame) -> DataFrame:
-    """Pairs of classes of different components that share enough tokens, from mixed lists' entries."""
-    largest = entries.agg(F.max("df")).first()[0] or 0
-    parts = 1
+def parts_for(entries: DataFrame) -> int:
+    """Parts, a power of two, by which the longest list is cut into short enough ones."""
+    largest, parts = entries.agg(F.max("df")).first()[0] or 0, 1
     while parts * PART < largest:
         parts *= 2
-    sizes = entries.select("key", "component").distinct().groupBy("component").agg(F.count("*").alias("size"))
-    sized = entries.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int"))
+    return parts
+
+
+def part_of(key: str, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
+def searched(entries: DataFrame, parts: int) -> DataFrame:
+    """Per class ``x`` and part of another component: ``found``, the classes that share enough
+    tokens with it, from mixed lists' entries."""
+    sized = entries.withColumn("part", part_of("key", parts))
     # The searching side: all but those of the component that comes last in their list.
     rank = F.struct("size", "component")
     last = sized.groupBy("token").agg(F.max(rank).alias("last"))
@@ -286,24 +355,30 @@ def searched(entries: DataFrame) -> DataFrame:
                     cut = slice(bounds[i], bounds[i + 1])
                     s, c = sizes_[cut], comps[cut]
                     later = (s > size) | ((s == size) & (c > component))
-                    yield (x, part), n, is_long, keys[cut][later], ns[cut][later]
+                    yield (x, part), n, is_long, keys[cut][later], ns[cut][later], c[later]
 
-        for (x, _), group in groupby(entries_(), key=lambda e: e[0]):
-            short, long, sizes_of, n = [], [], {}, 0
-            for _, n, is_long, members, ns in group:  # noqa: B007
+        for (x, part), group in groupby(entries_(), key=lambda e: e[0]):
+            short, long, known, n = [], [], {}, 0
+            for _, n, is_long, members, ns, comps in group:  # noqa: B007
                 if is_long:
                     long.append(members)
                 else:
                     short.append(members)
-                    sizes_of.update(zip(members.tolist(), ns.tolist(), strict=True))
-            needed = lambda z, n=n, sizes_of=sizes_of: must_share(n, sizes_of[z])
-            found = divide_skip(short, long, needed)
-            if found:
-                a = pa.array([min(x, z) for z in found], pa.int64())
-                b = pa.array([max(x, z) for z in found], pa.int64())
-                yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
-
-    return rows.mapInArrow(run, "a long, b long")
+                    known.update(zip(members.tolist(), zip(ns.tolist(), comps.tolist(), strict=True), strict=True))
+            needed = lambda z, n=n, known=known: must_share(n, known[z][0])
+            by_component = defaultdict(list)
+            for z in divide_skip(short, long, needed):
+                by_component[known[z][1]].append(z)
+            if by_component:
+                k = len(by_component)
+                columns = [[x] * k, list(by_component), [part] * k, list(by_component.values())]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
+                    names=["x", "component", "part", "found"],
+                )
+
+    return rows.mapInArrow(run, "x long, component long, part int, found array<long>")
 
 
 def classes_with_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
@@ -311,10 +386,10 @@ def classes_with_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
     postings = sets.select(F.explode("tokens").alias("token"), "key", "n")
     shared = postings.groupBy("token").agg(F.count("*").alias("times")).where("times > 1").select("token")
     entries = postings.join(shared, "token").groupBy("token", "key").agg(F.first("n").alias("n"))
-    entries = pin(entries.withColumn("component", F.col("key")), "entries")
+    entries = pin(entries, "entries")
     found, labels = None, None
     for turn in range(ROUNDS):
-        lists = mixed_lists(with_component(entries.drop("component"), labels).withColumn("round", F.lit(turn)))
+        lists = mixed_lists(with_component(entries, labels).withColumn("round", F.lit(turn)))
         to = lists.where("component != leads").groupBy("key", "leader").agg(F.count("*").alias("times"), F.first("n").alias("n"))
         best = Window.partitionBy("key").orderBy(F.desc("times"), "leader")
         near = (
@@ -326,9 +401,12 @@ def classes_with_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
         links = pin(linked(texts, pin(pairs, "pairs")), "links")
         found = links if found is None else found.union(links)
         labels = components(found)
-    rest = pin(mixed_lists(with_component(entries.drop("component"), labels).withColumn("round", F.lit(0))).drop("round"), "rest")
-    pairs = pin(searched(rest).distinct(), "pairs")
-    return found.union(pin(linked(texts, pairs), "links"))
+    rest = mixed_lists(with_component(entries, labels).withColumn("round", F.lit(0)))
+    rest = pin(rest.drop("round", "leader", "leads"), "rest")
+    parts = parts_for(rest)
+    named = rest.select("key", "component").distinct().withColumn("part", part_of("key", parts))
+    asked = pin(searched(rest, parts), "asked")
+    return found.union(pin(linked_to_components(texts, asked, named), "links"))
 
 
 def clustered(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
