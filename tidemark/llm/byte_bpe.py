@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import per_batch, text_blocks
+from tidemark.llm.common import in_arrow, per_batch, text_blocks
 
 #: Pre-tokens whose ids a task keeps at hand. When full, it starts anew.
 KEPT = 250_000
@@ -139,7 +139,7 @@ def with_tokens(
                 columns = [*part.columns, pa.array(ids, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, ids_col])
 
-    return kept.mapInArrow(run, kept.withColumn(ids_col, F.lit(None).cast("array<int>")).schema)
+    return in_arrow(kept, run, kept.withColumn(ids_col, F.lit(None).cast("array<int>")).schema)
 
 
 def with_decoded(

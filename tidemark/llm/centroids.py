@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import text_blocks
+from tidemark.llm.common import in_arrow, text_blocks
 from tidemark.llm.features import ROWS, ngram_counts, normalised
 
 DIMS = 2048
@@ -69,7 +69,7 @@ def document_frequencies(texts: DataFrame, dims: int = DIMS) -> tuple[np.ndarray
             [pa.array(cells), pa.array(np.append(total, rows))], names=["cell", "n"]
         )
 
-    counts = texts.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    counts = in_arrow(texts, run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     found = dict(counts.collect())
     return np.array([found.get(k, 0) for k in range(dims)], float), found.get(-1, 0)
 
@@ -124,7 +124,7 @@ def fitted(
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), packed], names=["lang", "v"])
 
     drawn: dict[str, list[np.ndarray]] = {}
-    for lang, packed in sample.mapInArrow(run, "lang string, v binary").collect():
+    for lang, packed in in_arrow(sample, run, "lang string, v binary").collect():
         drawn.setdefault(lang, []).append(packed)
     languages, centroids, owner, limits = [], [], [], []
     for lang in sorted(drawn):
@@ -174,5 +174,5 @@ def predicted(documents: DataFrame, model: Model, id_col: str = "doc_id", text_c
                     names=["id", "lang_pred", "score", "rejected"],
                 )
 
-    out = rows.mapInArrow(run, f"id {kind}, lang_pred string, score double, rejected boolean")
+    out = in_arrow(rows, run, f"id {kind}, lang_pred string, score double, rejected boolean")
     return out.withColumnRenamed("id", id_col)

@@ -17,7 +17,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 #: Bytes of text that are worked on at a time. A single longer word is taken whole.
 SLICE = 1 << 20
 #: Bytes of text whose results are gathered before they are handed on.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
+#: Size of the batches that Spark hands to Python: a few long texts make a batch, so
+#: that neither side holds many of them. Only set where the session has the default.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m"),
+}
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _ODD = np.uint64(_rng.integers(1 << 62, 1 << 63, dtype=np.uint64) * 2 + 3)
@@ -184,6 +190,17 @@ def per_batch(
             if batch.num_rows:
                 yield work(batch)
 
+    return in_arrow(df, run, schema)
+
+
+def in_arrow(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
+) -> DataFrame:
+    """``mapInArrow`` with batches of bounded bytes."""
+    conf = df.sparkSession.conf
+    for key, (default, small) in BATCHES.items():
+        if conf.get(key, default) == default:
+            conf.set(key, small)
     return df.mapInArrow(run, schema)
 
 

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import as_longs, mixed, shingles, text_blocks, without, words
+from tidemark.llm.common import as_longs, in_arrow, mixed, shingles, text_blocks, without, words
 from tidemark.llm.components import components
 from tidemark.workspace import pin
 
@@ -101,10 +101,11 @@ def frequent_shingles(texts: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, members in _sets(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array(as_longs(members))], names=["token"])
+            found = [members for _, members in _sets(batch.column(0))]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(as_longs(np.concatenate(found)))], names=["token"])
 
-    counts = texts.where(drawn).mapInArrow(run, "token long").groupBy("token").count()
+    counts = in_arrow(texts.where(drawn), run, "token long").groupBy("token").count()
     common = counts.where(F.col("count") >= FREQUENT_IN).orderBy(F.desc("count"), "token").limit(MOST_FREQUENT)
     found = np.array([r[0] for r in common.select("token").collect()], np.int64)
     return np.sort(found.view(np.uint64))
@@ -146,7 +147,7 @@ def prefixes(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
                 [batch.column(0), pa.array(sizes), pa.array(keys), lists], names=["id", "n", "key", "tokens"]
             )
 
-    return texts.mapInArrow(run, f"id {kind}, n int, key long, tokens array<long>")
+    return in_arrow(texts, run, f"id {kind}, n int, key long, tokens array<long>")
 
 
 def sets_of(texts: DataFrame, keys: DataFrame) -> DataFrame:
@@ -180,7 +181,7 @@ def sets_of(texts: DataFrame, keys: DataFrame) -> DataFrame:
                 [pa.array(out_keys, pa.int64()), pa.array(out, pa.binary())], names=["key", "members"]
             )
 
-    found = texts.mapInArrow(run, "key long, members binary")
+    found = in_arrow(texts, run, "key long, members binary")
     if not few:
         found = found.join(keys.select("key"), "key", "left_semi")
     return found.dropDuplicates(["key"])
@@ -213,7 +214,7 @@ def linked(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     one = sets.select(F.col("key").alias("a"), F.col("members").alias("x"))
     other = sets.select(F.col("key").alias("b"), F.col("members").alias("y"))
     whole = pairs.select("a", "b").join(other, "b").join(one, "a").select("a", "b", "x", "y")
-    return whole.mapInArrow(run, "a long, b long")
+    return in_arrow(whole, run, "a long, b long")
 
 
 def linked_to_components(texts: DataFrame, asked: DataFrame, named: DataFrame) -> DataFrame:
@@ -264,7 +265,7 @@ def linked_to_components(texts: DataFrame, asked: DataFrame, named: DataFrame) -
             a, b = ([pair[k] for pair in out] for k in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return in_arrow(rows, run, "a long, b long")
 
 
 def with_component(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -378,7 +379,7 @@ def searched(entries: DataFrame, parts: int) -> DataFrame:
                     names=["x", "component", "part", "found"],
                 )
 
-    return rows.mapInArrow(run, "x long, component long, part int, found array<long>")
+    return in_arrow(rows, run, "x long, component long, part int, found array<long>")
 
 
 def classes_with_links(texts: DataFrame, sets: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import IS_SPACE, LOWER, as_longs, mixed, shingles, sums, text_blocks, words
+from tidemark.llm.common import IS_SPACE, LOWER, as_longs, in_arrow, mixed, shingles, sums, text_blocks, words
 from tidemark.workspace import pin
 
 SYMBOLS = np.zeros(256, bool)
@@ -119,7 +119,7 @@ def measured(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     longs = ", ".join(f"{c} long" for c in COUNTS)
     schema = f"row long, id {kind}, host string, {longs}, lines array<struct<hash:long,words:long>>"
-    return rows.mapInArrow(run, schema)
+    return in_arrow(rows, run, schema)
 
 
 def judged(

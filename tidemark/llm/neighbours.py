@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.centroids import draw, small_blocks
+from tidemark.llm.common import in_arrow
 from tidemark.llm.features import BINS, SHAPES, ngram_counts, normalised, shape_vectors
 
 DIMS = 2048
@@ -100,7 +101,7 @@ def fitted(
                 packed = pa.array([v.astype(np.float32).tobytes() for v in counted(data, offsets)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), packed], names=["label", "v"])
 
-    found = [(label, np.frombuffer(v, np.float32)) for label, v in sample.mapInArrow(run, "label int, v binary").collect()]
+    found = [(label, np.frombuffer(v, np.float32)) for label, v in in_arrow(sample, run, "label int, v binary").collect()]
     found.sort(key=lambda x: (x[0], x[1].tobytes()))
     labels = np.array([label for label, _ in found], np.float32)
     counts = np.array([v for _, v in found], np.float32).reshape(len(found), DIMS + SHAPES * BINS)
@@ -142,4 +143,4 @@ def scored(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col:
                 columns = [c.slice(low, high - low) for c in batch.columns]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], names=[*names, "score"])
 
-    return kept.mapInArrow(run, kept.withColumn("score", F.lit(None).cast("double")).schema)
+    return in_arrow(kept, run, kept.withColumn("score", F.lit(None).cast("double")).schema)

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import IS_SPACE, shingles, text_blocks, words
+from tidemark.llm.common import IS_SPACE, in_arrow, shingles, text_blocks, words
 
 #: Bytes of benchmark text in a block, which is broadcast.
 BLOCK_BYTES = 16 << 20
@@ -210,7 +210,7 @@ def contaminated(
                     ]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-        return rows.mapInArrow(run, schema)
+        return in_arrow(rows, run, schema)
 
     out = pass_over(0)
     for number in range(1, blocks):

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import text_blocks
+from tidemark.llm.common import in_arrow, text_blocks
 from tidemark.llm.neighbours import labelled_sample
 
 #: Letters of other scripts that look like Latin ones.
@@ -160,8 +160,7 @@ def learned_weights(
         yield flushed()
 
     counts = (
-        sample.dropDuplicates(["label", "text"])
-        .mapInArrow(run, ", ".join([f"{names[0]} string", *[f"{n} long" for n in names[1:]]]))
+        in_arrow(sample.dropDuplicates(["label", "text"]), run, ", ".join([f"{names[0]} string", *[f"{n} long" for n in names[1:]]]))
         .groupBy("entry")
         .agg(*[F.sum(c).alias(c) for c in names[1:]])
         .where((F.col("toxic_texts") >= least_texts) | (F.col("entry") == ""))
@@ -227,7 +226,7 @@ def fitted(
                 [batch.column(0), pa.array(sums), pa.array(lengths)], names=["label", "sum", "length"]
             )
 
-    rows = sorted(tuple(r) for r in sample.mapInArrow(run, "label int, sum double, length double").collect())
+    rows = sorted(tuple(r) for r in in_arrow(sample, run, "label int, sum double, length double").collect())
     y, sums, lengths = np.array(rows, float).T
     weights = np.where(y == 1, 1 / share[1], 1 / share[0])
     best = -np.inf
@@ -258,4 +257,4 @@ def scored(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col:
                     names=["id", "score", "hits"],
                 )
 
-    return rows.mapInArrow(run, f"id {kind}, score double, hits long").withColumnRenamed("id", id_col)
+    return in_arrow(rows, run, f"id {kind}, score double, hits long").withColumnRenamed("id", id_col)
