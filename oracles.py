@@ -208,6 +208,33 @@ spine AS (
   FROM hours)"""
 
 
+# Two briefings with the best ten of the last day. A variant's keys are sorted.
+LOGGED = """
+logged AS (
+  SELECT date_trunc('hour', now) + INTERVAL 1 MINUTE * late AS generated_at, trending_rank AS place,
+         CAST(to_json(struct_pack(
+           date_day := CAST(date_day AS VARCHAR), repo_name := repo_name,
+           rolling_7d_forks := rolling_7d_forks, rolling_7d_stars := rolling_7d_stars,
+           trending_rank := trending_rank, unique_contributors := unique_contributors)) AS VARCHAR)
+           AS item
+  FROM trending, (SELECT max(ts) AS now FROM events), (VALUES (0), (5)) AS times(late)
+  WHERE date_day = (SELECT max(date_day) FROM trending) AND trending_rank <= 10)"""
+
+# The staged table after an incremental run.
+UPSERTED = f"""{SPLIT},
+staged AS (
+  SELECT * FROM target WHERE event_id NOT IN (SELECT event_id FROM batch)
+  UNION ALL SELECT * FROM batch)"""
+
+
+def as_json(name: str, table: str, columns: str) -> str:
+    packed = ", ".join(
+        f"{c} := CAST({c} AS VARCHAR)" if c.endswith(("_day", "_month")) else f"{c} := {c}"
+        for c in sorted(columns.split())
+    )
+    return f"SELECT '{name}' AS mart, CAST(to_json(struct_pack({packed})) AS VARCHAR) AS row FROM {table}"
+
+
 def checks(kind: str, model: str, column: str, severity: str, failures: str) -> str:
     return f"""SELECT '{kind}' AS "check", '{model}' AS model, '{column}' AS "column",
  failures, '{severity}' AS severity,
@@ -284,9 +311,24 @@ ORACLES: dict[str, str] = {
     "load_report": over(
         DELIVERIES,
         """SELECT strftime(created_at, 'year=%Y/month=%m/day=%d/hour=%H') AS source_hour,
- 'SUCCESS' AS status, count(*) FILTER (WHERE n % 97 <> 0 AND n % 89 <> 5) AS rows_loaded,
- count(*) FILTER (WHERE n % 97 = 0 OR n % 89 = 5) AS errors_seen
- FROM deliveries GROUP BY 1""",
+ CASE WHEN early THEN 'ALREADY_LOADED' ELSE 'SUCCESS' END AS status,
+ count(*) FILTER (WHERE NOT early AND n % 97 <> 0 AND n % 89 <> 5) AS rows_loaded,
+ count(*) FILTER (WHERE NOT early AND (n % 97 = 0 OR n % 89 = 5)) AS errors_seen
+ FROM (SELECT *, created_at < (SELECT date_trunc('day', max(ts)) FROM events) AS early FROM deliveries)
+ GROUP BY source_hour, early""",
+    ),
+    "backfill_result": over(
+        f"""{DELIVERIES},
+filed AS (
+  SELECT * REPLACE (date_trunc('second', created_at) AS created_at),
+         created_at + INTERVAL 1 HOUR * (CASE WHEN n % 3 = 0 THEN 1 ELSE 0 END) >= cut.day AS late
+  FROM deliveries, (SELECT date_trunc('day', max(ts)) - INTERVAL 1 DAY AS day FROM events) AS cut
+  WHERE n % 97 <> 0 AND n % 89 <> 5),
+first AS (
+  SELECT *, row_number() OVER (PARTITION BY event_id, late ORDER BY created_at) AS place FROM filed),
+kept AS (SELECT * FROM first WHERE place = 1)""",
+        f"""SELECT {SCALARS} FROM kept WHERE NOT late
+ OR event_id NOT IN (SELECT event_id FROM kept WHERE NOT late)""",
     ),
     "unloaded_files": """WITH paths AS (
  SELECT ts, strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H/%Y-%m-%d-') || hour(ts)
@@ -410,8 +452,13 @@ items AS (
   WHERE date_day = (SELECT max(date_day) FROM label_usage) AND daily_rank <= 10)""",
         "SELECT section, item FROM items",
     ),
-    "latest_insight": """SELECT 'second briefing' AS insight_text,
- date_trunc('hour', max(ts)) + INTERVAL 5 MINUTE AS generated_at, 'none' AS model_used FROM events""",
+    "latest_insight": over(
+        f"{STAGED},{TRENDING},{LOGGED}",
+        """SELECT 'second briefing' AS insight_text, generated_at, 'none' AS model_used,
+ first(item ORDER BY place, item) AS best, count(*) AS entries
+ FROM logged WHERE minute(generated_at) = 5 GROUP BY generated_at""",
+    ),
+    "insight_log": over(f"{STAGED},{TRENDING},{LOGGED}", "SELECT * FROM logged"),
     "last_updated": over(STAGED, "SELECT max(created_at) AS last_updated FROM staged"),
     "available_days": over(
         f"{STAGED},{TRENDING}",
@@ -438,6 +485,50 @@ items AS (
         """SELECT label_name, label_applied_count, unique_repos, daily_rank FROM label_usage
  WHERE date_day = (SELECT max(date_day) FROM label_usage) AND daily_rank <= 20""",
     ),
+    "labels_chart": over(
+        LABELS,
+        """SELECT label_name, label_applied_count FROM label_usage
+ WHERE date_day = (SELECT max(date_day) FROM label_usage) AND daily_rank <= 20""",
+    ),
+    "marts_after_increment": over(
+        ",".join(
+            [
+                LABELS.replace(STAGED, UPSERTED),
+                TRENDING,
+                TRENDS[len(EVENTS) + 1 :],
+                RETENTION[len(EVENTS) + 1 :],
+            ]
+        ),
+        " UNION ALL ".join(
+            [
+                as_json(
+                    "trending_repos",
+                    "trending",
+                    "repo_id repo_name date_day star_count rolling_7d_stars rolling_7d_forks "
+                    "rolling_7d_code_events unique_contributors trending_rank",
+                ),
+                as_json(
+                    "contributor_retention",
+                    "retention",
+                    "cohort_month activity_month months_since_first cohort_size retained_contributors "
+                    "retention_rate total_code_contributions",
+                ),
+                as_json(
+                    "category_trends",
+                    "trends",
+                    "date_day event_category event_count unique_contributors unique_repos "
+                    "event_count_7d_ago wow_growth_rate",
+                ),
+                as_json(
+                    "label_usage",
+                    "label_usage",
+                    "date_day label_name label_applied_count unique_repos unique_prs daily_rank",
+                ),
+            ]
+        ),
+    ),
+    "rebuilt_marts": over(LABELS, "SELECT * FROM label_usage"),
+    "stream_dedup": over(STAGED, "SELECT event_id FROM staged"),
     "dq_not_null": over(
         STAGED,
         " UNION ALL ".join(
@@ -456,14 +547,13 @@ items AS (
     "dq_report": _report(),
     "dq_freshness": over(
         DELIVERIES,
-        """SELECT max_loaded_at, as_of, age_seconds,
- CASE WHEN max_loaded_at IS NULL OR age_seconds > 21600 THEN 'error'
-      WHEN age_seconds > 7200 THEN 'warn' ELSE 'pass' END AS status
-FROM (SELECT max_loaded_at, as_of,
-             CAST(floor((epoch_us(as_of) - epoch_us(max_loaded_at)) / 1000000) AS BIGINT)
-               AS age_seconds
-      FROM (SELECT max(created_at) AS max_loaded_at,
-                   date_trunc('hour', max(created_at)) + INTERVAL 4 HOUR AS as_of
-            FROM deliveries))""",
+        """SELECT max_loaded_at, as_of,
+ CAST(floor((epoch_us(as_of) - epoch_us(max_loaded_at)) / 1000000) AS BIGINT) AS age_seconds,
+ CASE WHEN as_of - INTERVAL 6 HOUR > max_loaded_at THEN 'error'
+      WHEN as_of - INTERVAL 2 HOUR > max_loaded_at THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT max_loaded_at,
+             max_loaded_at + INTERVAL 1 HOUR * hours + INTERVAL 1 MICROSECOND * late AS as_of
+      FROM (SELECT max(created_at) AS max_loaded_at FROM deliveries),
+           (VALUES (0), (2), (4), (6)) AS h(hours), (VALUES (0), (500000)) AS l(late))""",
     ),
 }

@@ -4,7 +4,7 @@ import pytest
 from compare import spark_bag
 
 from tidemark import tables, workspace
-from tidemark.plans import build, catalog, serving, staging
+from tidemark.plans import build, catalog, marts, serving, staging
 from tidemark.sources import landing, shapes
 
 FOLDER = "/root/testdata/sf0.001"
@@ -28,8 +28,17 @@ def test_two_runs_equal_marts_over_all_raw_events(spark, places):
     stored = staging.read_staged(spark, layout.staged)
     assert stored.count() == staged.count()
     assert stored.select("event_id").distinct().count() == stored.count()
-    for name, (mart, _) in build.MARTS.items():
+    over_events = {
+        "trending_repos": marts.trending_repos,
+        "contributor_retention": marts.contributor_retention,
+        "category_trends": marts.category_trends,
+        "label_usage": marts.label_usage,
+    }
+    for name, mart in over_events.items():
         assert spark_bag(build.read_mart(spark, layout, name)) == spark_bag(mart(stored)), name
+    for name, (table, _) in build.DAY_TABLES.items():
+        found, made = build.read_day_table(spark, layout, name), table(stored)
+        assert spark_bag(found) == spark_bag(made.select(*found.columns)), name
     build.run(spark, root, layout, first, last)
     assert staging.read_staged(spark, layout.staged).count() == staged.count()
 
@@ -56,14 +65,19 @@ def test_report_of_a_run(spark, places):
     """Repeats in the raw table are reported but do not stop the job; an event
     without a repo that reaches the ranking does."""
     root, layout = places
-    report = build.run(spark, root, layout, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 23))
+    last = dt.datetime(2024, 1, 2, 23)
+    report = build.run(spark, root, layout, dt.datetime(2024, 1, 1), last, check_raw=True, as_of=dt.datetime(2024, 1, 1, 23))
     status = {(r.model, r.check, r.column): r.status for r in report.collect()}
-    assert len(status) == 24
+    assert len(status) == 25
     assert {k for k, v in status.items() if v == "fail"} == {
         ("raw_events", "unique", "id"),
         ("trending_repos", "not_null", "repo_id"),
         ("trending_repos", "not_null", "repo_name"),
     }
+    assert status["raw_events", "freshness", "created_at"] == "pass"
+    late = build.check_all(spark, layout).where("check = 'freshness'").first()
+    assert (late.status, late.failures) == ("fail", 1)
+    assert build.check_all(spark, layout).where("model = 'raw_events'").count() == 1
     assert status["repo_daily_stats", "not_null", "repo_id"] == "warn"
     with pytest.raises(build.ChecksFailed) as caught:
         build.require_passed(report)
@@ -107,3 +121,71 @@ def test_tables_answer_sql(spark, places):
         (r.date_day, r.event_count) for r in serving.in_order(trends, "category_trends").collect()
     ]
     assert shown == sorted(shown, reverse=True)
+
+
+def test_late_events_in_the_first_files_of_a_backfill(spark, tmp_path):
+    from test_landing import land, line
+
+    root, layout = str(tmp_path / "landing"), build.Layout(str(tmp_path / "tables"))
+    land(root, "2024-01-05T10", [line(id="new", created_at="2024-01-05T10:00:00Z")])
+    at = dt.datetime(2024, 1, 5, 10)
+    build.run(spark, root, layout, at, at)
+    land(root, "2024-01-02T00", [line(id="late", created_at="2024-01-01T23:30:00Z"),
+                                 line(id="in", created_at="2024-01-02T00:10:00Z")])
+    build.backfill(spark, root, layout, dt.date(2024, 1, 2), dt.date(2024, 1, 2))
+    assert {r.event_id for r in staging.read_staged(spark, layout.staged).collect()} == {"new", "late", "in"}
+    days = {str(r.date_day) for r in build.read_day_table(spark, layout, "category_daily").collect()}
+    assert days == {"2024-01-01", "2024-01-02", "2024-01-05"}
+
+
+def test_only_touched_days_are_made_again(spark, places):
+    root, layout = places
+    first, last = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 23)
+    build.run(spark, root, layout, first, last)
+    assert build.stale_days(spark, layout) == set()
+    before = tables.versions(spark, layout.day_table("repo_daily_stats"))
+    batch = spark.createDataFrame([("x", "2024-01-07T01:00:00")], "id string, at string").selectExpr(
+        "id", "'PushEvent' AS type", "parse_json('{\"id\":1}') AS actor", "parse_json('{\"id\":1,\"name\":\"n\"}') AS repo",
+        "parse_json('{}') AS payload", "cast(at as timestamp_ntz) AS created_at")
+    staging.upsert_raw(batch, layout.staged)
+    assert build.stale_days(spark, layout) == {dt.date(2024, 1, 7)}
+    assert build.update_day_tables(spark, layout) == {dt.date(2024, 1, 7)}
+    after = tables.versions(spark, layout.day_table("repo_daily_stats"))
+    assert {d for d in after if before.get(d) != after[d]} == {dt.date(2024, 1, 7)}
+    assert all("date_day=2024-01-07" in f for f in
+               staging.read_staged(spark, layout.staged, [dt.date(2024, 1, 7)]).inputFiles())
+
+
+def test_a_run_that_died_between_staging_and_the_day_tables(spark, places, monkeypatch):
+    root, layout = places
+    first, last = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 23)
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            build.run(spark, root, layout, first, last)
+    build.run(spark, root, layout, first, last)
+    stored = staging.read_staged(spark, layout.staged)
+    assert spark_bag(build.read_mart(spark, layout, "category_trends")) == spark_bag(marts.category_trends(stored))
+
+
+def test_staging_reads_only_the_hours_that_may_reach_behind_the_bound(spark, tmp_path):
+    from test_landing import land, line
+
+    root, layout = str(tmp_path / "landing"), build.Layout(str(tmp_path / "tables"))
+    for hour in range(0, 20):
+        land(root, f"2024-01-01T{hour:02d}", [line(id=str(hour), created_at=f"2024-01-01T{hour:02d}:30:00Z")])
+    # An event of the evening in a file of the morning.
+    land(root, "2024-01-01T03", [line(id="odd", created_at="2024-01-01T19:10:00Z")])
+    landing.load_hours(spark, root, layout.raw, layout.ledger)
+    bound = dt.datetime(2024, 1, 1, 17)
+    raw = build.raw_behind(spark, layout, bound)
+    assert {r.id for r in raw.collect()} == {"odd", "17", "18", "19"}
+    files = {f.split("hour=")[1][:2].strip("/") for f in raw.select("_metadata.file_path").toPandas().file_path}
+    assert files == {"3", "17", "18", "19"}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "9999")
+    try:
+        plan = build.raw_behind(spark, layout, bound)._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "make_timestamp" in filters and "2024-01-01 18" in filters and "cast(make" not in filters

@@ -101,7 +101,8 @@ def test_a_hot_day_is_written_by_several_tasks(spark):
         tables.write_by_day(rows, path, "event_id")
     finally:
         spark.conf.set(key, old)
-    local = path.removeprefix("file:")
+    (version,) = set(tables.versions(spark, path).values())
+    local = f"{path}/{version}".removeprefix("file:")
     files = {d: len([f for f in os.listdir(f"{local}/{d}") if f.endswith(".parquet")])
              for d in os.listdir(local) if d.startswith("date_day=")}
     assert files["date_day=2024-01-01"] > 4 and min(files.values()) == 1

@@ -91,8 +91,9 @@ def test_insight_log(spark, trending):
     serving.append_insight(trending, path, "newer", "m2", dt.datetime(2024, 1, 4, 5, 6))
     row = serving.latest_insight(spark, path).first()
     assert tuple(row) == ("newer", dt.datetime(2024, 1, 4, 5, 6), "m2")
-    log = spark.read.schema(serving.INSIGHT_SCHEMA).parquet(path)
-    items = json.loads(log.where("model_used = 'm2'").select(F.to_json("trending_repos")).first()[0])
+    log = serving.in_order(serving.insight_log(spark, path), "insight_log").collect()
+    assert [r.place for r in log] == [*range(1, 11)] * 2
+    items = [json.loads(r.item) for r in log if r.generated_at == dt.datetime(2024, 1, 4, 5, 6)]
     assert [i["trending_rank"] for i in items] == list(range(1, 11))
     assert set(items[0]) == {"repo_name", "rolling_7d_stars", "rolling_7d_forks",
                              "unique_contributors", "trending_rank", "date_day"}
@@ -102,7 +103,36 @@ def test_insight_log(spark, trending):
     assert now.insight_text == "now" and abs(utc - now.generated_at) < dt.timedelta(minutes=5)
 
 
-def test_insight_refuses_unbounded_ties(spark, trending, monkeypatch):
-    monkeypatch.setattr(serving, "MAX_INSIGHT_ITEMS", 5)
-    with pytest.raises(ValueError):
-        serving.append_insight(trending, workspace.fresh_path(spark, "insights"), "x", "m")
+def test_every_tied_entry_of_a_briefing_is_stored(spark):
+    tied = spark.range(12_000).selectExpr(
+        "concat('r', id) AS repo_name", "1L AS rolling_7d_stars", "0L AS rolling_7d_forks",
+        "1L AS unique_contributors", "1L AS trending_rank", "DATE'2024-01-02' AS date_day",
+    )
+    path = workspace.fresh_path(spark, "insights")
+    serving.append_insight(tied, path, "x", "m", dt.datetime(2024, 1, 3))
+    log = serving.insight_log(spark, path)
+    assert log.count() == 12_000 == log.select("item").distinct().count()
+
+
+def test_entries_without_a_briefing_are_not_shown(spark, trending, monkeypatch):
+    path = workspace.fresh_path(spark, "insights")
+    serving.append_insight(trending, path, "x", "m", dt.datetime(2024, 1, 3))
+    died = spark.read.schema(serving.ITEM_SCHEMA).parquet(f"{path}/items")
+    died.withColumn("generated_at", F.lit(dt.datetime(2024, 1, 4)).cast("timestamp_ntz")).write.mode(
+        "append"
+    ).parquet(f"{path}/items")
+    assert {r.generated_at for r in serving.insight_log(spark, path).collect()} == {dt.datetime(2024, 1, 3)}
+
+
+@pytest.mark.parametrize(
+    "seconds,status",
+    [(0, "pass"), (7200, "pass"), (7200.5, "warn"), (21600, "warn"), (21600.000001, "error"), (None, "error")],
+)
+def test_freshness_to_the_microsecond(spark, seconds, status):
+    now = dt.datetime(2024, 1, 1, 12, 0, 0, 250_000)
+    rows = [] if seconds is None else [(now - dt.timedelta(seconds=seconds),)]
+    df = spark.createDataFrame(rows, "created_at timestamp_ntz")
+    assert quality.freshness(df, now).first().status == status
+    report = quality.freshness_check("raw_events", quality.freshness(df, now)).first()
+    assert report.status == {"pass": "pass", "warn": "warn", "error": "fail"}[status]
+    assert report.failures == (status != "pass")

@@ -230,12 +230,32 @@ def test_incremental_runs_equal_a_full_refresh(spark, raw, path):
     assert stored(spark, path) == stored(spark, once)
 
 
-def test_a_run_that_died_before_dropping_days_is_healed(spark, raw, path, monkeypatch):
-    staging.full_refresh(raw([event("a", "2024-01-01 23:00:00")]), path)
+def test_a_run_that_died_before_publishing_changes_nothing(spark, raw, path, monkeypatch):
+    staging.full_refresh(raw([event("a", "2024-01-01 23:00:00"), event("b", "2024-01-03 01:00:00")]), path)
+    before = stored(spark, path)
+    reader = staging.read_staged(spark, path)
     batch = workspace.pin(staging.stage_events(raw([event("a", "2024-01-02 01:00:00")])), "b")
     with monkeypatch.context() as patch:
-        patch.setattr(tables, "drop_days", lambda *_: None)
-        merge_into(batch, path)
-    assert staging.read_staged(spark, path).count() == 2
+        patch.setattr(tables, "_publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            merge_into(batch, path)
+    assert stored(spark, path) == before
     merge_into(batch, path)
-    assert stored(spark, path) == [("a", "2024-01-02 01:00:00", "2024-01-02")]
+    assert stored(spark, path) == [
+        ("a", "2024-01-02 01:00:00", "2024-01-02"), ("b", "2024-01-03 01:00:00", "2024-01-03")
+    ]
+    assert reader.count() == 2  # who read before still can
+    tables.remove_old(spark, path, keep=1)
+    assert len(stored(spark, path)) == 2
+    assert len([n for n in tables.child_names(spark, path) if n.startswith("version=")]) == 2
+    staging.full_refresh(raw([event("a", "2024-01-02 01:00:00")]), path)
+    tables.remove_old(spark, path, keep=1)
+    assert len([n for n in tables.child_names(spark, path) if n.startswith("version=")]) == 1
+    assert len(tables.child_names(spark, f"{path}/{tables.MANIFESTS}")) == 1
+
+
+def test_two_writers_do_not_overwrite_each_other(spark, raw, path):
+    staging.full_refresh(raw([event("a", "2024-01-01 23:00:00")]), path)
+    with pytest.raises(Exception):
+        tables._publish(spark, path, 1, {})
+    assert set(ids(spark, path)) == {"a"}

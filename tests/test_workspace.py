@@ -44,3 +44,25 @@ def test_own_folder_only_in_local_mode():
 
 def test_the_session_has_a_folder(spark):
     assert workspace.root(spark).endswith(spark.sparkContext.applicationId)
+
+
+def test_a_folder_of_one_machine_is_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from tidemark import workspace
+
+    def session(master, setting=None, on_context=None):
+        context = SimpleNamespace(
+            master=master, applicationId="app", getCheckpointDir=lambda: on_context
+        )
+        conf = SimpleNamespace(get=lambda key, default: setting or default)
+        return SimpleNamespace(sparkContext=context, conf=conf)
+
+    assert workspace.root(session("spark://x", "s3a://b/c")) == "s3a://b/c/tidemark/app"
+    assert workspace.root(session("spark://x", "file:/mnt/shared")).startswith("file:/mnt/shared")
+    assert workspace.root(session("spark://x", None, "hdfs://n/c")).startswith("hdfs://n/c")
+    for folder in ("file:/tmp/x", None):
+        with pytest.raises(RuntimeError):
+            workspace.root(session("spark://x", None, folder))

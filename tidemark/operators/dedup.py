@@ -41,8 +41,9 @@ def first_stored(
     names the repeated keys, a second over the order columns the position in
     the files of each one's first row, and the last, over everything, drops the
     other copies by position. Both lists are pinned, so Spark broadcasts them
-    up to its size threshold and joins by shuffle beyond it. Rows that agree in
-    all of ``order`` and ``tie_break`` are told apart by file and row number.
+    up to its size threshold; beyond it the last join shuffles whole rows. Rows
+    that agree in all of ``order`` and ``tie_break`` are told apart by file and row
+    number.
     """
     rows = df.select(
         "*",

@@ -151,16 +151,32 @@ def freshness(
     warn_hours: int = 2,
     error_hours: int = 6,
 ) -> DataFrame:
-    """Age of the newest row against two limits; an empty table is an error."""
+    """Age of the newest row against two limits, to the microsecond; an empty table
+    is an error. ``age_seconds`` is for showing only."""
     now = as_of if isinstance(as_of, Column) else instant(as_of)
     latest = df.agg(F.max(at).alias("max_loaded_at")).withColumn(
         "as_of", now.cast("timestamp_ntz")
     )
     seconds = F.timestamp_diff("SECOND", F.col("max_loaded_at"), F.col("as_of"))
+    older = lambda hours: F.col("max_loaded_at") < F.col("as_of") - F.expr(
+        f"INTERVAL {int(hours)} HOURS"
+    )
     return latest.withColumn("age_seconds", seconds.cast("bigint")).withColumn(
         "status",
-        F.when(F.col("max_loaded_at").isNull(), "error")
-        .when(F.col("age_seconds") > error_hours * 3600, "error")
-        .when(F.col("age_seconds") > warn_hours * 3600, "warn")
+        F.when(F.col("max_loaded_at").isNull() | older(error_hours), "error")
+        .when(older(warn_hours), "warn")
         .otherwise("pass"),
     )
+
+
+def freshness_check(model: str, found: DataFrame, column: str = "created_at") -> DataFrame:
+    """A row of :func:`freshness` as a row of the report."""
+    late = F.col("status") != "pass"
+    return found.select(
+        F.lit("freshness").alias("check"),
+        F.lit(model).alias("model"),
+        F.lit(column).alias("column"),
+        late.cast("bigint").alias("failures"),
+        F.when(F.col("status") == "warn", WARN).otherwise(ERROR).alias("severity"),
+        F.when(F.col("status") == "error", "fail").otherwise(F.col("status")).alias("status"),
+    )

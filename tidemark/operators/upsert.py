@@ -23,11 +23,9 @@ def merge_into(batch: DataFrame, path: str, key: str = "event_id") -> set[date |
 
     Only the days that hold a matched key or receive a row are rewritten. The
     search for matched keys reads the key column alone; the rewrite reads the
-    touched days. Lost executors only repeat tasks: files appear at job commit.
-    There is one writer, and the commit is not atomic across days: a driver
-    that dies before it, or between it and the removal of emptied days, is
-    repaired by running the same batch again; one that dies inside it, by
-    staging the touched days again from the raw table. Returns those days.
+    touched days. The new days are written beside the old ones and published
+    together: a run that dies leaves the old table, and running the same batch
+    again completes it. Returns the touched days.
     """
     spark = batch.sparkSession
     target = tables.read_by_day(spark, path, batch.schema)
@@ -37,28 +35,15 @@ def merge_into(batch: DataFrame, path: str, key: str = "event_id") -> set[date |
     # Ids mostly grow with time, so their range lets the scan skip row groups
     # of other days. Both collects return one row per day.
     low, high = batch.agg(F.min(key), F.max(key)).first()
-    hits = {
-        row[tables.DAY]: row["hits"]
-        for row in target.where(F.col(key).between(F.lit(low), F.lit(high)))
+    matched = (
+        target.where(F.col(key).between(F.lit(low), F.lit(high)))
         .select(key, tables.DAY)
         .join(keys, key, "left_semi")
-        .groupBy(tables.DAY)
-        .agg(F.count("*").alias("hits"))
-        .collect()
-    }
-    arrivals = {row[tables.DAY] for row in batch.select(tables.DAY).distinct().collect()}
-    touched = set(hits) | arrivals
-    if not touched:
-        return touched
-
-    current = target.where(tables.on_days(touched))
-    left_by_all = set(hits) - arrivals
-    if left_by_all:
-        sizes = current.groupBy(tables.DAY).agg(F.count("*").alias("rows")).collect()
-        left_by_all &= {r[tables.DAY] for r in sizes if hits.get(r[tables.DAY]) == r["rows"]}
-
-    survivors = current.join(keys, key, "left_anti")
-    tables.write_by_day(survivors.unionByName(batch), path, key, replace_days_only=True)
-    # A day that lost its last row has no new files, so the write did not touch it.
-    tables.drop_days(spark, path, left_by_all)
+        .select(tables.DAY)
+    )
+    touched = {row[0] for row in matched.union(batch.select(tables.DAY)).distinct().collect()}
+    if touched:
+        current = tables.read_by_day(spark, path, batch.drop(tables.DAY).schema, touched)
+        survivors = current.join(keys, key, "left_anti")
+        tables.write_by_day(survivors.unionByName(batch), path, key, replace=touched)
     return touched

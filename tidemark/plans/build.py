@@ -4,21 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import date, datetime, time, timedelta
+from datetime import date, datetime, time, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import tables, workspace
+from tidemark.functions.expressions import instant
 from tidemark.operators import daily, quality
 from tidemark.plans import marts, serving, staging
 from tidemark.sources import hours, landing
 
-# Each mart, and the column whose values lie together in its files.
-MARTS: Mapping[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
-    "trending_repos": (marts.trending_repos, "date_day"),
-    "contributor_retention": (marts.contributor_retention, "cohort_month"),
-    "category_trends": (marts.category_trends, "date_day"),
-    "label_usage": (marts.label_usage, "date_day"),
+Build = Callable[[DataFrame], DataFrame]
+
+
+def _labels_by_day(events: DataFrame) -> DataFrame:
+    return daily.with_day(daily.pr_labels(events))
+
+
+# Tables with one partition a day, each day made from that day's staged events;
+# and the column that a day's files are sorted by.
+DAY_TABLES: Mapping[str, tuple[Build, str]] = {
+    "repo_daily_stats": (daily.repo_daily_stats, "repo_id"),
+    "developer_activity": (daily.developer_activity, "actor_id"),
+    "category_daily": (daily.category_daily, "event_category"),
+    "pr_labels": (_labels_by_day, "label_name"),
+    "label_daily": (lambda events: daily.label_daily(daily.pr_labels(events)), "label_name"),
+}
+
+# Each mart, the day table that it is made from, and the column whose values lie
+# together in its files.
+MARTS: Mapping[str, tuple[Build, str, str]] = {
+    "trending_repos": (marts.trending_of, "repo_daily_stats", "date_day"),
+    "contributor_retention": (marts.cohort_retention, "developer_activity", "cohort_month"),
+    "category_trends": (marts.growth, "category_daily", "date_day"),
+    "label_usage": (marts.labels_of, "label_daily", "date_day"),
 }
 
 
@@ -44,6 +63,14 @@ class Layout:
     def insights(self) -> str:
         return f"{self.root}/daily_insights"
 
+    @property
+    def seen(self) -> str:
+        """Which version of each staged day the day tables were made from."""
+        return f"{self.root}/day_tables/_seen"
+
+    def day_table(self, name: str) -> str:
+        return f"{self.root}/day_tables/{name}"
+
     def mart(self, name: str) -> str:
         return f"{self.root}/marts/{name}"
 
@@ -52,23 +79,64 @@ class ChecksFailed(Exception):
     """A check of severity ``error`` failed; the failed rows are the argument."""
 
 
-def stage(
-    spark: SparkSession,
-    layout: Layout,
-    since: datetime | None = None,
-    until: datetime | None = None,
-) -> None:
-    """One incremental run from the raw table, if anything was ever loaded."""
-    raw = landing.raw_events(spark, layout.raw)
-    loaded = tables.exists(spark, layout.raw)
-    staging.incremental_run(raw, layout.staged, since=since, until=until, stored=loaded)
+def stage(spark: SparkSession, layout: Layout, since: datetime | None = None) -> None:
+    """One incremental run from the raw table, if anything was ever loaded.
+
+    Of the raw table the hours are read that may hold an event behind the
+    bound: the ledger knows the newest event of each.
+    """
+    bound = staging.reach_back(spark, layout.staged, since=since)
+    if bound is None:
+        loaded = tables.exists(spark, layout.raw)
+        staging.full_refresh(landing.raw_events(spark, layout.raw), layout.staged, stored=loaded)
+        return
+    raw = raw_behind(spark, layout, bound)
+    staging.upsert_raw(raw, layout.staged)
+    tables.remove_old(spark, layout.staged)
+
+
+def raw_behind(spark: SparkSession, layout: Layout, bound: datetime) -> DataFrame:
+    """Raw events later than ``bound``, from the hour folders that may have some."""
+    ledger = landing.read_ledger(spark, layout.ledger)
+    wanted = landing.hours_reaching(ledger, landing.stored_hours(spark, layout.raw), bound)
+    raw = landing.raw_events(spark, layout.raw, hours=wanted)
+    return raw.where(F.col("created_at") > instant(bound))
+
+
+def stale_days(spark: SparkSession, layout: Layout) -> set[date | None]:
+    """Days whose staged version is not the one that the day tables were made from."""
+    now, seen = tables.versions(spark, layout.staged), tables.versions(spark, layout.seen)
+    return {day for day in now.keys() | seen.keys() if now.get(day) != seen.get(day)}
+
+
+def update_day_tables(spark: SparkSession, layout: Layout) -> set[date | None]:
+    """Make the stale days of all day tables anew from those days' events.
+
+    What was seen is noted last, so that a run that dies is made good by the next.
+    """
+    versions = tables.versions(spark, layout.staged)
+    stale = stale_days(spark, layout)
+    if stale or not tables.published(spark, layout.seen):
+        events = staging.read_staged(spark, layout.staged, stale)
+        for name, (build, key) in DAY_TABLES.items():
+            tables.write_by_day(build(events), layout.day_table(name), key, replace=stale)
+            tables.remove_old(spark, layout.day_table(name))
+        tables.publish(spark, layout.seen, versions)
+    return stale
+
+
+def read_day_table(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    build, _ = DAY_TABLES[name]
+    made = build(spark.createDataFrame([], staging.STAGED_SCHEMA))
+    return tables.read_by_day(spark, layout.day_table(name), made.schema).select(*made.columns)
 
 
 def build_marts(spark: SparkSession, layout: Layout) -> None:
-    """Rebuild every mart from the stored staged table."""
-    for name, (build, cluster) in MARTS.items():
+    """Bring the day tables up to date and rebuild every mart from them."""
+    update_day_tables(spark, layout)
+    for name, (build, source, cluster) in MARTS.items():
         with workspace.scoped(spark):
-            mart = build(staging.read_staged(spark, layout.staged))
+            mart = build(read_day_table(spark, layout, source))
             tables.write_mart(mart, layout.mart(name), cluster)
 
 
@@ -82,27 +150,38 @@ def register_views(spark: SparkSession, layout: Layout) -> None:
     for name in MARTS:
         read_mart(spark, layout, name).createOrReplaceTempView(name)
     if tables.exists(spark, layout.insights):
-        log = spark.read.schema(serving.INSIGHT_SCHEMA).parquet(layout.insights)
-        log.createOrReplaceTempView("daily_insights")
+        serving.insights(spark, layout.insights).createOrReplaceTempView("daily_insights")
 
 
-def check_all(spark: SparkSession, layout: Layout) -> DataFrame:
-    """All declared checks, on the stored tables and the day-grain frames."""
-    events = staging.read_staged(spark, layout.staged)
+def check_all(
+    spark: SparkSession,
+    layout: Layout,
+    raw: bool = False,
+    as_of: datetime | Column | None = None,
+) -> DataFrame:
+    """All declared checks on the stored tables, and how fresh the raw table is.
+
+    ``raw`` also checks the raw table, which groups all of it by id. ``as_of``
+    defaults to now.
+    """
     models = {
-        "raw_events": landing.raw_events(spark, layout.raw),
-        "staged_events": events,
-        "repo_daily_stats": daily.repo_daily_stats(events),
-        "developer_activity": daily.developer_activity(events),
-        "pr_labels": daily.pr_labels(events),
+        "staged_events": staging.read_staged(spark, layout.staged),
+        **{n: read_day_table(spark, layout, n) for n in DAY_TABLES if n in quality.CHECKS},
         **{name: read_mart(spark, layout, name) for name in MARTS},
     }
-    return quality.quality_report(models)
+    if raw:
+        models = {"raw_events": landing.raw_events(spark, layout.raw), **models}
+    now = datetime.now(timezone.utc).replace(tzinfo=None) if as_of is None else as_of
+    newest = landing.read_ledger(spark, layout.ledger).select(
+        F.col("last_created_at").alias("created_at")
+    )
+    fresh = quality.freshness_check("raw_events", quality.freshness(newest, now))
+    return quality.quality_report(models).unionByName(fresh)
 
 
 def require_passed(report: DataFrame) -> None:
     """Raise if a check from the staged table on failed. Raw repeats do not
-    count: removing them is what staging is for."""
+    count, as removing them is what staging is for, nor does the raw table's age."""
     bad = quality.failed(report).where("model <> 'raw_events'").collect()
     if bad:
         raise ChecksFailed(bad)
@@ -115,28 +194,55 @@ def run(
     start: datetime | None = None,
     end: datetime | None = None,
     since: datetime | None = None,
+    history_days: int | None = None,
+    check_raw: bool = False,
+    as_of: datetime | None = None,
 ) -> DataFrame:
     """Load an hour range (by default the last complete hour), stage what is
-    new, rebuild the marts, and return the check report over the new tables.
+    new, remake the touched days and the marts, and return the check report.
 
-    ``since`` stages older events too, after a backfill.
+    ``since`` stages older events too, after a backfill. ``history_days`` is how
+    long loaded files are remembered.
     """
     if start is None and end is None:
         start = end = hours.previous_hour()
-    landing.load_hours(spark, landing_root, layout.raw, layout.ledger, start, end)
+    with workspace.scoped(spark):
+        landing.load_hours(
+            spark, landing_root, layout.raw, layout.ledger, start, end, history_days
+        )
     stage(spark, layout, since)
     build_marts(spark, layout)
-    return check_all(spark, layout)
+    return check_all(spark, layout, check_raw, as_of)
 
 
 def backfill(
-    spark: SparkSession, landing_root: str, layout: Layout, first: date, last: date
+    spark: SparkSession,
+    landing_root: str,
+    layout: Layout,
+    first: date,
+    last: date,
+    history_days: int | None = None,
 ) -> DataFrame:
-    """Load and stage all hours of the days from ``first`` to ``last`` in one
-    job each, rebuild the marts, and return the hours that had no file."""
+    """Load and stage all hours of the days from ``first`` to ``last``, remake
+    the touched days and the marts, and return the hours that had no file.
+
+    Whatever the files of these hours hold is staged, events of other days too.
+    """
     start, end = datetime.combine(first, time()), datetime.combine(last, time(23))
-    landing.load_hours(spark, landing_root, layout.raw, layout.ledger, start, end)
-    stage(spark, layout, start - timedelta(microseconds=1), end + timedelta(hours=1))
+    with workspace.scoped(spark):
+        landing.load_hours(
+            spark, landing_root, layout.raw, layout.ledger, start, end, history_days
+        )
+    stage_hours(spark, layout, start, end)
     build_marts(spark, layout)
     ledger = landing.read_ledger(spark, layout.ledger)
     return hours.missing_hours(hours.hour_spine(spark, first, last), landing.loaded_hours(ledger))
+
+
+def stage_hours(spark: SparkSession, layout: Layout, start: datetime, end: datetime) -> None:
+    """Stage all that the files of an hour range hold; without a staged table, all there is."""
+    if staging.reach_back(spark, layout.staged) is None:
+        stage(spark, layout)
+    else:
+        staging.upsert_raw(landing.raw_events(spark, layout.raw, start, end), layout.staged)
+        tables.remove_old(spark, layout.staged)

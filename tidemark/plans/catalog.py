@@ -6,6 +6,7 @@ Each entry takes ``(spark, folder)`` and returns a frame. All read whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,7 +15,7 @@ from tidemark.functions.expressions import event_category, hour_path
 from tidemark.operators import daily, quality, ranking
 from tidemark.operators.dedup import first_seen
 from tidemark.operators.upsert import merged
-from tidemark.plans import marts, serving, staging
+from tidemark.plans import build, marts, serving, staging
 from tidemark.sources import hours, landing, shapes
 from tidemark.streaming import changes
 
@@ -75,7 +76,7 @@ def land(spark: SparkSession, folder: str) -> str:
 def raw_json_scan(spark: SparkSession, folder: str) -> DataFrame:
     root = land(spark, folder)
     files = [row["path"] for row in landing.list_files(spark, root).select("path").collect()]
-    lines = landing.scan_lines(spark, files, root)
+    lines = landing.scan_lines(spark, root, root)
     return staging.typed(lines.where(F.col("load_status") == landing.LOADED)).select(
         "event_id",
         "event_type",
@@ -90,18 +91,35 @@ def raw_json_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load_report(spark: SparkSession, folder: str) -> DataFrame:
-    report = landing.load_hours(
-        spark,
-        land(spark, folder),
-        workspace.fresh_path(spark, "raw"),
-        workspace.fresh_path(spark, "ledger"),
-    )
+    """The hours before the last day are loaded, then all: the first are in the ledger already."""
+    last = table(spark, folder, "events").agg(F.date_trunc("day", F.max("ts"))).first()[0]
+    root = land(spark, folder)
+    path, ledger = workspace.fresh_path(spark, "raw"), workspace.fresh_path(spark, "ledger")
+    landing.load_hours(spark, root, path, ledger, end=last - timedelta(hours=1))
+    report = landing.load_hours(spark, root, path, ledger)
     hour = F.regexp_extract("source_file", r"^(.*)/[^/]*$", 1)
     return report.groupBy(hour.alias("source_hour"), "status").agg(
         F.sum("rows_loaded").alias("rows_loaded"), F.sum("errors_seen").alias("errors_seen")
     )
 
 
+def backfill_result(spark: SparkSession, folder: str) -> DataFrame:
+    """The last two days are loaded and staged, then all days before them are
+    backfilled, whose files hold events of the hour before too."""
+    last = table(spark, folder, "events").agg(F.date_trunc("day", F.max("ts"))).first()[0]
+    root = workspace.fresh_path(spark, "landing")
+    shapes.write_landing(shapes.late_lines(table(spark, folder, "events")), root)
+    layout = build.Layout(workspace.fresh_path(spark, "tables"))
+    load = lambda **bounds: landing.load_hours(spark, root, layout.raw, layout.ledger, **bounds)
+    load(start=last - timedelta(days=1))
+    build.stage(spark, layout)
+    first = table(spark, folder, "events").agg(F.date_trunc("day", F.min("ts"))).first()[0]
+    end = last - timedelta(days=1, hours=1)
+    load(start=first, end=end)
+    build.stage_hours(spark, layout, first, end)
+    return staging.read_staged(spark, layout.staged).select(*SCALARS)
+
+
 def unloaded_files(spark: SparkSession, folder: str) -> DataFrame:
     """Hours with events are landed; those before the last day are in the ledger."""
     events = table(spark, folder, "events").select(F.date_trunc("hour", "ts").alias("hour"))
@@ -261,11 +279,16 @@ def dq_accepted_values(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_freshness(spark: SparkSession, folder: str) -> DataFrame:
-    """As of four hours after the last whole hour of the events."""
+    """As of times that lie on a limit, just beyond it, and in between."""
     events = raw(spark, folder)
     newest = ranking.newest(events, "created_at")
-    as_of = F.date_trunc("hour", newest) + F.expr("INTERVAL 4 HOURS")
-    return quality.freshness(events, as_of)
+    rows = None
+    for hours in (0, 2, 4, 6):
+        for late in (0, 500_000):
+            as_of = newest + F.expr(f"INTERVAL {hours} HOURS") + F.expr(f"INTERVAL {late} MICROSECONDS")
+            row = quality.freshness(events, as_of)
+            rows = row if rows is None else rows.unionByName(row)
+    return rows
 
 
 # --- serving -----------------------------------------------------------------
@@ -280,24 +303,95 @@ def insight_feed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def latest_insight(spark: SparkSession, folder: str) -> DataFrame:
-    """Two briefings are logged for the newest events; the later one is read."""
-    events = staged(spark, folder)
-    trending = workspace.pin(marts.trending_repos(events), "trending")
+def log_insights(spark: SparkSession, folder: str) -> str:
+    """Two briefings logged for the newest events."""
+    trending = workspace.pin(marts.trending_repos(staged(spark, folder)), "trending")
     now = table(spark, folder, "events").agg(F.max("ts")).first()[0]
     path = workspace.fresh_path(spark, "insights")
     for minutes, text in ((0, "first briefing"), (5, "second briefing")):
         serving.append_insight(
             trending, path, text, "none", now.replace(minute=minutes, second=0, microsecond=0)
         )
-    return serving.latest_insight(spark, path)
+    return path
+
+
+def latest_insight(spark: SparkSession, folder: str) -> DataFrame:
+    """The later briefing, with the best entry of its list."""
+    path = log_insights(spark, folder)
+    best = (
+        serving.insight_log(spark, path)
+        .groupBy("generated_at")
+        .agg(F.min(F.struct("place", "item")).alias("best"), F.count("*").alias("entries"))
+    )
+    return serving.latest_insight(spark, path).join(best, "generated_at").select(
+        "insight_text", "generated_at", "model_used", F.col("best.item").alias("best"), "entries"
+    )
+
+
+def insight_log(spark: SparkSession, folder: str) -> DataFrame:
+    return serving.in_order(serving.insight_log(spark, log_insights(spark, folder)), "insight_log")
 
 
 def trending_for_day(spark: SparkSession, folder: str) -> DataFrame:
     """A day picked by a reader: here a week before the last."""
     trending = workspace.pin(marts.trending_repos(staged(spark, folder)), "trending")
     day = F.date_sub(ranking.newest(trending, "date_day"), 7)
-    return serving.trending_for_day(trending, day)
+    return serving.in_order(serving.trending_for_day(trending, day), "trending_for_day")
+
+
+# --- the job -----------------------------------------------------------------
+
+
+def incremented(spark: SparkSession, folder: str) -> build.Layout:
+    """Day tables and marts after a first run and an increment of the last five days."""
+    layout = build.Layout(workspace.fresh_path(spark, "tables"))
+    target, everything = split_at_last_days(spark, folder)
+    staging.write_staged(target, layout.staged)
+    build.update_day_tables(spark, layout)
+    staging.incremental_run(everything, layout.staged)
+    build.build_marts(spark, layout)
+    return layout
+
+
+def marts_after_increment(spark: SparkSession, folder: str) -> DataFrame:
+    """All four marts as they are stored, one JSON text a row."""
+    layout = incremented(spark, folder)
+    rows = None
+    for name in build.MARTS:
+        mart = build.read_mart(spark, layout, name)
+        part = mart.select(
+            F.lit(name).alias("mart"), F.to_json(F.struct(*sorted(mart.columns)), {"ignoreNullFields": "false"}).alias("row")
+        )
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+def rebuilt_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """A mart that was stored for fewer events and is replaced by a rebuild."""
+    layout = incremented(spark, folder)
+    staging.full_refresh(raw(spark, folder), layout.staged)
+    build.build_marts(spark, layout)
+    return build.read_mart(spark, layout, "label_usage")
+
+
+def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Repeats dropped in a stream of all raw events, by bounded state."""
+    store, out, position = [
+        workspace.fresh_path(spark, label) for label in ("raw", "kept", "position")
+    ]
+    landing.as_stored(raw(spark, folder)).write.partitionBy("load_status").parquet(store)
+    events = changes.raw_changes(spark, store).select(F.col("id").alias("event_id"), "created_at")
+    query = (
+        changes.drop_repeats(events)
+        .select("event_id")
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", position)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema("event_id string").parquet(out)
 
 
 TRENDING = [marts.trending_repos, mart("trending")]
@@ -307,6 +401,7 @@ LABELS = [marts.label_usage, mart("labels")]
 QUERIES: dict[str, Query] = {
     "raw_json_scan": raw_json_scan,
     "load_report": load_report,
+    "backfill_result": backfill_result,
     "unloaded_files": unloaded_files,
     "hour_spine": hour_spine,
     "missing_hours": missing_hours,
@@ -348,12 +443,17 @@ QUERIES: dict[str, Query] = {
     "feed_labels": on(staged, *LABELS, serving.feed_labels, shown("feed_labels")),
     "insight_feed": insight_feed,
     "latest_insight": latest_insight,
+    "insight_log": insight_log,
     "last_updated": on(staged, serving.last_updated),
     "available_days": on(staged, *TRENDING, serving.available_days),
     "trending_for_day": trending_for_day,
     "trends_30d": on(staged, *TRENDS, serving.trends_30d, shown("trends_30d")),
     "growth_points": on(staged, *TRENDS, serving.growth_points),
     "labels_latest": on(staged, *LABELS, serving.labels_latest, shown("labels_latest")),
+    "labels_chart": on(staged, *LABELS, serving.labels_chart, shown("labels_chart")),
+    "marts_after_increment": marts_after_increment,
+    "rebuilt_marts": rebuilt_marts,
+    "stream_dedup": stream_dedup,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
     "dq_accepted_values": dq_accepted_values,

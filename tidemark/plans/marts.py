@@ -44,11 +44,17 @@ def trending_repos(
     mapping: Mapping[str, str] = EVENT_CATEGORIES,
     calendar: bool = False,
 ) -> DataFrame:
-    """Entities ranked per day by stars over their last seven active days.
+    """Entities ranked per day by stars over their last seven active days."""
+    return trending_of(repo_daily_stats(events, mapping), limit, calendar)
+
+
+def trending_of(stats: DataFrame, limit: int = 100, calendar: bool = False) -> DataFrame:
+    """The same from the day-grain table. Runs a job when called: the rolling
+    sums are stored, as they are read by value and by row.
 
     Ties share a rank and all stay, so a day may hold more than ``limit`` rows.
     """
-    rolling = rolling_7d(repo_daily_stats(events, mapping), calendar=calendar).select(
+    rolling = rolling_7d(stats, calendar=calendar).select(
         "repo_id",
         "repo_name",
         "date_day",
@@ -121,7 +127,12 @@ def category_trends(
 
 def label_usage(events: DataFrame, limit: int = 20) -> DataFrame:
     """Labels ranked per day by applications; ties stay."""
-    daily = workspace.pin(label_daily(pr_labels(events)), "label-daily")
+    return labels_of(label_daily(pr_labels(events)), limit)
+
+
+def labels_of(daily: DataFrame, limit: int = 20) -> DataFrame:
+    """The same from the day-grain table. Runs a job when called."""
+    daily = workspace.pin(daily, "label-daily")
     return top_ranked(daily, "date_day", "label_applied_count", limit, "daily_rank").select(
         "date_day",
         "label_name",

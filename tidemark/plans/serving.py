@@ -14,10 +14,17 @@ INSIGHT_SCHEMA = T.StructType(
         T.StructField("insight_date", T.DateType()),
         T.StructField("generated_at", T.TimestampNTZType()),
         T.StructField("insight_text", T.StringType()),
-        T.StructField("trending_repos", T.VariantType()),
         T.StructField("model_used", T.StringType()),
     ]
 )
+# The ranked list that a briefing was written from, however long: one row per entry.
+ITEM_SCHEMA = T.StructType(
+    [
+        T.StructField("generated_at", T.TimestampNTZType()),
+        T.StructField("place", T.LongType()),
+        T.StructField("item", T.VariantType()),
+    ]
+)
 
 # The order in which each mart and read is shown. Tables are
 # stored without it; ``-`` is descending.
@@ -32,12 +39,9 @@ SHOWN: dict[str, tuple[str, ...]] = {
     "trends_30d": ("date_day", "-event_count"),
     "labels_latest": ("daily_rank",),
     "labels_chart": ("label_applied_count",),
+    "insight_log": ("generated_at", "place", "item"),
 }
 
-# Ties may make a ranked list long; one briefing row holds no longer list.
-MAX_INSIGHT_ITEMS = 10_000
-
-
 def in_order(df: DataFrame, read: str) -> DataFrame:
     """Sort a mart or a read for showing it."""
     return df.orderBy(
@@ -123,6 +127,11 @@ def growth_points(trends: DataFrame) -> DataFrame:
     return trends_30d(trends).dropna(subset=["wow_growth_rate"])
 
 
+def labels_chart(labels: DataFrame) -> DataFrame:
+    """The latest labels as the chart reads them; shown by rising count."""
+    return labels_latest(labels).select("label_name", "label_applied_count")
+
+
 def append_insight(
     trending: DataFrame,
     path: str,
@@ -130,36 +139,47 @@ def append_insight(
     model: str,
     generated_at: datetime | None = None,
 ) -> None:
-    """Append one briefing with the ranked list it was written from.
+    """Append one briefing and the ranked list it was written from.
 
-    Date and time default to now. ``text`` comes from the caller.
+    Date and time default to now. ``text`` comes from the caller. The entries
+    are written first, so that a briefing is never without them; those of a run
+    that died before the briefing belong to none.
     """
     spark = trending.sparkSession
-    top = feed_trending(trending)
-    size = top.limit(MAX_INSIGHT_ITEMS + 1).count()
-    if size > MAX_INSIGHT_ITEMS:
-        raise ValueError(f"more than {MAX_INSIGHT_ITEMS} tied entries do not fit one briefing row")
     if generated_at is None:
-        at = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
-    else:
-        at = instant(generated_at)
-    ranked = F.collect_list(F.struct(F.col("trending_rank").alias("place"), *top.columns))
-    items = F.transform(F.array_sort(ranked), lambda row: row.dropFields("place"))
-    row = top.agg(
+        now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
+        generated_at = spark.range(1).select(now).first()[0]
+    at = instant(generated_at)
+    top = feed_trending(trending)
+    items = top.select(
+        at.alias("generated_at"),
+        F.col("trending_rank").cast("bigint").alias("place"),
+        F.parse_json(F.to_json(F.struct(*top.columns))).alias("item"),
+    )
+    items.write.mode("append").parquet(f"{path}/items")
+    briefing = spark.range(1).select(
         F.to_date(at).alias("insight_date"),
         at.alias("generated_at"),
         F.lit(text).alias("insight_text"),
-        F.parse_json(F.to_json(items)).alias("trending_repos"),
         F.lit(model).alias("model_used"),
     )
-    row.write.mode("append").parquet(path)
+    briefing.write.mode("append").parquet(f"{path}/briefings")
+
+
+def insights(spark: SparkSession, path: str) -> DataFrame:
+    """All briefings."""
+    return spark.read.schema(INSIGHT_SCHEMA).parquet(f"{path}/briefings")
 
 
 def latest_insight(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        spark.read.schema(INSIGHT_SCHEMA)
-        .parquet(path)
-        .orderBy(F.desc("generated_at"))
-        .limit(1)
-        .select("insight_text", "generated_at", "model_used")
+    newest = insights(spark, path).orderBy(F.desc("generated_at")).limit(1)
+    return newest.select("insight_text", "generated_at", "model_used")
+
+
+def insight_log(spark: SparkSession, path: str) -> DataFrame:
+    """Every entry of every briefing's list, by place, as JSON text."""
+    items = spark.read.schema(ITEM_SCHEMA).parquet(f"{path}/items")
+    told = insights(spark, path).select("generated_at").distinct()
+    return items.join(told, "generated_at").select(
+        "generated_at", "place", F.to_json("item").alias("item")
     )

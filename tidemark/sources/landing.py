@@ -7,11 +7,13 @@ sorts out bad lines and writes, without a shuffle.
 
 from __future__ import annotations
 
-from datetime import datetime
+import uuid
+from collections.abc import Collection
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark import tables
+from tidemark import tables, workspace
 from tidemark.functions.expressions import instant
 
 RAW_SCHEMA = T.StructType(
@@ -27,11 +29,14 @@ RAW_SCHEMA = T.StructType(
 HOUR_COLUMNS = ["year", "month", "day", "hour"]
 PATH_SCHEMA = T.StructType([T.StructField(c, T.IntegerType()) for c in HOUR_COLUMNS])
 
-# Stored form: the raw columns, where each row came from, and, for a line that
-# could not be loaded, the line itself and why. Partitioned by load_status first.
+# Stored form: the raw columns, a hash of the line, which run loaded each row from
+# which file, and, for a line that could not be loaded, the line itself and why.
+# Partitioned by load_status first.
 STORED_SCHEMA = T.StructType(
     [
         *RAW_SCHEMA.fields,
+        T.StructField("line_hash", T.LongType()),
+        T.StructField("load_id", T.StringType()),
         T.StructField("source_file", T.StringType()),
         T.StructField("bad_line", T.StringType()),
         T.StructField("bad_reason", T.StringType()),
@@ -45,10 +50,14 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("rows_loaded", T.LongType()),
         T.StructField("errors_seen", T.LongType()),
         T.StructField("loaded_at", T.TimestampType()),
+        T.StructField("first_created_at", T.TimestampNTZType()),
+        T.StructField("last_created_at", T.TimestampNTZType()),
     ]
 )
 LOADED, REJECTED = "loaded", "rejected"
 FILES = "*.gz"
+#: Loaded files of half-loaded hours whose names are broadcast; more are joined.
+MOST_NAMES = 100_000
 
 
 def path_hour() -> Column:
@@ -66,6 +75,33 @@ def in_hours(start: datetime | None, end: datetime | None) -> Column:
     return wanted
 
 
+def hour_folder(hour: datetime) -> str:
+    return f"year={hour:%Y}/month={hour:%m}/day={hour:%d}/hour={hour:%H}"
+
+
+def landed_hours(
+    spark: SparkSession, root: str, start: datetime | None, end: datetime | None
+) -> list[datetime] | None:
+    """The hours of a bounded range that have a folder; None for an open range.
+
+    One listing per day of the range, whatever else is landed.
+    """
+    if start is None or end is None:
+        return None
+    found, day = [], start.replace(hour=0, minute=0, second=0, microsecond=0)
+    while day <= end:
+        names = tables.child_names(spark, f"{root}/{hour_folder(day).rpartition('/')[0]}")
+        hours = [day.replace(hour=int(n.split("=")[1])) for n in names if n.startswith("hour=")]
+        found += [h for h in sorted(hours) if start <= h <= end]
+        day += timedelta(days=1)
+    return found
+
+
+def at_hours(hours: Collection[datetime]) -> Column:
+    """Partition filter for a choice of file hours."""
+    return path_hour().isin([instant(hour) for hour in hours])
+
+
 def relative_path(full: Column) -> Column:
     """A file's identity: its path below the landing root."""
     return F.regexp_extract(full, r"(year=[^/]+/.*)$", 1)
@@ -94,6 +130,7 @@ def parse_lines(lines: DataFrame, text: str = "value") -> DataFrame:
             F.when(F.col("_v").isNull(), "not JSON")
             .when(at.isNotNull() & at.try_cast("timestamp_ntz").isNull(), "not a time")
             .alias("bad_reason"),
+            F.xxhash64("_line").alias("line_hash"),
             "_line",
             *others,
         )
@@ -110,13 +147,20 @@ def parse_lines(lines: DataFrame, text: str = "value") -> DataFrame:
 def list_files(
     spark: SparkSession, root: str, start: datetime | None = None, end: datetime | None = None
 ) -> DataFrame:
-    """Landed files by path; their content is not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", FILES)
-        .load(root)
-        .select("path", *[F.col(c).cast("int") for c in HOUR_COLUMNS])
-    )
+    """Landed files by path; their content is not read. A bounded range lists its own folders only."""
+    hours = landed_hours(spark, root, start, end)
+    schema = T.StructType([T.StructField("path", T.StringType()), *PATH_SCHEMA.fields])
+    if hours == []:
+        files = spark.createDataFrame([], schema)
+    else:
+        paths = root if hours is None else [f"{root}/{hour_folder(h)}" for h in hours]
+        files = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", FILES)
+            .option("basePath", root)
+            .load(paths)
+            .select("path", *[F.col(c).cast("int") for c in HOUR_COLUMNS])
+        )
     return files.where(in_hours(start, end)).withColumn(
         "source_file", relative_path(F.col("path"))
     )
@@ -138,18 +182,23 @@ def read_ledger(spark: SparkSession, path: str, history_days: int | None = None)
     return ledger.where(F.col("loaded_at") >= kept_from)
 
 
-def loaded_hours(ledger: DataFrame) -> DataFrame:
-    """The hours that the ledger's paths name, as a column ``hour``."""
+def file_hour() -> Column:
+    """The hour that a ledger path names."""
     folder = r"year=(\d+)/month=(\d+)/day=(\d+)/hour=(\d+)/"
     parts = [F.regexp_extract("source_file", folder, i).cast("int") for i in range(1, 5)]
-    hour = F.make_timestamp_ntz(*parts, F.lit(0), F.lit(0).cast("decimal(16,6)"))
-    return ledger.select(hour.alias("hour")).distinct()
+    return F.make_timestamp_ntz(*parts, F.lit(0), F.lit(0).cast("decimal(16,6)"))
+
+
+def loaded_hours(ledger: DataFrame) -> DataFrame:
+    """The hours that the ledger's paths name, as a column ``hour``."""
+    return ledger.select(file_hour().alias("hour")).distinct()
 
 
-def scan_lines(spark: SparkSession, paths: list[str], root: str) -> DataFrame:
-    """Parsed lines of the given files, with their hour and source file."""
+def scan_lines(spark: SparkSession, paths: str | list[str], root: str) -> DataFrame:
+    """Parsed lines of the files below ``paths``, with their hour and source file."""
     lines = (
         spark.read.option("basePath", root)
+        .option("pathGlobFilter", FILES)
         .option("lineSep", "\n")
         .text(paths)
         .select(
@@ -158,7 +207,8 @@ def scan_lines(spark: SparkSession, paths: list[str], root: str) -> DataFrame:
             relative_path(F.col("_metadata.file_path")).alias("source_file"),
         )
     )
-    return parse_lines(lines).select(*STORED_SCHEMA.names)
+    parsed = parse_lines(lines).withColumn("load_id", F.lit(None).cast("string"))
+    return parsed.select(*STORED_SCHEMA.names)
 
 
 def load_hours(
@@ -173,42 +223,81 @@ def load_hours(
     """Load the landed files of an hour range that are not in the ledger yet.
 
     Returns one row per file of the range: rows loaded, lines refused, status.
-    Landed files are kept. Loading the same range again adds nothing. A run
-    that dies before the ledger is written may leave rows that the next run
-    adds again; staging removes such copies.
+    Landed files are kept. Loading the same range again adds nothing. The
+    driver holds the hours to load, never the files. A run that dies before the
+    ledger is written may leave rows that the next run adds again; staging
+    removes such copies, and the counts are over a run's own rows.
     """
     files = list_files(spark, root, start, end)
     ledger = read_ledger(spark, ledger_path, history_days)
-    # Paths only; the driver holds the same list to plan the scan.
-    pending = unloaded(files, ledger).select("path", "source_file", *HOUR_COLUMNS).collect()
-    names = spark.createDataFrame(
-        [(row["source_file"],) for row in pending], "source_file string"
-    )
-    if pending:
-        scanned = scan_lines(spark, [row["path"] for row in pending], root)
-        scanned.write.mode("append").partitionBy("load_status", *HOUR_COLUMNS).parquet(raw_path)
-        hours = [datetime(*[row[c] for c in HOUR_COLUMNS]) for row in pending]
-        written = read_stored(spark, raw_path).where(in_hours(min(hours), max(hours)))
-        counts = load_counts(written)
-        entries = names.join(counts, "source_file", "left").select(
+    pending = workspace.pin(unloaded(files, ledger).select("source_file", *HOUR_COLUMNS), "pending")
+    hours = [datetime(*row) for row in pending.select(*HOUR_COLUMNS).distinct().collect()]
+    load_id = uuid.uuid4().hex
+    if hours:
+        lines = scan_lines(spark, [f"{root}/{hour_folder(h)}" for h in sorted(hours)], root)
+        known = files.where(at_hours(hours)).join(ledger, "source_file", "left_semi")
+        known = workspace.pin(known.select("source_file"), "known")
+        few = known.limit(MOST_NAMES + 1).count()
+        if few:
+            names = F.broadcast(known) if few <= MOST_NAMES else known
+            lines = lines.join(names, "source_file", "left_anti").select(*STORED_SCHEMA.names)
+        (
+            lines.withColumn("load_id", F.lit(load_id))
+            .write.mode("append")
+            .partitionBy("load_status", *HOUR_COLUMNS)
+            .parquet(raw_path)
+        )
+        written = read_stored(spark, raw_path).where(
+            at_hours(hours) & (F.col("load_id") == load_id)
+        )
+        entries = pending.join(load_counts(written), "source_file", "left").select(
             "source_file",
             F.coalesce("rows_loaded", F.lit(0)).cast("bigint").alias("rows_loaded"),
             F.coalesce("errors_seen", F.lit(0)).cast("bigint").alias("errors_seen"),
             F.current_timestamp().alias("loaded_at"),
+            "first_created_at",
+            "last_created_at",
         )
-        entries.coalesce(1).write.mode("append").parquet(ledger_path)
-    fresh = read_ledger(spark, ledger_path).join(names, "source_file", "left_semi")
+        # Few files, as many as the size asks for.
+        entries.hint("rebalance").write.mode("append").parquet(ledger_path)
+    fresh = read_ledger(spark, ledger_path).join(pending, "source_file", "left_semi")
     return load_report(files, fresh)
 
 
 def load_counts(stored: DataFrame) -> DataFrame:
-    """Rows loaded and lines refused per source file."""
+    """Per source file: rows loaded, lines refused, and the span of the loaded rows' times."""
+    loaded = F.col("load_status") == LOADED
+    at = F.when(loaded, F.col("created_at"))
     return stored.groupBy("source_file").agg(
-        F.count_if(F.col("load_status") == LOADED).alias("rows_loaded"),
+        F.count_if(loaded).alias("rows_loaded"),
         F.count_if(F.col("load_status") == REJECTED).alias("errors_seen"),
+        F.min(at).alias("first_created_at"),
+        F.max(at).alias("last_created_at"),
     )
 
 
+def hours_reaching(ledger: DataFrame, stored: list[datetime], after: datetime) -> list[datetime]:
+    """Those of the ``stored`` hours whose files may hold an event later than ``after``.
+
+    By the ledger's newest event of each hour; hours that it does not know are
+    kept. Collected is one row per hour.
+    """
+    newest = ledger.select(file_hour().alias("hour"), "last_created_at").groupBy("hour")
+    done = newest.agg(F.max("last_created_at").alias("last")).where(
+        F.col("last").isNull() | (F.col("last") <= instant(after))
+    )
+    old = {row["hour"] for row in done.select("hour").collect()}
+    return [hour for hour in stored if hour not in old]
+
+
+def stored_hours(spark: SparkSession, raw_path: str) -> list[datetime]:
+    """The hours that the raw table has loaded rows of, from folder names only."""
+    found = []
+    for path in tables.descend(spark, f"{raw_path}/load_status={LOADED}", len(HOUR_COLUMNS)):
+        found.append(datetime(*[int(part.split("=")[1]) for part in path.split("/")[-len(HOUR_COLUMNS) :]]))
+    return sorted(found)
+
+
 def load_report(files: DataFrame, fresh: DataFrame) -> DataFrame:
     """Outcome per file: counts for those just loaded, none for the others."""
     counts = fresh.groupBy("source_file").agg(
@@ -232,9 +321,11 @@ def load_report(files: DataFrame, fresh: DataFrame) -> DataFrame:
 def as_stored(raw: DataFrame) -> DataFrame:
     """Raw events that came another way, in the stored form."""
     at = F.col("created_at")
-    missing = ("source_file", "bad_line", "bad_reason")
+    missing = ("load_id", "source_file", "bad_line", "bad_reason")
+    whole = F.struct(*[F.to_json(c) if c in ("actor", "repo", "payload") else F.col(c) for c in RAW_SCHEMA.names])
     return raw.withColumns(
         {
+            "line_hash": F.xxhash64(whole),
             **{c: F.lit(None).cast("string") for c in missing},
             "load_status": F.lit(LOADED),
             "year": F.year(at),
@@ -256,12 +347,13 @@ def raw_events(
     raw_path: str,
     start: datetime | None = None,
     end: datetime | None = None,
+    hours: Collection[datetime] | None = None,
 ) -> DataFrame:
-    """The raw event table; an hour range prunes partitions."""
-    stored = read_stored(spark, raw_path)
-    return stored.where((F.col("load_status") == LOADED) & in_hours(start, end)).select(
-        *RAW_SCHEMA.names
-    )
+    """The raw event table with the hash of each line; a range or a choice of hours prunes partitions."""
+    wanted = (F.col("load_status") == LOADED) & in_hours(start, end)
+    if hours is not None:
+        wanted = wanted & at_hours(hours)
+    return read_stored(spark, raw_path).where(wanted).select(*RAW_SCHEMA.names, "line_hash")
 
 
 def rejected_lines(spark: SparkSession, raw_path: str) -> DataFrame:

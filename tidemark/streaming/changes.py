@@ -15,12 +15,12 @@ from tidemark.sources.landing import LOADED, RAW_SCHEMA, STORED_SCHEMA
 
 
 def raw_changes(spark: SparkSession, raw_path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Rows appended to the raw table, in the raw columns."""
+    """Rows appended to the raw table, in the raw columns, with the hash of the line."""
     reader = spark.readStream.schema(STORED_SCHEMA)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stored = reader.parquet(raw_path)
-    return stored.where(F.col("load_status") == LOADED).select(*RAW_SCHEMA.names)
+    return stored.where(F.col("load_status") == LOADED).select(*RAW_SCHEMA.names, "line_hash")
 
 
 def apply_changes(
@@ -41,7 +41,7 @@ def apply_changes(
             bound = newest - timedelta(hours=lookback_hours)
             changes = changes.where(F.col("created_at") > instant(bound))
     staged = stage_to_store(changes, require_repo)
-    if not tables.exists(spark, path):
+    if not tables.published(spark, path):
         write_staged(staged, path)
         return
     with workspace.scoped(spark):

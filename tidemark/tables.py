@@ -1,7 +1,15 @@
-"""Day-partitioned Parquet tables."""
+"""Parquet tables partitioned by day, published by a manifest.
+
+A write puts its days into a folder of its own version, beside what is there, and
+then publishes a small manifest: the live version of each day. Readers resolve
+days through the newest manifest, so a write that dies leaves the table as it
+was. ``remove_old`` deletes what no kept manifest names. There is one writer.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterable
 from datetime import date, datetime
 
@@ -9,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 DAY = "date_day"
 NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+MANIFESTS = "_manifests"
 
 
 def _folder(spark: SparkSession, path: str):
@@ -21,15 +30,81 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
-def days(spark: SparkSession, path: str) -> list[date | None]:
-    """Stored days, oldest first, from folder names only. None is the NULL day."""
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder; none if it is not there."""
     files, folder = _folder(spark, path)
     if not files.exists(folder):
         return []
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
-    values = [name.split("=", 1)[1] for name in names if name.startswith(f"{DAY}=")]
-    known = sorted(date.fromisoformat(value) for value in values if value != NULL_DAY)
-    return ([None] if NULL_DAY in values else []) + known
+    return [status.getPath().getName() for status in files.listStatus(folder)]
+
+
+def descend(spark: SparkSession, path: str, levels: int) -> list[str]:
+    """The partition folders so many levels below ``path``."""
+    found = [path]
+    for _ in range(levels):
+        found = [f"{p}/{name}" for p in found for name in child_names(spark, p) if "=" in name]
+    return found
+
+
+def _day_name(day: date | None) -> str:
+    return f"{DAY}={NULL_DAY if day is None else day.isoformat()}"
+
+
+def _day_of(name: str) -> date | None:
+    value = name.split("=", 1)[1]
+    return None if value == NULL_DAY else date.fromisoformat(value)
+
+
+def _manifest(spark: SparkSession, path: str) -> tuple[int, dict[date | None, str]]:
+    """Number of the newest manifest, 0 if there is none, and each day's version."""
+    numbers = [int(n.split(".")[0]) for n in child_names(spark, f"{path}/{MANIFESTS}") if n.endswith(".json")]
+    if not numbers:
+        return 0, {}
+    return max(numbers), _read_manifest(spark, path, max(numbers))
+
+
+def _read_manifest(spark: SparkSession, path: str, number: int) -> dict[date | None, str]:
+    files, file = _folder(spark, f"{path}/{MANIFESTS}/{number:012d}.json")
+    stream = files.open(file)
+    try:
+        reader = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return {_day_of(name): version for name, version in json.loads(reader).items()}
+
+
+def _publish(spark: SparkSession, path: str, number: int, live: dict[date | None, str]) -> None:
+    """Make ``live`` the table: a rename puts the whole manifest in its place."""
+    name = f"{path}/{MANIFESTS}/{number:012d}.json"
+    files, draft = _folder(spark, f"{name}.{uuid.uuid4().hex}.draft")
+    stream = files.create(draft, False)
+    try:
+        text = json.dumps({_day_name(day): version for day, version in live.items()})
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not files.rename(draft, spark._jvm.org.apache.hadoop.fs.Path(name)):
+        raise RuntimeError(f"another writer has published {name}")
+
+
+def versions(spark: SparkSession, path: str) -> dict[date | None, str]:
+    """The live version of each day."""
+    return _manifest(spark, path)[1]
+
+
+def publish(spark: SparkSession, path: str, live: dict[date | None, str]) -> None:
+    """Publish days and versions alone: a note of what another table has seen."""
+    _publish(spark, path, _manifest(spark, path)[0] + 1, live)
+
+
+def published(spark: SparkSession, path: str) -> bool:
+    return _manifest(spark, path)[0] > 0
+
+
+def days(spark: SparkSession, path: str) -> list[date | None]:
+    """Live days, oldest first, the NULL day before all."""
+    live = _manifest(spark, path)[1]
+    return ([None] if None in live else []) + sorted(day for day in live if day is not None)
 
 
 def on_days(wanted: Iterable[date | None]) -> Column:
@@ -39,41 +114,75 @@ def on_days(wanted: Iterable[date | None]) -> Column:
     return match | F.col(DAY).isNull() if None in wanted else match
 
 
-def read_by_day(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_by_day(
+    spark: SparkSession, path: str, schema: T.StructType, only: Iterable[date | None] | None = None
+) -> DataFrame:
+    """The table, or some of its days: other days' folders are not even listed."""
     stored = T.StructType([f for f in schema.fields if f.name != DAY]).add(DAY, T.DateType())
-    return spark.read.schema(stored).parquet(path)
+    live = _manifest(spark, path)[1]
+    wanted = live if only is None else [day for day in set(only) if day in live]
+    folders = [f"{path}/{live[day]}/{_day_name(day)}" for day in wanted]
+    if not folders:
+        return spark.createDataFrame([], stored)
+    # The versions are folders of partitions too; their column is left out.
+    return spark.read.schema(stored).option("basePath", path).parquet(*folders).select(*stored.names)
 
 
-def write_by_day(df: DataFrame, path: str, key: str, replace_days_only: bool = False) -> None:
-    """Overwrite the table, or only the days that ``df`` has rows for.
+def write_by_day(
+    df: DataFrame, path: str, key: str, replace: Iterable[date | None] | None = None
+) -> None:
+    """Replace the table, or with ``replace`` those days; of them, those without rows in ``df`` go.
 
     The rebalance hint gathers each day into few files and lets adaptive
     execution split a day that is larger than the advisory partition size. The
     writer sorts by day anyway; sorting by key as well makes key ranges of row
     groups narrow.
     """
+    spark = df.sparkSession
+    number, live = _manifest(spark, path)
+    version = f"version={number + 1:012d}-{uuid.uuid4().hex}"
     (
         df.hint("rebalance", DAY)
         .sortWithinPartitions(DAY, key)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if replace_days_only else "static")
-        .partitionBy(DAY)
-        .parquet(path)
+        .write.partitionBy(DAY)
+        .parquet(f"{path}/{version}")
     )
-
-
-def drop_days(spark: SparkSession, path: str, unwanted: Iterable[date | None]) -> None:
-    files, folder = _folder(spark, path)
-    for day in unwanted:
-        name = NULL_DAY if day is None else day.isoformat()
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DAY}={name}"), True)
+    names = child_names(spark, f"{path}/{version}")
+    written = {_day_of(name): version for name in names if name.startswith(f"{DAY}=")}
+    if replace is None:
+        live = {}
+    else:
+        replaced = set(replace)
+        live = {day: v for day, v in live.items() if day not in replaced and day not in written}
+    _publish(spark, path, number + 1, live | written)
+
+
+def remove_old(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete the day folders that none of the last ``keep`` manifests names, and older manifests."""
+    number, _ = _manifest(spark, path)
+    kept = range(max(1, number - keep + 1), number + 1)
+    named = {f"{v}/{_day_name(day)}" for n in kept for day, v in _read_manifest(spark, path, n).items()}
+    for version in child_names(spark, path):
+        if not version.startswith("version="):
+            continue
+        # A version beyond the newest manifest may be a write at work.
+        if int(version.split("=")[1].split("-")[0]) > number:
+            continue
+        days_ = [n for n in child_names(spark, f"{path}/{version}") if n.startswith(f"{DAY}=")]
+        unnamed = [n for n in days_ if f"{version}/{n}" not in named]
+        for name in unnamed if len(unnamed) < len(days_) else [""]:
+            files, folder = _folder(spark, f"{path}/{version}/{name}".rstrip("/"))
+            files.delete(folder, True)
+    for name in child_names(spark, f"{path}/{MANIFESTS}"):
+        if int(name.split(".")[0]) < kept.start:
+            files, file = _folder(spark, f"{path}/{MANIFESTS}/{name}")
+            files.delete(file, False)
 
 
 def newest_instant(spark: SparkSession, path: str, schema: T.StructType, at: str) -> datetime | None:
     """Greatest ``at`` of a table partitioned by its day; reads the last day only."""
     for day in reversed([d for d in days(spark, path) if d is not None]):
-        rows = read_by_day(spark, path, schema).where(F.col(DAY) == F.lit(day))
-        value = rows.agg(F.max(at)).first()[0]
+        value = read_by_day(spark, path, schema, [day]).agg(F.max(at)).first()[0]
         if value is not None:
             return value
     return None

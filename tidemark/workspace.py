@@ -21,11 +21,20 @@ _scope: ContextVar[str] = ContextVar("scope", default="session")
 
 
 def root(spark: SparkSession) -> str:
-    """This application's folder below the shared checkpoint folder."""
+    """This application's folder below the shared checkpoint folder.
+
+    The setting is taken as the cluster gives it. A folder that was only set on
+    the context must not be one of this machine alone.
+    """
     context = spark.sparkContext
-    base = spark.conf.get(SETTING, None) or context.getCheckpointDir()
+    local = context.master.startswith("local")
+    base = spark.conf.get(SETTING, None)
+    if not base:
+        base = context.getCheckpointDir()
+        if base and not local and base.startswith("file:"):
+            raise RuntimeError(f"{base} is on this machine alone; set {SETTING} to a shared folder")
     if not base:
-        if not context.master.startswith("local"):
+        if not local:
             raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         base = context.getCheckpointDir()
