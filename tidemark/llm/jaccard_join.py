@@ -343,13 +343,16 @@ def searched(entries: DataFrame, parts: int) -> DataFrame:
     )
     member = F.struct("key", "size", "component", "n")
     lists = sized.groupBy("token", "part").agg(F.sort_array(F.collect_list(member)).alias("members"))
-    rows = asking.join(lists, "token").select("x", "part", "x_size", "x_component", "x_n", "long", "members")
+    apart = [F.col(f"members.{c}").alias(c) for c in ("key", "size", "component", "n")]
+    rows = asking.join(lists.select("token", "part", *apart), "token").select(
+        "x", "part", "x_size", "x_component", "x_n", "long", "key", "size", "component", "n"
+    )
     rows = rows.repartition("x", "part").sortWithinPartitions("x", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def entries_() -> Iterator[tuple]:
             for batch in batches:
-                keys, sizes_, comps, ns = (np.asarray(c) for c in batch.column(6).flatten().flatten())
+                keys, sizes_, comps, ns = (np.asarray(batch.column(k).flatten()) for k in range(6, 10))
                 bounds = np.concatenate([[0], np.cumsum(batch.column(6).value_lengths().to_numpy())])
                 head = list(zip(*[batch.column(i).to_pylist() for i in range(6)], strict=True))
                 for i, (x, part, size, component, n, is_long) in enumerate(head):
@@ -403,6 +406,10 @@ def classes_with_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
         found = links if found is None else found.union(links)
         labels = components(found)
     rest = mixed_lists(with_component(entries, labels).withColumn("round", F.lit(0)))
+    # A class in fewer mixed lists than any partner must share links to no other component.
+    enough = rest.groupBy("key").agg(F.count("*").alias("lists"), F.first("n").alias("n"))
+    enough = pin(enough.where(F.col("lists") >= least_shared(F.col("n"))).select("key"), "enough")
+    rest = mixed_lists(rest.select(*entries.columns, "component", "size", "round").join(enough, "key"))
     rest = pin(rest.drop("round", "leader", "leads"), "rest")
     parts = parts_for(rest)
     named = rest.select("key", "component").distinct().withColumn("part", part_of("key", parts))
