@@ -6,9 +6,28 @@ that the JSON path is checked independently.
 
 from __future__ import annotations
 
-KIND = """CASE event_type WHEN 'view' THEN 'WatchEvent' WHEN 'click' THEN 'PushEvent'
- WHEN 'signup' THEN 'ForkEvent' WHEN 'error' THEN 'IssuesEvent'
- WHEN 'purchase' THEN 'PullRequestEvent' END"""
+OTHER_TYPES = [
+    "CreateEvent",
+    "DeleteEvent",
+    "IssueCommentEvent",
+    "PullRequestReviewEvent",
+    "PullRequestReviewCommentEvent",
+    "CommitCommentEvent",
+    "ReleaseEvent",
+    "PublicEvent",
+    "MemberEvent",
+    "GollumEvent",
+    "SponsorshipEvent",
+]
+ACCEPTED = ", ".join(
+    f"'{t}'"
+    for t in ["WatchEvent", "PushEvent", "ForkEvent", "IssuesEvent", "PullRequestEvent", *OTHER_TYPES]
+)
+
+KIND = f"""CASE WHEN event_type = 'purchase' THEN 'PullRequestEvent'
+ WHEN n % 7 = 3 THEN [{", ".join(f"'{t}'" for t in OTHER_TYPES)}, 'UnknownEvent', NULL][n % 13 + 1]
+ WHEN event_type = 'view' THEN 'WatchEvent' WHEN event_type = 'click' THEN 'PushEvent'
+ WHEN event_type = 'signup' THEN 'ForkEvent' WHEN event_type = 'error' THEN 'IssuesEvent' END"""
 
 SUFFIX = "CASE WHEN hour(sent_at) >= 12 THEN '-new' ELSE '' END"
 
@@ -23,8 +42,8 @@ sent AS (
   UNION ALL
   SELECT n, event_type, user_id, sent_at + INTERVAL 1 HOUR, true, k FROM source WHERE n % 20 = 0),
 deliveries AS (
-  SELECT n, again, CAST(n AS VARCHAR) AS event_id, {KIND} AS event_type, user_id AS actor_id,
-         'u' || user_id || {SUFFIX} AS actor_login,
+  SELECT n, again, CAST(n AS VARCHAR) AS event_id, {KIND} AS event_type, CASE WHEN n % 211 <> 5 THEN user_id END AS actor_id,
+         CASE WHEN n % 211 <> 5 THEN 'u' || user_id || {SUFFIX} END AS actor_login,
          CASE WHEN n % 500 <> 7 THEN k END AS repo_id,
          CASE WHEN n % 500 <> 7 THEN 'org' || (k % 10) || '/repo' || k || {SUFFIX} END AS repo_name,
          CASE WHEN n % 2 = 0 THEN 'labeled' ELSE 'opened' END AS action,
@@ -56,9 +75,14 @@ staged AS (
          l_partkey AS repo_id, 'part' || l_partkey AS repo_name, l_shipdate AS created_at
   FROM lineitem)"""
 
-CATEGORY = """CASE event_type WHEN 'WatchEvent' THEN 'star' WHEN 'ForkEvent' THEN 'fork'
- WHEN 'PushEvent' THEN 'code' WHEN 'PullRequestEvent' THEN 'code'
- WHEN 'IssuesEvent' THEN 'issue' ELSE 'other' END"""
+CATEGORY = """CASE WHEN event_type = 'WatchEvent' THEN 'star' WHEN event_type = 'ForkEvent' THEN 'fork'
+ WHEN event_type IN ('PushEvent', 'PullRequestEvent', 'PullRequestReviewEvent',
+                     'PullRequestReviewCommentEvent', 'CommitCommentEvent') THEN 'code'
+ WHEN event_type IN ('IssuesEvent', 'IssueCommentEvent') THEN 'issue'
+ WHEN event_type IN ('CreateEvent', 'DeleteEvent', 'PublicEvent') THEN 'repo_activity'
+ WHEN event_type = 'ReleaseEvent' THEN 'release'
+ WHEN event_type IN ('MemberEvent', 'SponsorshipEvent') THEN 'community'
+ WHEN event_type = 'GollumEvent' THEN 'wiki' ELSE 'other' END"""
 
 EVENTS = f"""
 kinds AS (SELECT *, {CATEGORY} AS category, CAST(created_at AS DATE) AS date_day FROM staged)"""
@@ -138,7 +162,8 @@ trends AS (
 PR_LABELS = f"""{STAGED},
 pr_labels AS (
   SELECT event_id, repo_id, repo_name, actor_id, created_at, pr_number,
-         'label' || ((n * 7 + p * 3) % 40) AS label_name, 'ededed' AS label_color,
+         CASE WHEN (n * 7 + p * 3) % 40 <> 39 THEN 'label' || ((n * 7 + p * 3) % 40) END
+           AS label_name, 'ededed' AS label_color,
          CAST(p AS BIGINT) AS label_position
   FROM staged CROSS JOIN (VALUES (0), (1), (2), (3)) AS positions(p)
   WHERE event_type = 'PullRequestEvent' AND action = 'labeled' AND p < n % 4)"""
@@ -266,8 +291,8 @@ def _report() -> str:
         ]
     )
     strange = (
-        "SELECT count(DISTINCT event_type) AS failures FROM staged WHERE event_type NOT IN "
-        "('WatchEvent', 'PushEvent', 'ForkEvent', 'IssuesEvent', 'PullRequestEvent')"
+        "SELECT count(DISTINCT event_type) AS failures FROM staged "
+        f"WHERE event_type NOT IN ({ACCEPTED})"
     )
     parts = [
         repeats("raw_events", "raw", "id"),
@@ -346,7 +371,8 @@ SELECT hour, hour_key, path FROM spine WHERE hour NOT IN
         STAGED,
         f"""SELECT {SCALARS}, '{{"action":"' || action || '","labels":['
  || array_to_string(list_transform(range(CAST(n % 4 AS BIGINT)),
-      lambda p: '{{"color":"ededed","name":"label' || ((n * 7 + p * 3) % 40) || '"}}'), ',')
+      lambda p: '{{"color":"ededed","name":' || CASE WHEN (n * 7 + p * 3) % 40 = 39 THEN 'null'
+        ELSE '"label' || ((n * 7 + p * 3) % 40) || '"' END || '}}'), ',')
  || '],"pull_request":{{"number":' || pr_number || '}}}}' AS payload FROM staged""",
     ),
     "full_refresh": over(

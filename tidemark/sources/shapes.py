@@ -16,6 +16,23 @@ EVENT_KINDS = {
     "error": "IssuesEvent",
     "purchase": "PullRequestEvent",
 }
+# Types that no kind maps to; one event in seven has one of these
+# in turn, or a type that is no accepted one, or none.
+OTHER_TYPES = (
+    "CreateEvent",
+    "DeleteEvent",
+    "IssueCommentEvent",
+    "PullRequestReviewEvent",
+    "PullRequestReviewCommentEvent",
+    "CommitCommentEvent",
+    "ReleaseEvent",
+    "PublicEvent",
+    "MemberEvent",
+    "GollumEvent",
+    "SponsorshipEvent",
+    "UnknownEvent",
+    None,
+)
 PRIORITY_KINDS = {
     "1-URGENT": "PushEvent",
     "2-HIGH": "IssuesEvent",
@@ -37,7 +54,9 @@ def _event_fields(events: DataFrame) -> DataFrame:
     """``events`` as deliveries with nested actor, repo and payload structs.
 
     Every twentieth event is delivered again an hour later, names change at
-    noon, one event in 500 has no repo, and labels come zero to three at a time.
+    noon, one event in 500 has no repo, one in 211 no actor, one in seven of
+    those without labels another type; labels come zero to three at a time, one
+    in forty without a name.
     """
     again = F.col("event_id") % 20 == 0
     later = F.col("ts") + F.expr("INTERVAL 1 HOUR")
@@ -52,16 +71,24 @@ def _event_fields(events: DataFrame) -> DataFrame:
     suffix = F.when(F.hour("at") >= 12, "-new").otherwise("")
     labels = [
         F.struct(
-            F.concat(F.lit("label"), (number * 7 + p * 3) % 40).alias("name"),
+            F.when(
+                (number * 7 + p * 3) % 40 != 39, F.concat(F.lit("label"), (number * 7 + p * 3) % 40)
+            ).alias("name"),
             F.lit("ededed").alias("color"),
         )
         for p in range(4)
     ]
+    others = F.array(*[F.lit(t).cast("string") for t in OTHER_TYPES])
+    other = F.element_at(others, (number % len(OTHER_TYPES) + 1).cast("int"))
+    kind = renamed(F.col("event_type"), EVENT_KINDS)
     return delivered.select(
         number.cast("string").alias("id"),
-        renamed(F.col("event_type"), EVENT_KINDS).alias("type"),
-        F.struct(
-            F.col("user_id").alias("id"), F.concat(F.lit("u"), "user_id", suffix).alias("login")
+        F.when((number % 7 == 3) & (kind != "PullRequestEvent"), other).otherwise(kind).alias("type"),
+        F.when(
+            number % 211 != 5,
+            F.struct(
+                F.col("user_id").alias("id"), F.concat(F.lit("u"), "user_id", suffix).alias("login")
+            ),
         ).alias("actor"),
         F.when(
             number % 500 != 7,
