@@ -8,12 +8,15 @@ expected to share a hash.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+#: The folder that holds the package.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Bytes of text that are worked on at a time. A single longer word is taken whole.
 SLICE = 1 << 20
 #: Bytes of text whose results are gathered before they are handed on.
@@ -196,7 +199,15 @@ def per_batch(
 def in_arrow(
     df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
 ) -> DataFrame:
-    """``mapInArrow`` with batches of bounded bytes."""
+    """``mapInArrow`` with batches of bounded bytes.
+
+    Workers look for this package also where the driver has it, so that it need
+    not be installed where they share that folder; elsewhere ship it with the job.
+    """
+    environment = df.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
     conf = df.sparkSession.conf
     for key, (default, small) in BATCHES.items():
         if conf.get(key, default) == default:
