@@ -20,9 +20,9 @@ are found by a search for shared tokens (T-occurrence):
    pair must share. Of
    two components the smaller one searches. A long list is cut into parts by a
    hash of the class, so that no task holds a whole one.
-5. Candidates are compared exactly, the classes of one component with a part of
-   another until one of them links: one link joins two components. The links of
-   all steps give the components.
+5. Candidates are compared exactly, a class with those of another component until
+   one of them links: one link joins two components. The links of all steps give
+   the components.
 
 Nothing is capped: leaders and sample only decide what is compared when.
 """
@@ -51,8 +51,8 @@ MOST_BROADCAST = 1_000_000
 LEADERS, ROUNDS = 2, 1
 #: A leader is compared with where it leads one in so many of a class's shingles.
 LEADS_ONE_IN = 12
-#: Entries of an inverted list, and classes of a component, that a part should hold;
-#: and searching classes that are compared with a part at a time.
+#: Entries of an inverted list, and classes to compare with, that a part should hold;
+#: and searches that are compared with a part at a time.
 PART, ASKING = 512, 256
 #: Digests that a task remembers so as not to send a set twice.
 REMEMBERED = 200_000
@@ -218,29 +218,47 @@ def linked(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def linked_to_components(texts: DataFrame, asked: DataFrame, named: DataFrame) -> DataFrame:
-    """Links (``a``, ``b``) of classes ``x`` to those among ``found``, of one part of a component.
+    """Links (``a``, ``b``) of classes ``x`` to those among ``found``, which are of one component.
 
-    ``asked`` has a row for each class, component and part; ``named`` the component
-    and part of every class. Of each row the first link found is given. A part's
-    sets are sent once for every so many classes that ask, not once for each pair.
+    Components that ask each other, over any number of steps, are compared in one
+    place, cut by a hash of the class into parts. A set is sent once to every part
+    where it is needed, not once for each pair. Of each row of ``asked`` and part
+    the first link found is given. ``named`` has the component of every class.
     """
-    turns = asked.groupBy("component", "part").agg(F.ceil(F.count("*") / ASKING).cast("int").alias("turns"))
+    pieces = components(asked.select(F.col("x_component").alias("a"), F.col("component").alias("b")).distinct(), "pieces")
+    pieces = pieces.select(F.col("node").alias("component"), F.col("component").alias("piece"))
+    placed = named.join(pieces, "component").select("piece", "key")
+    sizes = placed.groupBy("piece").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    pieces = pin(pieces.join(sizes, "piece"), "pieces")
+    part = lambda key, parts: F.pmod(F.xxhash64(key), parts).cast("int")
+    asking = (
+        asked.join(pieces, "component")
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("found", F.filter("found", lambda z: part(z, F.col("parts")) == F.col("part")))
+        .where(F.size("found") > 0)
+        .select("piece", "part", "x", "found")
+    )
+    asking = pin(asking, "asking")
+    turns = asking.groupBy("piece", "part").agg(F.ceil(F.count("*") / ASKING).cast("int").alias("turns"))
     turns = pin(turns, "turns")
-    block = F.pmod(F.xxhash64("x"), F.col("turns")).cast("int").alias("turn")
-    queries = asked.join(turns, ["component", "part"]).select("component", "part", block, "x", "found")
-    given = named.join(turns, ["component", "part"]).select(
-        "component", "part", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "key"
+    turn = F.pmod(F.xxhash64("x", F.lit("turn")), F.col("turns")).cast("int").alias("turn")
+    asking = asking.join(turns, ["piece", "part"]).select("piece", "part", turn, "x", "found")
+    given = (
+        placed.join(sizes, "piece")
+        .select("piece", part("key", F.col("parts")).alias("part"), "key")
+        .join(turns, ["piece", "part"])
+        .select("piece", "part", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "key")
+        .union(asking.select("piece", "part", "turn", "x"))
+        .distinct()
     )
-    keys = asked.select(F.col("x").alias("key")).union(given.where("turn = 0").select("key")).distinct()
-    sets = pin(sets_of(texts, pin(keys, "keys")), "sets")
-    none = F.lit(None).cast("array<long>")
-    own = sets.select(F.col("key").alias("x"), "members")
+    given = pin(given, "given")
+    sets = sets_of(texts, pin(given.select("key").distinct(), "keys"))
     rows = (
         given.join(sets, "key")
-        .select("component", "part", "turn", F.lit(0).alias("asks"), "key", "members", none.alias("found"))
-        .union(queries.join(own, "x").select("component", "part", "turn", F.lit(1), "x", "members", "found"))
+        .select("piece", "part", "turn", F.lit(0).alias("asks"), "key", "members", F.lit(None).cast("array<long>").alias("found"))
+        .union(asking.select("piece", "part", "turn", F.lit(1), "x", F.lit(None).cast("binary"), "found"))
     )
-    block = ["component", "part", "turn"]
+    block = ["piece", "part", "turn"]
     rows = rows.repartition(*block).sortWithinPartitions(*block, "asks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,18 +266,16 @@ def linked_to_components(texts: DataFrame, asked: DataFrame, named: DataFrame) -
         for batch in batches:
             out = []
             blocks = zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True)
-            found = batch.column(6)
+            members, found = batch.column(5), batch.column(6)
             for i, (where, asks, key) in enumerate(
                 zip(blocks, batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
             ):
-                members = batch.column(5)[i].as_buffer()
                 if where != at:
                     at, held = where, {}
                 if not asks:
-                    held[key] = np.frombuffer(members.to_pybytes(), np.uint64)
+                    held[key] = np.frombuffer(members[i].as_py(), np.uint64)
                     continue
-                x = np.frombuffer(members, np.uint64)
-                link = next((z for z in found[i].as_py() if similar(x, held[z])), None)
+                link = next((z for z in found[i].as_py() if similar(held[key], held[z])), None)
                 if link is not None:
                     out.append((min(key, link), max(key, link)))
             a, b = ([pair[k] for pair in out] for k in (0, 1))
@@ -320,8 +336,8 @@ def part_of(key: str, parts: int) -> Column:
 
 
 def searched(entries: DataFrame, parts: int) -> DataFrame:
-    """Per class ``x`` and part of another component: ``found``, the classes that share enough
-    tokens with it, from mixed lists' entries."""
+    """Per class ``x`` and other component: ``found``, its classes that share enough tokens with
+    ``x``, from mixed lists' entries; a row for each part of the lists."""
     sized = entries.withColumn("part", part_of("key", parts))
     # The searching side: all but those of the component that comes last in their list.
     rank = F.struct("size", "component")
@@ -359,9 +375,9 @@ def searched(entries: DataFrame, parts: int) -> DataFrame:
                     cut = slice(bounds[i], bounds[i + 1])
                     s, c = sizes_[cut], comps[cut]
                     later = (s > size) | ((s == size) & (c > component))
-                    yield (x, part), n, is_long, keys[cut][later], ns[cut][later], c[later]
+                    yield (x, part, component), n, is_long, keys[cut][later], ns[cut][later], c[later]
 
-        for (x, part), group in groupby(entries_(), key=lambda e: e[0]):
+        for (x, _, own), group in groupby(entries_(), key=lambda e: e[0]):
             short, long, known, n = [], [], {}, 0
             for _, n, is_long, members, ns, comps in group:  # noqa: B007
                 if is_long:
@@ -375,14 +391,14 @@ def searched(entries: DataFrame, parts: int) -> DataFrame:
                 by_component[known[z][1]].append(z)
             if by_component:
                 k = len(by_component)
-                columns = [[x] * k, list(by_component), [part] * k, list(by_component.values())]
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
+                columns = [[x] * k, [own] * k, list(by_component), list(by_component.values())]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
-                    names=["x", "component", "part", "found"],
+                    names=["x", "x_component", "component", "found"],
                 )
 
-    return in_arrow(rows, run, "x long, component long, part int, found array<long>")
+    return in_arrow(rows, run, "x long, x_component long, component long, found array<long>")
 
 
 def classes_with_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
@@ -407,12 +423,13 @@ def classes_with_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
         labels = components(found)
     rest = mixed_lists(with_component(entries, labels).withColumn("round", F.lit(0)))
     # A class in fewer mixed lists than any partner must share links to no other component.
+    rest = pin(rest.select(*entries.columns, "component", "size", "round"), "mixed")
     enough = rest.groupBy("key").agg(F.count("*").alias("lists"), F.first("n").alias("n"))
     enough = pin(enough.where(F.col("lists") >= least_shared(F.col("n"))).select("key"), "enough")
-    rest = mixed_lists(rest.select(*entries.columns, "component", "size", "round").join(enough, "key"))
+    rest = mixed_lists(rest.join(enough, "key"))
     rest = pin(rest.drop("round", "leader", "leads"), "rest")
     parts = parts_for(rest)
-    named = rest.select("key", "component").distinct().withColumn("part", part_of("key", parts))
+    named = rest.select("key", "component").distinct()
     asked = pin(searched(rest, parts), "asked")
     return found.union(pin(linked_to_components(texts, asked, named), "links"))
 
