@@ -10,23 +10,25 @@ from tidemark.workspace import pin
 def components(links: DataFrame, label: str = "components") -> DataFrame:
     """``node`` and ``component``, its smallest reachable node, from links (``a``, ``b``).
 
-    Each round a node takes the smallest label around it, then its label's label;
-    rounds end when no label changes. Every round is written to the shared folder.
+    Each round a node is merged into the smallest one next to it, and links inside
+    what was merged go; rounds end when no link is left. Their number grows with the
+    logarithm of the nodes where ids are spread at random, as hashes are. Every
+    round is written to the shared folder.
     """
     both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a")).distinct()
     edges = pin(both, label)
-    labels = pin(
-        edges.groupBy("node").agg(F.least("node", F.min("other")).alias("component")), label
-    )
+    labels = None
     while True:
-        seen = edges.join(labels.withColumnRenamed("node", "other"), "other").select("node", "component")
-        around = seen.union(labels).groupBy("node").agg(F.min("component").alias("component"))
-        heads = labels.select(F.col("node").alias("component"), F.col("component").alias("head"))
-        jumped = pin(
-            around.join(heads, "component", "left").select("node", F.least("component", "head").alias("component")), label
-        )
-        old = labels.withColumnRenamed("component", "old")
-        changed = jumped.join(old, "node").where(F.col("component") != F.col("old"))
-        labels = jumped
-        if changed.isEmpty():
+        heads = edges.groupBy("node").agg(F.least("node", F.min("other")).alias("head"))
+        heads = pin(heads, label)
+        if labels is None:
+            labels = heads.withColumnRenamed("head", "component")
+        else:
+            to = heads.withColumnRenamed("node", "component")
+            labels = labels.join(to, "component", "left").select("node", F.coalesce("head", "component").alias("component"))
+        labels = pin(labels, label)
+        there = heads.select(F.col("node").alias("other"), F.col("head").alias("there"))
+        merged = edges.join(heads, "node").join(there, "other").where(F.col("head") != F.col("there"))
+        edges = pin(merged.select(F.col("head").alias("node"), F.col("there").alias("other")).distinct(), label)
+        if edges.isEmpty():
             return labels
