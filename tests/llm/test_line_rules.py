@@ -83,6 +83,23 @@ def test_verdicts_equal_brute_force(documents):
     assert {r[-1] for r in got} == {True, False}
 
 
+def test_limit_follows_the_size_of_a_host(documents):
+    def host(name, size, shared, first):
+        lines = lambda i: "word%d of a line\n" % i if i >= shared else "shared by some\n"
+        return [(first + i, lines(i) + "".join(chr(97 + (i >> k) % 26) + " " for k in range(60)), name) for i in range(size)]
+
+    # 8 of 20 documents, and of the NULL host; 8 of 400.
+    given = [*host("small", 20, 8, 0), *host("large", 400, 8, 1000), *host(None, 20, 8, 2000)]
+    # Digits are alike, so the other lines are shared by all but those; they are of four words.
+    judged = lambda **limits: {
+        r["doc_id"]: r["n_removed_words"] for r in L.judged(documents(given), **limits).collect()
+    }
+    fixed, share = judged(max_documents=5), judged(max_documents=5, max_host_share=0.1)
+    assert [fixed[i] for i in (0, 1000, 2000)] == [3, 3, 3]
+    assert [share[i] for i in (0, 1000, 2000)] == [3, 0, 3]
+    assert set(judged(max_documents=8, max_host_share=0.1)[i] for i in (0, 1000, 2000)) == {0}
+
+
 def test_extra_columns_long_text_and_nothing(documents):
     df = documents([(1, "word " * 300_000)]).selectExpr("*", "1 as row", "2 as host", "3 as kept", "4 as id")
     row = L.judged(df).first()

@@ -131,17 +131,24 @@ def judged(
     max_repeat_percent: int = 50,
     max_documents: int = 100,
     max_removed_share: float = 0.5,
+    max_host_share: float | None = None,
 ) -> DataFrame:
     """Per row: id, the counts, ``base_failed``, ``n_removed_words``, ``kept``.
 
     A line is removed if more than ``max_documents`` documents of a host have it;
-    a document is rejected if more than ``max_removed_share`` of its words go.
+    with ``max_host_share``, they must also be more than that share of the host's
+    documents, so that the limit follows a host's size and ``max_documents`` is its floor.
+    A document is rejected if more than ``max_removed_share`` of its words go.
     """
     rows = pin(measured(documents, id_col, text_col, host_col), "lines")
     lines = rows.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.*")
     common = (
         lines.groupBy("host", "hash").agg(F.count("*").alias("documents")).where(F.col("documents") > max_documents)
     )
+    if max_host_share is not None:
+        hosts = rows.groupBy(F.col("host").alias("of")).agg(F.count("*").alias("held"))
+        over = F.col("documents") > F.lit(max_host_share) * F.col("held")
+        common = common.join(hosts, F.col("host").eqNullSafe(F.col("of"))).where(over).select("host", "hash", "documents")
     # A common line has many rows, so that its copies for the salts are fewer than they.
     salted = common.withColumn("salt", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])))
     spread = lines.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
