@@ -100,6 +100,21 @@ def test_limit_follows_the_size_of_a_host(documents):
     assert set(judged(max_documents=8, max_host_share=0.1)[i] for i in (0, 1000, 2000)) == {0}
 
 
+def test_texts_lose_the_lines_over_the_limit(documents):
+    given = rows() + [(5, "Cookie 1\n\nown words\ncookie 2", "k"), (None, "cookie 3\nown", "k"), (9, "cookie 4", "k"), (9, None, "k")]
+    count = Counter()
+    for _, text, host in given:
+        for line in {normal(x) for x in (text or "").split("\n")} - {""}:
+            count[host, line] += 1
+    expected = Counter()
+    for doc_id, text, host in given:
+        left = text and "\n".join(x for x in text.split("\n") if count[host, normal(x)] <= 2)
+        expected[doc_id, left, len(WORD.findall(text or "")) - len(WORD.findall(left or ""))] += 1
+    got = L.cleaned(documents(given), max_documents=2).select("doc_id", "text", "n_removed_words").collect()
+    assert Counter(tuple(r) for r in got) == expected
+    assert expected[5, "\nown words", 4] == expected[None, "own", 2] == expected[9, "", 2] == expected[9, None, 0] == 1
+
+
 def test_extra_columns_long_text_and_nothing(documents):
     df = documents([(1, "word " * 300_000)]).selectExpr("*", "1 as row", "2 as host", "3 as kept", "4 as id")
     row = L.judged(df).first()

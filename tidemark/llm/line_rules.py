@@ -2,7 +2,7 @@
 
 Lines are normalised (A-Z lower-cased, digits alike, white space as one space) and
 hashed; the documents of a host that contain a line are counted. Lines in more
-documents than the limits allow are removed, and a document that loses more than
+documents than the limits allow are taken out of the texts, and a document that loses more than
 a share of its words to that is depleted and rejected.
 
 Each row is a document, a repeated one too. NULL is an empty text and fails the
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import IS_SPACE, LOWER, as_longs, in_arrow, mixed, shingles, sums, text_blocks, words
+from tidemark.llm.common import IS_SPACE, LOWER, Words, as_longs, in_arrow, mixed, shingles, sums, text_blocks, words
 from tidemark.workspace import pin
 
 SYMBOLS = np.zeros(256, bool)
@@ -50,8 +50,22 @@ def _own(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
     return hashes ^ mixed(text.astype(np.uint64) + np.uint64(1))
 
 
+def real_lines(data: np.ndarray, offsets: np.ndarray, found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lines that have words, in order: text, hash as written, hash of the normalised line, number of words."""
+    lines = words(data, offsets, fold=None, between=NEWLINE)
+    line_first = np.searchsorted(found.start, lines.start)
+    line_words = np.searchsorted(found.start, lines.end) - line_first
+    real = line_words > 0
+    normal = words(data, offsets, fold=NORMAL)
+    line_first, line_words = line_first[real], line_words[real]
+    rank = np.arange(len(normal)) - np.repeat(line_first, line_words)
+    spread = mixed(normal.hashes + mixed(rank.astype(np.uint64)))
+    hashes = mixed(sums(spread, np.append(line_first, len(normal)))) if len(line_first) else spread
+    return lines.text[real], lines.hashes[real], hashes, line_words
+
+
 def measure(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray], tuple]:
-    """Counts per text; and text, hash, number of words of its different normalised lines."""
+    """Counts per text; and text, hash, number of words of its normalised lines, in order."""
     found = words(data, offsets, fold=None)
     counts = {"n_words": np.diff(found.first)}
     starts_char = (data & 0xC0) != 0x80
@@ -67,62 +81,102 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray
         covered[at + k] = True
     counts["n_repeat_words"] = sums(covered, found.first)
 
-    lines = words(data, offsets, fold=None, between=NEWLINE)
-    line_first = np.searchsorted(found.start, lines.start)
-    line_words = np.searchsorted(found.start, lines.end) - line_first
-    text = lines.text
-    real = line_words > 0
-    before = np.zeros(len(lines), bool)
-    before[real] = _repeated(_own(lines.hashes[real], text[real]))[1]
-    counts["n_dup_lines"] = sums(before, lines.first)
+    text, written, hashes, line_words = real_lines(data, offsets, found)
+    before = _repeated(_own(written, text))[1]
+    counts["n_dup_lines"] = sums(before, np.searchsorted(text, np.arange(len(offsets))))
+    return counts, (text, hashes, line_words)
+
+
+def keyed(documents: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    """``id``, ``host``, ``text`` and ``digest``: rows that agree in id and digest are the same document."""
+    host, text = F.col(host_col).cast("string"), F.col(text_col)
+    return documents.select(
+        F.col(id_col).alias("id"),
+        host.alias("host"),
+        text.alias("text"),
+        F.xxhash64(F.coalesce(text, F.lit("")), host.isNull(), host).alias("digest"),
+    )
 
-    normal = words(data, offsets, fold=NORMAL)
-    line_first, line_words, text = line_first[real], line_words[real], text[real]
-    rank = np.arange(len(normal)) - np.repeat(line_first, line_words)
-    spread = mixed(normal.hashes + mixed(rank.astype(np.uint64)))
-    hashes = mixed(sums(spread, np.append(line_first, len(normal)))) if len(line_first) else spread
-    order = np.lexsort((hashes, text))
-    text, hashes, line_words = text[order], hashes[order], line_words[order]
-    new = np.ones(len(text), bool)
-    new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
-    at = np.flatnonzero(new)
-    total = np.add.reduceat(line_words, at) if len(at) else line_words
-    return counts, (text[at], hashes[at], total)
-
-
-def measured(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """Per row: ``row`` (its number), id, host, the counts, and ``lines`` (hash, words) of its different lines."""
-    rows = documents.select(F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"), F.col(text_col).alias("text"))
-    kind = rows.schema[0].dataType.simpleString()
-    names = ["row", "id", "host", *COUNTS, "lines"]
-    line = pa.struct([("hash", pa.int64()), ("words", pa.int64())])
+
+def line_hashes(rows: DataFrame) -> DataFrame:
+    """Per row of ``keyed``: ``row`` (its number), id, digest, host, and ``lines``, the hashes of its different lines."""
+    kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for low, high, data, offsets in text_blocks(batch.column(2)):
-                counts, (text, hashes, total) = measure(data, offsets)
+            for low, high, data, offsets in text_blocks(batch.column(3)):
+                text, _, hashes, _ = real_lines(data, offsets, words(data, offsets, fold=None))
+                order = np.lexsort((hashes, text))
+                text, hashes = text[order], hashes[order]
+                new = np.ones(len(text), bool)
+                new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
                 n = high - low
-                bounds = np.searchsorted(text, np.arange(n + 1)).astype(np.int32)
-                pairs = pa.StructArray.from_arrays([pa.array(as_longs(hashes)), pa.array(total.astype(np.int64))], fields=list(line))
+                bounds = np.searchsorted(text[new], np.arange(n + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(number, number + n)),
+                        *[batch.column(c).slice(low, n) for c in range(3)],
+                        pa.ListArray.from_arrays(pa.array(bounds), pa.array(as_longs(hashes[new]))),
+                    ],
+                    names=["row", "id", "digest", "host", "lines"],
+                )
+                number += n
+
+    schema = f"row long, id {kind}, digest long, host string, lines array<long>"
+    return in_arrow(rows.select("id", "digest", "host", "text"), run, schema)
+
+
+def cut(text: bytes, drop: np.ndarray) -> bytes:
+    """``text`` without those of its lines that have words for which ``drop`` is set, in order."""
+    kept, place = [], 0
+    for line in text.split(b"\n"):
+        real = not IS_SPACE[np.frombuffer(line, np.uint8)].all()
+        if not (real and drop[place]):
+            kept.append(line)
+        place += real
+    return b"\n".join(kept)
+
+
+def without_lines(rows: DataFrame) -> DataFrame:
+    """Per row of id, text and ``gone`` (hashes of lines): id, text without those lines, the counts, ``n_removed_words``.
+
+    The counts are those of the whole text. A text that loses nothing is handed on as it is.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
+    names = ["id", "text", *COUNTS, "n_removed_words"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, data, offsets in text_blocks(batch.column(1)):
+                n = high - low
+                counts, (text, hashes, line_words) = measure(data, offsets)
+                texts, gone = batch.column(1).slice(low, n), batch.column(2).slice(low, n)
+                owner = np.repeat(np.arange(n), np.asarray(gone.value_lengths().fill_null(0)))
+                keys = _own(np.asarray(gone.flatten()).astype(np.int64).view(np.uint64), owner)
+                drop = np.isin(_own(hashes, text), keys)
+                first = np.searchsorted(text, np.arange(n + 1))
+                lost = np.flatnonzero(sums(drop, first))
+                if len(lost):
+                    held = texts.cast(pa.binary()).to_pylist()
+                    for i in lost:
+                        held[i] = cut(held[i], drop[first[i] : first[i + 1]])
+                    texts = pa.array(held, pa.binary()).view(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [
                         batch.column(0).slice(low, n),
-                        batch.column(1).slice(low, n),
+                        texts,
                         *[pa.array(counts[c].astype(np.int64)) for c in COUNTS],
-                        pa.ListArray.from_arrays(pa.array(bounds), pairs),
+                        pa.array(sums(np.where(drop, line_words, 0), first).astype(np.int64)),
                     ],
                     names=names,
                 )
-                number += n
 
-    longs = ", ".join(f"{c} long" for c in COUNTS)
-    schema = f"row long, id {kind}, host string, {longs}, lines array<struct<hash:long,words:long>>"
-    return in_arrow(rows, run, schema)
+    longs = ", ".join(f"{c} long" for c in names[2:])
+    return in_arrow(rows.select("id", "text", "gone"), run, f"id {kind}, text string, {longs}")
 
 
-def judged(
+def cleaned(
     documents: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -133,15 +187,17 @@ def judged(
     max_removed_share: float = 0.5,
     max_host_share: float | None = None,
 ) -> DataFrame:
-    """Per row: id, the counts, ``base_failed``, ``n_removed_words``, ``kept``.
+    """Per row: id, the text without its removed lines, the counts, ``base_failed``, ``n_removed_words``, ``kept``.
 
     A line is removed if more than ``max_documents`` documents of a host have it;
     with ``max_host_share``, they must also be more than that share of the host's
     documents, so that the limit follows a host's size and ``max_documents`` is its floor.
-    A document is rejected if more than ``max_removed_share`` of its words go.
+    A document is rejected if more than ``max_removed_share`` of its words go; the
+    counts and ``base_failed`` are those of its whole text. ``documents`` is read twice.
     """
-    rows = pin(measured(documents, id_col, text_col, host_col), "lines")
-    lines = rows.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.*")
+    given = keyed(documents, id_col, text_col, host_col)
+    rows = pin(line_hashes(given), "lines")
+    lines = rows.select("row", "id", "digest", "host", F.explode("lines").alias("hash"))
     common = (
         lines.groupBy("host", "hash").agg(F.count("*").alias("documents")).where(F.col("documents") > max_documents)
     )
@@ -155,18 +211,24 @@ def judged(
     on = (
         spread["host"].eqNullSafe(salted["host"]) & (spread["hash"] == salted["hash"]) & (spread["salt"] == salted["salt"])
     )
-    removed = spread.join(salted, on).groupBy(spread["row"]).agg(F.sum(spread["words"]).alias("n_removed_words"))
+    gone = (
+        spread.join(salted, on)
+        .groupBy(spread["id"].alias("of"), spread["digest"].alias("text_digest"))
+        .agg(F.collect_set(spread["hash"]).alias("gone"))
+    )
+    same = given["id"].eqNullSafe(gone["of"]) & (given["digest"] == gone["text_digest"])
     words_ = F.col("n_words")
     failed = (words_ < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * words_)
-    lost = F.coalesce("n_removed_words", F.lit(0).cast("long"))
-    return (
-        rows.drop("lines")
-        .join(removed, "row", "left")
-        .select(
-            F.col("id").alias(id_col),
-            *COUNTS,
-            failed.alias("base_failed"),
-            lost.alias("n_removed_words"),
-            (~failed & (lost <= max_removed_share * words_)).alias("kept"),
-        )
+    return without_lines(given.join(gone, same, "left")).select(
+        F.col("id").alias(id_col),
+        F.col("text").alias(text_col),
+        *COUNTS,
+        failed.alias("base_failed"),
+        "n_removed_words",
+        (~failed & (F.col("n_removed_words") <= max_removed_share * words_)).alias("kept"),
     )
+
+
+def judged(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
+    """``cleaned`` with these limits, without the text."""
+    return cleaned(documents, id_col, text_col, host_col, **limits).drop(text_col)
