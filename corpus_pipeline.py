@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import byte_bpe, jaccard_join, neighbours, secret_scan, tiling
-from tidemark.llm.common import remainder, without
+from tidemark.llm.common import remainder, row_key, without
 from tidemark.workspace import pin
 
 
@@ -29,8 +29,9 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = pin(tiling.contaminated(docs, benchmark).select("doc_id").distinct(), "leaks")
-    return without(docs, leaks, "doc_id").select(*docs.columns)
+    rows = docs.select(row_key("doc_id", "text").alias("row"), "text")
+    leaks = pin(tiling.contaminated(rows, benchmark, "row").select("row").distinct(), "leaks")
+    return without(docs, leaks, "doc_id", "text").select(*docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

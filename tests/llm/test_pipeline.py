@@ -130,3 +130,18 @@ def test_representatives_of_repeated_rows(documents):
     given = documents([(3, text), (3, text), (4, text), (5, None), (5, None), (None, text), (6, "another")])
     kept = [r["doc_id"] for r in jaccard_join.representatives(given).collect()]
     assert sorted(map(str, kept)) == ["3", "5", "5", "6", "None"]
+
+
+def test_copies_are_dropped_by_row(documents):
+    x, y = "one two three four five six seven eight", " ".join(f"w{i}" for i in range(60))
+    given = [(7, x), (7, y), (3, y + " more"), (None, y), (5, x + " and nine ten"), (9, None), (9, y), (8, "z z"), (8, "z z")]
+    kept = sorted(((r["doc_id"], r["text"]) for r in jaccard_join.representatives(documents(given)).collect()), key=str)
+    assert kept == sorted([(7, x), (3, y + " more"), (None, y), (5, x + " and nine ten"), (9, None), (8, "z z")], key=str)
+
+
+def test_leaks_are_dropped_by_row(spark, folder, documents):
+    leak = spark.read.parquet(f"{folder}/benchmark.parquet").first()["text"]
+    given = [(7, leak), (7, "clean words"), (None, leak), (None, "clean too"), (None, None)]
+    clean = pipeline.benchmark_decontamination(spark, documents(given), folder)
+    kept = sorted(((r["doc_id"], r["text"]) for r in clean.collect()), key=str)
+    assert kept == sorted([(7, "clean words"), (None, "clean too"), (None, None)], key=str)

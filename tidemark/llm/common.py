@@ -215,14 +215,23 @@ def in_arrow(
     return df.mapInArrow(run, schema)
 
 
-#: Ids that may be broadcast; more are joined by a shuffle.
+#: Rows that may be broadcast by their keys; more are joined by a shuffle.
 MOST_IDS = 1_000_000
 
 
-def without(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """Rows of ``df`` whose ``column`` is not in ``ids``, a small or stored frame of that one column."""
-    few = ids.limit(MOST_IDS + 1).count() <= MOST_IDS
-    return df.join(F.broadcast(ids) if few else ids, column, "left_anti")
+def row_key(id_col: str, text_col: str) -> Column:
+    """What tells rows apart: the id, NULL after all others, and a digest of the text."""
+    id_ = F.col(id_col)
+    return F.struct(id_.isNull().alias("none"), id_.alias("id"), F.xxhash64(F.col(text_col)).alias("digest"))
+
+
+def without(df: DataFrame, keys: DataFrame, id_col: str, text_col: str, how: str = "left_anti") -> DataFrame:
+    """Rows of ``df`` whose ``row_key`` is not in ``keys``, a small or stored frame of that one column."""
+    few = keys.limit(MOST_IDS + 1).count() <= MOST_IDS
+    key = F.col(keys.columns[0])
+    found = keys.select(key["id"].alias("_key_id"), key["digest"].alias("_key_digest"))
+    on = F.col(id_col).eqNullSafe(F.col("_key_id")) & (F.xxhash64(F.col(text_col)) == F.col("_key_digest"))
+    return df.join(F.broadcast(found) if few else found, on, how)
 
 
 def as_longs(values: np.ndarray) -> np.ndarray:

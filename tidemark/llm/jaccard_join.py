@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import as_longs, in_arrow, mixed, shingles, text_blocks, without, words
+from tidemark.llm.common import as_longs, in_arrow, mixed, row_key, shingles, text_blocks, without, words
 from tidemark.llm.components import components
 from tidemark.workspace import pin
 
@@ -463,15 +463,16 @@ def representatives(documents: DataFrame, id_col: str = "doc_id", text_col: str
     """``documents`` with one of each component: that with the smallest id.
 
     Texts without words, and rows without an id, stay. Of rows that repeat id and
-    text one stays if they have words.
+    text one stays if they have words; rows that share an id alone are rows of their own.
     """
-    found = pin(clustered(documents, id_col, text_col), "components")
-    some = found.where("n_shingles > 0")
-    first = F.col("component_id") == F.col(id_col)
-    out = without(documents, pin(some.where(~first).select(id_col).distinct(), "copies"), id_col)
-    repeated = some.where(first).groupBy(id_col).count().where("count > 1").select(id_col)
+    rows = documents.select(row_key(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+    found = pin(clustered(rows, "row", "text"), "components")
+    some = found.where((F.col("n_shingles") > 0) & ~F.col("row.none"))
+    first = F.col("component_id") == F.col("row")
+    out = without(documents, pin(some.where(~first).select("row").distinct(), "copies"), id_col, text_col)
+    repeated = some.where(first).groupBy("row").count().where("count > 1").select("row")
     repeated = pin(repeated, "repeated")
     if repeated.isEmpty():
         return out
-    one = documents.join(repeated, id_col, "left_semi").dropDuplicates([id_col, text_col])
-    return without(out, repeated, id_col).unionByName(one)
+    one = without(documents, repeated, id_col, text_col, "left_semi").dropDuplicates([id_col, text_col])
+    return without(out, repeated, id_col, text_col).unionByName(one)
