@@ -49,3 +49,13 @@ def test_insight_feed_is_json_of_all_sections(spark):
     assert {r["section"] for r in rows} == {"trending_repos", "language_trends", "label_usage"}
     ranks = [json.loads(r["item"])["trending_rank"] for r in rows if r["section"] == "trending_repos"]
     assert min(ranks) == 1 and max(ranks) <= 10
+
+
+def test_scan_collects_no_files(spark, monkeypatch):
+    from tidemark.plans import catalog
+
+    def refuse(*_, **__):
+        raise AssertionError("files were listed on the driver")
+
+    monkeypatch.setattr(catalog.landing, "list_files", refuse)
+    assert catalog.raw_json_scan(spark, FOLDER).count() > 0

@@ -75,7 +75,6 @@ def land(spark: SparkSession, folder: str) -> str:
 
 def raw_json_scan(spark: SparkSession, folder: str) -> DataFrame:
     root = land(spark, folder)
-    files = [row["path"] for row in landing.list_files(spark, root).select("path").collect()]
     lines = landing.scan_lines(spark, root, root)
     return staging.typed(lines.where(F.col("load_status") == landing.LOADED)).select(
         "event_id",
