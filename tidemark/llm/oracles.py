@@ -196,9 +196,52 @@ FROM reached LEFT JOIN sizes USING (doc_id)
 GROUP BY doc_id
 """
 
+TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+SOURCE_DIVERGENCE = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        list_transform(regexp_extract_all(coalesce(text, ''), '{TERM}'), lambda w: translate(w, '{UPPER}', '{LOWER}')) AS w
+    FROM documents
+),
+terms AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+kept AS (
+    SELECT lang, term, count(*)::HUGEINT AS n FROM terms GROUP BY ALL HAVING count(DISTINCT d) >= 30
+),
+sizes AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM terms JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM counts GROUP BY ALL),
+shares AS (
+    SELECT lang, source, term, coalesce(counts.n, 0) AS n,
+        1 + (1000000000 * (coalesce(counts.n, 0) + 5)) // (coalesce(totals.total, 0) + 5 * v) AS p,
+        1 + (1000000000 * (kept.n + 5)) // (sizes.total + 5 * v) AS q
+    FROM groups JOIN kept USING (lang) JOIN sizes USING (lang)
+        LEFT JOIN totals USING (lang, source) LEFT JOIN counts USING (lang, source, term)
+),
+apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY ALL
+),
+found AS (
+    SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0) AS value
+    FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+        LEFT JOIN apart ON apart.lang = x.lang AND apart.source = x.source AND apart.item = y.source
+    UNION ALL
+    SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 ORACLES = {
     "op2_line_rules": LINE_RULES,
     "op3_chat_format": CHAT_FORMAT,
     "op5_secret_scan": SECRET_SCAN,
     "op6_jaccard_join": JACCARD_JOIN,
+    "op13_source_divergence": SOURCE_DIVERGENCE,
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, centroids, chat, jaccard_join, line_rules, neighbours, recurrent_lm, secret_scan, tiling, toxicity
+from tidemark.llm import byte_bpe, centroids, chat, divergence, jaccard_join, line_rules, neighbours, recurrent_lm, secret_scan, tiling, toxicity
 from tidemark.llm.common import remainder
 from tidemark.llm.oracles import ORACLES  # noqa: F401  registered with the queries
 
@@ -91,6 +91,10 @@ def op10_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
     return tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audited(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_rules": op2_line_rules,
@@ -102,4 +106,5 @@ QUERIES = {
     "op8_language_centroids": op8_language_centroids,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_string_tiling": op10_string_tiling,
+    "op13_source_divergence": op13_source_divergence,
 }
