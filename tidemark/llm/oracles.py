@@ -238,10 +238,96 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 50
 """
 
+
+def _edit(before: str, cost: str, letter: str, turn: str | None = None) -> str:
+    """State ``before`` after one more edit; NULL if there is no such state."""
+    out = f"{before}.out" if turn is None else f"{before}.out || CASE WHEN {before}.out = '' THEN '' ELSE chr(10) END || {turn}"
+    return f"CASE WHEN {before} IS NOT NULL THEN {{'cost': {before}.cost + {cost}, 'audit': {before}.audit || '{letter}', 'out': {out}}} END"
+
+
+def _spoken(before: str, name: str) -> str:
+    """The turn as ``name``: kept, or given that role."""
+    kept, changed = _edit(before, "late", "K", "role || ':' || text"), _edit(before, "2 + late", "R", f"'{name}:' || text")
+    return f"CASE WHEN must_go THEN NULL WHEN starts_with(role, '{name[0]}') THEN {kept} ELSE {changed} END"
+
+
+def _put_in(before: str, name: str) -> str:
+    return _edit(before, "2", "I", f"'{name}:'")
+
+
+STRUCTURE_REPAIR = f"""
+WITH RECURSIVE named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+    FROM conversations
+),
+kinds AS (
+    SELECT *, xor(4294967295, list_reduce(
+        list_concat([4294967295::BIGINT], list_transform(string_split(key, ''), lambda c: unicode(c)::BIGINT)),
+        lambda crc, b: list_reduce(
+            list_concat([xor(crc, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+            lambda bits, i: xor(bits >> 1, 3988292384 * (bits & 1)))
+    )) % 20 AS kind
+    FROM named
+),
+damaged AS (
+    SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM kinds WHERE kind <> 0
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+        regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS shown
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged)
+),
+faulty AS (
+    SELECT *, shown = '' AS blank, shown <> '' AND again AS duplicate,
+        shown <> '' AND NOT again AND NOT regexp_matches(shown, '[.!?]$') AS truncated
+    FROM placed
+),
+turns AS (SELECT *, blank OR duplicate AS must_go, CASE WHEN truncated THEN 1 ELSE 0 END AS late FROM faulty),
+counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+        count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (wrong) AS illegal
+    FROM (
+        SELECT *, lag(role) OVER w || '' IS NOT NULL AND lag(role[1]) OVER w || role[1] NOT IN ('su', 'ua', 'au') AS wrong
+        FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY i)
+    )
+    GROUP BY conv_id
+),
+begun AS (SELECT DISTINCT conv_id, {{'cost': 0::BIGINT, 'audit': '', 'out': ''}} AS e, NULL::STRUCT(cost BIGINT, audit VARCHAR, out VARCHAR) AS s FROM conversations),
+opened AS (SELECT conv_id, e, s, {_put_in("e", "user")} AS u FROM begun),
+steps AS (
+    SELECT conv_id, 0::BIGINT AS i, e, s, u, {_put_in("u", "assistant")} AS a FROM opened
+    UNION ALL
+    SELECT conv_id, i, e, s, u, list_min([a, {_put_in("u", "assistant")}]) AS a
+    FROM (
+        SELECT conv_id, i, e, s, a,
+            list_min([u, {_put_in("e", "user")}, {_put_in("s", "user")}, {_put_in("a", "user")}]) AS u
+        FROM (
+            SELECT steps.conv_id, turns.i,
+                {_edit("e", "3", "D")} AS e,
+                list_min([{_edit("s", "3", "D")},
+                    CASE WHEN NOT must_go AND starts_with(role, 's') THEN {_edit("e", "late", "K", "role || ':' || text")} END]) AS s,
+                list_min([{_edit("u", "3", "D")}, {_spoken("e", "user")}, {_spoken("s", "user")}, {_spoken("a", "user")}]) AS u,
+                list_min([{_edit("a", "3", "D")}, {_spoken("u", "assistant")}]) AS a
+            FROM steps JOIN turns ON steps.conv_id IS NOT DISTINCT FROM turns.conv_id AND turns.i = steps.i + 1
+        )
+    )
+),
+ends AS (SELECT conv_id, list_min([arg_max(e, i), arg_max(a, i)]) AS best FROM steps GROUP BY conv_id)
+SELECT ends.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+    coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, best.cost::BIGINT AS cost,
+    best.audit AS audit, sha256(best.out) AS repaired_sha256
+FROM ends LEFT JOIN counted ON ends.conv_id IS NOT DISTINCT FROM counted.conv_id
+"""
+
 ORACLES = {
     "op2_line_rules": LINE_RULES,
     "op3_chat_format": CHAT_FORMAT,
     "op5_secret_scan": SECRET_SCAN,
     "op6_jaccard_join": JACCARD_JOIN,
+    "op11_structure_repair": STRUCTURE_REPAIR,
     "op13_source_divergence": SOURCE_DIVERGENCE,
 }

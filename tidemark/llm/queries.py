@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, centroids, chat, divergence, jaccard_join, line_rules, neighbours, recurrent_lm, secret_scan, tiling, toxicity
+from tidemark.llm import byte_bpe, centroids, chat, divergence, jaccard_join, line_rules, neighbours, recurrent_lm, repair, secret_scan, tiling, toxicity
 from tidemark.llm.common import remainder
 from tidemark.llm.oracles import ORACLES  # noqa: F401  registered with the queries
 
@@ -91,6 +91,25 @@ def op10_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
     return tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def damaged_turns(conversations: DataFrame) -> DataFrame:
+    """The turns with the contract's faults, and ``present``; NULL is one space. A lost turn stays as a row."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat_ws(":", space("conv_id"), space("turn")).cast("binary")) % 20
+    text = space("text")
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(space("role")).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (kind != 0).alias("present"),
+        F.explode(F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1))).alias("copy"),
+    )
+
+
+def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repaired(damaged_turns(table(spark, folder, "conversations")), present=F.col("present"))
+
+
 def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audited(table(spark, folder, "documents"))
 
@@ -106,5 +125,6 @@ QUERIES = {
     "op8_language_centroids": op8_language_centroids,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_string_tiling": op10_string_tiling,
+    "op11_structure_repair": op11_structure_repair,
     "op13_source_divergence": op13_source_divergence,
 }
