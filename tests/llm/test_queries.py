@@ -24,6 +24,7 @@ CONTRACT = {
     "op10_string_tiling": "doc_id bigint, item_id bigint, coverage double",
     "op11_structure_repair": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, "
     "illegal bigint, cost bigint, audit string, repaired_sha256 string",
+    "op12_substring_dedup": "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string",
     "op13_source_divergence": "lang string, source string, part string, item string, value bigint, rank int",
 }
 

@@ -323,11 +323,30 @@ SELECT ends.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGI
 FROM ends LEFT JOIN counted ON ends.conv_id IS NOT DISTINCT FROM counted.conv_id
 """
 
+SUBSTRING_DEDUP = rf"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM docs)
+),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM windows) WHERE k > 1),
+removed AS (SELECT doc_id, list(DISTINCT place) AS gone FROM (SELECT doc_id, unnest(range(i, i + 20)) AS place FROM again) GROUP BY doc_id),
+kept AS (
+    SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+        CASE WHEN gone IS NULL THEN w ELSE list_select(w, list_sort(list_filter(range(1, len(w) + 1), lambda k: NOT list_contains(gone, k)))) END AS words
+    FROM docs LEFT JOIN removed USING (doc_id)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
+    sha256(coalesce(array_to_string(words, ' '), '')) AS kept_sha256
+FROM kept
+"""
+
 ORACLES = {
     "op2_line_rules": LINE_RULES,
     "op3_chat_format": CHAT_FORMAT,
     "op5_secret_scan": SECRET_SCAN,
     "op6_jaccard_join": JACCARD_JOIN,
     "op11_structure_repair": STRUCTURE_REPAIR,
+    "op12_substring_dedup": SUBSTRING_DEDUP,
     "op13_source_divergence": SOURCE_DIVERGENCE,
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, centroids, chat, divergence, jaccard_join, line_rules, neighbours, recurrent_lm, repair, secret_scan, tiling, toxicity
+from tidemark.llm import byte_bpe, centroids, chat, divergence, jaccard_join, line_rules, neighbours, recurrent_lm, repair, secret_scan, substrings, tiling, toxicity
 from tidemark.llm.common import remainder
 from tidemark.llm.oracles import ORACLES  # noqa: F401  registered with the queries
 
@@ -110,6 +110,10 @@ def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.repaired(damaged_turns(table(spark, folder, "conversations")), present=F.col("present"))
 
 
+def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.deduplicated(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audited(table(spark, folder, "documents"))
 
@@ -126,5 +130,6 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_string_tiling": op10_string_tiling,
     "op11_structure_repair": op11_structure_repair,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_source_divergence": op13_source_divergence,
 }
