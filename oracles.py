@@ -25,6 +25,7 @@ ACCEPTED = ", ".join(
 )
 
 KIND = f"""CASE WHEN event_type = 'purchase' THEN 'PullRequestEvent'
+ WHEN n % 91 = 87 AND day(first_at) < 25 THEN 'SponsorshipEvent'
  WHEN n % 7 = 3 THEN [{", ".join(f"'{t}'" for t in OTHER_TYPES)}, 'UnknownEvent', NULL][n % 13 + 1]
  WHEN event_type = 'view' THEN 'WatchEvent' WHEN event_type = 'click' THEN 'PushEvent'
  WHEN event_type = 'signup' THEN 'ForkEvent' WHEN event_type = 'error' THEN 'IssuesEvent' END"""
@@ -34,13 +35,13 @@ SUFFIX = "CASE WHEN hour(sent_at) >= 12 THEN '-new' ELSE '' END"
 # Every delivery, with the columns that staging gives it.
 DELIVERIES = f"""
 source AS (
-  SELECT event_id AS n, event_type, user_id, ts AS sent_at, false AS again,
+  SELECT event_id AS n, event_type, user_id, ts AS sent_at, ts AS first_at, false AS again,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
   FROM events),
 sent AS (
   SELECT * FROM source
   UNION ALL
-  SELECT n, event_type, user_id, sent_at + INTERVAL 1 HOUR, true, k FROM source WHERE n % 20 = 0),
+  SELECT n, event_type, user_id, sent_at + INTERVAL 1 HOUR, first_at, true, k FROM source WHERE n % 20 = 0),
 deliveries AS (
   SELECT n, again, CAST(n AS VARCHAR) AS event_id, {KIND} AS event_type, CASE WHEN n % 211 <> 5 THEN user_id END AS actor_id,
          CASE WHEN n % 211 <> 5 THEN 'u' || user_id || {SUFFIX} END AS actor_login,

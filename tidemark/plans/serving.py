@@ -42,6 +42,12 @@ SHOWN: dict[str, tuple[str, ...]] = {
     "insight_log": ("generated_at", "place", "item"),
 }
 
+
+def as_json(df: DataFrame) -> Column:
+    """The row as a JSON object that names every column, NULL ones too."""
+    return F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+
+
 def in_order(df: DataFrame, read: str) -> DataFrame:
     """Sort a mart or a read for showing it."""
     return df.orderBy(
@@ -101,7 +107,7 @@ def insight_feed(trending: DataFrame, trends: DataFrame, labels: DataFrame) -> D
     feed = None
     for section, rows in sections.items():
         items = rows.select(
-            F.lit(section).alias("section"), F.to_json(F.struct(*rows.columns)).alias("item")
+            F.lit(section).alias("section"), as_json(rows).alias("item")
         )
         feed = items if feed is None else feed.unionByName(items)
     return feed
@@ -154,7 +160,7 @@ def append_insight(
     items = top.select(
         at.alias("generated_at"),
         F.col("trending_rank").cast("bigint").alias("place"),
-        F.parse_json(F.to_json(F.struct(*top.columns))).alias("item"),
+        F.parse_json(as_json(top)).alias("item"),
     )
     items.write.mode("append").parquet(f"{path}/items")
     briefing = spark.range(1).select(
