@@ -53,14 +53,14 @@ def test_tolerant_scan(spark, places):
     ])
     got = landing.load_hours(spark, root, raw_path, ledger)
     assert report(got) == {"2024-01-01-5.json.gz": (6, 3, "SUCCESS")}
-    rows = {r.id: r for r in landing.raw_events(spark, raw_path).withColumn(
+    rows = {r.id: r for r in landing.raw_events(spark, raw_path, ledger).withColumn(
         "login", F.try_variant_get("actor", "$.login", "string")).collect()}
     assert set(rows) == {"1", "no-repo", "bad-utf8", "offset", "77", "crlf"}
     assert rows["1"].login == "é" and rows["bad-utf8"].login == "l�gin"
     assert rows["no-repo"].repo is None and rows["77"].created_at is None
     five = dt.datetime(2024, 1, 1, 5)
     assert rows["1"].created_at == rows["offset"].created_at == five
-    bad = {(r.bad_reason, r.bad_line[:9]) for r in landing.rejected_lines(spark, raw_path).collect()}
+    bad = {(r.bad_reason, r.bad_line[:9]) for r in landing.rejected_lines(spark, raw_path, ledger).collect()}
     assert bad == {("not JSON", "{bad json"), ("not a time", '{"id": "n'), ("not JSON", '{"id": "t')}
 
 
@@ -69,7 +69,7 @@ def test_a_line_that_is_no_object_loads_as_nulls(spark, places):
     land(root, "2024-01-01T05", [b"5", b"null", b"[1]"])
     got = landing.load_hours(spark, root, raw_path, ledger)
     assert report(got) == {"2024-01-01-5.json.gz": (3, 0, "SUCCESS")}
-    assert {tuple(r)[:6] for r in landing.raw_events(spark, raw_path).collect()} == {(None,) * 6}
+    assert {tuple(r)[:6] for r in landing.raw_events(spark, raw_path, ledger).collect()} == {(None,) * 6}
 
 
 def test_time_is_read_as_written_in_any_session_zone(spark, places):
@@ -78,7 +78,7 @@ def test_time_is_read_as_written_in_any_session_zone(spark, places):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         landing.load_hours(spark, root, raw_path, ledger)
-        assert landing.raw_events(spark, raw_path).first().created_at == dt.datetime(2024, 1, 1, 5)
+        assert landing.raw_events(spark, raw_path, ledger).first().created_at == dt.datetime(2024, 1, 1, 5)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
@@ -94,7 +94,7 @@ def test_loading_again_adds_nothing(spark, places):
     land(root, "2024-01-01T07", [line(id="3")])
     third = report(landing.load_hours(spark, root, raw_path, ledger))
     assert third["2024-01-01-7.json.gz"] == (1, 0, "SUCCESS")
-    assert landing.raw_events(spark, raw_path).count() == 3
+    assert landing.raw_events(spark, raw_path, ledger).count() == 3
     assert len(list((os.walk(root)))) > 3  # landed files are kept
 
 
@@ -105,26 +105,25 @@ def test_hour_range_and_ledger_history(spark, places):
     at = lambda hour: dt.datetime(2024, 1, 1, hour)
     got = report(landing.load_hours(spark, root, raw_path, ledger, at(5), at(7)))
     assert sorted(got) == [f"2024-01-01-{h}.json.gz" for h in (5, 6, 7)]
-    assert landing.raw_events(spark, raw_path, at(6), at(6)).first().id == "6"
-    old = spark.createDataFrame([("x", 1, 0, dt.datetime(2020, 1, 1), None, None)], landing.LEDGER_SCHEMA)
-    old.write.mode("append").parquet(ledger)
+    assert landing.raw_events(spark, raw_path, ledger, at(6), at(6)).first().id == "6"
+    old = ("year=2020/month=01/day=01/hour=00/x", "old", 1, 0, dt.datetime(2020, 1, 1), None, None, dt.date(2020, 1, 1))
+    landing.publish_load(spark.createDataFrame([old], landing.LEDGER_SCHEMA), ledger)
     assert landing.read_ledger(spark, ledger).count() == 4
     assert landing.read_ledger(spark, ledger, history_days=180).count() == 3
 
 
-def test_hour_filter_prunes_folders(spark, places):
+def test_a_range_opens_its_own_folders(spark, places):
     root, raw_path, ledger = places
     for hour in (5, 6):
-        land(root, f"2024-01-01T{hour:02d}", [line()])
+        land(root, f"2024-01-01T{hour:02d}", [line(id=str(hour)), b"{bad"])
     landing.load_hours(spark, root, raw_path, ledger)
     at = dt.datetime(2024, 1, 1, 6)
-    spark.conf.set("spark.sql.maxMetadataStringLength", "9999")
-    try:
-        plan = landing.raw_events(spark, raw_path, at, at)._jdf.queryExecution().toString()
-    finally:
-        spark.conf.unset("spark.sql.maxMetadataStringLength")
-    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
-    assert "make_timestamp" in filters and "load_status" in filters
+    raw = landing.raw_events(spark, raw_path, ledger, at, at)
+    assert raw.inputFiles() and all("/load_status=loaded/" in f and "/hour=6/" in f for f in raw.inputFiles())
+    late = landing.loaded_folders(spark, raw_path, ledger, after=dt.datetime(2024, 1, 1, 4))
+    assert len(late) == 2 and landing.raw_of(spark, raw_path, late).count() == 2
+    assert landing.loaded_folders(spark, raw_path, ledger, after=dt.datetime(2024, 1, 1, 5)) == []
+    assert landing.newest_loaded(spark, ledger).first()[0] == dt.datetime(2024, 1, 1, 5)
 
 
 def test_hour_spine_and_missing_hours(spark):
@@ -144,18 +143,32 @@ def test_previous_hour():
     assert hours.previous_hour(zoned) == dt.datetime(2024, 1, 1, 1)
 
 
-def test_counts_after_a_run_that_died_before_the_ledger(spark, places, monkeypatch):
+def test_a_load_that_dies_is_never_seen(spark, places, monkeypatch):
+    """Rows are written, and then the run dies before, or while, its entries are published."""
     root, raw_path, ledger = places
     land(root, "2024-01-01T05", [line(), line(id="2"), b"{bad"])
+    for step in ("load_counts", "tables.write_by_day"):
+        with monkeypatch.context() as patch:
+            at = landing if step == "load_counts" else landing.tables
+            patch.setattr(at, step.split(".")[-1], lambda *_, **__: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                landing.load_hours(spark, root, raw_path, ledger)
+        assert landing.raw_events(spark, raw_path, ledger).count() == 0
     with monkeypatch.context() as patch:
-        patch.setattr(landing, "load_counts", lambda _: 1 / 0)
+        write = landing.tables.write_by_day
+        patch.setattr(landing.tables, "write_by_day", lambda df, path, *a, **k: 1 / 0 if path == ledger else write(df, path, *a, **k))
         with pytest.raises(ZeroDivisionError):
             landing.load_hours(spark, root, raw_path, ledger)
-    assert landing.raw_events(spark, raw_path).count() == 2
+    assert landing.loaded_folders(spark, raw_path, ledger, after=dt.datetime(2024, 1, 1)) == []
+    assert landing.newest_loaded(spark, ledger).count() == 0
     assert report(landing.load_hours(spark, root, raw_path, ledger)) == {"2024-01-01-5.json.gz": (2, 1, "SUCCESS")}
+    assert landing.raw_events(spark, raw_path, ledger).count() == 2
+    assert landing.rejected_lines(spark, raw_path, ledger).count() == 1
     entry = landing.read_ledger(spark, ledger).first()
     assert (entry.rows_loaded, entry.errors_seen) == (2, 1)
     assert entry.first_created_at == entry.last_created_at == dt.datetime(2024, 1, 1, 5)
+    assert len(landing.remove_unpublished(spark, raw_path, ledger)) == 3
+    assert landing.raw_events(spark, raw_path, ledger).count() == 2
 
 
 @pytest.mark.parametrize("most", [100, 0])
@@ -169,7 +182,7 @@ def test_new_files_of_a_half_loaded_hour(spark, places, monkeypatch, most):
         f.write(line(id="2") + b"\n")
     got = report(landing.load_hours(spark, root, raw_path, ledger))
     assert got == {"2024-01-01-5.json.gz": (0, 0, "ALREADY_LOADED"), "second.json.gz": (1, 0, "SUCCESS")}
-    assert landing.raw_events(spark, raw_path).count() == 2
+    assert landing.raw_events(spark, raw_path, ledger).count() == 2
 
 
 def test_a_bounded_range_lists_its_own_folders(spark, places, monkeypatch):
@@ -197,7 +210,7 @@ def test_copies_that_differ_in_the_payload_only(spark, places):
             land(root, f"2024-01-01T{hour:02d}", [line(payload={"x": x})])
             at = dt.datetime(2024, 1, 1, hour)
             landing.load_hours(spark, root, raw_path, ledger, at, at)
-        raw = landing.raw_events(spark, raw_path)
+        raw = landing.raw_events(spark, raw_path, ledger)
         by = staging.copies_by(raw)
         for found in (first_stored(staging.typed(raw), tie_break=by), first_seen(staging.typed(raw), tie_break=by),
                       staging.stage_events(raw), staging.stage_to_store(raw)):

@@ -82,25 +82,22 @@ class ChecksFailed(Exception):
 def stage(spark: SparkSession, layout: Layout, since: datetime | None = None) -> None:
     """One incremental run from the raw table, if anything was ever loaded.
 
-    Of the raw table the hours are read that may hold an event behind the
-    bound: the ledger knows the newest event of each.
+    Of the raw table the folders are opened that the ledger names and that may
+    hold an event behind the bound.
     """
     bound = staging.reach_back(spark, layout.staged, since=since)
     if bound is None:
-        loaded = tables.exists(spark, layout.raw)
-        staging.full_refresh(landing.raw_events(spark, layout.raw), layout.staged, stored=loaded)
+        paths = landing.loaded_folders(spark, layout.raw, layout.ledger)
+        staging.full_refresh(landing.raw_of(spark, layout.raw, paths), layout.staged, stored=bool(paths))
         return
-    raw = raw_behind(spark, layout, bound)
-    staging.upsert_raw(raw, layout.staged)
+    staging.upsert_raw(raw_behind(spark, layout, bound), layout.staged)
     tables.remove_old(spark, layout.staged)
 
 
 def raw_behind(spark: SparkSession, layout: Layout, bound: datetime) -> DataFrame:
-    """Raw events later than ``bound``, from the hour folders that may have some."""
-    ledger = landing.read_ledger(spark, layout.ledger)
-    wanted = landing.hours_reaching(ledger, landing.stored_hours(spark, layout.raw), bound)
-    raw = landing.raw_events(spark, layout.raw, hours=wanted)
-    return raw.where(F.col("created_at") > instant(bound))
+    """Raw events later than ``bound``, from the hour folders that have some."""
+    paths = landing.loaded_folders(spark, layout.raw, layout.ledger, after=bound)
+    return landing.raw_of(spark, layout.raw, paths).where(F.col("created_at") > instant(bound))
 
 
 def stale_days(spark: SparkSession, layout: Layout) -> set[date | None]:
@@ -170,11 +167,9 @@ def check_all(
         **{name: read_mart(spark, layout, name) for name in MARTS},
     }
     if raw:
-        models = {"raw_events": landing.raw_events(spark, layout.raw), **models}
+        models = {"raw_events": landing.raw_events(spark, layout.raw, layout.ledger), **models}
     now = datetime.now(timezone.utc).replace(tzinfo=None) if as_of is None else as_of
-    newest = landing.read_ledger(spark, layout.ledger).select(
-        F.col("last_created_at").alias("created_at")
-    )
+    newest = landing.newest_loaded(spark, layout.ledger)
     fresh = quality.freshness_check("raw_events", quality.freshness(newest, now))
     return quality.quality_report(models).unionByName(fresh)
 
@@ -235,7 +230,7 @@ def backfill(
         )
     stage_hours(spark, layout, start, end)
     build_marts(spark, layout)
-    ledger = landing.read_ledger(spark, layout.ledger)
+    ledger = landing.read_ledger(spark, layout.ledger, only=landing.days_between(start, end))
     return hours.missing_hours(hours.hour_spine(spark, first, last), landing.loaded_hours(ledger))
 
 
@@ -244,5 +239,5 @@ def stage_hours(spark: SparkSession, layout: Layout, start: datetime, end: datet
     if staging.reach_back(spark, layout.staged) is None:
         stage(spark, layout)
     else:
-        staging.upsert_raw(landing.raw_events(spark, layout.raw, start, end), layout.staged)
+        staging.upsert_raw(landing.raw_events(spark, layout.raw, layout.ledger, start, end), layout.staged)
         tables.remove_old(spark, layout.staged)

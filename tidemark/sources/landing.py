@@ -8,8 +8,8 @@ sorts out bad lines and writes, without a shuffle.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Collection
-from datetime import datetime, timedelta
+from collections.abc import Collection, Iterable
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -31,27 +31,40 @@ PATH_SCHEMA = T.StructType([T.StructField(c, T.IntegerType()) for c in HOUR_COLU
 
 # Stored form: the raw columns, a hash of the line, which run loaded each row from
 # which file, and, for a line that could not be loaded, the line itself and why.
-# Partitioned by load_status first.
+# Partitioned by load_id, then load_status, then the file's hour.
 STORED_SCHEMA = T.StructType(
     [
         *RAW_SCHEMA.fields,
         T.StructField("line_hash", T.LongType()),
-        T.StructField("load_id", T.StringType()),
         T.StructField("source_file", T.StringType()),
         T.StructField("bad_line", T.StringType()),
         T.StructField("bad_reason", T.StringType()),
+        T.StructField("load_id", T.StringType()),
         T.StructField("load_status", T.StringType()),
         *PATH_SCHEMA.fields,
     ]
 )
+# The files loaded so far, by the day of their hour. A load is there once its
+# entries are published, all together; it names the folders that readers open.
 LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("source_file", T.StringType()),
+        T.StructField("load_id", T.StringType()),
         T.StructField("rows_loaded", T.LongType()),
         T.StructField("errors_seen", T.LongType()),
         T.StructField("loaded_at", T.TimestampType()),
         T.StructField("first_created_at", T.TimestampNTZType()),
         T.StructField("last_created_at", T.TimestampNTZType()),
+        T.StructField(tables.DAY, T.DateType()),
+    ]
+)
+# How late the events of an hour's files are, by the day of the newest one.
+REACH_SCHEMA = T.StructType(
+    [
+        T.StructField("hour", T.TimestampNTZType()),
+        T.StructField("load_id", T.StringType()),
+        T.StructField("last_created_at", T.TimestampNTZType()),
+        T.StructField(tables.DAY, T.DateType()),
     ]
 )
 LOADED, REJECTED = "loaded", "rejected"
@@ -79,6 +92,11 @@ def hour_folder(hour: datetime) -> str:
     return f"year={hour:%Y}/month={hour:%m}/day={hour:%d}/hour={hour:%H}"
 
 
+def stored_folder(hour: datetime) -> str:
+    """The same in the raw table, whose folders Spark names after numbers."""
+    return f"year={hour.year}/month={hour.month}/day={hour.day}/hour={hour.hour}"
+
+
 def landed_hours(
     spark: SparkSession, root: str, start: datetime | None, end: datetime | None
 ) -> list[datetime] | None:
@@ -171,17 +189,31 @@ def unloaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
     return files.join(ledger.select("source_file"), "source_file", "left_anti")
 
 
-def read_ledger(spark: SparkSession, path: str, history_days: int | None = None) -> DataFrame:
-    """Files loaded so far; with ``history_days``, only those remembered that long."""
-    if not tables.exists(spark, path):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(path)
+def read_ledger(
+    spark: SparkSession,
+    path: str,
+    history_days: int | None = None,
+    only: Iterable[date] | None = None,
+) -> DataFrame:
+    """Files loaded so far, or those of some days' hours; with ``history_days``, only those remembered that long."""
+    ledger = tables.read_by_day(spark, path, LEDGER_SCHEMA, only)
     if history_days is None:
         return ledger
     kept_from = F.current_timestamp() - F.expr(f"INTERVAL {int(history_days)} DAYS")
     return ledger.where(F.col("loaded_at") >= kept_from)
 
 
+def days_between(start: datetime | None, end: datetime | None) -> list[date] | None:
+    """The days of a bounded range; None for an open one."""
+    if start is None or end is None:
+        return None
+    return [start.date() + timedelta(days=i) for i in range((end.date() - start.date()).days + 1)]
+
+
+def reach_path(ledger_path: str) -> str:
+    return f"{ledger_path}_reach"
+
+
 def file_hour() -> Column:
     """The hour that a ledger path names."""
     folder = r"year=(\d+)/month=(\d+)/day=(\d+)/hour=(\d+)/"
@@ -224,12 +256,12 @@ def load_hours(
 
     Returns one row per file of the range: rows loaded, lines refused, status.
     Landed files are kept. Loading the same range again adds nothing. The
-    driver holds the hours to load, never the files. A run that dies before the
-    ledger is written may leave rows that the next run adds again; staging
-    removes such copies, and the counts are over a run's own rows.
+    driver holds the hours to load, never the files. A load's rows lie in a folder
+    of its own, and readers open those that the ledger names: what a run wrote
+    that died is never seen, and the next run loads its files anew.
     """
     files = list_files(spark, root, start, end)
-    ledger = read_ledger(spark, ledger_path, history_days)
+    ledger = read_ledger(spark, ledger_path, history_days, days_between(start, end))
     pending = workspace.pin(unloaded(files, ledger).select("source_file", *HOUR_COLUMNS), "pending")
     hours = [datetime(*row) for row in pending.select(*HOUR_COLUMNS).distinct().collect()]
     load_id = uuid.uuid4().hex
@@ -241,27 +273,44 @@ def load_hours(
         if few:
             names = F.broadcast(known) if few <= MOST_NAMES else known
             lines = lines.join(names, "source_file", "left_anti").select(*STORED_SCHEMA.names)
-        (
-            lines.withColumn("load_id", F.lit(load_id))
-            .write.mode("append")
-            .partitionBy("load_status", *HOUR_COLUMNS)
-            .parquet(raw_path)
-        )
-        written = read_stored(spark, raw_path).where(
-            at_hours(hours) & (F.col("load_id") == load_id)
-        )
-        entries = pending.join(load_counts(written), "source_file", "left").select(
+        folder = f"{raw_path}/load_id={load_id}"
+        lines.drop("load_id").write.partitionBy("load_status", *HOUR_COLUMNS).parquet(folder)
+        counts = load_counts(read_stored(spark, raw_path, [folder]))
+        entries = pending.join(counts, "source_file", "left").select(
             "source_file",
+            F.lit(load_id).alias("load_id"),
             F.coalesce("rows_loaded", F.lit(0)).cast("bigint").alias("rows_loaded"),
             F.coalesce("errors_seen", F.lit(0)).cast("bigint").alias("errors_seen"),
             F.current_timestamp().alias("loaded_at"),
             "first_created_at",
             "last_created_at",
+            file_hour().cast("date").alias(tables.DAY),
         )
-        # Few files, as many as the size asks for.
-        entries.hint("rebalance").write.mode("append").parquet(ledger_path)
-    fresh = read_ledger(spark, ledger_path).join(pending, "source_file", "left_semi")
-    return load_report(files, fresh)
+        publish_load(workspace.pin(entries, "entries"), ledger_path)
+    fresh = read_ledger(spark, ledger_path, only={h.date() for h in hours})
+    return load_report(files, fresh.where(F.col("load_id") == load_id))
+
+
+def publish_load(entries: DataFrame, ledger_path: str) -> None:
+    """Make a load visible: its ledger entries join those of their days in one step.
+
+    How far its events reach is noted first; a note without ledger entries is
+    passed over. Of both tables the touched days are written anew.
+    """
+    spark = entries.sparkSession
+    reach = entries.where(F.col("last_created_at").isNotNull()).groupBy(file_hour().alias("hour"), "load_id").agg(
+        F.max("last_created_at").alias("last_created_at")
+    )
+    reach = reach.withColumn(tables.DAY, F.to_date("last_created_at"))
+    for rows, path, schema, key in (
+        (reach, reach_path(ledger_path), REACH_SCHEMA, "hour"),
+        (entries, ledger_path, LEDGER_SCHEMA, "source_file"),
+    ):
+        days = {row[0] for row in rows.select(tables.DAY).distinct().collect()}
+        if days:
+            before = tables.read_by_day(spark, path, schema, days)
+            tables.write_by_day(before.unionByName(rows.select(*before.columns)), path, key, replace=days)
+            tables.remove_old(spark, path)
 
 
 def load_counts(stored: DataFrame) -> DataFrame:
@@ -276,26 +325,65 @@ def load_counts(stored: DataFrame) -> DataFrame:
     )
 
 
-def hours_reaching(ledger: DataFrame, stored: list[datetime], after: datetime) -> list[datetime]:
-    """Those of the ``stored`` hours whose files may hold an event later than ``after``.
+def folders(raw_path: str, ledger: DataFrame, status: str = LOADED) -> list[str]:
+    """The hour folders of the raw table that ledger entries name; one per load and hour."""
+    rows = ledger.where(F.col("rows_loaded" if status == LOADED else "errors_seen") > 0)
+    named = rows.select(file_hour().alias("hour"), "load_id").distinct().collect()
+    return sorted(f"{raw_path}/load_id={r['load_id']}/load_status={status}/{stored_folder(r['hour'])}" for r in named)
+
+
+def loaded_folders(
+    spark: SparkSession,
+    raw_path: str,
+    ledger_path: str,
+    start: datetime | None = None,
+    end: datetime | None = None,
+    after: datetime | None = None,
+) -> list[str]:
+    """Hour folders of loaded rows, of a range of file hours, or those that hold an event later than ``after``.
 
-    By the ledger's newest event of each hour; hours that it does not know are
-    kept. Collected is one row per hour.
+    The latter are found by the days of the newest events, whatever the hour of
+    their file; the ledger is then read for their days alone.
     """
-    newest = ledger.select(file_hour().alias("hour"), "last_created_at").groupBy("hour")
-    done = newest.agg(F.max("last_created_at").alias("last")).where(
-        F.col("last").isNull() | (F.col("last") <= instant(after))
-    )
-    old = {row["hour"] for row in done.select("hour").collect()}
-    return [hour for hour in stored if hour not in old]
+    if after is None:
+        ledger = read_ledger(spark, ledger_path, only=days_between(start, end))
+    else:
+        reach = reach_path(ledger_path)
+        late = [d for d in tables.days(spark, reach) if d is not None and d >= after.date()]
+        found = tables.read_by_day(spark, reach, REACH_SCHEMA, late).where(F.col("last_created_at") > instant(after))
+        found = workspace.pin(found.select("hour", "load_id").distinct(), "reaching")
+        days = [row[0] for row in found.select(F.to_date("hour")).distinct().collect()]
+        ledger = read_ledger(spark, ledger_path, only=days).withColumn("hour", file_hour())
+        ledger = ledger.join(found, ["hour", "load_id"], "left_semi")
+    hour = file_hour()
+    if start is not None:
+        ledger = ledger.where(hour >= instant(start))
+    if end is not None:
+        ledger = ledger.where(hour <= instant(end))
+    return folders(raw_path, ledger)
+
 
+def newest_loaded(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """``created_at`` of the newest loaded event, at most one row; read from the last days that have one."""
+    reach = reach_path(ledger_path)
+    for day in reversed([d for d in tables.days(spark, reach) if d is not None]):
+        found = tables.read_by_day(spark, reach, REACH_SCHEMA, [day])
+        at = found.where(F.to_date("hour").isNotNull()).select("load_id", "last_created_at", F.to_date("hour").alias("of"))
+        days = [row[0] for row in at.select("of").distinct().collect()]
+        known = read_ledger(spark, ledger_path, only=days).select("load_id").distinct()
+        newest = at.join(known, "load_id", "left_semi").agg(F.max("last_created_at").alias("created_at"))
+        if newest.first()[0] is not None:
+            return newest
+    return spark.createDataFrame([], "created_at timestamp_ntz")
 
-def stored_hours(spark: SparkSession, raw_path: str) -> list[datetime]:
-    """The hours that the raw table has loaded rows of, from folder names only."""
-    found = []
-    for path in tables.descend(spark, f"{raw_path}/load_status={LOADED}", len(HOUR_COLUMNS)):
-        found.append(datetime(*[int(part.split("=")[1]) for part in path.split("/")[-len(HOUR_COLUMNS) :]]))
-    return sorted(found)
+
+def remove_unpublished(spark: SparkSession, raw_path: str, ledger_path: str) -> list[str]:
+    """Delete what loads left that were never published. Not while a load is at work."""
+    named = {f"load_id={r[0]}" for r in read_ledger(spark, ledger_path).select("load_id").distinct().collect()}
+    left = [n for n in tables.child_names(spark, raw_path) if n.startswith("load_id=") and n not in named]
+    for name in left:
+        tables.delete(spark, f"{raw_path}/{name}")
+    return left
 
 
 def load_report(files: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -336,28 +424,28 @@ def as_stored(raw: DataFrame) -> DataFrame:
     ).select(*STORED_SCHEMA.names)
 
 
-def read_stored(spark: SparkSession, raw_path: str) -> DataFrame:
-    if not tables.exists(spark, raw_path):
+def read_stored(spark: SparkSession, raw_path: str, paths: list[str]) -> DataFrame:
+    """Rows of the raw table below ``paths``; nothing else is listed."""
+    if not paths:
         return spark.createDataFrame([], STORED_SCHEMA)
-    return spark.read.schema(STORED_SCHEMA).parquet(raw_path)
+    return spark.read.schema(STORED_SCHEMA).option("basePath", raw_path).parquet(*paths)
+
+
+def raw_of(spark: SparkSession, raw_path: str, paths: list[str]) -> DataFrame:
+    return read_stored(spark, raw_path, paths).select(*RAW_SCHEMA.names, "line_hash")
 
 
 def raw_events(
     spark: SparkSession,
     raw_path: str,
+    ledger_path: str,
     start: datetime | None = None,
     end: datetime | None = None,
-    hours: Collection[datetime] | None = None,
 ) -> DataFrame:
-    """The raw event table with the hash of each line; a range or a choice of hours prunes partitions."""
-    wanted = (F.col("load_status") == LOADED) & in_hours(start, end)
-    if hours is not None:
-        wanted = wanted & at_hours(hours)
-    return read_stored(spark, raw_path).where(wanted).select(*RAW_SCHEMA.names, "line_hash")
+    """The raw event table with the hash of each line, or what files of a range of hours hold."""
+    return raw_of(spark, raw_path, loaded_folders(spark, raw_path, ledger_path, start, end))
 
 
-def rejected_lines(spark: SparkSession, raw_path: str) -> DataFrame:
-    stored = read_stored(spark, raw_path)
-    return stored.where(F.col("load_status") == REJECTED).select(
-        "source_file", "bad_reason", "bad_line"
-    )
+def rejected_lines(spark: SparkSession, raw_path: str, ledger_path: str) -> DataFrame:
+    paths = folders(raw_path, read_ledger(spark, ledger_path), REJECTED)
+    return read_stored(spark, raw_path, paths).select("source_file", "bad_reason", "bad_line")

@@ -38,12 +38,9 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(folder)]
 
 
-def descend(spark: SparkSession, path: str, levels: int) -> list[str]:
-    """The partition folders so many levels below ``path``."""
-    found = [path]
-    for _ in range(levels):
-        found = [f"{p}/{name}" for p in found for name in child_names(spark, p) if "=" in name]
-    return found
+def delete(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
 
 
 def _day_name(day: date | None) -> str:
@@ -171,12 +168,10 @@ def remove_old(spark: SparkSession, path: str, keep: int = 2) -> None:
         days_ = [n for n in child_names(spark, f"{path}/{version}") if n.startswith(f"{DAY}=")]
         unnamed = [n for n in days_ if f"{version}/{n}" not in named]
         for name in unnamed if len(unnamed) < len(days_) else [""]:
-            files, folder = _folder(spark, f"{path}/{version}/{name}".rstrip("/"))
-            files.delete(folder, True)
+            delete(spark, f"{path}/{version}/{name}".rstrip("/"))
     for name in child_names(spark, f"{path}/{MANIFESTS}"):
         if int(name.split(".")[0]) < kept.start:
-            files, file = _folder(spark, f"{path}/{MANIFESTS}/{name}")
-            files.delete(file, False)
+            delete(spark, f"{path}/{MANIFESTS}/{name}")
 
 
 def newest_instant(spark: SparkSession, path: str, schema: T.StructType, at: str) -> datetime | None:
