@@ -7,6 +7,7 @@ columns), and outlives lost executors.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -49,7 +50,26 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a frame that reads the written table."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    pinned = df.sparkSession.read.schema(df.schema).parquet(path)
+    pinned._pinned_at = path
+    return pinned
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that are over.
+
+    It does so once the driver's references to them are collected, which a driver
+    with a large heap may not get to while a long query fills the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def unpin(*frames: DataFrame) -> None:
+    """Delete pinned tables that no frame will read again, and shuffle files that nothing needs."""
+    for df in frames:
+        _delete(df.sparkSession, df._pinned_at)
+    tidy(frames[0].sparkSession)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
