@@ -7,8 +7,8 @@ on the texts as given; removed are all words that such a window covers.
 1. Of the word groups in a window (``group`` words) the one with the least hash is its
    seed, the first of equals. Equal windows have equal seeds. Neighbouring windows with
    one seed form a unit, at most ``window - group + 1`` windows.
-2. Seeds that occur once are dropped, units of equal words become one content, known by
-   its first place. Only their words are read again.
+2. Seeds that occur once are dropped, units of equal words become one content, numbered in
+   the order of first places. Only their words are read again.
 3. Windows of contents are counted by hash. Each that occurs twice or more goes into
    the reference at its first place, and only there.
 4. The reference is cut into shards by seed, and a shard that is too large into parts. A
@@ -37,10 +37,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import as_longs, in_arrow, mixed, powers, shingles, text_blocks, words
-from tidemark.workspace import pin
+from tidemark.workspace import pin, tidy, unpin
 
 #: Windows that make a shard of the reference, and contents that make a slice.
 SHARD, SLICE = 50_000, 50_000
@@ -111,42 +111,55 @@ def _unit_arrays(documents: DataFrame, window: int, group: int) -> DataFrame:
     return in_arrow(documents.select("id", "digest", "text"), run, schema)
 
 
-def _place(pos: str | Column) -> Column:
-    pos = F.col(pos) if isinstance(pos, str) else pos
-    return F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("digest").alias("digest"), pos.alias("pos"))
-
-
 def repeated_places(documents: DataFrame, window: int, group: int) -> DataFrame:
-    """Units whose seed occurs twice or more: ``seed``, ``sha``, ``id``, ``digest``, ``start``, ``size``."""
+    """Units whose seed occurs twice or more: ``seed``, ``sha``, ``id``, ``digest``, ``start``, ``size``. Written once."""
     arrays = pin(_unit_arrays(documents, window, group), "units")
     seeds = arrays.select(F.explode("seeds").alias("seed")).groupBy("seed").count().where("count > 1").select("seed")
+    seeds = pin(seeds, "seeds")
+    tidy(documents.sparkSession)
     zipped = F.arrays_zip(
         F.col("seeds").alias("seed"), F.col("shas").alias("sha"), F.col("starts").alias("start"), F.col("sizes").alias("size")
     )
-    places = arrays.select("id", "digest", F.inline(zipped))
-    return places.join(pin(seeds, "seeds"), "seed", "left_semi")
+    places = pin(arrays.select("id", "digest", F.inline(zipped)).join(seeds, "seed", "left_semi"), "places")
+    unpin(arrays, seeds)
+    return places
 
 
-def contents(places: DataFrame, documents: DataFrame, window: int) -> DataFrame:
-    """One row per distinct unit, at its first place: ``copies``, ``words`` (as written) and ``hashes`` of its windows."""
-    kind = documents.schema["id"].dataType.simpleString()
+def first_places(places: DataFrame) -> DataFrame:
+    """One row per distinct unit: ``no``, ``seed``, ``sha``, ``first`` place, ``size``, ``copies``. Written once.
+
+    ``no`` follows the order of first places, and units of a document don't overlap:
+    windows are in the order of (``no``, place in the unit).
+    """
+    spark = places.sparkSession
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "digest", F.col("start").alias("pos"))
     firsts = places.groupBy("seed", "sha").agg(
-        F.min(_place("start")).alias("first"), F.min("size").alias("size"), F.count("*").alias("copies")
+        F.min(place).alias("first"), F.min("size").alias("size"), F.count("*").alias("copies")
     )
+    found = pin(firsts, "firsts")
+    tidy(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = found.repartitionByRange(parts, "first").sortWithinPartitions("first")
+    numbered = pin(dealt.withColumn("no", F.monotonically_increasing_id()), "numbered")
+    unpin(found)
+    return numbered
+
+
+def contents(firsts: DataFrame, documents: DataFrame, window: int) -> DataFrame:
+    """``no``, ``seed``, ``copies``, ``words`` (as written) and ``hashes`` of the windows of each distinct unit."""
     wanted = firsts.groupBy(F.col("first.id").alias("of"), F.col("first.digest").alias("of_digest")).agg(
-        F.collect_list(F.struct("seed", "sha", F.col("first.pos").alias("start"), "size", "copies")).alias("units")
+        F.collect_list(F.struct("no", "seed", F.col("first.pos").alias("start"), "size", "copies")).alias("units")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in text_blocks(batch.column(2)):
+            for low, high, data, offsets in text_blocks(batch.column(0)):
                 n = high - low
                 found = words(data, offsets, fold=None)
                 hashes = window_hashes(found.hashes, window)
-                listed = batch.column(3).slice(low, n)
+                listed = batch.column(1).slice(low, n)
                 of = np.repeat(np.arange(n), np.asarray(listed.value_lengths()))
-                unit = listed.flatten()
-                seed, sha, start, size, copies = (np.asarray(c) for c in unit.flatten())
+                no, seed, start, size, copies = (np.asarray(c) for c in listed.flatten().flatten())
                 first = found.first[of] + start
                 begin, end = found.start[first], found.end[first + size + window - 2]
                 raw = data.tobytes()
@@ -155,29 +168,29 @@ def contents(places: DataFrame, documents: DataFrame, window: int) -> DataFrame:
                 at = np.arange(int(ends[-1])) + np.repeat(first - ends[:-1], size)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(low, n).take(pa.array(of)),
-                        batch.column(1).slice(low, n).take(pa.array(of)),
-                        *[pa.array(x) for x in (seed, sha, start, size, copies)],
+                        *[pa.array(x) for x in (no, seed, copies)],
                         said.view(pa.string()),
                         pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(as_longs(hashes[at]))),
                     ],
-                    names=["id", "digest", "seed", "sha", "start", "size", "copies", "words", "hashes"],
+                    names=["no", "seed", "copies", "words", "hashes"],
                 )
 
     on = documents["id"].eqNullSafe(F.col("of")) & (documents["digest"] == F.col("of_digest"))
-    given = documents.join(wanted, on).select("id", "digest", "text", "units")
-    schema = (
-        f"id {kind}, digest long, seed long, sha long, start int, size int, copies long, words string, hashes array<long>"
-    )
-    return in_arrow(given, run, schema)
+    given = documents.join(wanted, on).select("text", "units")
+    return in_arrow(given, run, "no long, seed long, copies long, words string, hashes array<long>")
+
+
+#: Windows of a unit are told apart by so many bits.
+BITS = 5
 
 
 def reference(known: DataFrame) -> DataFrame:
-    """``of`` (a content's ``sha``) and ``marks``: its windows that occur twice or more and have their first place there."""
-    each = known.select("id", "digest", "sha", "start", "copies", F.posexplode("hashes").alias("mark", "hash"))
-    first = F.min(F.struct(_place(F.col("start") + F.col("mark")).alias("place"), "sha", "mark")).alias("first")
-    found = each.groupBy("hash").agg(first, F.sum("copies").alias("times")).where("times > 1")
-    return found.groupBy(F.col("first.sha").alias("of")).agg(F.sort_array(F.collect_set("first.mark")).alias("marks"))
+    """``of`` (a content's ``no``) and ``marks``: its windows that occur twice or more and have their first place there."""
+    each = known.select("no", "copies", F.posexplode("hashes").alias("mark", "hash"))
+    order = F.shiftleft("no", BITS) + F.col("mark")
+    found = each.groupBy("hash").agg(F.min(order).alias("first"), F.sum("copies").alias("times")).where("times > 1")
+    of, mark = F.shiftright("first", BITS).alias("of"), F.col("first").bitwiseAND((1 << BITS) - 1).cast("int")
+    return found.groupBy(of).agg(F.sort_array(F.collect_set(mark)).alias("marks"))
 
 
 class Automaton:
@@ -257,90 +270,93 @@ def runs(marks: list[int]) -> Iterator[tuple[int, int]]:
         yield first, before
 
 
-def _ordered(row: tuple) -> tuple:
-    """Place of a row of id, digest and start, as Spark orders it."""
-    doc_id, digest, start = row
-    return doc_id is None, 0 if doc_id is None else doc_id, digest, start
-
-
 def judged(known: DataFrame, window: int) -> DataFrame:
-    """Per content: first place, ``matched`` and ``earlier``, bits of its windows that are in the reference, and
-    that start before this place."""
+    """Per content (``no``) ``matched`` and ``earlier``: bits of its windows that are in the reference, and
+    that start before there."""
     marks = pin(reference(known), "reference")
+    tidy(known.sparkSession)
     total = marks.agg(F.sum(F.size("marks"))).first()[0] or 0
-    shards = 1 + total // SHARD
-    rows = known.select("id", "digest", "seed", "sha", "start", "size", "words").join(
-        marks, F.col("sha") == F.col("of"), "left"
+    shard = F.pmod(F.xxhash64("seed"), F.lit(1 + total // SHARD)).alias("shard")
+    same = F.col("no") == F.col("of")
+    held = F.coalesce(F.when(F.size("marks") > 0, F.size("marks")), F.lit(0))
+    loads = known.select("no", shard).join(marks, same, "left").groupBy("shard").agg(
+        F.sum(held).alias("held"), F.count("*").alias("asked")
     )
-    rows = rows.drop("of").withColumn("shard", F.pmod(F.xxhash64("seed"), F.lit(shards)))
-    rows = pin(rows.withColumn("salt", F.pmod(F.xxhash64("sha", F.lit(1)), F.lit(1 << 30))), "dealt")
-    held = F.coalesce(F.size("marks"), F.lit(0))
-    loads = rows.groupBy("shard").agg(F.sum(F.when(held > 0, held)).alias("held"), F.count("*").alias("asked")).select(
+    loads = loads.select(
         F.col("shard").alias("at"),
-        (F.coalesce("held", F.lit(0)) / F.lit(2 * SHARD)).cast("long").alias("parts"),
+        (F.col("held") / F.lit(2 * SHARD)).cast("long").alias("parts"),
         (F.col("asked") / F.lit(SLICE)).cast("long").alias("slices"),
     )
-    rows = rows.join(pin(loads, "loads"), F.col("shard") == F.col("at")).drop("at")
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n)))
-    one = lambda n: F.pmod("salt", F.col(n) + 1)
-    fields = ["shard", "part", "slice", "id", "digest", "sha", "start", "size", "words"]
-    asked = rows.withColumn("part", every("parts")).withColumn("slice", one("slices"))
-    asked = asked.select(*fields, F.lit(None).cast("array<int>").alias("marks"))
-    held_ = rows.where(F.col("marks").isNotNull()).withColumn("slice", every("slices")).withColumn("part", one("parts"))
-    both = held_.select(*fields, "marks").unionByName(asked)
-    dealt = both.repartition("shard", "part", "slice").sortWithinPartitions(
-        "shard", "part", "slice", F.col("marks").isNull(), F.col("id").isNull(), "id", "digest", "start"
+    loads = pin(loads, "loads")
+    rows = known.select("no", shard, F.pmod(F.xxhash64("no"), F.lit(1 << 30)).alias("salt"), "words")
+    rows = rows.join(loads, F.col("shard") == F.col("at")).join(marks, same, "left")
+    every = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n))
+    one = lambda n: F.array(F.pmod("salt", F.col(n) + 1))
+    # A content is asked of every part of its shard; one with marks also belongs to a part, in every slice.
+    deal = lambda part, piece, kept: F.transform(
+        F.flatten(F.transform(part, lambda p: F.transform(piece, lambda s: F.struct(p.alias("part"), s.alias("slice"))))),
+        lambda x: F.struct(x["part"].alias("part"), x["slice"].alias("slice"), kept.alias("marks")),
+    )
+    none = F.lit(None).cast("array<int>")
+    asked = deal(every("parts"), one("slices"), none)
+    kept = F.when(F.col("marks").isNotNull(), deal(one("parts"), every("slices"), F.col("marks")))
+    both = F.concat(asked, F.coalesce(kept, F.array().cast("array<struct<part:long,slice:long,marks:array<int>>>")))
+    dealt = rows.select("shard", "no", "words", F.inline(both)).select("shard", "part", "slice", "no", "words", "marks")
+    dealt = dealt.repartition("shard", "part", "slice").sortWithinPartitions(
+        "shard", "part", "slice", F.col("marks").isNull(), "no"
     )
-    schema = "sha long, matched int, earlier int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, automaton = None, Automaton()
         for batch in batches:
-            shas, matched, earlier = [], [], []
+            numbers, matched, earlier = [], [], []
             columns = [c.to_pylist() for c in batch.columns]
-            for shard, part, piece, doc_id, digest, sha, start, size, said, marked in zip(*columns, strict=True):
-                if (shard, part, piece) != of:
-                    of, automaton = (shard, part, piece), Automaton()
-                sequence = said.encode().split()
+            for at, part, piece, no, said, marked in zip(*columns, strict=True):
+                if (at, part, piece) != of:
+                    of, automaton = (at, part, piece), Automaton()
+                sequence, base = said.encode().split(), no << BITS
                 if marked is not None:
                     for low, high in runs(marked):
-                        span = range(low, high + window)
-                        places = [(doc_id, digest, start + i - window + 1) for i in span]
-                        automaton.add(sequence[low : high + window], places)
+                        ends = range(base + low - window + 1, base + high + 1)
+                        automaton.add(sequence[low : high + window], ends)
                     continue
                 hit = before = 0
                 for i, (_, place) in enumerate(automaton.statistics(sequence, window)):
                     if place is not None:
-                        bit = 1 << (i - window + 1)
-                        hit |= bit
-                        if _ordered(place) < _ordered((doc_id, digest, start + i - window + 1)):
-                            before |= bit
+                        mark = i - window + 1
+                        hit |= 1 << mark
+                        before |= (place < base + mark) << mark
                 if hit:
-                    shas.append(sha)
+                    numbers.append(no)
                     matched.append(hit)
                     earlier.append(before)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shas, pa.int64()), pa.array(matched, pa.int32()), pa.array(earlier, pa.int32())],
-                names=["sha", "matched", "earlier"],
+                [pa.array(numbers, pa.int64()), pa.array(matched, pa.int32()), pa.array(earlier, pa.int32())],
+                names=["no", "matched", "earlier"],
             )
 
-    found = in_arrow(dealt, run, schema).groupBy("sha").agg(
-        F.bit_or("matched").alias("matched"), F.bit_or("earlier").alias("earlier")
-    )
-    at = known.select(F.col("sha").alias("of"), _place("start").alias("first")).distinct()
-    return found.join(at, F.col("sha") == F.col("of")).drop("of")
+    found = in_arrow(dealt, run, "no long, matched int, earlier int")
+    return found.groupBy("no").agg(F.bit_or("matched").alias("matched"), F.bit_or("earlier").alias("earlier"))
 
 
 def removed_windows(documents: DataFrame, window: int, group: int) -> DataFrame:
     """Per document (``of``, ``of_digest``) that loses words: ``spans``, first windows of units and bits of those that go."""
-    places = pin(repeated_places(documents, window, group), "places")
-    known = pin(contents(places, documents, window), "contents")
-    verdicts = pin(judged(known, window), "verdicts")
-    bits = F.when(_place("start") == F.col("first"), F.col("earlier")).otherwise(F.col("matched"))
+    places = repeated_places(documents, window, group)
+    firsts = first_places(places)
+    known = pin(contents(firsts, documents, window), "contents")
+    tidy(documents.sparkSession)
+    verdicts = judged(known, window).join(firsts.select("no", "sha", "first"), "no").drop("no")
+    verdicts = pin(verdicts, "verdicts")
+    unpin(known, firsts)
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "digest", F.col("start").alias("pos"))
+    bits = F.when(place == F.col("first"), F.col("earlier")).otherwise(F.col("matched"))
     lost = places.join(verdicts, "sha").select("id", "digest", "start", bits.alias("bits")).where("bits <> 0")
-    return lost.groupBy(F.col("id").alias("of"), F.col("digest").alias("of_digest")).agg(
+    spans = lost.groupBy(F.col("id").alias("of"), F.col("digest").alias("of_digest")).agg(
         F.collect_list(F.struct("start", "bits")).alias("spans")
     )
+    spans = pin(spans, "spans")
+    unpin(places, verdicts)
+    return spans
 
 
 def deduplicated(
@@ -348,7 +364,8 @@ def deduplicated(
 ) -> DataFrame:
     """Per row: id, the kept words joined by one space as text, ``n_words``, ``n_removed`` and ``kept_sha256``.
 
-    ``window`` less ``group`` is at most 30. ``documents`` is read three times.
+    ``window`` less ``group`` is at most 30. ``documents`` is read three times, and
+    all but the last step is done when this returns.
     """
     if not 0 <= window - group <= 30:
         raise ValueError("window less group must be 0 to 30")
