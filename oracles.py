@@ -281,6 +281,37 @@ def repeats(model: str, table: str, column: str) -> str:
     return checks("unique", model, column, "error", count)
 
 
+# All four marts, one JSON text a row.
+ALL_MARTS = ",".join([LABELS, TRENDING, TRENDS[len(EVENTS) + 1 :], RETENTION[len(EVENTS) + 1 :]])
+MART_ROWS = " UNION ALL ".join(
+    [
+        as_json(
+            "trending_repos",
+            "trending",
+            "repo_id repo_name date_day star_count rolling_7d_stars rolling_7d_forks "
+            "rolling_7d_code_events unique_contributors trending_rank",
+        ),
+        as_json(
+            "contributor_retention",
+            "retention",
+            "cohort_month activity_month months_since_first cohort_size retained_contributors "
+            "retention_rate total_code_contributions",
+        ),
+        as_json(
+            "category_trends",
+            "trends",
+            "date_day event_category event_count unique_contributors unique_repos "
+            "event_count_7d_ago wow_growth_rate",
+        ),
+        as_json(
+            "label_usage",
+            "label_usage",
+            "date_day label_name label_applied_count unique_repos unique_prs daily_rank",
+        ),
+    ]
+)
+
+
 def _report() -> str:
     with_all = ",".join(
         [
@@ -324,6 +355,21 @@ def _report() -> str:
     return f"WITH {with_all} " + " UNION ALL ".join(parts)
 
 
+def _by_day() -> str:
+    """The checks of every delivery, and of the labels in them."""
+    strange = f"SELECT count(DISTINCT event_type) AS failures FROM staged WHERE event_type NOT IN ({ACCEPTED})"
+    parts = [
+        repeats("staged_events", "staged", "event_id"),
+        nulls("staged_events", "staged", "event_id"),
+        nulls("staged_events", "staged", "event_type"),
+        checks("accepted_values", "staged_events", "event_type", "warn", strange),
+        nulls("pr_labels", "pr_labels", "event_id"),
+        nulls("pr_labels", "pr_labels", "label_name"),
+    ]
+    every = LABELS.replace("WHERE NOT again)", ")")
+    return f"WITH {every} " + " UNION ALL ".join(parts)
+
+
 def over(tables: str, select: str) -> str:
     return f"WITH {tables.strip()}\n{select}"
 
@@ -387,6 +433,12 @@ SELECT hour, hour_key, path FROM spine WHERE hour NOT IN
         SPLIT,
         f"""SELECT {SCALARS}, CAST(created_at AS DATE) AS date_day FROM (
  SELECT * FROM target WHERE event_id NOT IN (SELECT event_id FROM batch)
+ UNION ALL SELECT * FROM batch)""",
+    ),
+    "upsert_random_ids": over(
+        SPLIT,
+        f"""SELECT {SCALARS.replace("event_id", "md5(event_id) AS event_id", 1)}, CAST(created_at AS DATE) AS date_day FROM (
+ SELECT * FROM target WHERE event_id NOT IN (SELECT event_id FROM batch)
  UNION ALL SELECT * FROM batch)""",
     ),
     "cdc_upsert": over(
@@ -517,42 +569,11 @@ items AS (
         """SELECT label_name, label_applied_count FROM label_usage
  WHERE date_day = (SELECT max(date_day) FROM label_usage) AND daily_rank <= 20""",
     ),
-    "marts_after_increment": over(
-        ",".join(
-            [
-                LABELS.replace(STAGED, UPSERTED),
-                TRENDING,
-                TRENDS[len(EVENTS) + 1 :],
-                RETENTION[len(EVENTS) + 1 :],
-            ]
-        ),
-        " UNION ALL ".join(
-            [
-                as_json(
-                    "trending_repos",
-                    "trending",
-                    "repo_id repo_name date_day star_count rolling_7d_stars rolling_7d_forks "
-                    "rolling_7d_code_events unique_contributors trending_rank",
-                ),
-                as_json(
-                    "contributor_retention",
-                    "retention",
-                    "cohort_month activity_month months_since_first cohort_size retained_contributors "
-                    "retention_rate total_code_contributions",
-                ),
-                as_json(
-                    "category_trends",
-                    "trends",
-                    "date_day event_category event_count unique_contributors unique_repos "
-                    "event_count_7d_ago wow_growth_rate",
-                ),
-                as_json(
-                    "label_usage",
-                    "label_usage",
-                    "date_day label_name label_applied_count unique_repos unique_prs daily_rank",
-                ),
-            ]
-        ),
+    "marts_after_increment": over(ALL_MARTS.replace(STAGED, UPSERTED), MART_ROWS),
+    "marts_after_old_day": over(ALL_MARTS, MART_ROWS),
+    "retention_after_retraction": over(
+        f"""{ORDERS.replace("o_orderdate AS created_at", "date_trunc('month', o_orderdate) AS created_at")},{RETENTION}""",
+        "SELECT * FROM retention",
     ),
     "rebuilt_marts": over(LABELS, "SELECT * FROM label_usage"),
     "stream_dedup": over(STAGED, "SELECT event_id FROM staged"),
@@ -572,6 +593,7 @@ items AS (
  FROM events WHERE event_type NOT IN
  ('WatchEvent', 'PushEvent', 'ForkEvent', 'IssuesEvent', 'PullRequestEvent')""",
     "dq_report": _report(),
+    "dq_by_day": _by_day(),
     "dq_freshness": over(
         DELIVERIES,
         """SELECT max_loaded_at, as_of,

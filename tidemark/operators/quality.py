@@ -131,6 +131,65 @@ def run_checks(model: str, df: DataFrame, checks: Iterable[Check]) -> DataFrame:
     )
 
 
+#: What the checks of a model found on one day: a count of NULLs, or one row per
+#: strange value, or per key that is there twice. ``other_day`` also holds the key.
+FOUND = ("check", "model", "column", "failures", "value", "other_day", "own_version", "other_version")
+
+
+def found_by_day(model: str, df: DataFrame, checks: Iterable[Check], day: str) -> DataFrame:
+    """``FOUND`` and the day, each day by itself. Values stay apart, so that days can be put together."""
+    parts = []
+    shown = lambda check, failures, value: [
+        F.lit(check.kind).alias("check"), F.lit(model).alias("model"), F.lit(check.column).alias("column"),
+        failures.cast("bigint").alias("failures"), value.cast("string").alias("value"),
+        F.lit(None).cast("date").alias("other_day"),
+        *[F.lit(None).cast("string").alias(c) for c in FOUND[-2:]], day,
+    ]
+    checks = list(checks)
+    nulls = [c for c in checks if c.kind == "not_null"]
+    if nulls:
+        counted = df.groupBy(day).agg(
+            *[F.count_if(F.col(c.column).isNull()).alias(f"_{i}") for i, c in enumerate(nulls)]
+        )
+        rows = F.array(*[
+            F.struct(F.lit(c.column).alias("column"), F.col(f"_{i}").alias("failures")) for i, c in enumerate(nulls)
+        ])
+        each = counted.select(day, F.inline(rows)).where("failures > 0")
+        fields = shown(nulls[0], F.col("failures"), F.lit(None))
+        parts.append(each.select(*fields[:2], "column", *fields[3:]))
+    for check in (c for c in checks if c.kind != "not_null"):
+        value = F.col(check.column)
+        if check.kind == "unique":
+            rows = df.where(value.isNotNull()).groupBy(day, value.alias("_key")).agg(F.count("*").alias("_rows"))
+            rows = rows.where("_rows > 1")
+        else:
+            rows = df.where(~value.isin(list(check.values))).select(day, value.alias("_key")).distinct()
+        parts.append(rows.select(*shown(check, F.lit(1), F.col("_key"))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def put_together(found: DataFrame, checks: Mapping[str, Sequence[Check]]) -> DataFrame:
+    """The report of whole models from what was found on their days.
+
+    NULLs are added up; of values and keys the different ones are counted.
+    """
+    spark = found.sparkSession
+    counted = found.groupBy("check", "model", "column").agg(
+        F.sum("failures").alias("_sum"), F.count_distinct("value").alias("_values")
+    )
+    declared = [(c.kind, model, c.column, c.severity) for model, own in checks.items() for c in own]
+    rows = spark.createDataFrame(declared, "check string, model string, column string, severity string")
+    failures = F.when(F.col("check") == "not_null", F.col("_sum")).otherwise(F.col("_values"))
+    report = rows.join(counted, ["check", "model", "column"], "left")
+    return report.select(
+        "check",
+        "model",
+        "column",
+        F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"),
+        "severity",
+    ).withColumn("status", status_of(F.col("failures"), F.col("severity")))
+
+
 def quality_report(
     models: Mapping[str, DataFrame], checks: Mapping[str, Sequence[Check]] = CHECKS
 ) -> DataFrame:

@@ -32,6 +32,27 @@ def rolling_sums(
     return daily.withColumns({out: F.sum(column).over(frame) for out, column in sums.items()})
 
 
+def reached_rows(
+    rows: DataFrame, changed: DataFrame, key: str = "repo_id", day: str = "date_day", length: int = 7
+) -> DataFrame:
+    """The (key, day) of ``rows`` whose frame of ``length`` rows holds a changed (key, day), or held it.
+
+    ``changed`` also names pairs that are gone from ``rows``: a row that was among
+    the ``length - 1`` next behind such a day has another frame now. ``rows`` must
+    hold all days of the changed keys.
+    """
+    pair = lambda df, there, marked: df.select(
+        key, day, F.lit(there).alias("_there"), F.lit(marked).alias("_marked")
+    )
+    both = pair(rows, 1, False).unionByName(pair(changed, 0, True)).groupBy(key, day)
+    both = both.agg(F.max("_there").alias("_there"), F.max("_marked").alias("_marked"))
+    so_far = Window.partitionBy(key).orderBy(F.col(day).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    placed = both.withColumn("_place", F.sum("_there").over(so_far))
+    mark = F.last(F.when(F.col("_marked"), F.col("_place")), ignorenulls=True).over(so_far)
+    near = (F.col("_there") == 1) & (F.col("_place") - mark < length)
+    return placed.withColumn("_near", near).where("_near").select(key, day)
+
+
 def top_ranked(df: DataFrame, group: str, value: str, limit: int, rank: str) -> DataFrame:
     """Rows whose ``rank()`` by descending ``value`` within ``group`` is ``<= limit``.
 

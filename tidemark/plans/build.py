@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime, time, timezone
 
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark import tables, workspace
 from tidemark.functions.expressions import instant
 from tidemark.operators import daily, quality
-from tidemark.plans import marts, serving, staging
+from tidemark.plans import checks, increments, serving, staging
 from tidemark.sources import hours, landing
 
 Build = Callable[[DataFrame], DataFrame]
@@ -31,14 +31,7 @@ DAY_TABLES: Mapping[str, tuple[Build, str]] = {
     "label_daily": (lambda events: daily.label_daily(daily.pr_labels(events)), "label_name"),
 }
 
-# Each mart, the day table that it is made from, and the column whose values lie
-# together in its files.
-MARTS: Mapping[str, tuple[Build, str, str]] = {
-    "trending_repos": (marts.trending_of, "repo_daily_stats", "date_day"),
-    "contributor_retention": (marts.cohort_retention, "developer_activity", "cohort_month"),
-    "category_trends": (marts.growth, "category_daily", "date_day"),
-    "label_usage": (marts.labels_of, "label_daily", "date_day"),
-}
+MARTS = tuple(increments.MART_SCHEMAS)
 
 
 @dataclass(frozen=True)
@@ -74,6 +67,16 @@ class Layout:
     def mart(self, name: str) -> str:
         return f"{self.root}/marts/{name}"
 
+    @property
+    def snapshot(self) -> str:
+        """Which state of each mart is shown."""
+        return f"{self.root}/marts/_snapshot"
+
+    @property
+    def checked(self) -> str:
+        """What the checks found on each day."""
+        return f"{self.root}/day_tables/_checked"
+
 
 class ChecksFailed(Exception):
     """A check of severity ``error`` failed; the failed rows are the argument."""
@@ -122,23 +125,37 @@ def update_day_tables(spark: SparkSession, layout: Layout) -> set[date | None]:
     return stale
 
 
-def read_day_table(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+def read_day_table(
+    spark: SparkSession, layout: Layout, name: str, only: Iterable[date | None] | None = None
+) -> DataFrame:
     build, _ = DAY_TABLES[name]
     made = build(spark.createDataFrame([], staging.STAGED_SCHEMA))
-    return tables.read_by_day(spark, layout.day_table(name), made.schema).select(*made.columns)
+    return tables.read_by_day(spark, layout.day_table(name), made.schema, only).select(*made.columns)
 
 
 def build_marts(spark: SparkSession, layout: Layout) -> None:
-    """Bring the day tables up to date and rebuild every mart from them."""
+    """Bring the day tables and the marts up to date, and show the marts together."""
     update_day_tables(spark, layout)
-    for name, (build, source, cluster) in MARTS.items():
+    at = layout.day_table
+    day_table = lambda name: (at(name), _day_reader(spark, layout, name))
+    steps = (
+        lambda: increments.update_rolling(spark, *day_table("repo_daily_stats"), at("rolling_7d")),
+        lambda: increments.update_trending(spark, at("rolling_7d"), layout.mart("trending_repos")),
+        lambda: increments.update_actor_months(spark, *day_table("developer_activity"), at("actor_months")),
+        lambda: increments.update_cells(spark, at("actor_months"), at("first_months"), at("retention_cells")),
+        lambda: increments.update_retention(spark, at("retention_cells"), layout.mart("contributor_retention")),
+        lambda: increments.update_trends(spark, *day_table("category_daily"), layout.mart("category_trends")),
+        lambda: increments.update_labels(spark, *day_table("label_daily"), layout.mart("label_usage")),
+    )
+    for step in steps:
         with workspace.scoped(spark):
-            mart = build(read_day_table(spark, layout, source))
-            tables.write_mart(mart, layout.mart(name), cluster)
+            step()
+    increments.publish_snapshot(spark, layout.snapshot, {name: layout.mart(name) for name in MARTS})
 
 
 def read_mart(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    return spark.read.parquet(layout.mart(name))
+    """A mart as it was last shown; all four are of one state."""
+    return increments.read_mart(spark, layout.snapshot, name, layout.mart(name))
 
 
 def register_views(spark: SparkSession, layout: Layout) -> None:
@@ -158,20 +175,28 @@ def check_all(
 ) -> DataFrame:
     """All declared checks on the stored tables, and how fresh the raw table is.
 
-    ``raw`` also checks the raw table, which groups all of it by id. ``as_of``
-    defaults to now.
+    Of the staged and the day tables the days are read whose version was not
+    checked yet; what was found on the others is stored. ``raw`` also checks the
+    raw table, which groups all of it by id. ``as_of`` defaults to now.
     """
-    models = {
-        "staged_events": staging.read_staged(spark, layout.staged),
-        **{n: read_day_table(spark, layout, n) for n in DAY_TABLES if n in quality.CHECKS},
-        **{name: read_mart(spark, layout, name) for name in MARTS},
+    by_day = {
+        "staged_events": lambda only: staging.read_staged(spark, layout.staged, only),
+        **{n: _day_reader(spark, layout, n) for n in DAY_TABLES if n in quality.CHECKS},
     }
+    with workspace.scoped(spark):
+        checks.update(spark, layout.checked, layout.staged, staging.STAGED_SCHEMA, by_day)
+    report = checks.report(spark, layout.checked, layout.staged, by_day)
+    models = {name: read_mart(spark, layout, name) for name in MARTS}
     if raw:
         models = {"raw_events": landing.raw_events(spark, layout.raw, layout.ledger), **models}
     now = datetime.now(timezone.utc).replace(tzinfo=None) if as_of is None else as_of
     newest = landing.newest_loaded(spark, layout.ledger)
     fresh = quality.freshness_check("raw_events", quality.freshness(newest, now))
-    return quality.quality_report(models).unionByName(fresh)
+    return report.unionByName(quality.quality_report(models)).unionByName(fresh)
+
+
+def _day_reader(spark: SparkSession, layout: Layout, name: str) -> increments.Read:
+    return lambda only: read_day_table(spark, layout, name, only)
 
 
 def require_passed(report: DataFrame) -> None:

@@ -14,8 +14,8 @@ from tidemark import tables, workspace
 from tidemark.functions.expressions import event_category, hour_path
 from tidemark.operators import daily, quality, ranking
 from tidemark.operators.dedup import first_seen
-from tidemark.operators.upsert import merged
-from tidemark.plans import build, marts, serving, staging
+from tidemark.operators.upsert import merge_into, merged
+from tidemark.plans import build, checks, increments, marts, serving, staging
 from tidemark.sources import hours, landing, shapes
 from tidemark.streaming import changes
 
@@ -202,6 +202,16 @@ def upsert_result(spark: SparkSession, folder: str) -> DataFrame:
     return staging.read_staged(spark, path).select(*SCALARS, tables.DAY)
 
 
+def upsert_random_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """The same upsert where ids have no order in time, so that the key index alone can tell their days."""
+    everything = raw(spark, folder).withColumn("id", F.md5(F.col("id").cast("binary")))
+    cut = F.date_sub(ranking.newest(everything, "created_at"), 5)
+    path = workspace.fresh_path(spark, "staged")
+    staging.write_staged(staging.stage_events(everything.where(F.col("created_at") < cut)), path)
+    staging.incremental_run(everything, path)
+    return staging.read_staged(spark, path).select(*SCALARS, tables.DAY)
+
+
 def cdc_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """The change stream's upsert: no lookback, and no events without a repo.
     What came before noon is staged; what came later is the batch, in which
@@ -259,6 +269,27 @@ def checked_models(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
+def dq_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Checks put together from what was found on each day.
+
+    The table holds every delivery, so that repeats lie within days and across
+    midnight. It is checked without its last five days and with one day empty, and
+    again when these have come.
+    """
+    events = workspace.pin(staging.typed(raw(spark, folder)), "deliveries").withColumn(tables.DAY, F.to_date("created_at"))
+    newest = events.select(F.max(tables.DAY)).scalar()
+    late = (F.col(tables.DAY) > F.date_sub(newest, 5)) | (F.col(tables.DAY) == F.date_sub(newest, 12))
+    root = workspace.fresh_path(spark, "tables")
+    path, state = f"{root}/deliveries", f"{root}/checked"
+    read = lambda only: staging.read_staged(spark, path, only)
+    models = {"staged_events": read, "pr_labels": lambda only: daily.with_day(daily.pr_labels(read(only)))}
+    for days in (~late, late):
+        replaced = {row[0] for row in events.where(days).select(tables.DAY).distinct().collect()}
+        tables.write_by_day(events.where(days), path, "event_id", replace=replaced)
+        checks.update(spark, state, path, staging.STAGED_SCHEMA, models)
+    return checks.report(spark, state, path, models)
+
+
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(checked_models(spark, folder))
 
@@ -354,7 +385,60 @@ def incremented(spark: SparkSession, folder: str) -> build.Layout:
 
 def marts_after_increment(spark: SparkSession, folder: str) -> DataFrame:
     """All four marts as they are stored, one JSON text a row."""
-    layout = incremented(spark, folder)
+    return stored_marts(spark, incremented(spark, folder))
+
+
+def marts_after_old_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The marts brought up to date after one of the first days turned out otherwise.
+
+    At first a fifth of that day's events is missing, and the others are told of
+    the next repo and actor, or as another type; an upsert puts them right.
+    """
+    events = workspace.pin(staging.stage_to_store(raw(spark, folder)), "staged")
+    odd = F.to_date("created_at") == F.date_add(events.select(F.to_date(F.min("created_at"))).scalar(), 4)
+    number = F.col("event_id").cast("bigint")
+    wrong = events.where(~(odd & (number % 5 == 1))).withColumns(
+        {
+            "repo_id": F.when(odd, F.col("repo_id") + 1).otherwise(F.col("repo_id")),
+            "actor_id": F.when(odd, F.col("actor_id") + 1).otherwise(F.col("actor_id")),
+            "event_type": F.when(odd & (number % 3 == 0), "WatchEvent").otherwise(F.col("event_type")),
+        }
+    )
+    layout = build.Layout(workspace.fresh_path(spark, "tables"))
+    staging.write_staged(wrong, layout.staged)
+    build.build_marts(spark, layout)
+    merge_into(workspace.pin(events.where(odd), "corrected"), layout.staged)
+    build.build_marts(spark, layout)
+    return stored_marts(spark, layout)
+
+
+def retention_after_retraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Retention of customers by month after their first days were taken back.
+
+    Orders count at the first of their month. Those of the first year are at
+    first told of the next customer; remade, they take that customer's first
+    month away.
+    """
+    events = orders(spark, folder).withColumn("created_at", F.date_trunc("month", "created_at").cast("timestamp_ntz"))
+    events = workspace.pin(events, "orders")
+    first = F.year("created_at") == events.select(F.year(F.min("created_at"))).scalar()
+    actor = F.when(first, F.col("actor_id") + 1).otherwise(F.col("actor_id"))
+    root = workspace.fresh_path(spark, "tables")
+    source, months, firsts, cells, mart_ = [f"{root}/{n}" for n in ("activity", "months", "firsts", "cells", "mart")]
+    schema = daily.developer_activity(events).schema
+    read = lambda only: tables.read_by_day(spark, source, schema, only)
+    for told, days in ((events.withColumn("actor_id", actor), None), (events, events.where(first))):
+        days = days and {row[0].date() for row in days.select("created_at").distinct().collect()}
+        part = told if days is None else told.where(first)
+        tables.write_by_day(daily.developer_activity(part), source, "actor_id", replace=days)
+        increments.update_actor_months(spark, source, read, months)
+        increments.update_cells(spark, months, firsts, cells)
+    increments.update_retention(spark, cells, mart_)
+    own = increments.MART_SCHEMAS["contributor_retention"]
+    return tables.read_by_day(spark, mart_, own).select(*own.names)
+
+
+def stored_marts(spark: SparkSession, layout: build.Layout) -> DataFrame:
     rows = None
     for name in build.MARTS:
         mart = build.read_mart(spark, layout, name)
@@ -409,6 +493,7 @@ QUERIES: dict[str, Query] = {
     "dedup_events": dedup_events,
     "incremental_batch": incremental_batch,
     "upsert_result": upsert_result,
+    "upsert_random_ids": upsert_random_ids,
     "cdc_upsert": cdc_upsert,
     "stream_upsert": stream_upsert,
     "late_rejects": late_rejects,
@@ -451,11 +536,14 @@ QUERIES: dict[str, Query] = {
     "labels_latest": on(staged, *LABELS, serving.labels_latest, shown("labels_latest")),
     "labels_chart": on(staged, *LABELS, serving.labels_chart, shown("labels_chart")),
     "marts_after_increment": marts_after_increment,
+    "marts_after_old_day": marts_after_old_day,
+    "retention_after_retraction": retention_after_retraction,
     "rebuilt_marts": rebuilt_marts,
     "stream_dedup": stream_dedup,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
     "dq_accepted_values": dq_accepted_values,
     "dq_report": dq_report,
+    "dq_by_day": dq_by_day,
     "dq_freshness": dq_freshness,
 }

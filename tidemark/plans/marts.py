@@ -32,6 +32,7 @@ ROLLING = {
     "rolling_7d_forks": "fork_count",
     "rolling_7d_code_events": "code_event_count",
 }
+TRENDING_COLUMNS = ("repo_id", "repo_name", "date_day", "star_count", *ROLLING, "unique_contributors")
 
 
 def rolling_7d(stats: DataFrame, entity: str = "repo_id", calendar: bool = False) -> DataFrame:
@@ -54,16 +55,13 @@ def trending_of(stats: DataFrame, limit: int = 100, calendar: bool = False) -> D
 
     Ties share a rank and all stay, so a day may hold more than ``limit`` rows.
     """
-    rolling = rolling_7d(stats, calendar=calendar).select(
-        "repo_id",
-        "repo_name",
-        "date_day",
-        "star_count",
-        *ROLLING,
-        "unique_contributors",
-    )
-    pinned = workspace.pin(rolling, "rolling")
-    return top_ranked(pinned, "date_day", "rolling_7d_stars", limit, "trending_rank")
+    pinned = workspace.pin(rolling_7d(stats, calendar=calendar).select(*TRENDING_COLUMNS), "rolling")
+    return ranked_by_stars(pinned, limit)
+
+
+def ranked_by_stars(rolling: DataFrame, limit: int = 100) -> DataFrame:
+    """Stored rolling sums ranked per day. Runs a job when called."""
+    return top_ranked(rolling.select(*TRENDING_COLUMNS), "date_day", "rolling_7d_stars", limit, "trending_rank")
 
 
 def cohort_retention(activity: DataFrame, actor: str = "actor_id") -> DataFrame:
@@ -80,9 +78,14 @@ def cohort_retention(activity: DataFrame, actor: str = "actor_id") -> DataFrame:
             F.count_distinct(F.col(actor)).alias("retained_contributors"),
             F.sum("code_contributions").alias("total_code_contributions"),
         )
-        .withColumn(
-            "months_since_first", months_apart(F.col("cohort_month"), F.col("activity_month"))
-        )
+    )
+    return retention_rates(by_month)
+
+
+def retention_rates(by_month: DataFrame) -> DataFrame:
+    """The mart from its counts per cohort and activity month."""
+    by_month = by_month.withColumn(
+        "months_since_first", months_apart(F.col("cohort_month"), F.col("activity_month"))
     )
     in_cohort = Window.partitionBy("cohort_month").orderBy(
         F.col("months_since_first").asc_nulls_last()

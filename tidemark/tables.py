@@ -52,38 +52,63 @@ def _day_of(name: str) -> date | None:
     return None if value == NULL_DAY else date.fromisoformat(value)
 
 
-def _manifest(spark: SparkSession, path: str) -> tuple[int, dict[date | None, str]]:
-    """Number of the newest manifest, 0 if there is none, and each day's version."""
+def _newest(spark: SparkSession, path: str) -> int:
     numbers = [int(n.split(".")[0]) for n in child_names(spark, f"{path}/{MANIFESTS}") if n.endswith(".json")]
-    if not numbers:
-        return 0, {}
-    return max(numbers), _read_manifest(spark, path, max(numbers))
+    return max(numbers, default=0)
 
 
-def _read_manifest(spark: SparkSession, path: str, number: int) -> dict[date | None, str]:
+def _read_names(spark: SparkSession, path: str, number: int) -> dict[str, str]:
+    if not number:
+        return {}
     files, file = _folder(spark, f"{path}/{MANIFESTS}/{number:012d}.json")
     stream = files.open(file)
     try:
-        reader = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
-    return {_day_of(name): version for name, version in json.loads(reader).items()}
 
 
-def _publish(spark: SparkSession, path: str, number: int, live: dict[date | None, str]) -> None:
-    """Make ``live`` the table: a rename puts the whole manifest in its place."""
+def _read_manifest(spark: SparkSession, path: str, number: int) -> dict[date | None, str]:
+    """Each day's version."""
+    return {_day_of(name): version for name, version in _read_names(spark, path, number).items()}
+
+
+def _manifest(spark: SparkSession, path: str) -> tuple[int, dict[date | None, str]]:
+    number = _newest(spark, path)
+    return number, _read_manifest(spark, path, number)
+
+
+def _publish(spark: SparkSession, path: str, number: int, names: dict[str, str]) -> None:
+    """Make ``names`` the manifest: a rename puts it in its place as a whole."""
     name = f"{path}/{MANIFESTS}/{number:012d}.json"
     files, draft = _folder(spark, f"{name}.{uuid.uuid4().hex}.draft")
     stream = files.create(draft, False)
     try:
-        text = json.dumps({_day_name(day): version for day, version in live.items()})
-        stream.write(bytearray(text.encode()))
+        stream.write(bytearray(json.dumps(names).encode()))
     finally:
         stream.close()
     if not files.rename(draft, spark._jvm.org.apache.hadoop.fs.Path(name)):
         raise RuntimeError(f"another writer has published {name}")
 
 
+def _by_name(live: dict[date | None, str]) -> dict[str, str]:
+    return {_day_name(day): version for day, version in live.items()}
+
+
+def publish_names(spark: SparkSession, path: str, names: dict[str, str]) -> None:
+    """Publish a manifest of other names than days; the last two stay."""
+    number = _newest(spark, path) + 1
+    _publish(spark, path, number, names)
+    for name in child_names(spark, f"{path}/{MANIFESTS}"):
+        if int(name.split(".")[0]) < number - 1:
+            delete(spark, f"{path}/{MANIFESTS}/{name}")
+
+
+def read_names(spark: SparkSession, path: str, back: int = 0) -> dict[str, str]:
+    """The newest such manifest, or one of those before; empty if there is none."""
+    return _read_names(spark, path, max(0, _newest(spark, path) - back))
+
+
 def versions(spark: SparkSession, path: str) -> dict[date | None, str]:
     """The live version of each day."""
     return _manifest(spark, path)[1]
@@ -91,11 +116,11 @@ def versions(spark: SparkSession, path: str) -> dict[date | None, str]:
 
 def publish(spark: SparkSession, path: str, live: dict[date | None, str]) -> None:
     """Publish days and versions alone: a note of what another table has seen."""
-    _publish(spark, path, _manifest(spark, path)[0] + 1, live)
+    publish_names(spark, path, _by_name(live))
 
 
 def published(spark: SparkSession, path: str) -> bool:
-    return _manifest(spark, path)[0] > 0
+    return _newest(spark, path) > 0
 
 
 def days(spark: SparkSession, path: str) -> list[date | None]:
@@ -112,24 +137,38 @@ def on_days(wanted: Iterable[date | None]) -> Column:
 
 
 def read_by_day(
-    spark: SparkSession, path: str, schema: T.StructType, only: Iterable[date | None] | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    only: Iterable[date | None] | None = None,
+    number: int | None = None,
 ) -> DataFrame:
-    """The table, or some of its days: other days' folders are not even listed."""
-    stored = T.StructType([f for f in schema.fields if f.name != DAY]).add(DAY, T.DateType())
-    live = _manifest(spark, path)[1]
+    """The table, or some of its days: other days' folders are not even listed.
+
+    ``number`` reads the table as of that manifest.
+    """
+    live = _read_manifest(spark, path, _newest(spark, path) if number is None else number)
     wanted = live if only is None else [day for day in set(only) if day in live]
     folders = [f"{path}/{live[day]}/{_day_name(day)}" for day in wanted]
+    stored = T.StructType([f for f in schema.fields if f.name != DAY]).add(DAY, T.DateType())
     if not folders:
         return spark.createDataFrame([], stored)
     # The versions are folders of partitions too; their column is left out.
     return spark.read.schema(stored).option("basePath", path).parquet(*folders).select(*stored.names)
 
 
+def newest_number(spark: SparkSession, path: str) -> int:
+    """Number of the newest manifest, 0 if there is none."""
+    return _newest(spark, path)
+
+
 def write_by_day(
     df: DataFrame, path: str, key: str, replace: Iterable[date | None] | None = None
-) -> None:
+) -> int:
     """Replace the table, or with ``replace`` those days; of them, those without rows in ``df`` go.
 
+    Returns the number of the new manifest.
+
     The rebalance hint gathers each day into few files and lets adaptive
     execution split a day that is larger than the advisory partition size. The
     writer sorts by day anyway; sorting by key as well makes key ranges of row
@@ -151,13 +190,16 @@ def write_by_day(
     else:
         replaced = set(replace)
         live = {day: v for day, v in live.items() if day not in replaced and day not in written}
-    _publish(spark, path, number + 1, live | written)
+    _publish(spark, path, number + 1, _by_name(live | written))
+    return number + 1
 
 
-def remove_old(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Delete the day folders that none of the last ``keep`` manifests names, and older manifests."""
-    number, _ = _manifest(spark, path)
-    kept = range(max(1, number - keep + 1), number + 1)
+def remove_old(spark: SparkSession, path: str, keep: int = 2, numbers: Iterable[int] | None = None) -> None:
+    """Delete the day folders that none of the last ``keep`` manifests names, or none of ``numbers``, and older manifests."""
+    number = _newest(spark, path)
+    kept = sorted(numbers) if numbers is not None else range(max(1, number - keep + 1), number + 1)
+    if not kept:
+        return
     named = {f"{v}/{_day_name(day)}" for n in kept for day, v in _read_manifest(spark, path, n).items()}
     for version in child_names(spark, path):
         if not version.startswith("version="):
@@ -170,7 +212,7 @@ def remove_old(spark: SparkSession, path: str, keep: int = 2) -> None:
         for name in unnamed if len(unnamed) < len(days_) else [""]:
             delete(spark, f"{path}/{version}/{name}".rstrip("/"))
     for name in child_names(spark, f"{path}/{MANIFESTS}"):
-        if int(name.split(".")[0]) < kept.start:
+        if int(name.split(".")[0]) < kept[0]:
             delete(spark, f"{path}/{MANIFESTS}/{name}")
 
 
@@ -181,10 +223,3 @@ def newest_instant(spark: SparkSession, path: str, schema: T.StructType, at: str
         if value is not None:
             return value
     return None
-
-
-def write_mart(df: DataFrame, path: str, cluster: str | None = DAY) -> None:
-    """Replace a mart; rows of a day lie together so that day filters skip row groups."""
-    if cluster is not None:
-        df = df.hint("rebalance", cluster).sortWithinPartitions(cluster)
-    df.write.mode("overwrite").parquet(path)
