@@ -108,6 +108,85 @@ def test_folding():
     assert X.folded(None or "") == []
 
 
+def test_every_lookalike_folds_to_its_letter():
+    for odd, letter in X.LOOKALIKES.items():
+        assert X.folded(f"a{odd}b") == X.folded(f"a{letter}b"), odd
+    assert X.folded("sτupid sтupid") == ["stupid", "stupid"]
+
+
+def test_matches_equal_a_plain_search_of_the_lexicon():
+    rng = np.random.default_rng(7)
+    pick = lambda values, n: [values[i] for i in rng.integers(0, len(values), n)]
+    parts = ["trash", "tras", "idiot", "idio", "moron", "can", "good", "text", "a", "an", "circus", "clown"]
+    for _ in range(60):
+        words = sorted({*pick(parts, 6)})
+        weights = {e: float(rng.integers(1, 9)) for w in words for e in X.entries(w) if rng.random() < 0.7}
+        exceptions = ("trash can", "circus clown", "Idiot  good")
+        automaton = X.Model(weights, exceptions).automaton()
+        for _ in range(20):
+            text = " ".join(pick([*parts, "trashcan", "idiots", "TRA5H", "mοron", "--", "clown."], int(rng.integers(0, 15))))
+            shown = " " + " ".join(X.folded(text)) + " "
+            at = lambda entry: [i for i in range(len(shown)) if shown.startswith(entry, i)]  # noqa: E731, B023
+            spared = [(i, i + len(p) - 1) for p in (f" {' '.join(X.folded(e))} " for e in exceptions) for i in at(p)]
+            best = {}
+            for entry, weight in weights.items():
+                for i in at(entry):
+                    if not any(low <= i < high for low, high in spared):
+                        best[i] = max(weight, best.get(i, 0.0))
+            found = X.matched(text, automaton)
+            assert found == (sum(w * w for w in best.values()), len(X.folded(text)), len(best)), text
+
+
+def test_language_predictions_equal_plain_vectors(spark, documents):
+    """TF-IDF, cosines and rejection by Python's own numbers."""
+    rng = np.random.default_rng(5)
+    letters = {"xx": "abcdefgh", "yy": "mnopqrstuv", "zz": "éüß日本w"}
+    text = lambda lang: "".join(rng.choice([*letters[lang], " "], 60))
+    rows = [(i, text(lang), lang) for i, lang in enumerate(["xx", "yy", "zz"] * 20)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = C.fitted(given, rows_per_language=1000, centroids_per_language=2, quantile=0.2)
+
+    def cells(value):
+        folded = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in value.encode())
+        codes = [a | b << 8 for a, b in zip(folded, folded[1:], strict=False)]
+        codes += [a | b << 8 | c << 16 | 1 << 24 for a, b, c in zip(folded, folded[1:], folded[2:], strict=False)]
+        out = np.zeros(C.DIMS)
+        for code in codes:
+            out[(code * 2654435761 & 0xFFFFFFFF) >> 21] += 1
+        return out
+
+    counts = {i: cells(value) for i, value, _ in rows}
+    idf = np.log((1 + len(rows)) / (1 + sum(c > 0 for c in counts.values()))) + 1
+    assert np.allclose(idf, model.idf, rtol=1e-5)
+    fresh = [(100 + i, text(lang), lang) for i, lang in enumerate(["xx", "yy", "zz"] * 5)] + [(200, "abc mno xyz", "xx")]
+    got = {r["doc_id"]: r for r in C.predicted(spark.createDataFrame(fresh, given.schema), model).collect()}
+    for i, value, _ in fresh:
+        v = np.sqrt(cells(value)) * idf
+        cosines = (v / np.linalg.norm(v)) @ model.centroids.T
+        k = int(np.argmax(cosines))
+        assert got[i]["lang_pred"] == model.languages[model.owner[k]]
+        far = cosines[k] < model.limits[model.owner[k]]
+        assert got[i]["rejected"] == far
+        assert np.isclose(got[i]["score"], cosines[k] * (0.5 if far else 1), rtol=1e-4)
+    # A limit is a low quantile of the cosines of the language's own texts.
+    for k, lang in enumerate(model.languages):
+        own = np.array([np.sqrt(counts[i]) * idf for i, _, name in rows if name == lang])
+        own /= np.linalg.norm(own, axis=1, keepdims=True)
+        nearest = np.max(own @ model.centroids[model.owner == k].T, axis=1)
+        assert np.isclose(np.quantile(nearest, 0.2), model.limits[k], atol=2e-3)
+
+
+def test_every_language_is_learned(spark):
+    """Two hundred and fifty languages, each with a letter pair of its own."""
+    pair = lambda k: chr(97 + k % 25) + chr(97 + k // 25)
+    rows = [(k * 10 + i, f"{pair(k)} {pair(k)}{pair(k)} {i}", f"l{k:03d}") for k in range(250) for i in range(3)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = C.fitted(given, centroids_per_language=1)
+    assert len(model.languages) == 250
+    found = C.predicted(given, model).join(given.select("doc_id", "lang"), "doc_id").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in found) > 0.9 * len(rows)
+
+
 def test_heaviest_entry_and_exception_phrases():
     model = X.Model({" tras": 2.0, " trash ": 3.0, " idiot ": 4.0}, ("trash can",))
     found = model.automaton()

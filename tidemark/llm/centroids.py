@@ -6,9 +6,11 @@ language may have several kinds of text. A text gets the language of the centroi
 with the largest cosine; if that is below the language's limit, a low quantile of
 its training cosines, the row is marked as rejected and its score halved.
 
-Document frequencies cover all training rows. The centroids are fitted on a
-sample of at most about ``rows_per_language`` training rows for each language,
-drawn by a hash of the id. A language with fewer rows is taken whole.
+Document frequencies cover all training rows. Every language is learned, one
+in a task; the driver gets its centroids only. They are fitted on a sample of at
+most about ``rows_per_language`` training rows, drawn by a hash of the id; a language
+with fewer rows is taken whole. Repeated training rows count as often; of centroids
+at one distance the first language's, in the order of their names, is taken.
 
 A text that is NULL or has no letter is ``und`` with score 0. Without training
 rows every text is.
@@ -20,6 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -100,21 +103,18 @@ def fitted(
     text_col: str = "text",
     lang_col: str = "lang",
     rows_per_language: int = 500,
-    max_languages: int = 200,
     centroids_per_language: int = 4,
     quantile: float = 0.005,
 ) -> Model:
-    """A model of the languages of ``training``, of which the most frequent ``max_languages`` are learned."""
+    """A model of the languages of ``training``."""
     rows = training.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
     df, total = document_frequencies(rows.select("text"))
     idf = (np.log((1 + total) / (1 + df)) + 1).astype(np.float32)
-    share = F.lit(0.0)
-    for lang, n in sizes:
-        share = F.when(F.col("lang") == lang, min(1.0, rows_per_language / n)).otherwise(share)
-    sample = rows.where(draw(F.struct("id", F.xxhash64("text"))) < share).select("lang", "text")
+    share = rows.groupBy(F.col("lang").alias("of")).agg((F.lit(rows_per_language) / F.count("*")).alias("share"))
+    drawn = rows.join(share, F.col("lang") == F.col("of"))
+    sample = drawn.where(draw(F.struct("id", F.xxhash64("text"))) < F.col("share")).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,21 +123,25 @@ def fitted(
                 packed = pa.array([v.tobytes() for v in vectors], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), packed], names=["lang", "v"])
 
-    drawn: dict[str, list[np.ndarray]] = {}
-    for lang, packed in in_arrow(sample, run, "lang string, v binary").collect():
-        drawn.setdefault(lang, []).append(packed)
-    languages, centroids, owner, limits = [], [], [], []
-    for lang in sorted(drawn):
+    def learned(table: pd.DataFrame) -> pd.DataFrame:
         # The order of rows must not matter.
-        vectors = np.array([np.frombuffer(v, np.float16) for v in sorted(drawn.pop(lang))], np.float32)
+        vectors = np.array([np.frombuffer(v, np.float16) for v in sorted(table["v"])], np.float32)
         vectors = vectors[vectors.any(axis=1)]
         if not len(vectors):
-            continue
-        means = spherical_means(vectors, centroids_per_language)
+            return pd.DataFrame({"lang": [], "means": [], "limit": []})
+        means = spherical_means(vectors, centroids_per_language).astype(np.float32)
+        limit = float(np.quantile(np.max(vectors @ means.T, axis=1), quantile))
+        return pd.DataFrame({"lang": [table["lang"].iloc[0]], "means": [means.tobytes()], "limit": [limit]})
+
+    vectors = in_arrow(sample, run, "lang string, v binary")
+    found = vectors.groupBy("lang").applyInPandas(learned, "lang string, means binary, limit double").collect()
+    languages, centroids, owner, limits = [], [], [], []
+    for lang, means, limit in sorted(found):
+        means = np.frombuffer(means, np.float32).reshape(-1, DIMS)
         owner += [len(languages)] * len(means)
         languages.append(lang)
         centroids.append(means)
-        limits.append(float(np.quantile(np.max(vectors @ means.T, axis=1), quantile)))
+        limits.append(limit)
     every = np.concatenate(centroids) if centroids else np.zeros((0, DIMS), np.float32)
     return Model(languages, idf, every.astype(np.float32), np.array(owner, int), np.array(limits))
 

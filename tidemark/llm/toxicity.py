@@ -12,7 +12,10 @@ curve; curve and power are fitted on the same texts.
 The labelled texts are a sample of at most about ``rows_per_class`` of each label,
 drawn by a hash of the id; the lexicon has at most ``lexicon_size`` entries, which
 bounds what is broadcast. A NULL or empty text, and every text where no toxic one
-was learned from, has score 0.
+was learned from, has score 0. Repeated rows are each scored; a text that is repeated
+among the labelled ones counts once a label. Of entries of one weight at a word it does
+not matter which counts; entries that tie for the lexicon's last places are taken in
+the order of their letters. A text is folded and matched whole, however long.
 """
 
 from __future__ import annotations
@@ -30,10 +33,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.llm.common import in_arrow, text_blocks
 from tidemark.llm.neighbours import labelled_sample
 
-#: Letters of other scripts that look like Latin ones.
-LOOKALIKES = dict(
-    zip("аеорсухкіѕԁһјӏвнмтгпαερονικτυχηωβɑɡıℓ", "aeopcyxkisdhjibhmtrnaepovikyuxnwbagil", strict=False)
-)
+# Letters of other scripts, and odd Latin ones, that look like Latin letters.
+LOOKALIKES = {
+    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "к": "k", "і": "i", "ѕ": "s",
+    "ԁ": "d", "һ": "h", "ј": "j", "ӏ": "i", "в": "b", "н": "h", "м": "m", "т": "t", "г": "r", "п": "n",
+    "α": "a", "ε": "e", "ρ": "p", "ο": "o", "ν": "v", "ι": "i", "κ": "k", "τ": "t", "υ": "u", "χ": "x",
+    "η": "n", "ω": "w", "β": "b", "ɑ": "a", "ɡ": "g", "ı": "i", "ℓ": "l",
+}
 #: Digits and signs that stand for letters. Capital i, l, 1 and ! are one letter.
 STANDINS = dict(zip("01345789@$!l", "oieastbgasii", strict=True))
 #: A sign only stands for a letter where a letter or digit follows.
