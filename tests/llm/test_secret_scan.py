@@ -34,14 +34,18 @@ def brute_peak(value, kind):
 
 def brute_all(text):
     base = brute_base(text)
-    out = list(base)
+    out, left = list(base), text
+    for pattern, length in S.ALLOWED_PARTS:
+        left = re.sub(pattern, lambda m, n=length: " " * n, left, flags=re.ASCII)
+    left = list(left)
+    for start, _, end, _ in base:
+        left[start:end] = " " * (end - start)
+    left = "".join(left)
     for k, kind in enumerate(S.CLASSES):
         chars = "[" + re.escape(kind.alphabet) + "]+"
-        for m in re.finditer(chars, text):
+        for m in re.finditer(chars, left):
             if len(m[0]) < kind.window or any(re.search(p, m[0]) for p in S.ALLOWED):
                 continue
-            if any(b[0] < m.end() and m.start() < b[2] for b in base):
-                continue
             if brute_peak(m[0], kind) >= kind.limit:
                 out.append((m.start(), 3 + k, m.end(), kind.name))
     return base, sorted(out)
@@ -85,6 +89,21 @@ def test_spans_equal_brute_force(documents):
     assert found > 50
 
 
+def test_a_token_next_to_something_allowed_or_found_is_found(documents):
+    token = "q7Zt0LmX3vRb9KdW2yHs6NcJ5pGf8TaE1uQo4ViB"
+    rows = [f"AKIAABCDEFGH1234/{token}", f"see example/{token} here", f"2024-01-02/{token}", f"{token}/EXAMPLE", token]
+    found = S.with_spans(documents(rows))
+    for row in S.digests(found).collect():
+        text = rows[row["doc_id"]]
+        at = text.index(token)
+        [span] = [x.split(":") for x in row["spans"].split(",") if x.startswith("base64_entropy")]
+        assert int(span[1]) <= at and int(span[2]) >= at + len(token)
+    from pyspark.sql import functions as F
+
+    for row in found.select(S.redacted(F.col("text"), F.col("spans")).alias("text")).collect():
+        assert token[:12] not in row["text"]
+
+
 def test_redaction_replaces_stretches(documents):
     from pyspark.sql import functions as F
 

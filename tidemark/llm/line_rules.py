@@ -1,9 +1,9 @@
 """Quality rules: word and line counts of a text, and line frequency across documents.
 
 Lines are normalised (A-Z lower-cased, digits alike, white space as one space) and
-hashed; the documents of a host that contain a line are counted. Lines in more
-documents than the limits allow are taken out of the texts, and a document that loses more than
-a share of its words to that is depleted and rejected.
+hashed; the documents of a host that contain a line are counted. Lines in more than a
+share of the host's documents are taken out of the texts, and a document that loses more
+than a share of its words to that is depleted and rejected.
 
 Each row is a document, a repeated one too. NULL is an empty text and fails the
 base rules; documents with a NULL host form a host of their own.
@@ -183,15 +183,15 @@ def cleaned(
     host_col: str = "source",
     min_words: int = 50,
     max_repeat_percent: int = 50,
-    max_documents: int = 100,
-    max_removed_share: float = 0.5,
-    max_host_share: float | None = None,
+    max_documents: int = 3,
+    max_removed_share: float = 0.2,
+    max_host_share: float | None = 0.05,
 ) -> DataFrame:
     """Per row: id, the text without its removed lines, the counts, ``base_failed``, ``n_removed_words``, ``kept``.
 
-    A line is removed if more than ``max_documents`` documents of a host have it;
-    with ``max_host_share``, they must also be more than that share of the host's
-    documents, so that the limit follows a host's size and ``max_documents`` is its floor.
+    A line is removed if more than ``max_host_share`` of a host's documents have it, so
+    that the limit follows a host's size, and more than ``max_documents``, its floor;
+    without ``max_host_share`` the floor is the limit.
     A document is rejected if more than ``max_removed_share`` of its words go; the
     counts and ``base_failed`` are those of its whole text. ``documents`` is read twice.
     """

@@ -34,8 +34,12 @@ real_lines AS (
     FROM lines WHERE len(w) > 0
 ),
 doubled AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM real_lines GROUP BY doc_id),
+hosts AS (SELECT coalesce(source, chr(0)) AS host, count(*) AS held FROM documents GROUP BY ALL),
 common AS (
-    SELECT coalesce(source, chr(0)) AS host, normal FROM real_lines GROUP BY ALL HAVING count(DISTINCT doc_id) > 100
+    SELECT host, normal
+    FROM (SELECT coalesce(source, chr(0)) AS host, normal, count(DISTINCT doc_id) AS n FROM real_lines GROUP BY ALL)
+        JOIN hosts USING (host)
+    WHERE n > 3 AND 20 * n > held
 ),
 removed AS (
     SELECT doc_id, sum(n) AS n_removed_words
@@ -52,7 +56,7 @@ counted AS (
 based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
     n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-    NOT base_failed AND 2 * n_removed_words <= n_words AS kept, n_removed_words::BIGINT AS n_removed_words
+    NOT base_failed AND 5 * n_removed_words <= n_words AS kept, n_removed_words::BIGINT AS n_removed_words
 FROM based
 """
 
@@ -100,42 +104,54 @@ _ALLOWED = [
     "^[A-Za-z=]+$",
     "^[0-9=]+$",
     "^[a-z0-9]{0,15}([-_/][a-z0-9]{0,15})+$",
-    "^[0-9]{4}-[0-9]{2}-[0-9]{2}",
     "^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
-    "(?i)example",
-    "(?i)abcdefgh|01234567|qwertyui",
+]
+_ALLOWED_PARTS = [
+    ("(?i)example", " " * 7),
+    ("(?i)abcdefgh|01234567|qwertyui", " " * 8),
+    ("(^|[^A-Za-z0-9+/_=-])[0-9]{4}-[0-9]{2}-[0-9]{2}", chr(92) + "1" + " " * 10),
 ]
 
 
-def _matches() -> str:
+def _matches(kinds: list[tuple[str, int, str]], table: str) -> str:
     """All matches of each kind with their places: what lies between them is counted."""
     parts = []
-    for kind, place, pattern in _KINDS:
+    for kind, place, pattern in kinds:
         parts.append(f"""
         SELECT doc_id, '{kind}' AS kind, {place} AS place, k, m[k] AS value,
             list_sum(list_transform(p[1:k], lambda x: length(x)))
                 + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0) AS start_at
         FROM (
             SELECT doc_id, m, p, unnest(range(1, len(m) + 1)) AS k
-            FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS p FROM docs)
+            FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS p FROM {table})
         )""")
     return " UNION ALL ".join(parts)
 
 
+def _without_allowed(column: str) -> str:
+    for pattern, instead in _ALLOWED_PARTS:
+        column = f"regexp_replace({column}, '{pattern}', '{instead}', 'g')"
+    return column
+
+
 SECRET_SCAN = f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-found AS (SELECT *, start_at + length(value) AS end_at FROM ({_matches()})),
-base AS (
-    SELECT * FROM found WHERE place < 3 AND (place > 0 OR length(regexp_extract(value, '{_ASSIGN}', 1)) >= 8)
+found AS (SELECT *, start_at + length(value) AS end_at FROM ({_matches(_KINDS[:3], "docs")})),
+base AS (SELECT * FROM found WHERE place > 0 OR length(regexp_extract(value, '{_ASSIGN}', 1)) >= 8),
+places AS (SELECT doc_id, list(start_at) AS low, list(end_at) AS high FROM base GROUP BY doc_id),
+masked AS (
+    SELECT doc_id, {_without_allowed("text")} AS text, low, high FROM docs LEFT JOIN places USING (doc_id)
+),
+runs AS (
+    SELECT doc_id, CASE WHEN low IS NULL THEN text ELSE array_to_string(list_transform(string_split(text, ''),
+        lambda c, i: CASE WHEN len(list_filter(range(1, len(low) + 1), lambda j: low[j] < i AND i <= high[j])) > 0 THEN ' ' ELSE c END), '') END AS text
+    FROM masked
 ),
 candidates AS (
-    SELECT *, CASE place WHEN 3 THEN 16 ELSE 24 END AS wide, CASE place WHEN 3 THEN 3.0 ELSE 3.9 END AS least
-    FROM found
-    WHERE place > 2 AND {" AND ".join(f"NOT regexp_matches(value, '{p}')" for p in _ALLOWED)}
-        AND NOT EXISTS (
-            SELECT 1 FROM base
-            WHERE base.doc_id = found.doc_id AND base.start_at < found.end_at AND found.start_at < base.end_at
-        )
+    SELECT *, start_at + length(value) AS end_at,
+        CASE place WHEN 3 THEN 16 ELSE 24 END AS wide, CASE place WHEN 3 THEN 3.0 ELSE 3.9 END AS least
+    FROM ({_matches(_KINDS[3:], "runs")})
+    WHERE {" AND ".join(f"NOT regexp_matches(value, '{p}')" for p in _ALLOWED)}
 ),
 chars AS (
     SELECT doc_id, place, k, pos, substr(value, pos + i, 1) AS c, wide

@@ -4,10 +4,14 @@ Three kinds are found by pattern (``assign``, ``access``, ``hex``). The entropy
 classes add spans: a candidate is a run of a class's alphabet; a window slides over
 it with the counts of its characters, one entering and one leaving at each step,
 and the candidate is a secret if the Shannon entropy of any window reaches the
-class's limit. Candidates on the allow-list and those that overlap a span found
-by pattern are passed over.
+class's limit. Spans found by pattern, and parts on the allow-list, cut a run: what is
+left on either side is a candidate of its own. Candidates that the allow-list names
+as a whole are passed over.
 
 Positions are code points, ends exclusive. NULL is an empty text, without spans.
+Repeated rows have the same spans each; spans that start together are in the order of
+their kinds. A text is scanned whole, however long: finding the places of its
+matches takes time with their square, as each step of Spark's fold copies the list.
 """
 
 from __future__ import annotations
@@ -46,16 +50,20 @@ CLASSES = (
     EntropyClass("hex_entropy", DIGITS + "abcdef", 16, 3.0),
     EntropyClass("base64_entropy", UPPER + LOWER + DIGITS + "+/_=-", 24, 3.9),
 )
-#: Candidates that match one of these are no secrets: words, numbers, slugs and
-#: paths, dates, UUIDs, example keys, keyboard and alphabet runs.
+#: Candidates that match one of these as a whole are no secrets: words, numbers, slugs
+#: and paths, UUIDs.
 ALLOWED = (
     r"^[A-Za-z=]+$",
     r"^[0-9=]+$",
     r"^[a-z0-9]{0,15}([-_/][a-z0-9]{0,15})+$",
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}",
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
-    r"(?i)example",
-    r"(?i)abcdefgh|01234567|qwertyui",
+)
+#: No window reaches into one of these, each with its length: example keys, keyboard
+#: and alphabet runs, a date at the beginning of a run.
+ALLOWED_PARTS = (
+    (r"(?i)example", 7),
+    (r"(?i)abcdefgh|01234567|qwertyui", 8),
+    (r"(?<![A-Za-z0-9+/_=-])[0-9]{4}-[0-9]{2}-[0-9]{2}", 10),
 )
 
 SPAN = "array<struct<start:int,end:int,value:string>>"
@@ -153,10 +161,31 @@ def _reaches(kind: EntropyClass):
     return lambda s: peak_entropy(s["value"], kind) >= kind.limit
 
 
+def blanked(text: Column, spans: Column) -> Column:
+    """``text`` with a space for each character of the sorted ``spans``."""
+
+    def step(done: Column, s: Column) -> Column:
+        begin = F.greatest(s["start"], done["at"])
+        between = F.substring(text, done["at"] + 1, begin - done["at"])
+        return F.when(
+            s["end"] > done["at"],
+            F.struct(s["end"].alias("at"), F.concat(done["out"], between, F.repeat(F.lit(" "), s["end"] - begin)).alias("out")),
+        ).otherwise(done)
+
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    rest = lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.char_length(text)))
+    return F.when(F.size(spans) > 0, F.reduce(spans, zero, step, rest)).otherwise(text)
+
+
 def entropy_spans(
-    text: Column, base: Column, classes: tuple[EntropyClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED
+    text: Column,
+    base: Column,
+    classes: tuple[EntropyClass, ...] = CLASSES,
+    allowed: tuple[str, ...] = ALLOWED,
+    allowed_parts: tuple[tuple[str, int], ...] = ALLOWED_PARTS,
 ) -> Column:
-    """Spans of candidates with a window of high entropy, clear of ``base`` and the allow-list."""
+    """Spans of candidates with a window of high entropy: what the spans of ``base`` and
+    the allowed parts leave of a run is a candidate of its own."""
 
     def listed(value: Column) -> Column:
         out = F.lit(False)
@@ -164,12 +193,14 @@ def entropy_spans(
             out = out | F.regexp_like(value, F.lit(pattern))
         return out
 
+    left = text
+    for pattern, length in allowed_parts:
+        left = F.regexp_replace(left, pattern, " " * length)
+    left = blanked(left, base)
     found = F.array().cast(NAMED)
     for k, kind in enumerate(classes):
-        fresh = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        spans = F.filter(matches(text, kind.pattern), lambda s: ~listed(s["value"]))
-        spans = F.filter(F.filter(spans, fresh), _reaches(kind))
-        found = F.concat(found, _named(spans, len(KINDS) + k, kind.name))
+        spans = F.filter(matches(left, kind.pattern), lambda s: ~listed(s["value"]))
+        found = F.concat(found, _named(F.filter(spans, _reaches(kind)), len(KINDS) + k, kind.name))
     shortest = min((kind.window for kind in classes), default=0)
     if shortest < 16:
         return F.sort_array(found)
