@@ -125,6 +125,21 @@ def test_odd_documents(spark, documents, folder):
     assert empty.count() == 0
 
 
+def test_own_columns_of_any_name_stay(spark, documents, folder):
+    """Columns named as the stages' helpers are keep their values, and ``n_chars`` may be missing."""
+    names = ["_text", "_key_id", "_base", "_spans", "_key_digest", "score", "base", "spans", "clean", "id", "digest", "row", "key", "n"]
+    text = "the good old text that nobody minds with a token = abcdefgh12345678 in it"
+    plain = documents([(1, text), (2, None), (3, "another text altogether of several words")]).drop("n_chars")
+    docs = plain.selectExpr("*", *[f"{k} AS {name}" for k, name in enumerate(names)])
+    scored = neighbours.scored(docs, neighbours.fitted(docs, spark.read.parquet(f"{folder}/labels.parquet")))
+    assert scored.count() == 3
+    for name, stage in pipeline.STAGES[:4]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == [*plain.columns, *names], name
+        assert all([r[name] for name in names] == list(range(len(names))) for r in docs.collect()), name
+    assert stage(spark, plain, folder).columns == plain.columns
+
+
 def test_representatives_of_repeated_rows(documents):
     text = "a text of several words that is here twice in the same way"
     given = documents([(3, text), (3, text), (4, text), (5, None), (5, None), (None, text), (6, "another")])

@@ -225,12 +225,21 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.struct(id_.isNull().alias("none"), id_.alias("id"), F.xxhash64(F.col(text_col)).alias("digest"))
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name`` with as many underscores in front as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def without(df: DataFrame, keys: DataFrame, id_col: str, text_col: str, how: str = "left_anti") -> DataFrame:
     """Rows of ``df`` whose ``row_key`` is not in ``keys``, a small or stored frame of that one column."""
     few = keys.limit(MOST_IDS + 1).count() <= MOST_IDS
     key = F.col(keys.columns[0])
-    found = keys.select(key["id"].alias("_key_id"), key["digest"].alias("_key_digest"))
-    on = F.col(id_col).eqNullSafe(F.col("_key_id")) & (F.xxhash64(F.col(text_col)) == F.col("_key_digest"))
+    own_id, own_digest = unused("id", df), unused("digest", df)
+    found = keys.select(key["id"].alias(own_id), key["digest"].alias(own_digest))
+    on = F.col(id_col).eqNullSafe(F.col(own_id)) & (F.xxhash64(F.col(text_col)) == F.col(own_digest))
     return df.join(F.broadcast(found) if few else found, on, how)
 
 
