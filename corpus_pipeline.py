@@ -10,15 +10,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import byte_bpe, jaccard_join, neighbours, secret_scan, tiling
-from tidemark.llm.common import remainder, row_key, without
+from tidemark.llm.common import remainder, row_key, unused, without
 from tidemark.workspace import pin
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled neighbours call good."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(remainder("doc_id", 3) != 1)
-    scored = neighbours.scored(docs, neighbours.fitted(docs, labels))
-    return scored.where(F.col("score") >= 0.5).select(*docs.columns)
+    own = unused("score", docs)
+    scored = neighbours.scored(docs.withColumnsRenamed({"score": own}), neighbours.fitted(docs, labels))
+    good = scored.where(F.col("score") >= 0.5)
+    return good.select(*[F.col(own if c == "score" else c).alias(c) for c in docs.columns])
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,16 +37,15 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their secrets replaced; ``n_chars`` follows the text."""
-    found = secret_scan.with_spans(docs, base_col="_base", spans_col="_spans")
-    hit = F.size("_spans") > 0
-    text = secret_scan.redacted(F.col("text"), F.col("_spans"))
-    clean = found.withColumn("_text", text).select(
-        *[F.col(c) for c in docs.columns if c not in ("text", "n_chars")],
-        F.col("_text").alias("text"),
-        F.when(hit, F.char_length("_text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
-    )
-    return clean.select(*docs.columns)
+    """Documents with their secrets replaced; ``n_chars``, where there is one, follows the text."""
+    base, spans, text = [unused(c, docs) for c in ("base", "spans", "clean")]
+    found = secret_scan.with_spans(docs, base_col=base, spans_col=spans)
+    clean = found.withColumn(text, secret_scan.redacted(F.col("text"), F.col(spans)))
+    hit = F.size(spans) > 0
+    given = {c: F.col(c) for c in docs.columns} | {"text": F.col(text)}
+    if "n_chars" in given:
+        given["n_chars"] = F.when(hit, F.char_length(text).cast("long")).otherwise(F.col("n_chars"))
+    return clean.select(*[column.alias(name) for name, column in given.items()])
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
