@@ -70,7 +70,7 @@ def test_components_equal_brute_force(documents, monkeypatch, seed, few):
         monkeypatch.setattr(J, "SAMPLE_TEXTS", 20)
         monkeypatch.setattr(J, "PART", 4)
         monkeypatch.setattr(J, "ASKING", 2)
-        monkeypatch.setattr(J, "ROUNDS", 1)
+        monkeypatch.setattr(J, "MERGED_ONE_IN", 1)
         monkeypatch.setattr(J, "LEADERS", 1)
     rows = corpus(seed)
     got = sorted(tuple(r) for r in J.clustered(documents(rows)).collect())
@@ -79,6 +79,32 @@ def test_components_equal_brute_force(documents, monkeypatch, seed, few):
     assert len({r[2] for r in expected}) < len(expected) - 60
 
 
+def near_copies(n, seed=3):
+    """Copies of one text with eight of its two hundred words changed: some pairs link, some don't."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for at in rng.sample(range(200), 8):
+            words[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_near_copies_ask_about_few_components(documents, monkeypatch):
+    """Rows to compare stay below the group's size, however large it is."""
+    asked = []
+    searched = J.searched
+    monkeypatch.setattr(J, "searched", lambda *args: asked.append(searched(*args)) or asked[-1])
+    for n in (100, 300):
+        rows = near_copies(n)
+        got = sorted(tuple(r) for r in J.clustered(documents(rows)).collect())
+        if n == 300:
+            assert got == brute(rows)
+        assert asked[-1].count() < n
+
+
 def test_divide_skip_counts_members():
     rng = random.Random(4)
     for _ in range(200):

@@ -12,7 +12,8 @@ are found by a search for shared tokens (T-occurrence):
    prefixes become inverted lists of classes; those of one class are dropped.
 3. Near copies are joined to leaders first: each class is compared exactly with
    the leaders of many of its lists. Linked classes form components,
-   and lists within one component need no further search.
+   and lists within one component need no further search. What is left is compared
+   with the leaders of its lists again, others each round, while that joins components.
 4. Every class then searches the lists that hold other components, by DivideSkip:
    its longest lists, fewer than the ``T`` that any partner must reach, are left
    out of the heap-merge; candidates from the merged short lists are looked up in
@@ -40,17 +41,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import as_longs, in_arrow, mixed, row_key, shingles, text_blocks, without, words
 from tidemark.llm.components import components
-from tidemark.workspace import pin
+from tidemark.workspace import pin, tidy, unpin
 
 WIDTH = 5
 #: Texts that the order's frequent shingles are drawn from, and how many of those there may be.
 SAMPLE_TEXTS, FREQUENT_IN, MOST_FREQUENT = 10_000, 5, 200_000
 #: Classes whose digests may be broadcast; beyond it they are joined.
 MOST_BROADCAST = 1_000_000
-#: Leaders that a class is compared with in a round, and rounds.
-LEADERS, ROUNDS = 2, 1
-#: A leader is compared with where it leads one in so many of a class's shingles.
+#: Leaders that a class is compared with in a round.
+LEADERS = 2
+#: In the first round, a leader is compared with where it leads one in so many of a class's shingles.
 LEADS_ONE_IN = 12
+#: Rounds go on while they merge more than one in so many of the components that are left.
+MERGED_ONE_IN = 10
 #: Entries of an inverted list, and classes to compare with, that a part should hold;
 #: and searches that are compared with a part at a time.
 PART, ASKING = 512, 256
@@ -198,10 +201,8 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * both >= 80 * (len(x) + len(y) - both)
 
 
-def linked(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of the distinct ``pairs`` (``a``, ``b``) of classes whose sets are similar enough."""
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    sets = pin(sets_of(texts, pin(keys, "keys")), "sets")
+def linked(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the distinct ``pairs`` (``a``, ``b``) of classes whose ``sets`` are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,7 +218,7 @@ def linked(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return in_arrow(whole, run, "a long, b long")
 
 
-def linked_to_components(texts: DataFrame, asked: DataFrame, named: DataFrame) -> DataFrame:
+def linked_to_components(sets: DataFrame, asked: DataFrame, named: DataFrame) -> DataFrame:
     """Links (``a``, ``b``) of classes ``x`` to those among ``found``, which are of one component.
 
     Components that ask each other, over any number of steps, are compared in one
@@ -251,8 +252,6 @@ def linked_to_components(texts: DataFrame, asked: DataFrame, named: DataFrame) -
         .union(asking.select("piece", "part", "turn", "x"))
         .distinct()
     )
-    given = pin(given, "given")
-    sets = sets_of(texts, pin(given.select("key").distinct(), "keys"))
     rows = (
         given.join(sets, "key")
         .select("piece", "part", "turn", F.lit(0).alias("asks"), "key", "members", F.lit(None).cast("array<long>").alias("found"))
@@ -401,37 +400,76 @@ def searched(entries: DataFrame, parts: int) -> DataFrame:
     return in_arrow(rows, run, "x long, x_component long, component long, found array<long>")
 
 
+def leader_pairs(lists: DataFrame, one_in: int | None) -> DataFrame:
+    """Distinct pairs (``a``, ``b``) of classes of ``mixed_lists`` and the leaders of many of their lists."""
+    to = lists.where("component != leads").groupBy("key", "leader").agg(F.count("*").alias("times"), F.first("n").alias("n"))
+    best = Window.partitionBy("key").orderBy(F.desc("times"), "leader")
+    often = F.lit(True) if one_in is None else one_in * F.col("times") >= F.col("n")
+    near = to.where(often).withColumn("place", F.row_number().over(best)).where(F.col("place") <= LEADERS)
+    return near.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
+
+
+def searching(lists: DataFrame) -> DataFrame:
+    """Entries of ``mixed_lists`` without the classes that are in fewer of them than any partner must share."""
+    enough = lists.groupBy("key").agg(F.count("*").alias("lists"), F.first("n").alias("n"))
+    enough = pin(enough.where(F.col("lists") >= least_shared(F.col("n"))).select("key"), "enough")
+    return lists.join(enough, "key").select("token", "key", "n", "component", "size")
+
+
+def merged(entries: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
+    """Entries with the components that ``links`` of classes join as one, and how many are joined to another."""
+    of = entries.select("key", "component").distinct()
+    one = of.select(F.col("key").alias("a"), F.col("component").alias("x"))
+    other = of.select(F.col("key").alias("b"), F.col("component").alias("y"))
+    between = links.join(one, "a").join(other, "b").where("x != y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    to = components(between.distinct(), "merged")
+    sizes = entries.select("component", "size").distinct().join(to.withColumnRenamed("component", "into"), F.col("component") == F.col("node"))
+    total = sizes.groupBy("into").agg(F.sum("size").alias("in_all"))
+    to = pin(sizes.select("node", "into").join(total, "into"), "merged")
+    renamed = entries.join(to, F.col("component") == F.col("node"), "left").select(
+        "token",
+        "key",
+        "n",
+        F.coalesce("into", "component").alias("component"),
+        F.coalesce("in_all", "size").alias("size"),
+    )
+    return renamed, to.where("node != into").count()
+
+
 def classes_with_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (``a``, ``b``) between classes, enough to connect all that are connected."""
     postings = sets.select(F.explode("tokens").alias("token"), "key", "n")
     shared = postings.groupBy("token").agg(F.count("*").alias("times")).where("times > 1").select("token")
     entries = postings.join(shared, "token").groupBy("token", "key").agg(F.first("n").alias("n"))
     entries = pin(entries, "entries")
-    found, labels = None, None
-    for turn in range(ROUNDS):
-        lists = mixed_lists(with_component(entries, labels).withColumn("round", F.lit(turn)))
-        to = lists.where("component != leads").groupBy("key", "leader").agg(F.count("*").alias("times"), F.first("n").alias("n"))
-        best = Window.partitionBy("key").orderBy(F.desc("times"), "leader")
-        near = (
-            to.where(LEADS_ONE_IN * F.col("times") >= F.col("n"))
-            .withColumn("place", F.row_number().over(best))
-            .where(F.col("place") <= LEADERS)
-        )
-        pairs = near.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
-        links = pin(linked(texts, pin(pairs, "pairs")), "links")
-        found = links if found is None else found.union(links)
-        labels = components(found)
-    rest = mixed_lists(with_component(entries, labels).withColumn("round", F.lit(0)))
-    # A class in fewer mixed lists than any partner must share links to no other component.
-    rest = pin(rest.select(*entries.columns, "component", "size", "round"), "mixed")
-    enough = rest.groupBy("key").agg(F.count("*").alias("lists"), F.first("n").alias("n"))
-    enough = pin(enough.where(F.col("lists") >= least_shared(F.col("n"))).select("key"), "enough")
-    rest = mixed_lists(rest.join(enough, "key"))
-    rest = pin(rest.drop("round", "leader", "leads"), "rest")
-    parts = parts_for(rest)
-    named = rest.select("key", "component").distinct()
-    asked = pin(searched(rest, parts), "asked")
-    return found.union(pin(linked_to_components(texts, asked, named), "links"))
+    at = lambda turn: F.lit(turn).alias("round")
+    lists = mixed_lists(with_component(entries, None).select("*", at(0)))
+    pairs = pin(leader_pairs(lists, LEADS_ONE_IN), "pairs")
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    found = pin(linked(pin(sets_of(texts, pin(keys, "keys")), "sets"), pairs), "links")
+    labels = components(found)
+    rest = pin(searching(pin(mixed_lists(with_component(entries, labels).select("*", at(0))), "mixed")), "rest")
+    members = pin(sets_of(texts, pin(rest.select("key").distinct(), "keys")), "sets")
+    turn = 0
+    while True:
+        # Near copies that the first leaders left apart: many small components would ask each other.
+        turn += 1
+        lists = pin(mixed_lists(rest.select("*", at(turn))), "lists")
+        links = pin(linked(members, leader_pairs(lists, None)), "links")
+        left = lists.select("component").distinct().count()
+        unpin(rest)
+        rest, joined = merged(searching(lists), links)
+        rest = pin(rest, "rest")
+        unpin(lists)
+        found = found.union(links)
+        if joined * MERGED_ONE_IN <= left:
+            break
+    lists = pin(mixed_lists(rest.select("*", at(0))).drop("round", "leader", "leads"), "lists")
+    unpin(rest)
+    named = lists.select("key", "component").distinct()
+    asked = pin(searched(lists, parts_for(lists)), "asked")
+    tidy(texts.sparkSession)
+    return found.union(pin(linked_to_components(members, asked, named), "links"))
 
 
 def clustered(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
