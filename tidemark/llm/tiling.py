@@ -10,7 +10,8 @@ well. A text is contaminated by an item when its tiles cover at least
 
 Items with fewer than ``least`` words are seeds as a whole. NULL texts and items
 without words match nothing. Repeated rows and items each have rows of their own.
-Items are read in blocks of bounded size, one pass over the texts for each.
+Items are read in blocks of bounded size, one pass over the texts for each; the driver
+holds one block at a time.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import IS_SPACE, in_arrow, shingles, text_blocks, words
+from tidemark.workspace import pin
 
 #: Bytes of benchmark text in a block, which is broadcast.
 BLOCK_BYTES = 16 << 20
@@ -210,7 +212,13 @@ def contaminated(
                     ]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-        return in_arrow(rows, run, schema)
+        found = in_arrow(rows, run, schema)
+        if blocks == 1:
+            return found
+        # Written before the next block is read: the driver holds one at a time.
+        found = pin(found, "tiles")
+        shared.unpersist()
+        return found
 
     out = pass_over(0)
     for number in range(1, blocks):
