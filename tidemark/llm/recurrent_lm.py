@@ -7,7 +7,8 @@ words, inside which a word has its add-one share of the counts. The network is
 trained in numpy by truncated backpropagation over all training texts, in rounds: a
 hash deals the texts to the rounds, each task learns from its texts of a round,
 beginning with the round's weights, and Spark averages what the tasks have learned.
-Long texts are consecutive windows with carried state.
+Texts are consecutive windows with carried state; in training, it begins anew every
+``SEGMENT`` tokens, and no token is left out.
 
 Every text is scored whole: its state is carried from window to window, many
 texts side by side. Counts of frequent words (``MOST_BROADCAST`` at most) are
@@ -42,10 +43,13 @@ UNITS = 16
 TOGETHER, ROWS = 2_000_000, 16_384
 #: Steps and texts side by side in training.
 WINDOW, LANES = 16, 256
+#: A step is taken for at least one in so many of the tokens that windows of all lanes have.
+LEAST = 16
+#: Tokens of a text that are learned from one after the other; its further ones are
+#: learned from side by side with these, so that no task waits for one long text.
+SEGMENT = 2048
 #: Rounds of training, and pieces in which weights are averaged.
 ROUNDS, PIECES = 4, 32
-#: A corpus of fewer tokens is learned from twice, by more steps.
-SMALL, SMALL_LANES = 2_000_000, 64
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
@@ -231,7 +235,8 @@ def window_gradients(
     """Loss and gradients of a window (lanes by steps), and the state after it.
 
     ``given`` is the token before each target, -1 where a text begins; there the
-    state is zero. No gradient goes back beyond the window.
+    state is zero. A target of -1 is none; behind it a lane has no others. No gradient
+    goes back beyond ``WINDOW`` steps from the last multiple of it.
     """
     lanes, steps = target.shape
     kept, states = [], []
@@ -241,12 +246,18 @@ def window_gradients(
         h = np.where(begins[:, None], 0, h).astype(h.dtype)
         kept.append((begins, step))
         states.append(h)
-    loss, d_states, output = output_gradients(net, np.concatenate(states), target.T.ravel())
+    states, target = np.concatenate(states), target.T.ravel()
+    real = target >= 0
+    loss, d_real, output = output_gradients(net, states[real], target[real])
+    d_states = np.zeros_like(states)
+    d_states[real] = d_real
     d_states = d_states.reshape(steps, lanes, -1)
     d_inputs, d_state = np.zeros_like(net.inputs), np.zeros_like(net.state)
     grad, rows = np.zeros_like(h), []
     for t in reversed(range(steps)):
         begins, step = kept[t]
+        if (t + 1) % WINDOW == 0:
+            grad = np.zeros_like(grad)
         grad = np.where(begins[:, None], 0, grad + d_states[t])
         grad, by_inputs, by_state = backward(net, grad, step)
         rows.append(by_inputs)
@@ -259,7 +270,7 @@ def window_gradients(
 
 
 class Steps:
-    """Adam's steps on the parameters of ``net``, one for at least half as many tokens as the windows of ``lanes`` texts have."""
+    """Adam's steps on the parameters of ``net``, one for at least one in ``LEAST`` of the tokens that the windows of ``lanes`` texts have."""
 
     def __init__(self, net: Network, lanes: int):
         self.net, self.lanes, self.turn, self.held, self.sums = net, lanes, 0, 0, None
@@ -269,7 +280,7 @@ class Steps:
     def add(self, grads: list[np.ndarray], tokens: int, rate: float) -> None:
         self.sums = grads if self.sums is None else [a + b for a, b in zip(self.sums, grads, strict=True)]
         self.held += tokens
-        if 2 * self.held >= self.lanes * WINDOW:
+        if LEAST * self.held >= self.lanes * WINDOW:
             self.step(rate)
 
     def step(self, rate: float) -> None:
@@ -278,6 +289,14 @@ class Steps:
         self.turn += 1
         now = rate * math.sqrt(1 - 0.99**self.turn) / (1 - 0.9**self.turn)
         for p, g, m, s in zip(self.net.parameters(), self.sums, self.means, self.squares, strict=True):
+            if p is self.net.inputs:
+                # Most tokens are not met between two steps; theirs stay as they are.
+                met = np.flatnonzero(g.any(axis=1))
+                g = g[met] / self.held
+                m[met] += 0.1 * (g - m[met])
+                s[met] += 0.01 * (g * g - s[met])
+                p[met] -= (now * m[met] / (np.sqrt(s[met]) + 1e-6)).astype(np.float32)
+                continue
             g = g / self.held
             m += 0.1 * (g - m)
             s += 0.01 * (g * g - s)
@@ -289,10 +308,12 @@ def learn(steps: Steps, texts: Iterable[np.ndarray], rate: float) -> tuple[np.nd
     """Truncated backpropagation once over every token of ``texts`` (token numbers, each with its end).
 
     The steps' ``lanes`` texts are read side by side, window by window, each followed by the
-    next one that waits; a text's state is carried over all its windows. Returns how
-    often each token was given, and how often each class was the target's.
+    next one that waits; a text's state is carried over the windows of ``SEGMENT``
+    tokens, and begins anew with the next ones. Where fewer texts are left, they are read by as many windows at once as a step takes. Returns
+    how often each token was given, and how often each class was the target's.
     """
-    net, waiting = steps.net, iter(texts)
+    net = steps.net
+    waiting = (text[low : low + SEGMENT] for text in texts for low in range(0, len(text), SEGMENT))
     given_n, class_n = np.zeros(len(net.inputs), np.int64), np.zeros(len(net.class_bias), np.int64)
     none = np.zeros(0, int)
     lanes = [(none, none)] * steps.lanes
@@ -306,13 +327,16 @@ def learn(steps: Steps, texts: Iterable[np.ndarray], rate: float) -> tuple[np.nd
         if not left:
             break
         lanes, h = [lanes[k] for k in left], h[left]
-        n = min(WINDOW, min(len(target) for target, _ in lanes))
-        target = np.stack([t[:n] for t, _ in lanes])
-        given = np.stack([g[:n] for _, g in lanes])
+        windows = -(-steps.lanes // (LEAST * len(lanes)))
+        n = min(windows * WINDOW, max(len(target) for target, _ in lanes))
+        target, given = np.full((len(lanes), n), -1), np.full((len(lanes), n), -1)
+        for k, (t, g) in enumerate(lanes):
+            target[k, : len(t)], given[k, : len(g)] = t[:n], g[:n]
         _, grads, h = window_gradients(net, h, given, target)
-        steps.add(grads, target.size, rate)
+        real = target[target >= 0]
+        steps.add(grads, len(real), rate)
         given_n += np.bincount(given[given >= 0], minlength=len(given_n))
-        class_n += np.bincount(target.ravel() // CLASS, minlength=len(class_n))
+        class_n += np.bincount(real // CLASS, minlength=len(class_n))
         lanes = [(t[n:], g[n:]) for t, g in lanes]
     steps.step(rate)
     return given_n, class_n
@@ -476,10 +500,8 @@ def fitted(
     counts = pin(token_counts(rows.select("text")), "counts")
     model = untrained(frequent_counts(counts))
     dealt = F.floor(draw(F.struct("id", F.xxhash64("text"))) * rounds)
-    epochs, lanes = (2, SMALL_LANES) if model.counts.tokens < SMALL else (1, LANES)
-    every = rounds * epochs
-    for k in range(every):
-        total = round_sums(rows.where(dealt == k % rounds).select("text"), model, rate * (1 - k / every), lanes)
+    for k in range(rounds):
+        total = round_sums(rows.where(dealt == k).select("text"), model, rate * (1 - k / rounds))
         if total is not None:
             model.network = averaged(model.network, total)
     return model, counts
