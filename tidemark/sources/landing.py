@@ -136,7 +136,7 @@ def parse_lines(lines: DataFrame, text: str = "value") -> DataFrame:
     at = F.try_variant_get("_v", "$.created_at", "string")
     parsed = (
         lines.select(clean.alias("_line"), *others)
-        .where(F.trim(F.regexp_replace("_line", r"\s", " ")) != "")
+        .where(F.col("_line").rlike(r"\S"))
         .withColumn("_v", F.try_parse_json("_line"))
         .select(
             F.try_variant_get("_v", "$.id", "string").alias("id"),
