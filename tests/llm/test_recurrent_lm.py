@@ -232,3 +232,72 @@ def test_nothing_repeats_and_long_texts(documents):
     assert R.scored(documents([]), model, counts).count() == 0
     row = R.scored(documents(["a " * 60_000]), model, counts).first()
     assert row["n_tokens"] == 60_001 and math.isfinite(row["score"])
+
+
+@pytest.mark.parametrize("kind", ["even", "alike", "few", "one", "none"])
+def test_hashes_are_found_where_they_are(kind):
+    rng = np.random.default_rng(9)
+    every = rng.integers(0, 1 << 64, 3000, dtype=np.uint64)
+    every = {
+        "even": every,
+        "alike": np.append(every >> np.uint64(12), every[:5]),  # most begin with the same bits
+        "few": np.append(every[:5], [R.END, np.uint64((1 << 64) - 1)]),
+        "one": np.array([R.END]),
+        "none": every[:0],
+    }[kind]
+    held = np.unique(every)
+    asked = np.concatenate([every, every + np.uint64(1), [R.END, np.uint64((1 << 64) - 1)]])
+    places = {int(h): i for i, h in enumerate(held)}
+    assert R._find(held, asked).tolist() == [places.get(int(h), -1) for h in asked]
+
+
+def test_counts_are_looked_up_once_for_a_token():
+    rng = np.random.default_rng(10)
+    hashes = np.unique(np.append(rng.integers(0, 1 << 64, 300, dtype=np.uint64), R.END))
+    asked = np.concatenate([hashes, hashes[5:50] + np.uint64(1)])
+    for held in (hashes, hashes[:0]):
+        model = R.untrained(R.Counts(held, np.arange(1, len(held) + 1), 10**6, 400), own_words=40)
+        assert np.array_equal(model.number_at(R._find(held, asked), asked), model.number(asked))
+
+
+def test_blocks_are_merged_together(documents, monkeypatch):
+    parts = [np.unique(np.array(v, np.uint64), return_counts=True) for v in ([5, 5, 3], [3, 9], [], [9, 9, 9])]
+    hashes, n = R._added(parts)
+    assert hashes.tolist() == [3, 5, 9] and n.tolist() == [2, 2, 4]
+    rows = [" ".join(f"w{k % (3 + i)}" for k in range(50)) for i in range(40)] + [None, ""]
+    plain = Counter(t for text in rows for t in tokens(text))
+    for most in (1_000_000, 20, 1):
+        monkeypatch.setattr(R, "MERGED", most)
+        found = R.token_counts(documents(rows).select("text").coalesce(1)).collect()
+        assert sorted(r["n"] for r in found) == sorted(plain.values())
+
+
+def lanes_one_by_one(net, given, lanes):
+    """The windows of ``learn``, each lane a list: what follows what, in plain steps."""
+    waiting = iter([text[low : low + R.SEGMENT] for text in given for low in range(0, len(text), R.SEGMENT)])
+    held, out = [([], []) for _ in range(lanes)], []
+    while True:
+        for target, before in held:
+            while len(target) < R.WINDOW and (text := next(waiting, None)) is not None:
+                target += text.tolist()
+                before += [-1, *text[:-1].tolist()]
+        held = [lane for lane in held if lane[0]]
+        if not held:
+            return out
+        n = min(-(-lanes // (R.LEAST * len(held))) * R.WINDOW, max(len(t) for t, _ in held))
+        out.append([np.array([lane[k][:n] + [-1] * (n - len(lane[k])) for lane in held]) for k in (1, 0)])
+        held = [(t[n:], b[n:]) for t, b in held]
+
+
+@pytest.mark.parametrize("lanes", [1, 3, 40])
+def test_windows_hold_what_lanes_have(monkeypatch, lanes):
+    monkeypatch.setattr(R, "SEGMENT", 50)
+    rng = np.random.default_rng(11)
+    given = [np.append(rng.integers(0, 99, n), 99) for n in rng.integers(0, 170, 60)]
+    seen = []
+    plain = R.window_gradients
+    monkeypatch.setattr(R, "window_gradients", lambda net, h, b, t: seen.append((b, t)) or plain(net, h, b, t))
+    R.learn(R.Steps(network(), lanes), given, 0.01)
+    wanted = lanes_one_by_one(network(), given, lanes)
+    assert len(seen) == len(wanted)
+    assert all(np.array_equal(a, b) for x, y in zip(seen, wanted, strict=True) for a, b in zip(x, y, strict=True))

@@ -36,6 +36,10 @@ from tidemark.workspace import pin
 #: The hash of the end, which is no word's.
 END = np.uint64(0)
 MOST_BROADCAST = 1 << 18
+#: Hashes that begin with the same bits and are looked through one after the other.
+MOST_ALIKE = 64
+#: Counts that a task gathers before it merges them, and distinct words that it hands on.
+MERGED = 1_000_000
 #: Words of the model, and words in a class.
 OWN, CLASS = 4096, 64
 UNITS = 16
@@ -52,6 +56,17 @@ SEGMENT = 2048
 ROUNDS, PIECES = 4, 32
 
 
+def _added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes and their counts in all of ``found``."""
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    hashes, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(hashes, kind="stable")
+    hashes, counts = hashes[order], counts[order]
+    at = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, int)
+    return hashes[at], np.add.reduceat(counts, at) if len(at) else counts
+
+
 def token_counts(texts: DataFrame) -> DataFrame:
     """``word`` (hash) and ``n`` over all rows of ``text``; the end is counted once a row."""
 
@@ -59,16 +74,19 @@ def token_counts(texts: DataFrame) -> DataFrame:
         def rows(hashes, counts):
             return pa.RecordBatch.from_arrays([pa.array(as_longs(hashes)), pa.array(counts)], names=["word", "n"])
 
-        hashes, counts, ends = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        # What blocks have found is merged once there is enough of it, not block by block.
+        found, held, merged_to, ends = [], 0, 0, 0
         for batch in batches:
             for low, high, data, offsets in text_blocks(batch.column(0)):
-                new, n = np.unique(words(data, offsets).hashes, return_counts=True)
-                every, place = np.unique(np.concatenate([hashes, new]), return_inverse=True)
-                counts = np.bincount(place, np.concatenate([counts, n]), len(every)).astype(np.int64)
-                hashes, ends = every, ends + high - low
-                if len(hashes) > 1_000_000:
-                    yield rows(hashes, counts)
-                    hashes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+                found.append(np.unique(words(data, offsets).hashes, return_counts=True))
+                held, ends = held + len(found[-1][0]), ends + high - low
+                if held > merged_to + MERGED:
+                    found = [_added(found)]
+                    held = merged_to = len(found[0][0])
+                    if held > MERGED:
+                        yield rows(*found[0])
+                        found, held, merged_to = [], 0, 0
+        hashes, counts = _added(found)
         yield rows(np.append(hashes, END), np.append(counts, ends))
 
     return in_arrow(texts, run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
@@ -107,10 +125,28 @@ def frequent_counts(counts: DataFrame) -> Counts:
 
 def _find(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Places of ``values``; -1 for those that are not there."""
-    if not len(sorted_values):
+    n = len(sorted_values)
+    if not n:
         return np.full(len(values), -1)
-    at = np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)
-    return np.where(sorted_values[at] == values, at, -1)
+    # Hashes are spread evenly: about one of them begins with the same bits.
+    shift = np.uint64(64 - max(1, (n - 1).bit_length()))
+    starts = np.searchsorted(sorted_values, np.arange(1 << (64 - int(shift)), dtype=np.uint64) << shift)
+    starts = np.append(starts, n)
+    if np.diff(starts).max() > MOST_ALIKE:
+        at = np.minimum(np.searchsorted(sorted_values, values), n - 1)
+        return np.where(sorted_values[at] == values, at, -1)
+    begin = (values >> shift).astype(np.intp)
+    at, end = starts[begin], starts[begin + 1]
+    out = np.where(sorted_values[np.minimum(at, n - 1)] == values, at, -1)
+    left = np.flatnonzero((out < 0) & (at + 1 < end))
+    at, end, wanted = at[left], end[left], values[left]
+    while len(left):
+        at = at + 1
+        same = sorted_values[at] == wanted
+        out[left[same]] = at[same]
+        more = ~same & (at + 1 < end)
+        left, at, end, wanted = left[more], at[more], end[more], wanted[more]
+    return out
 
 
 @dataclass
@@ -151,7 +187,16 @@ def first_network(frequencies: np.ndarray, rest: float, units: int = UNITS, seed
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
+    out = 0.5 * x
+    np.tanh(out, out=out)
+    out += 1
+    out *= 0.5
+    return out
+
+
+def _order(numbers: np.ndarray, below: int) -> np.ndarray:
+    """The stable order of numbers under ``below``; numpy sorts short ones by radix."""
+    return np.argsort(numbers.astype(np.uint16) if below <= 1 << 16 else numbers, kind="stable")
 
 
 def forward(net: Network, h: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, tuple]:
@@ -160,68 +205,95 @@ def forward(net: Network, h: np.ndarray, token: np.ndarray) -> tuple[np.ndarray,
     a, b = net.inputs[token], h @ net.state
     gates = _sigmoid(a[:, : 2 * u] + b[:, : 2 * u])
     z, r = gates[:, :u], gates[:, u:]
-    new = np.tanh(a[:, 2 * u :] + r * b[:, 2 * u :])
-    return new + z * (h - new), (h, token, z, r, new, b[:, 2 * u :])
-
-
-def backward(net: Network, grad: np.ndarray, kept: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Gradients of the state before, the token's inputs, and the state matrix."""
+    new = r * b[:, 2 * u :]
+    new += a[:, 2 * u :]
+    np.tanh(new, out=new)
+    after = h - new
+    after *= z
+    after += new
+    return after, (h, token, z, r, new, b[:, 2 * u :])
+
+
+def backward(
+    net: Network, grad: np.ndarray, kept: tuple, d_inputs: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gradients of the state before, the token's inputs (put into ``d_inputs`` if given), and the state matrix."""
     h, _, z, r, new, recurrent = kept
     d_new = grad * (1 - z) * (1 - new * new)
     d_z = grad * (h - new) * z * (1 - z)
     d_r = d_new * recurrent * r * (1 - r)
-    d_inputs = np.hstack([d_z, d_r, d_new])
-    d_b = np.hstack([d_z, d_r, d_new * r])
+    u = h.shape[1]
+    if d_inputs is None:
+        d_inputs = np.empty((len(h), 3 * u), d_new.dtype)
+    d_inputs[:, :u], d_inputs[:, u : 2 * u], d_inputs[:, 2 * u :] = d_z, d_r, d_new
+    d_b = d_inputs.copy()
+    d_b[:, 2 * u :] *= r
     return grad * z + d_b @ net.state.T, d_inputs, h.T @ d_b
 
 
+def _by_class(net: Network, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows ordered by class, and where those of each class with members begin and end."""
+    n = len(net.members)
+    return _order(which, n + 1), np.cumsum(np.append(0, np.bincount(which, minlength=n + 1)[:n]))
+
+
 def log_probabilities(net: Network, h: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log of each target's probability after state ``h``, class by class."""
     which = target // CLASS
-    logits = h @ net.classes + net.class_bias
-    logits -= logits.max(axis=1, keepdims=True)
-    out = logits[np.arange(len(h)), which] - np.log(np.exp(logits).sum(axis=1))
-    order = np.argsort(which, kind="stable")
-    bounds = np.searchsorted(which[order], np.arange(len(net.members) + 1))
-    for c in range(len(net.members)):
-        rows = order[bounds[c] : bounds[c + 1]]
-        if len(rows):
-            logits = h[rows] @ net.members[c] + net.member_bias[c]
-            logits -= logits.max(axis=1, keepdims=True)
-            out[rows] += logits[np.arange(len(rows)), target[rows] % CLASS] - np.log(np.exp(logits).sum(axis=1))
+    logits = h @ net.classes
+    logits += net.class_bias
+    out = _log_shares(logits, which)
+    order, bounds = _by_class(net, which)
+    order = order[: bounds[-1]]
+    if len(order):
+        logits, _, _ = _member_logits(net, h[order], bounds)
+        out[order] += _log_shares(logits, target[order] % CLASS)
     return out
 
 
+def _log_shares(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Of each row of ``logits``, which are overwritten, the log of what ``chosen`` has of the whole."""
+    logits -= logits.max(axis=1, keepdims=True)
+    out = logits[np.arange(len(logits)), chosen]
+    return out - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
+def _member_logits(net: Network, own: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[slice]]:
+    """Of states ordered by class, all classes' members side by side; the classes met, and where their rows are."""
+    met = np.flatnonzero(np.diff(bounds))
+    q = np.empty((len(own), CLASS), own.dtype)
+    cuts = [slice(bounds[c], bounds[c + 1]) for c in met]
+    for c, cut in zip(met, cuts, strict=True):
+        np.matmul(own[cut], net.members[c], out=q[cut])
+        q[cut] += net.member_bias[c]
+    return q, met, cuts
+
+
 def output_gradients(net: Network, h: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray, list[np.ndarray]]:
     """Loss, its gradient by the state, and by the output parameters."""
     which, rows = target // CLASS, np.arange(len(h))
-    logits = h @ net.classes + net.class_bias
-    p = np.exp(logits - logits.max(axis=1, keepdims=True))
+    logits = h @ net.classes
+    logits += net.class_bias
+    logits -= logits.max(axis=1, keepdims=True)
+    p = np.exp(logits, out=logits)
     p /= p.sum(axis=1, keepdims=True)
     loss = -np.log(p[rows, which]).sum(dtype=float)
     p[rows, which] -= 1
     d_h, d_classes, d_class_bias = p @ net.classes.T, h.T @ p, p.sum(axis=0)
     d_members, d_member_bias = np.zeros_like(net.members), np.zeros_like(net.member_bias)
-    order = np.argsort(which, kind="stable")
-    bounds = np.searchsorted(which[order], np.arange(len(net.members) + 1))
+    order, bounds = _by_class(net, which)
     order = order[: bounds[-1]]
-    met = np.flatnonzero(np.diff(bounds))
-    if not len(met):
+    if not len(order):
         return loss, d_h, [d_classes, d_class_bias, d_members, d_member_bias]
-    # All classes' rows side by side, class by class.
-    own, q, back = h[order], np.empty((len(order), CLASS), h.dtype), np.empty((len(order), h.shape[1]), h.dtype)
-    for c in met:
-        cut = slice(bounds[c], bounds[c + 1])
-        np.matmul(own[cut], net.members[c], out=q[cut])
-        q[cut] += net.member_bias[c]
+    own, back = h[order], np.empty((len(order), h.shape[1]), h.dtype)
+    q, met, cuts = _member_logits(net, own, bounds)
     q -= q.max(axis=1, keepdims=True)
     np.exp(q, out=q)
     q /= q.sum(axis=1, keepdims=True)
     at = rows[: len(order)], target[order] % CLASS
     loss -= np.log(q[at]).sum(dtype=float)
     q[at] -= 1
-    for c in met:
-        cut = slice(bounds[c], bounds[c + 1])
+    for c, cut in zip(met, cuts, strict=True):
         np.matmul(q[cut], net.members[c].T, out=back[cut])
         np.matmul(own[cut].T, q[cut], out=d_members[c])
     d_member_bias[met] = np.add.reduceat(q, bounds[met], axis=0)
@@ -243,7 +315,7 @@ def window_gradients(
     for t in range(steps):
         begins = given[:, t] < 0
         h, step = forward(net, h, np.maximum(given[:, t], 0))
-        h = np.where(begins[:, None], 0, h).astype(h.dtype)
+        h[begins] = 0
         kept.append((begins, step))
         states.append(h)
     states, target = np.concatenate(states), target.T.ravel()
@@ -253,19 +325,21 @@ def window_gradients(
     d_states[real] = d_real
     d_states = d_states.reshape(steps, lanes, -1)
     d_inputs, d_state = np.zeros_like(net.inputs), np.zeros_like(net.state)
-    grad, rows = np.zeros_like(h), []
+    grad, rows = np.zeros_like(h), np.empty((steps, lanes, net.inputs.shape[1]), h.dtype)
     for t in reversed(range(steps)):
         begins, step = kept[t]
         if (t + 1) % WINDOW == 0:
             grad = np.zeros_like(grad)
-        grad = np.where(begins[:, None], 0, grad + d_states[t])
-        grad, by_inputs, by_state = backward(net, grad, step)
-        rows.append(by_inputs)
+        grad = grad + d_states[t]
+        grad[begins] = 0
+        grad, _, by_state = backward(net, grad, step, rows[steps - 1 - t])
         d_state += by_state
     which = np.concatenate([step[1] for _, step in reversed(kept)])
-    order = np.argsort(which, kind="stable")
-    tokens, at = np.unique(which[order], return_index=True)
-    d_inputs[tokens] = np.add.reduceat(np.concatenate(rows)[order], at)
+    order = _order(which, len(net.inputs))
+    which = which[order]
+    at = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
+    tokens = which[at]
+    d_inputs[tokens] = np.add.reduceat(rows.reshape(steps * lanes, -1)[order], at)
     return loss, [d_inputs, d_state, *output], h
 
 
@@ -295,12 +369,12 @@ class Steps:
                 g = g[met] / self.held
                 m[met] += 0.1 * (g - m[met])
                 s[met] += 0.01 * (g * g - s[met])
-                p[met] -= (now * m[met] / (np.sqrt(s[met]) + 1e-6)).astype(np.float32)
+                p[met] -= (now * m[met] / (np.sqrt(s[met]) + 1e-6)).astype(np.float32, copy=False)
                 continue
             g = g / self.held
             m += 0.1 * (g - m)
             s += 0.01 * (g * g - s)
-            p -= (now * m / (np.sqrt(s) + 1e-6)).astype(np.float32)
+            p -= (now * m / (np.sqrt(s) + 1e-6)).astype(np.float32, copy=False)
         self.held, self.sums = 0, None
 
 
@@ -315,29 +389,44 @@ def learn(steps: Steps, texts: Iterable[np.ndarray], rate: float) -> tuple[np.nd
     net = steps.net
     waiting = (text[low : low + SEGMENT] for text in texts for low in range(0, len(text), SEGMENT))
     given_n, class_n = np.zeros(len(net.inputs), np.int64), np.zeros(len(net.class_bias), np.int64)
-    none = np.zeros(0, int)
-    lanes = [(none, none)] * steps.lanes
+    # A row for each lane: the tokens from ``low`` to ``high`` are still to be learned from.
+    held = np.empty((steps.lanes, SEGMENT + WINDOW), np.int32)
+    before = np.empty_like(held)
+    low, high, lane = (np.zeros(steps.lanes, int) for _ in range(3))
+    lane[:] = np.arange(steps.lanes)
     h = np.zeros((steps.lanes, net.state.shape[0]), np.float32)
+    more = True
     while True:
-        for k, (target, given) in enumerate(lanes):
-            while len(target) < WINDOW and (text := next(waiting, None)) is not None:
-                target, given = np.append(target, text), np.concatenate([given, [-1], text[:-1]])
-            lanes[k] = target, given
-        left = [k for k, (target, _) in enumerate(lanes) if len(target)]
-        if not left:
+        for k in np.flatnonzero(high - low < WINDOW) if more else []:
+            rest = high[k] - low[k]
+            for table in (held, before):
+                table[lane[k], :rest] = table[lane[k], low[k] : high[k]]
+            low[k], high[k] = 0, rest
+            while high[k] < WINDOW and (text := next(waiting, None)) is not None:
+                end = high[k] + len(text)
+                held[lane[k], high[k] : end] = text
+                before[lane[k], high[k]], before[lane[k], high[k] + 1 : end] = -1, text[:-1]
+                high[k] = end
+            more = high[k] >= WINDOW
+            if not more:
+                break
+        left = np.flatnonzero(high > low)
+        if not len(left):
             break
-        lanes, h = [lanes[k] for k in left], h[left]
-        windows = -(-steps.lanes // (LEAST * len(lanes)))
-        n = min(windows * WINDOW, max(len(target) for target, _ in lanes))
-        target, given = np.full((len(lanes), n), -1), np.full((len(lanes), n), -1)
-        for k, (t, g) in enumerate(lanes):
-            target[k, : len(t)], given[k, : len(g)] = t[:n], g[:n]
+        if len(left) < len(lane):
+            low, high, lane, h = low[left], high[left], lane[left], h[left]
+        windows = -(-steps.lanes // (LEAST * len(lane)))
+        n = min(windows * WINDOW, int((high - low).max()))
+        at = low[:, None] + np.arange(n)
+        there = at < high[:, None]
+        at = np.where(there, at, 0)
+        target, given = (np.where(there, table[lane[:, None], at], -1) for table in (held, before))
         _, grads, h = window_gradients(net, h, given, target)
-        real = target[target >= 0]
+        real = target[there]
         steps.add(grads, len(real), rate)
         given_n += np.bincount(given[given >= 0], minlength=len(given_n))
         class_n += np.bincount(real // CLASS, minlength=len(class_n))
-        lanes = [(t[n:], g[n:]) for t, g in lanes]
+        low = np.minimum(low + n, high)
     steps.step(rate)
     return given_n, class_n
 
@@ -423,6 +512,12 @@ class Model:
     rest_types: int
     network: Network
 
+    def number_at(self, at: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The numbers of ``hashes`` that are in the counts' places ``at`` (-1: not there)."""
+        if not len(self.counts.hashes):
+            return self.number(hashes)
+        return np.append(self.number(self.counts.hashes), len(self.network.inputs) - 1)[at]
+
     def number(self, hashes: np.ndarray) -> np.ndarray:
         at = _find(self.own, hashes)
         rest = len(self.network.inputs) - 1
@@ -457,14 +552,13 @@ def round_sums(texts: DataFrame, model: Model, rate: float, lanes: int = LANES)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, numbers, net = shared.value
         net = Network(*[p.copy() for p in net.parameters()])
-        rest = len(net.inputs) - 1
+        known = np.append(numbers, len(net.inputs) - 1)
 
         def read() -> Iterator[np.ndarray]:
             for batch in batches:
                 for _, _, data, offsets in text_blocks(batch.column(0)):
                     tokens, first = with_ends(words(data, offsets))
-                    at = _find(hashes, tokens)
-                    tokens = np.where(at < 0, rest, numbers[np.maximum(at, 0)])
+                    tokens = known[_find(hashes, tokens)]
                     yield from np.split(tokens, first[1:-1])
 
         given_n, class_n = learn(Steps(net, lanes), read(), rate)
@@ -525,9 +619,8 @@ def scored(
         n = len(first) - 1
         owner = np.repeat(np.arange(n), np.diff(first))
         at = _find(known.counts.hashes, hashes)
-        seen = known.counts.counts[np.maximum(at, 0)] if len(known.counts.counts) else np.zeros(len(at))
-        logs = np.where(at < 0, 0.0, np.log10(seen + 1.0))
-        numbers = known.number(hashes)
+        logs = np.append(np.log10(known.counts.counts + 1.0), 0.0)[at]
+        numbers = known.number_at(at, hashes)
         rest = numbers == len(known.network.inputs) - 1
         lost = (at < 0) & (hashes != END)
         who, what = owner[lost], hashes[lost]
