@@ -240,33 +240,28 @@ def _by_class(net: Network, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def log_probabilities(net: Network, h: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log of each target's probability after state ``h``, class by class."""
     which = target // CLASS
-    logits = h @ net.classes
-    logits += net.class_bias
+    # A column for each state: sums over classes or members are then sums of rows.
+    states = np.ascontiguousarray(h.T)
+    logits = net.classes.T @ states
+    logits += net.class_bias[:, None]
     out = _log_shares(logits, which)
     order, bounds = _by_class(net, which)
     order = order[: bounds[-1]]
     if len(order):
-        logits, _, _ = _member_logits(net, h[order], bounds)
+        own, logits = states[:, order], np.empty((CLASS, len(order)), h.dtype)
+        for c in np.flatnonzero(np.diff(bounds)):
+            cut = slice(bounds[c], bounds[c + 1])
+            np.matmul(net.members[c].T, own[:, cut], out=logits[:, cut])
+            logits[:, cut] += net.member_bias[c][:, None]
         out[order] += _log_shares(logits, target[order] % CLASS)
     return out
 
 
 def _log_shares(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Of each row of ``logits``, which are overwritten, the log of what ``chosen`` has of the whole."""
-    logits -= logits.max(axis=1, keepdims=True)
-    out = logits[np.arange(len(logits)), chosen]
-    return out - np.log(np.exp(logits, out=logits).sum(axis=1))
-
-
-def _member_logits(net: Network, own: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[slice]]:
-    """Of states ordered by class, all classes' members side by side; the classes met, and where their rows are."""
-    met = np.flatnonzero(np.diff(bounds))
-    q = np.empty((len(own), CLASS), own.dtype)
-    cuts = [slice(bounds[c], bounds[c + 1]) for c in met]
-    for c, cut in zip(met, cuts, strict=True):
-        np.matmul(own[cut], net.members[c], out=q[cut])
-        q[cut] += net.member_bias[c]
-    return q, met, cuts
+    """Of each column of ``logits``, which are overwritten, the log of what ``chosen`` has of the whole."""
+    logits -= logits.max(axis=0)
+    out = logits[chosen, np.arange(len(chosen))]
+    return out - np.log(np.exp(logits, out=logits).sum(axis=0))
 
 
 def output_gradients(net: Network, h: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray, list[np.ndarray]]:
@@ -285,8 +280,13 @@ def output_gradients(net: Network, h: np.ndarray, target: np.ndarray) -> tuple[f
     order = order[: bounds[-1]]
     if not len(order):
         return loss, d_h, [d_classes, d_class_bias, d_members, d_member_bias]
-    own, back = h[order], np.empty((len(order), h.shape[1]), h.dtype)
-    q, met, cuts = _member_logits(net, own, bounds)
+    # All classes' rows side by side, class by class.
+    own, q, back = h[order], np.empty((len(order), CLASS), h.dtype), np.empty((len(order), h.shape[1]), h.dtype)
+    met = np.flatnonzero(np.diff(bounds))
+    cuts = [slice(bounds[c], bounds[c + 1]) for c in met]
+    for c, cut in zip(met, cuts, strict=True):
+        np.matmul(own[cut], net.members[c], out=q[cut])
+        q[cut] += net.member_bias[c]
     q -= q.max(axis=1, keepdims=True)
     np.exp(q, out=q)
     q /= q.sum(axis=1, keepdims=True)
@@ -366,10 +366,11 @@ class Steps:
             if p is self.net.inputs:
                 # Most tokens are not met between two steps; theirs stay as they are.
                 met = np.flatnonzero(g.any(axis=1))
-                g = g[met] / self.held
-                m[met] += 0.1 * (g - m[met])
-                s[met] += 0.01 * (g * g - s[met])
-                p[met] -= (now * m[met] / (np.sqrt(s[met]) + 1e-6)).astype(np.float32, copy=False)
+                g, mean, square = g[met] / self.held, m[met], s[met]
+                mean += 0.1 * (g - mean)
+                square += 0.01 * (g * g - square)
+                m[met], s[met] = mean, square
+                p[met] -= (now * mean / (np.sqrt(square) + 1e-6)).astype(np.float32, copy=False)
                 continue
             g = g / self.held
             m += 0.1 * (g - m)
@@ -477,10 +478,12 @@ def scores(net: Network, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
     total = np.zeros(len(order))
     h = np.zeros((len(order), net.state.shape[0]), np.float32)
     t, longest = 0, int(length[0]) if len(length) else 0
+    # How many texts have more than t tokens.
+    runs = np.searchsorted(-length, -np.arange(longest), "left").tolist()
     while t < longest:
         states, targets, owners, held = [], [], [], 0
         while t < longest and held < ROWS:
-            running = int(np.searchsorted(-length, -t, "left"))  # texts with more than t tokens
+            running = runs[t]
             target = tokens[begin[:running] + t]
             states.append(h[:running])
             targets.append(target)
