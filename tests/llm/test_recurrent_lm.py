@@ -234,6 +234,12 @@ def test_nothing_repeats_and_long_texts(documents):
     assert row["n_tokens"] == 60_001 and math.isfinite(row["score"])
 
 
+@pytest.mark.parametrize("n", [1, 7, 8, 64, 65])
+def test_rows_are_summed_as_numpy_sums_values(n):
+    table = np.random.default_rng(n).normal(size=(n, 5000)).astype(np.float32)
+    assert np.array_equal(R._sum_of_rows(table), np.ascontiguousarray(table.T).sum(axis=1))
+
+
 @pytest.mark.parametrize("kind", ["even", "alike", "few", "one", "none"])
 def test_hashes_are_found_where_they_are(kind):
     rng = np.random.default_rng(9)

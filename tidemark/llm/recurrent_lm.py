@@ -261,7 +261,26 @@ def _log_shares(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Of each column of ``logits``, which are overwritten, the log of what ``chosen`` has of the whole."""
     logits -= logits.max(axis=0)
     out = logits[chosen, np.arange(len(chosen))]
-    return out - np.log(np.exp(logits, out=logits).sum(axis=0))
+    return out - np.log(_sum_of_rows(np.exp(logits, out=logits)))
+
+
+def _sum_of_rows(table: np.ndarray) -> np.ndarray:
+    """The rows' sum, added as numpy adds the values of a short row: the same to the last bit by rows and by columns."""
+    whole = len(table) // 8 * 8
+    if not whole:
+        return table.sum(axis=0)
+    out = np.empty(table.shape[1], table.dtype)
+    for low in range(0, len(out), 2048):
+        part = table[:, low : low + 2048]
+        eight = part[:8].copy()
+        for k in range(8, whole, 8):
+            eight += part[k : k + 8]
+        four = eight[::2] + eight[1::2]
+        two = four[::2] + four[1::2]
+        out[low : low + 2048] = two[0] + two[1]
+        for row in part[whole:]:
+            out[low : low + 2048] += row
+    return out
 
 
 def output_gradients(net: Network, h: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray, list[np.ndarray]]:
