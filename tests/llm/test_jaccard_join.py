@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from tidemark.llm import components as G, jaccard_join as J
+from tidemark.llm import common, components as G, jaccard_join as J
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -141,3 +141,38 @@ def test_nothing_extra_columns_and_long_text(documents):
     long = " ".join(f"x{i}" for i in range(60_000))
     df = documents([(3, long), (7, long + " end"), (9, None)]).selectExpr("*", "1 as key", "2 as n", "3 as tokens")
     assert sorted(map(tuple, J.clustered(df).collect())) == [(3, 59996, 3), (7, 59997, 3), (9, 0, 9)]
+
+
+def trees(seed, groups=60, size=12):
+    """Links that make a tree of each group of numbers, some twice, and the number that each belongs to."""
+    rng = random.Random(seed)
+    links, least = [], {}
+    for _ in range(groups):
+        nodes = rng.sample(range(-(1 << 61), 1 << 61), size)
+        links += [(nodes[i], nodes[rng.randrange(i)]) for i in range(1, size)]
+        least |= dict.fromkeys(nodes, min(nodes))
+    return links + links[:9], least
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_components_write_few_tables(spark, monkeypatch, few):
+    """Each table that is written is a round of tasks, however little there is in it."""
+    if not few:  # the ways beyond the bounds
+        monkeypatch.setattr(G, "HELD", 5)
+        monkeypatch.setattr(common, "MOST_IDS", 2)
+    written, pin = [], G.pin
+    monkeypatch.setattr(G, "pin", lambda df, label: written.append(label) or pin(df, label))
+    links, least = trees(5)
+    got = G.components(spark.createDataFrame([*links, (7, 7)], "a long, b long").repartition(6)).collect()
+    assert sorted(map(tuple, got)) == sorted((least | {7: 7}).items())
+    assert not few or len(written) <= 10
+
+
+def test_nothing_is_linked(spark):
+    assert G.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_beyond_what_may_be_broadcast(documents, monkeypatch):
+    monkeypatch.setattr(common, "MOST_IDS", 2)
+    rows = corpus(7, 120)
+    assert sorted(tuple(r) for r in J.clustered(documents(rows)).collect()) == brute(rows)

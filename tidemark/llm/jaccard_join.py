@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import as_longs, in_arrow, mixed, row_key, shingles, text_blocks, without, words
+from tidemark.llm.common import as_longs, in_arrow, mixed, row_key, sent_whole, shingles, text_blocks, without, words
 from tidemark.llm.components import components
 from tidemark.workspace import pin, tidy, unpin
 
@@ -154,12 +154,12 @@ def prefixes(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 
 def sets_of(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """``key`` and ``members`` (sorted hashes, packed) of the classes in ``keys`` (distinct), read from the texts."""
+    """``key`` and ``members`` (sorted hashes, packed) of the classes in ``keys`` (stored), read from the texts."""
     few = keys.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     wanted = None
     if few:
         arrow = keys.select("key").toArrow()
-        found = np.sort(arrow.column(0).to_numpy().astype(np.int64))
+        found = np.unique(arrow.column(0).to_numpy().astype(np.int64))
         wanted = texts.sparkSession.sparkContext.broadcast(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +214,7 @@ def linked(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
     one = sets.select(F.col("key").alias("a"), F.col("members").alias("x"))
     other = sets.select(F.col("key").alias("b"), F.col("members").alias("y"))
-    whole = pairs.select("a", "b").join(other, "b").join(one, "a").select("a", "b", "x", "y")
+    whole = other.join(pairs.select("a", "b"), "b").join(one, "a").select("a", "b", "x", "y")
     return in_arrow(whole, run, "a long, b long")
 
 
@@ -226,11 +226,11 @@ def linked_to_components(sets: DataFrame, asked: DataFrame, named: DataFrame) ->
     where it is needed, not once for each pair. Of each row of ``asked`` and part
     the first link found is given. ``named`` has the component of every class.
     """
-    pieces = components(asked.select(F.col("x_component").alias("a"), F.col("component").alias("b")).distinct(), "pieces")
-    pieces = pieces.select(F.col("node").alias("component"), F.col("component").alias("piece"))
+    pieces = components(asked.select(F.col("x_component").alias("a"), F.col("component").alias("b")), "pieces")
+    pieces = sent_whole(pieces.select(F.col("node").alias("component"), F.col("component").alias("piece")))
     placed = named.join(pieces, "component").select("piece", "key")
     sizes = placed.groupBy("piece").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    pieces = pin(pieces.join(sizes, "piece"), "pieces")
+    pieces = sent_whole(pin(pieces.join(sizes, "piece"), "pieces"))
     part = lambda key, parts: F.pmod(F.xxhash64(key), parts).cast("int")
     asking = (
         asked.join(pieces, "component")
@@ -241,11 +241,11 @@ def linked_to_components(sets: DataFrame, asked: DataFrame, named: DataFrame) ->
     )
     asking = pin(asking, "asking")
     turns = asking.groupBy("piece", "part").agg(F.ceil(F.count("*") / ASKING).cast("int").alias("turns"))
-    turns = pin(turns, "turns")
+    turns = sent_whole(pin(turns, "turns"))
     turn = F.pmod(F.xxhash64("x", F.lit("turn")), F.col("turns")).cast("int").alias("turn")
     asking = asking.join(turns, ["piece", "part"]).select("piece", "part", turn, "x", "found")
     given = (
-        placed.join(sizes, "piece")
+        named.join(pieces, "component")
         .select("piece", part("key", F.col("parts")).alias("part"), "key")
         .join(turns, ["piece", "part"])
         .select("piece", "part", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "key")
@@ -289,19 +289,31 @@ def with_component(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
         return entries.withColumns({"component": F.col("key"), "size": F.lit(1).cast("long")})
     sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
     named = labels.join(sizes, "component").select(F.col("node").alias("key"), "component", "size")
+    named = sent_whole(named, labels)
     return entries.join(named, "key", "left").withColumns(
         {"component": F.coalesce("component", "key"), "size": F.coalesce("size", F.lit(1).cast("long"))}
     )
 
 
 def mixed_lists(entries: DataFrame) -> DataFrame:
-    """Entries of the lists that hold more than one component, with the list's size ``df`` and leader."""
+    """Entries of the lists that hold more than one component, with the list's size ``df`` and leader.
+
+    ``last`` is the component that comes last in the list, by its size.
+    """
     lead = F.min(F.struct(F.xxhash64("key", "round").alias("order"), F.col("key"), F.col("component")))
+    last = F.max(F.struct("size", "component"))
+    ends = [F.min("component").alias("low"), F.max("component").alias("high")]
     lists = (
         entries.groupBy("token")
-        .agg(F.count("*").alias("df"), F.min("component").alias("low"), F.max("component").alias("high"), lead.alias("leader"))
+        .agg(F.count("*").alias("df"), *ends, lead.alias("leader"), last.alias("last"))
         .where("low != high")
-        .select("token", "df", F.col("leader.key").alias("leader"), F.col("leader.component").alias("leads"))
+        .select(
+            "token",
+            "df",
+            F.col("leader.key").alias("leader"),
+            F.col("leader.component").alias("leads"),
+            F.col("last.component").alias("last"),
+        )
     )
     return entries.join(lists, "token")
 
@@ -338,23 +350,17 @@ def searched(entries: DataFrame, parts: int) -> DataFrame:
     """Per class ``x`` and other component: ``found``, its classes that share enough tokens with
     ``x``, from mixed lists' entries; a row for each part of the lists."""
     sized = entries.withColumn("part", part_of("key", parts))
-    # The searching side: all but those of the component that comes last in their list.
-    rank = F.struct("size", "component")
-    last = sized.groupBy("token").agg(F.max(rank).alias("last"))
-    asking = sized.join(last, "token").where(F.col("component") != F.col("last.component"))
+    # A class's long lists are chosen among all its mixed lists, asking there or not.
     ranked = Window.partitionBy("key").orderBy(F.desc("df"), "token")
-    asking = asking.select(
+    placed = entries.withColumn("place", F.row_number().over(ranked))
+    # The searching side: all but those of the component that comes last in their list.
+    asking = placed.where(F.col("component") != F.col("last")).select(
         "token",
         F.col("key").alias("x"),
         F.col("size").alias("x_size"),
         F.col("component").alias("x_component"),
         F.col("n").alias("x_n"),
-        "key",
-    )
-    # A class's long lists are chosen among all its mixed lists, asking there or not.
-    order = entries.withColumn("place", F.row_number().over(ranked)).select("token", "key", "place")
-    asking = asking.join(order, ["token", "key"]).select(
-        "token", "x", "x_size", "x_component", "x_n", (F.col("place") < least_shared(F.col("x_n"))).alias("long")
+        (F.col("place") < least_shared(F.col("n"))).alias("long"),
     )
     member = F.struct("key", "size", "component", "n")
     lists = sized.groupBy("token", "part").agg(F.sort_array(F.collect_list(member)).alias("members"))
@@ -401,32 +407,42 @@ def searched(entries: DataFrame, parts: int) -> DataFrame:
 
 
 def leader_pairs(lists: DataFrame, one_in: int | None) -> DataFrame:
-    """Distinct pairs (``a``, ``b``) of classes of ``mixed_lists`` and the leaders of many of their lists."""
-    to = lists.where("component != leads").groupBy("key", "leader").agg(F.count("*").alias("times"), F.first("n").alias("n"))
+    """Distinct pairs (``a``, ``b``) of classes of ``mixed_lists`` and the leaders of many of their lists.
+
+    A leader comes before a class in one order of all, so no two classes lead each other.
+    """
+    to = lists.where("component != leads").repartition("key").groupBy("key", "leader").agg(F.count("*").alias("times"), F.first("n").alias("n"))
     best = Window.partitionBy("key").orderBy(F.desc("times"), "leader")
     often = F.lit(True) if one_in is None else one_in * F.col("times") >= F.col("n")
     near = to.where(often).withColumn("place", F.row_number().over(best)).where(F.col("place") <= LEADERS)
-    return near.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
+    return near.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b"))
 
 
-def searching(lists: DataFrame) -> DataFrame:
-    """Entries of ``mixed_lists`` without the classes that are in fewer of them than any partner must share."""
-    enough = lists.groupBy("key").agg(F.count("*").alias("lists"), F.first("n").alias("n"))
-    enough = pin(enough.where(F.col("lists") >= least_shared(F.col("n"))).select("key"), "enough")
-    return lists.join(enough, "key").select("token", "key", "n", "component", "size")
+def searching(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries of ``mixed_lists`` without the classes that are in fewer of them than any partner must share.
+
+    With them ``key``, ``component`` and ``size`` of the classes that stay, stored.
+    """
+    firsts = [F.first(c).alias(c) for c in ("n", "component", "size")]
+    enough = lists.groupBy("key").agg(F.count("*").alias("lists"), *firsts)
+    enough = enough.where(F.col("lists") >= least_shared(F.col("n"))).select("key", "component", "size")
+    enough = pin(enough, "enough")
+    entries = lists.join(sent_whole(enough.select("key")), "key")
+    return entries.select("token", "key", "n", "component", "size"), enough
 
 
-def merged(entries: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
-    """Entries with the components that ``links`` of classes join as one, and how many are joined to another."""
-    of = entries.select("key", "component").distinct()
+def merged(entries: DataFrame, classes: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
+    """Entries of ``classes`` with the components that ``links`` join as one, and how many are joined to another."""
+    of = sent_whole(classes.select("key", "component"))
     one = of.select(F.col("key").alias("a"), F.col("component").alias("x"))
     other = of.select(F.col("key").alias("b"), F.col("component").alias("y"))
     between = links.join(one, "a").join(other, "b").where("x != y").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    to = components(between.distinct(), "merged")
-    sizes = entries.select("component", "size").distinct().join(to.withColumnRenamed("component", "into"), F.col("component") == F.col("node"))
+    to = components(between, "merged")
+    into = sent_whole(to.withColumnRenamed("component", "into"))
+    sizes = classes.join(into, F.col("component") == F.col("node")).select("node", "into", "size").distinct()
     total = sizes.groupBy("into").agg(F.sum("size").alias("in_all"))
     to = pin(sizes.select("node", "into").join(total, "into"), "merged")
-    renamed = entries.join(to, F.col("component") == F.col("node"), "left").select(
+    renamed = entries.join(sent_whole(to), F.col("component") == F.col("node"), "left").select(
         "token",
         "key",
         "n",
@@ -445,20 +461,22 @@ def classes_with_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
     at = lambda turn: F.lit(turn).alias("round")
     lists = mixed_lists(with_component(entries, None).select("*", at(0)))
     pairs = pin(leader_pairs(lists, LEADS_ONE_IN), "pairs")
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    found = pin(linked(pin(sets_of(texts, pin(keys, "keys")), "sets"), pairs), "links")
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
+    found = pin(linked(pin(sets_of(texts, keys), "sets"), sent_whole(pairs)), "links")
     labels = components(found)
-    rest = pin(searching(pin(mixed_lists(with_component(entries, labels).select("*", at(0))), "mixed")), "rest")
-    members = pin(sets_of(texts, pin(rest.select("key").distinct(), "keys")), "sets")
+    lists = mixed_lists(with_component(entries, labels).select("*", at(0)))
+    rest, classes = searching(pin(lists.drop("round", "leader", "leads", "last"), "mixed"))
+    rest = pin(rest, "rest")
+    members = pin(sets_of(texts, classes), "sets")
     turn = 0
     while True:
         # Near copies that the first leaders left apart: many small components would ask each other.
         turn += 1
-        lists = pin(mixed_lists(rest.select("*", at(turn))), "lists")
+        lists = pin(mixed_lists(rest.select("*", at(turn))).drop("last"), "lists")
         links = pin(linked(members, leader_pairs(lists, None)), "links")
         left = lists.select("component").distinct().count()
         unpin(rest)
-        rest, joined = merged(searching(lists), links)
+        rest, joined = merged(*searching(lists), links)
         rest = pin(rest, "rest")
         unpin(lists)
         found = found.union(links)
@@ -482,13 +500,15 @@ def clustered(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = rows.select("text").where(F.col("text").isNotNull())
     sets = pin(prefixes(rows, frequent_shingles(texts)), "prefixes")
     full = sets.where("n > 0")
-    labels = components(classes_with_links(texts, full))
+    labels = components(classes_with_links(texts, full)).withColumnRenamed("node", "key")
+    labels = sent_whole(labels)
+    # A component without links is a class, whose smallest id is found for all classes.
     first = full.groupBy("key").agg(F.min("id").alias("first"))
-    joined = first.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
-        "component", F.coalesce("component", "key")
-    )
-    smallest = joined.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = joined.join(smallest, "component").select(F.col("key").alias("class"), "component_id")
+    smallest = full.join(labels, "key").groupBy("component").agg(F.min("id").alias("least"))
+    smallest = sent_whole(pin(smallest, "smallest"))
+    joined = first.join(labels, "key", "left").join(smallest, "component", "left")
+    named = joined.select(F.col("key").alias("class"), F.coalesce("least", "first").alias("component_id"))
+    named = pin(named, "named")
     out = sets.select("id", "n", "key").join(named, (F.col("key") == F.col("class")) & (F.col("n") > 0), "left")
     return out.select(
         F.col("id").alias(id_col),
@@ -507,7 +527,7 @@ def representatives(documents: DataFrame, id_col: str = "doc_id", text_col: str
     found = pin(clustered(rows, "row", "text"), "components")
     some = found.where((F.col("n_shingles") > 0) & ~F.col("row.none"))
     first = F.col("component_id") == F.col("row")
-    out = without(documents, pin(some.where(~first).select("row").distinct(), "copies"), id_col, text_col)
+    out = without(documents, pin(some.where(~first).select("row"), "copies"), id_col, text_col)
     repeated = some.where(first).groupBy("row").count().where("count > 1").select("row")
     repeated = pin(repeated, "repeated")
     if repeated.isEmpty():
