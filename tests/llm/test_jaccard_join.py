@@ -1,7 +1,10 @@
+import os
 import random
 import re
+from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import common, components as G, jaccard_join as J
@@ -176,3 +179,40 @@ def test_beyond_what_may_be_broadcast(documents, monkeypatch):
     monkeypatch.setattr(common, "MOST_IDS", 2)
     rows = corpus(7, 120)
     assert sorted(tuple(r) for r in J.clustered(documents(rows)).collect()) == brute(rows)
+
+
+def test_lists_are_sent_only_where_a_link_can_be(spark, monkeypatch):
+    """Of a list that texts of all sizes share, a class is sent the members near to it in size, each pair once."""
+    sent, in_arrow = [], J.in_arrow
+    monkeypatch.setattr(J, "in_arrow", lambda df, *args: sent.append(df) or in_arrow(df, *args))
+    sizes = [4, 6, 8, 11, 14, 18, 24, 32, 42, 54]
+    rows = [(token, 100 * i + k, n, 100 * i + k, 1) for token in (7, 8) for i, n in enumerate(sizes) for k in range(3)]
+    entries = spark.createDataFrame(rows, "token long, key long, n int, component long, size long")
+    lists = J.mixed_lists(entries.selectExpr("*", "0 as round"))
+    found = J.searched(lists, 1).collect()
+    pairs = {(r["x"], z) for r in found for z in r["found"]}
+    assert pairs == {(100 * i + j, 100 * i + k) for i, n in enumerate(sizes) for j in range(3) for k in range(j + 1, 3) if J.must_share(n, n) <= 2}
+    assert sent[-1].selectExpr("sum(size(key))").first()[0] == 2 * len(sizes) * 3
+
+
+def test_tables_go_when_no_step_reads_them_again(documents, monkeypatch):
+    """What is stored does not add up over the steps."""
+    stored, pin = defaultdict(list), J.pin
+    monkeypatch.setattr(J, "pin", lambda df, label: stored[label].append(pin(df, label)) or stored[label][-1])
+    rows = corpus(11, 120)
+    assert sorted(map(tuple, J.clustered(documents(rows)).collect())) == brute(rows)
+    left = {k for k, frames in stored.items() for x in frames[: 1 if k == "sets" else None] if os.path.exists(x._pinned_at.removeprefix("file:"))}
+    assert not left & {"prefixes", "entries", "mixed", "rest", "sets"}
+
+
+def test_sample_grows_with_the_texts(documents, monkeypatch):
+    """Lists of prefixes don't grow with the texts: a shingle in so many of them comes late, the most frequent last."""
+    monkeypatch.setattr(J, "SAMPLE_TEXTS", 1)
+    monkeypatch.setattr(J, "SAMPLED_ONE_IN", 1)
+    often, most = "a b c d e", "v w x y z"
+    texts = documents([(i, f"{often if i < 6 else ''} {most} " + " ".join(f"u{i}-{k}" for k in range(30))) for i in range(20)])
+    frequent = J.frequent_shingles(texts.select("text"))
+    last, late = (next(m for _, m in J._sets(pa.array([t])))[0] for t in (most, often))
+    assert frequent[0] == last and late in frequent
+    by_place = {r["id"]: list(np.array(r["tokens"]).view(np.uint64)) for r in J.prefixes(texts.selectExpr("doc_id as id", "text"), frequent).collect()}
+    assert not any({last, late} & set(tokens) for tokens in by_place.values())

@@ -6,8 +6,9 @@ are found by a search for shared tokens (T-occurrence):
 1. A set's prefix are its first ``n // 5 + T`` shingles in one global order, with
    ``T = 1 + n // 40``. Two linked sets share at least the smaller ``T`` in their
    prefixes, and more the nearer their sizes are: all that they must share but what
-   the longer of the rests can hold. The order puts shingles that are frequent in a bounded sample last,
-   so that prefixes hold the rare ones; any order gives the same links.
+   the longer of the rests can hold. The order puts shingles that are frequent in a sample last, the most
+   frequent at the end, so that prefixes hold the rare ones; any order gives the same links. The sample is
+   a share of the texts, so that lists of prefixes do not grow with the number of texts.
 2. Equal sets are one class from here on, known by a 64-bit digest. Shingles of
    prefixes become inverted lists of classes; those of one class are dropped.
 3. Near copies are joined to leaders first: each class is compared exactly with
@@ -46,6 +47,8 @@ from tidemark.workspace import pin, tidy, unpin
 WIDTH = 5
 #: Texts that the order's frequent shingles are drawn from, and how many of those there may be.
 SAMPLE_TEXTS, FREQUENT_IN, MOST_FREQUENT = 10_000, 5, 200_000
+#: One in so many texts is drawn where that is more. A shingle in ``FREQUENT_IN`` times as many texts comes late.
+SAMPLED_ONE_IN = 25
 #: Classes whose digests may be broadcast; beyond it they are joined.
 MOST_BROADCAST = 1_000_000
 #: Leaders that a class is compared with in a round.
@@ -98,9 +101,10 @@ def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def frequent_shingles(texts: DataFrame) -> np.ndarray:
-    """Sorted hashes of the shingles that are frequent in a sample of texts."""
+    """Hashes of the shingles that are frequent in a sample of texts, the most frequent first."""
     rows = texts.count()
-    drawn = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE_TEXTS / max(1, rows)))
+    share = min(1.0, max(SAMPLE_TEXTS / max(1, rows), 1 / SAMPLED_ONE_IN))
+    drawn = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) < int((1 << 30) * share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,8 +114,7 @@ def frequent_shingles(texts: DataFrame) -> np.ndarray:
 
     counts = in_arrow(texts.where(drawn), run, "token long").groupBy("token").count()
     common = counts.where(F.col("count") >= FREQUENT_IN).orderBy(F.desc("count"), "token").limit(MOST_FREQUENT)
-    found = np.array([r[0] for r in common.select("token").collect()], np.int64)
-    return np.sort(found.view(np.uint64))
+    return np.array([r[0] for r in common.select("token").collect()], np.int64).view(np.uint64)
 
 
 def prefixes(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -119,11 +122,12 @@ def prefixes(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
 
     A task sends the prefix of a class that it remembers once.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+    places = np.argsort(frequent)
+    shared = texts.sparkSession.sparkContext.broadcast((frequent[places], places))
     kind = texts.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = shared.value
+        common, places = shared.value
         sent: set[int] = set()
         for batch in batches:
             rows = batch.num_rows
@@ -141,7 +145,9 @@ def prefixes(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
                 if len(common):
                     at = np.minimum(np.searchsorted(common, members), len(common) - 1)
                     late = common[at] == members
-                    members = np.concatenate([members[~late], members[late]])
+                    if late.any():
+                        last = np.argsort(-places[at[late]])
+                        members = np.concatenate([members[~late], members[late][last]])
                 parts.append(members[: prefix_size(n)])
                 ends[i + 1] = len(parts[-1])
             tokens = as_longs(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
@@ -296,11 +302,11 @@ def with_component(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def mixed_lists(entries: DataFrame) -> DataFrame:
-    """Entries of the lists that hold more than one component, with the list's size ``df`` and leader.
+    """Entries of the lists that hold more than one component, with the list's size ``df`` and leader, of size ``leader_n``.
 
     ``last`` is the component that comes last in the list, by its size.
     """
-    lead = F.min(F.struct(F.xxhash64("key", "round").alias("order"), F.col("key"), F.col("component")))
+    lead = F.min(F.struct(F.xxhash64("key", "round").alias("order"), F.col("key"), F.col("component"), F.col("n")))
     last = F.max(F.struct("size", "component"))
     ends = [F.min("component").alias("low"), F.max("component").alias("high")]
     lists = (
@@ -312,6 +318,7 @@ def mixed_lists(entries: DataFrame) -> DataFrame:
             "df",
             F.col("leader.key").alias("leader"),
             F.col("leader.component").alias("leads"),
+            F.col("leader.n").alias("leader_n"),
             F.col("last.component").alias("last"),
         )
     )
@@ -342,13 +349,21 @@ def parts_for(entries: DataFrame) -> int:
     return parts
 
 
+def near_in_size(n: Column, m: Column) -> Column:
+    """Whether sets of these sizes can be linked."""
+    return 5 * F.least(n, m) >= 4 * F.greatest(n, m)
+
+
 def part_of(key: str, parts: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
 
 def searched(entries: DataFrame, parts: int) -> DataFrame:
     """Per class ``x`` and other component: ``found``, its classes that share enough tokens with
-    ``x``, from mixed lists' entries; a row for each part of the lists."""
+    ``x``, from mixed lists' entries; a row for each part of the lists.
+
+    Of a list a class is sent only the members that it may link to, and that it has to search for.
+    """
     sized = entries.withColumn("part", part_of("key", parts))
     # A class's long lists are chosen among all its mixed lists, asking there or not.
     ranked = Window.partitionBy("key").orderBy(F.desc("df"), "token")
@@ -364,23 +379,24 @@ def searched(entries: DataFrame, parts: int) -> DataFrame:
     )
     member = F.struct("key", "size", "component", "n")
     lists = sized.groupBy("token", "part").agg(F.sort_array(F.collect_list(member)).alias("members"))
-    apart = [F.col(f"members.{c}").alias(c) for c in ("key", "size", "component", "n")]
-    rows = asking.join(lists.select("token", "part", *apart), "token").select(
-        "x", "part", "x_size", "x_component", "x_n", "long", "key", "size", "component", "n"
+    later = lambda z: (z["size"] > F.col("x_size")) | (
+        (z["size"] == F.col("x_size")) & (z["component"] > F.col("x_component"))
     )
+    wanted = F.filter("members", lambda z: near_in_size(z["n"], F.col("x_n")) & later(z)).alias("members")
+    rows = asking.join(lists, "token").select("x", "part", "x_component", "x_n", "long", wanted).where(F.size("members") > 0)
+    apart = [F.col(f"members.{c}").alias(c) for c in ("key", "component", "n")]
+    rows = rows.select("x", "part", "x_component", "x_n", "long", *apart)
     rows = rows.repartition("x", "part").sortWithinPartitions("x", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def entries_() -> Iterator[tuple]:
             for batch in batches:
-                keys, sizes_, comps, ns = (np.asarray(batch.column(k).flatten()) for k in range(6, 10))
-                bounds = np.concatenate([[0], np.cumsum(batch.column(6).value_lengths().to_numpy())])
-                head = list(zip(*[batch.column(i).to_pylist() for i in range(6)], strict=True))
-                for i, (x, part, size, component, n, is_long) in enumerate(head):
+                keys, comps, ns = (np.asarray(batch.column(k).flatten()) for k in range(5, 8))
+                bounds = np.concatenate([[0], np.cumsum(batch.column(5).value_lengths().to_numpy())])
+                head = list(zip(*[batch.column(i).to_pylist() for i in range(5)], strict=True))
+                for i, (x, part, component, n, is_long) in enumerate(head):
                     cut = slice(bounds[i], bounds[i + 1])
-                    s, c = sizes_[cut], comps[cut]
-                    later = (s > size) | ((s == size) & (c > component))
-                    yield (x, part, component), n, is_long, keys[cut][later], ns[cut][later], c[later]
+                    yield (x, part, component), n, is_long, keys[cut], ns[cut], comps[cut]
 
         for (x, _, own), group in groupby(entries_(), key=lambda e: e[0]):
             short, long, known, n = [], [], {}, 0
@@ -411,7 +427,8 @@ def leader_pairs(lists: DataFrame, one_in: int | None) -> DataFrame:
 
     A leader comes before a class in one order of all, so no two classes lead each other.
     """
-    to = lists.where("component != leads").repartition("key").groupBy("key", "leader").agg(F.count("*").alias("times"), F.first("n").alias("n"))
+    led = lists.where("component != leads").where(near_in_size(F.col("n"), F.col("leader_n")))
+    to = led.repartition("key").groupBy("key", "leader").agg(F.count("*").alias("times"), F.first("n").alias("n"))
     best = Window.partitionBy("key").orderBy(F.desc("times"), "leader")
     often = F.lit(True) if one_in is None else one_in * F.col("times") >= F.col("n")
     near = to.where(often).withColumn("place", F.row_number().over(best)).where(F.col("place") <= LEADERS)
@@ -452,37 +469,50 @@ def merged(entries: DataFrame, classes: DataFrame, links: DataFrame) -> tuple[Da
     return renamed, to.where("node != into").count()
 
 
-def classes_with_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (``a``, ``b``) between classes, enough to connect all that are connected."""
+def shared_tokens(sets: DataFrame) -> DataFrame:
+    """Entries (``token``, ``key``, ``n``) of the inverted lists of the prefixes in ``sets``, but of lists of one row."""
     postings = sets.select(F.explode("tokens").alias("token"), "key", "n")
     shared = postings.groupBy("token").agg(F.count("*").alias("times")).where("times > 1").select("token")
-    entries = postings.join(shared, "token").groupBy("token", "key").agg(F.first("n").alias("n"))
-    entries = pin(entries, "entries")
+    return postings.join(shared, "token").groupBy("token", "key").agg(F.first("n").alias("n"))
+
+
+def classes_with_links(texts: DataFrame, entries: DataFrame) -> DataFrame:
+    """Links (``a``, ``b``) between classes, enough to connect all that are connected.
+
+    ``entries`` is a pinned table, which goes: what no step reads again is deleted at
+    once, so that disks hold the tables of one step.
+    """
     at = lambda turn: F.lit(turn).alias("round")
     lists = mixed_lists(with_component(entries, None).select("*", at(0)))
     pairs = pin(leader_pairs(lists, LEADS_ONE_IN), "pairs")
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
-    found = pin(linked(pin(sets_of(texts, keys), "sets"), sent_whole(pairs)), "links")
+    members = pin(sets_of(texts, keys), "sets")
+    found = pin(linked(members, sent_whole(pairs)), "links")
+    unpin(members)
     labels = components(found)
     lists = mixed_lists(with_component(entries, labels).select("*", at(0)))
-    rest, classes = searching(pin(lists.drop("round", "leader", "leads", "last"), "mixed"))
+    lists = pin(lists.drop("round", "leader", "leads", "leader_n", "last"), "mixed")
+    unpin(entries)
+    rest, classes = searching(lists)
     rest = pin(rest, "rest")
+    unpin(lists)
     members = pin(sets_of(texts, classes), "sets")
     turn = 0
     while True:
         # Near copies that the first leaders left apart: many small components would ask each other.
         turn += 1
         lists = pin(mixed_lists(rest.select("*", at(turn))).drop("last"), "lists")
-        links = pin(linked(members, leader_pairs(lists, None)), "links")
-        left = lists.select("component").distinct().count()
         unpin(rest)
+        pairs = pin(leader_pairs(lists, None), "pairs")
+        links = pin(linked(members, sent_whole(pairs)), "links")
+        left = lists.select("component").distinct().count()
         rest, joined = merged(*searching(lists), links)
         rest = pin(rest, "rest")
         unpin(lists)
         found = found.union(links)
         if joined * MERGED_ONE_IN <= left:
             break
-    lists = pin(mixed_lists(rest.select("*", at(0))).drop("round", "leader", "leads"), "lists")
+    lists = pin(mixed_lists(rest.select("*", at(0))).drop("round", "leader", "leads", "leader_n"), "lists")
     unpin(rest)
     named = lists.select("key", "component").distinct()
     asked = pin(searched(lists, parts_for(lists)), "asked")
@@ -498,9 +528,12 @@ def clustered(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = rows.select("text").where(F.col("text").isNotNull())
-    sets = pin(prefixes(rows, frequent_shingles(texts)), "prefixes")
+    whole = pin(prefixes(rows, frequent_shingles(texts)), "prefixes")
+    entries = pin(shared_tokens(whole.where("n > 0")), "entries")
+    sets = pin(whole.select("id", "n", "key"), "classes")
+    unpin(whole)
     full = sets.where("n > 0")
-    labels = components(classes_with_links(texts, full)).withColumnRenamed("node", "key")
+    labels = components(classes_with_links(texts, entries)).withColumnRenamed("node", "key")
     labels = sent_whole(labels)
     # A component without links is a class, whose smallest id is found for all classes.
     first = full.groupBy("key").agg(F.min("id").alias("first"))
